@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from simpairs.config import PairConfig
 from simpairs.functions.hashing import bounded_draw, hash_bucket_of, keyed_hash
 from simpairs.operators.numbering import number_rows
+from simpairs.sources.shared import checkpointed
 
 
 def category_table(clauses: DataFrame) -> DataFrame:
@@ -149,16 +150,18 @@ def negative_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg=Non
     return d.select("draw_id", "cat1", "cat2").join(picked, "draw_id")
 
 
-def labelled_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+def labelled_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), materialize: bool = True) -> DataFrame:
     """(pair_id, id1, id2, label): positives (capped) + negatives, numbered 0..n-1 in a
-    keyed-hash order (the joint shuffle)."""
+    keyed-hash order (the joint shuffle). By default the (small) pair table is
+    checkpointed into the shared folder: it is reused by encoding, scoring and examples."""
     pos = cap_positives(positive_pairs(clauses, cfg), cfg)
     neg = negative_pairs(clauses, cfg, negative_count(pos, cfg))
     p = pos.select("id1", "id2", F.lit(1).alias("label"), F.concat_ws(":", F.lit("1"), "id1", "id2").alias("__k"))
     n = neg.select("id1", "id2", F.lit(0).alias("label"), F.concat_ws(":", F.lit("0"), "draw_id").alias("__k"))
     allp = p.unionByName(n).withColumn("__h", keyed_hash(cfg.seed, "shuffle", "__k"))
     numbered = number_rows(allp, [F.col("__h"), F.col("__k")], hash_bucket_of(F.col("__h")), (), "rn")
-    return numbered.select((F.col("rn") - 1).alias("pair_id"), "id1", "id2", F.col("label").cast("int").alias("label"))
+    out = numbered.select((F.col("rn") - 1).alias("pair_id"), "id1", "id2", F.col("label").cast("int").alias("label"))
+    return checkpointed(out) if materialize else out
 
 
 def attach_texts(pairs: DataFrame, clauses: DataFrame) -> DataFrame:

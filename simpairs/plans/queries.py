@@ -16,11 +16,16 @@ from pyspark.sql import types as T
 from simpairs.config import PairConfig
 from simpairs.functions.arrays import render_ids
 from simpairs.operators import encode as enc
+from simpairs.operators import examples as ex
+from simpairs.operators import features as fe
+from simpairs.operators import metrics as me
+from simpairs.operators import score as sc
 from simpairs.operators import pairs as pr
 from simpairs.operators import sampling as smp
 from simpairs.operators import split as spl
 from simpairs.operators import vocab as voc
 from simpairs.plans import sqlfrag as q
+from simpairs.sources.shared import checkpointed
 from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,11 +41,19 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = q.rewrite_round6(sql)
         return fn
     return deco
 
 
+def r6(c: Column) -> Column:
+    """Round to 6 decimals as floor(x * 1e6 + 0.5) / 1e6 - plain IEEE steps that SQL
+    engines evaluate identically (decimal-string HALF_UP and binary rounding differ on
+    exact ties such as 41/640)."""
+    d = c.cast("double")
+    return F.when(F.abs(d) < 1e12, F.floor(d * 1e6 + 0.5) / 1e6).otherwise(d)
+
+
 def canon(df: DataFrame) -> DataFrame:
     """Integers -> BIGINT, floats -> DOUBLE rounded to 6 digits, int arrays -> strings."""
     cols = []
@@ -50,7 +63,7 @@ def canon(df: DataFrame) -> DataFrame:
         if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = r6(c)
         elif isinstance(t, T.ArrayType) and isinstance(t.elementType, (T.IntegerType, T.LongType)):
             c = render_ids(c)
         cols.append(c.alias(f.name))
@@ -385,4 +398,225 @@ FROM lp JOIN enc a ON a.clause_id = lp.id1 JOIN enc b ON b.clause_id = lp.id2"""
 def _prepare_pairs(spark, sf):
     p = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), L)
     return canon(p)
-FLAGSHIP = "vocabulary"
+
+
+# ---------------------------------------------------------------- features and test scorers
+
+E_VEC = "ev AS (SELECT vec_id AS clause_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+EMB_PAIRS = f"{E_ITEMS},\n{E_VEC},\n{labelled_sql('e', 'ep')}"
+DOC_PAIRS = f"{C_SMALL},\n{labelled_sql('c', 'lp')}"
+
+
+def _seqsum(x: str) -> str:
+    return f"list_reduce({x}, lambda acc, v: acc + v, 0.0::DOUBLE)"
+
+
+def _zip(a: str, b: str, op: str) -> str:
+    return f"list_transform(list_zip({a}, {b}), lambda z: {op.replace('X', 'z[1]').replace('Y', 'z[2]')})"
+
+
+def _cos(a: str, b: str) -> str:
+    d = f"(sqrt({_seqsum(_zip(a, a, 'X * Y'))}) * sqrt({_seqsum(_zip(b, b, 'X * Y'))}))"
+    return f"CASE WHEN {d} > 0 THEN {_seqsum(_zip(a, b, 'X * Y'))} / {d} ELSE 0.0 END"
+
+
+COS_SQL = f"""cs AS (SELECT ep.pair_id, ep.label, greatest(0.0, least(1.0, ({_cos('a.v', 'b.v')} + 1.0) / 2.0)) AS probability
+  FROM ep JOIN ev a ON a.clause_id = ep.id1 JOIN ev b ON b.clause_id = ep.id2)"""
+JAC_SQL = f"""tk AS (SELECT clause_id, list_distinct({q.tokens('clause')}) AS t FROM c),
+js AS (SELECT lp.pair_id, lp.label, CASE WHEN len(list_distinct(list_concat(a.t, b.t))) > 0
+  THEN len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) ELSE 0.0 END AS probability
+  FROM lp JOIN tk a ON a.clause_id = lp.id1 JOIN tk b ON b.clause_id = lp.id2)"""
+SCORED_SQL = f"""{DOC_PAIRS},\n{JAC_SQL},\n{EMB_PAIRS},\n{COS_SQL},
+sc AS (SELECT model, pair_id, label, probability, CASE WHEN probability >= {CFG.threshold} THEN 1 ELSE 0 END AS predicted
+  FROM (SELECT 'jaccard' AS model, pair_id, label, CAST(probability AS DOUBLE) AS probability FROM js
+        UNION ALL SELECT 'cosine', pair_id, label, probability FROM cs))"""
+
+
+def emb_items(spark, sf):
+    return embedding_items(spark, sf)
+
+
+def scored_jaccard(spark, sf):
+    return sc.to_scored(fe.jaccard_scores(doc_pairs(spark, sf), doc_clauses(spark, sf)), "jaccard", CFG.threshold)
+
+
+def scored_cosine(spark, sf):
+    return sc.to_scored(fe.cosine_scores(emb_pairs(spark, sf), emb_items(spark, sf)), "cosine", CFG.threshold)
+
+
+def scored_all(spark, sf):
+    """Both test scorers in one scored table, materialised once (scoring is the costly step)."""
+    return checkpointed(scored_jaccard(spark, sf).unionByName(scored_cosine(spark, sf)))
+
+
+@register("pair_features", f"""WITH {EMB_PAIRS},
+f AS (SELECT ep.pair_id, list_concat(a.v, b.v, {_zip('a.v', 'b.v', 'abs(X - Y)')}, {_zip('a.v', 'b.v', 'X * Y')}) AS feat,
+  {_zip('a.v', 'b.v', 'abs(X - Y)')} AS ad, {_zip('a.v', 'b.v', 'X * Y')} AS pr
+  FROM ep JOIN ev a ON a.clause_id = ep.id1 JOIN ev b ON b.clause_id = ep.id2)
+SELECT pair_id, CAST(len(feat) AS BIGINT) AS n_features, round({_seqsum('feat')}, 6) AS feature_sum,
+  round({_seqsum('ad')}, 6) AS absdiff_sum, round({_seqsum('pr')}, 6) AS product_sum FROM f""")
+def _pair_features(spark, sf):
+    from simpairs.functions.arrays import abs_diff, array_sum, elementwise_product
+    j = fe.with_pair_features(fe.attach_vectors(emb_pairs(spark, sf), emb_items(spark, sf)))
+    return canon(j.select("pair_id", F.size("features").alias("n_features"),
+                          array_sum("features").alias("feature_sum"),
+                          array_sum(abs_diff("e1", "e2")).alias("absdiff_sum"),
+                          array_sum(elementwise_product("e1", "e2")).alias("product_sum")))
+
+
+@register("max_pool", f"""WITH {E_VEC}, x AS (SELECT e.label, unnest(v.v) AS val, generate_subscripts(v.v, 1) - 1 AS dim
+  FROM embeddings e JOIN ev v ON v.clause_id = e.vec_id)
+SELECT CAST(label AS BIGINT) AS label, CAST(dim AS BIGINT) AS dim, round(max(val), 6) AS value FROM x GROUP BY ALL""")
+def _max_pool(spark, sf):
+    e = table(spark, sf, "embeddings")
+    p = fe.max_pool(e, ["label"], "embedding")
+    return canon(p.select("label", F.posexplode("pooled").alias("dim", "value")))
+
+
+@register("clause_encoding", f"""WITH {VOCAB_LANG},
+{q.encode_cte('c', 'vocab', 'enc', L)}, {E_VEC},
+tok AS (SELECT clause_id, unnest(seq) AS idx FROM enc),
+x AS (SELECT t.clause_id, unnest(v.v) AS val, generate_subscripts(v.v, 1) - 1 AS dim FROM tok t
+  JOIN ev v ON v.clause_id = t.idx WHERE t.idx <> 0)
+SELECT clause_id, CAST(dim AS BIGINT) AS dim, round(max(val), 6) AS value FROM x GROUP BY ALL""")
+def _clause_encoding(spark, sf):
+    e = enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf), max_len=L)
+    tv = emb_items(spark, sf).select(F.col("clause_id").cast("int").alias("idx"), F.col("embedding").alias("vector"))
+    p = fe.clause_encoding(e, tv)
+    return canon(p.select("clause_id", F.posexplode("encoding").alias("dim", "value")))
+
+
+@register("cosine_score", f"WITH {EMB_PAIRS},\n{COS_SQL} SELECT pair_id, CAST(label AS BIGINT) AS label, "
+          "round(probability, 6) AS probability FROM cs")
+def _cosine_score(spark, sf):
+    return canon(fe.cosine_scores(emb_pairs(spark, sf), emb_items(spark, sf)).select("pair_id", "label", "probability"))
+
+
+@register("jaccard_score", f"WITH {DOC_PAIRS},\n{JAC_SQL} SELECT pair_id, CAST(label AS BIGINT) AS label, "
+          "round(probability, 6) AS probability FROM js")
+def _jaccard_score(spark, sf):
+    return canon(fe.jaccard_scores(doc_pairs(spark, sf), doc_clauses(spark, sf)).select("pair_id", "label", "probability"))
+
+
+# ---------------------------------------------------------------- evaluation
+
+@register("threshold_predict", f"WITH {SCORED_SQL} SELECT model, pair_id, CAST(label AS BIGINT) AS label, "
+          "round(probability, 6) AS probability, CAST(predicted AS BIGINT) AS predicted FROM sc")
+def _threshold_predict(spark, sf):
+    return canon(scored_all(spark, sf))
+
+
+CONF_SQL = """lab AS (SELECT DISTINCT model, label AS c FROM sc UNION SELECT DISTINCT model, predicted FROM sc),
+cnt AS (SELECT model, label, predicted, count(*) AS n FROM sc GROUP BY ALL),
+cm AS (SELECT a.model, a.c AS label, b.c AS predicted, coalesce(cnt.n, 0) AS n FROM lab a JOIN lab b ON a.model = b.model
+  LEFT JOIN cnt ON cnt.model = a.model AND cnt.label = a.c AND cnt.predicted = b.c)"""
+
+
+@register("confusion_matrix", f"WITH {SCORED_SQL},\n{CONF_SQL} SELECT model, CAST(label AS BIGINT) AS label, "
+          "CAST(predicted AS BIGINT) AS predicted, CAST(n AS BIGINT) AS n FROM cm")
+def _confusion_matrix(spark, sf):
+    return canon(me.confusion_matrix(scored_all(spark, sf)))
+
+
+BIN_SQL = """bm AS (SELECT model, count(*) AS n, sum(CASE WHEN label = 1 AND predicted = 1 THEN 1 ELSE 0 END) AS tp,
+  sum(CASE WHEN label <> 1 AND predicted = 1 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN label = 1 AND predicted <> 1 THEN 1 ELSE 0 END) AS fn,
+  sum(CASE WHEN label = predicted THEN 1 ELSE 0 END) AS nc FROM sc GROUP BY model),
+bmx AS (SELECT model, nc / n AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_score FROM bm)"""
+ROC_SQL = """rk AS (SELECT model, label, rank() OVER (PARTITION BY model ORDER BY probability)
+  + (count(*) OVER (PARTITION BY model, probability) - 1) / 2.0 AS r FROM sc),
+roc AS (SELECT model, CASE WHEN sum(label) > 0 AND sum(1 - label) > 0 THEN
+  (sum(CASE WHEN label = 1 THEN r ELSE 0 END) - sum(label) * (sum(label) + 1) / 2.0) / (sum(label) * sum(1 - label))
+  ELSE 0.0 END AS roc_auc FROM rk GROUP BY model)"""
+AP_SQL = """dd AS (SELECT model, probability, sum(label) AS tp, sum(1 - label) AS fp FROM sc GROUP BY ALL),
+cc AS (SELECT *, sum(tp) OVER (PARTITION BY model ORDER BY probability DESC) AS ctp,
+  sum(fp) OVER (PARTITION BY model ORDER BY probability DESC) AS cfp FROM dd),
+ap AS (SELECT model, CASE WHEN sum(tp) > 0 THEN sum(tp * ctp / (ctp + cfp)) / sum(tp) ELSE 0.0 END AS pr_auc
+  FROM cc GROUP BY model)"""
+
+
+@register("binary_metrics", f"WITH {SCORED_SQL},\n{BIN_SQL} SELECT model, round(accuracy, 6) AS accuracy, "
+          "round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score FROM bmx")
+def _binary_metrics(spark, sf):
+    return canon(me.binary_metrics(scored_all(spark, sf)))
+
+
+@register("roc_auc", f"WITH {SCORED_SQL},\n{ROC_SQL} SELECT model, round(roc_auc, 6) AS roc_auc FROM roc")
+def _roc_auc(spark, sf):
+    return canon(me.roc_auc(scored_all(spark, sf)))
+
+
+@register("average_precision", f"WITH {SCORED_SQL},\n{AP_SQL} SELECT model, round(pr_auc, 6) AS pr_auc FROM ap")
+def _average_precision(spark, sf):
+    return canon(me.average_precision(scored_all(spark, sf)))
+
+
+@register("log_loss", f"""WITH {SCORED_SQL}
+SELECT model, round(avg(-(label * (CASE WHEN probability <= 0 THEN -100.0 ELSE greatest(ln(probability), -100.0) END)
+  + (1 - label) * (CASE WHEN 1 - probability <= 0 THEN -100.0 ELSE greatest(ln(1 - probability), -100.0) END))), 6)
+  AS log_loss FROM sc GROUP BY model""")
+def _log_loss(spark, sf):
+    return canon(me.log_loss(scored_all(spark, sf)))
+
+
+EVAL_SQL = f"{SCORED_SQL},\n{BIN_SQL},\n{ROC_SQL},\n{AP_SQL}"
+EVAL_SELECT = ("SELECT bmx.model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, "
+               "round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, round(roc_auc, 6) AS roc_auc, "
+               "round(pr_auc, 6) AS pr_auc FROM bmx JOIN roc USING (model) JOIN ap USING (model)")
+
+
+@register("evaluate_models", f"WITH {EVAL_SQL} {EVAL_SELECT}")
+def _evaluate_models(spark, sf):
+    return canon(me.evaluate(scored_all(spark, sf)))
+
+
+@register("class_report", f"""WITH {SCORED_SQL},\n{CONF_SQL},
+per AS (SELECT model, label AS c, sum(CASE WHEN label = predicted THEN n ELSE 0 END) AS tp, sum(n) AS support
+  FROM cm GROUP BY ALL),
+pr AS (SELECT model, predicted AS c, sum(n) AS n_pred FROM cm GROUP BY ALL),
+k AS (SELECT per.model, per.c, support, tp, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+  CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+  CASE WHEN support + n_pred > 0 THEN 2 * tp / (support + n_pred) ELSE 0.0 END AS f1
+  FROM per JOIN pr ON per.model = pr.model AND per.c = pr.c),
+a AS (SELECT model, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf, sum(support) AS tot, sum(tp) AS tp,
+  sum(precision * support) AS wp, sum(recall * support) AS wr, sum(f1 * support) AS wf FROM k GROUP BY model)
+SELECT model, CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM k
+UNION ALL SELECT model, 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), CAST(tot AS BIGINT) FROM a
+UNION ALL SELECT model, 'weighted avg', round(wp / tot, 6), round(wr / tot, 6), round(wf / tot, 6), CAST(tot AS BIGINT) FROM a
+UNION ALL SELECT model, 'accuracy', NULL, NULL, round(tp / tot, 6), CAST(tot AS BIGINT) FROM a""")
+def _class_report(spark, sf):
+    return canon(me.class_report(scored_all(spark, sf)))
+
+
+def doc_pairs_text(spark, sf):
+    return pr.attach_texts(doc_pairs(spark, sf), doc_clauses(spark, sf))
+
+
+def _ell(x: str) -> str:
+    return f"CASE WHEN length({x}) > 150 THEN substr({x}, 1, 150) || '...' ELSE {x} END"
+
+
+def _examples_sql(n: int) -> str:
+    return f"""{SCORED_SQL},
+top AS (SELECT * FROM (SELECT *, label = predicted AS correct,
+  row_number() OVER (PARTITION BY model, label = predicted ORDER BY pair_id) AS r FROM sc WHERE model = 'jaccard') WHERE r <= {n}),
+exs AS (SELECT top.model, top.pair_id, {_ell('a.clause')} AS clause1, {_ell('b.clause')} AS clause2,
+  CASE WHEN top.label = 1 THEN 'Similar' ELSE 'Different' END AS true_label,
+  CASE WHEN top.predicted = 1 THEN 'Similar' ELSE 'Different' END AS predicted_label,
+  round(top.probability, 6) AS probability, correct
+  FROM top JOIN lp ON lp.pair_id = top.pair_id JOIN c a ON a.clause_id = lp.id1 JOIN c b ON b.clause_id = lp.id2)"""
+
+
+@register("qualitative_examples", f"WITH {_examples_sql(CFG.num_examples)} SELECT * FROM exs")
+def _qualitative_examples(spark, sf):
+    return canon(ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs_text(spark, sf), CFG.num_examples))
+
+
+@register("report_examples", f"WITH {_examples_sql(5)} SELECT model, pair_id, clause1, clause2, true_label, "
+          "predicted_label, probability FROM exs")
+def _report_examples(spark, sf):
+    e = ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs_text(spark, sf), CFG.num_examples)
+    return canon(ex.report_examples(e, 5))

@@ -24,7 +24,43 @@ def h(tag: str, key: str, seed: int = SEED) -> str:
 
 
 def r6(x: str) -> str:
-    return f"round(CAST({x} AS DOUBLE), 6)"
+    """Same IEEE steps as the Spark side: floor(x * 1e6 + 0.5) / 1e6."""
+    return (f"(CASE WHEN abs(CAST({x} AS DOUBLE)) < 1e12 THEN floor(CAST({x} AS DOUBLE) * 1000000.0::DOUBLE + 0.5::DOUBLE)"
+            f" / 1000000.0::DOUBLE ELSE CAST({x} AS DOUBLE) END)")
+
+
+def rewrite_round6(sql: str) -> str:
+    """Replace every `round(expr, 6)` by r6(expr) (parenthesis-aware)."""
+    out, i = [], 0
+    while True:
+        k = sql.find("round(", i)
+        if k < 0 or (k > 0 and (sql[k - 1].isalnum() or sql[k - 1] == "_")):
+            if k < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:k + 6])
+            i = k + 6
+            continue
+        depth, j, comma = 0, k + 5, -1
+        while j < len(sql):
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                comma = j
+            j += 1
+        inner, digits = sql[k + 6:comma], sql[comma + 1:j].strip()
+        if comma < 0 or digits != "6":
+            out.append(sql[i:k + 6])
+            i = k + 6
+            continue
+        out.append(sql[i:k])
+        out.append(r6(rewrite_round6(inner)))
+        i = j + 1
 
 
 def clauses_cte(category_expr: str = "lang", name: str = "c") -> str:

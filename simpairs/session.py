@@ -2,10 +2,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
+from simpairs.sources.shared import shared_dir
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "simpairs") -> SparkSession:
     spark = (
@@ -24,15 +25,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
     return spark
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`). Only when it is unset (local
-    tests) a fresh scratch folder is created and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="simpairs-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
