@@ -620,3 +620,158 @@ def _qualitative_examples(spark, sf):
 def _report_examples(spark, sf):
     e = ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs_text(spark, sf), CFG.num_examples)
     return canon(ex.report_examples(e, 5))
+
+
+# ---------------------------------------------------------------- training-history analytics
+
+from simpairs.operators import history as hi  # noqa: E402
+
+TARGET = 0.95          # stop target used on the synthetic log (k/100 reaches it now and then)
+EVERY = 4              # progress report interval for 10-batch epochs
+
+BLOG_SQL = """ev AS (SELECT user_id AS run, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, value,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+bl AS (SELECT run, CAST((step - 1) // 10 AS INTEGER) AS epoch, CAST((step - 1) % 10 + 1 AS INTEGER) AS batch,
+  value AS batch_loss, k AS correct, 100 AS n FROM ev)"""
+HIST_SQL = BLOG_SQL + """,
+hist AS (SELECT run, epoch, avg(batch_loss) AS loss, CAST(sum(correct) AS DOUBLE) / sum(n) AS accuracy,
+  arg_max(batch_loss, batch) AS val_loss, arg_max(correct, batch) / 100.0::DOUBLE AS val_accuracy FROM bl GROUP BY ALL)"""
+HIST_SELECT = ("SELECT run, CAST(epoch AS BIGINT) AS epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, "
+               "round(val_loss, 6) AS val_loss, round(val_accuracy, 6) AS val_accuracy")
+
+
+def batch_log(spark, sf):
+    return hi.batch_log_from_events(table(spark, sf, "events"))
+
+
+def history(spark, sf):
+    return hi.history_from_batch_log(batch_log(spark, sf))
+
+
+@register("batch_log", f"WITH {BLOG_SQL} SELECT run, CAST(epoch AS BIGINT) AS epoch, CAST(batch AS BIGINT) AS batch, "
+          "round(batch_loss, 6) AS batch_loss, CAST(correct AS BIGINT) AS correct, CAST(n AS BIGINT) AS n FROM bl")
+def _batch_log(spark, sf):
+    return canon(batch_log(spark, sf))
+
+
+@register("epoch_summary", f"""WITH {BLOG_SQL} SELECT run, CAST(epoch AS BIGINT) AS epoch, round(avg(batch_loss), 6) AS loss,
+round(CASE WHEN sum(n) > 0 THEN CAST(sum(correct) AS DOUBLE) / sum(n) ELSE 0.0 END, 6) AS accuracy FROM bl GROUP BY ALL""")
+def _epoch_summary(spark, sf):
+    return canon(hi.epoch_summary(batch_log(spark, sf)))
+
+
+@register("running_progress", f"""WITH {BLOG_SQL},
+r AS (SELECT run, epoch, batch, sum(batch_loss) OVER w / batch AS avg_loss,
+  CAST(sum(correct) OVER w AS DOUBLE) / greatest(sum(n) OVER w, 1) AS accuracy,
+  max(batch) OVER (PARTITION BY run, epoch) AS n_batches FROM bl
+  WINDOW w AS (PARTITION BY run, epoch ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT run, CAST(epoch AS BIGINT) AS epoch, CAST(batch AS BIGINT) AS batch, round(avg_loss, 6) AS avg_loss,
+  round(accuracy, 6) AS accuracy, CAST(n_batches AS BIGINT) AS n_batches FROM r WHERE batch % {EVERY} = 0 OR batch = n_batches""")
+def _running_progress(spark, sf):
+    return canon(hi.running_progress(batch_log(spark, sf), EVERY))
+
+
+@register("training_history", f"WITH {HIST_SQL} {HIST_SELECT} FROM hist")
+def _training_history(spark, sf):
+    return canon(history(spark, sf))
+
+
+def _fold_sql(variant: str) -> str:
+    if variant == "keras":
+        cur, d, me = "coalesce(h.val_accuracy, h.accuracy, 0.0::DOUBLE)", "0.001::DOUBLE", 2
+        best = f"CASE WHEN hit THEN f.best WHEN {cur} - f.best >= {d} THEN {cur} ELSE f.best END"
+        cnt = f"CASE WHEN hit THEN f.cnt WHEN {cur} - f.best >= {d} THEN 0 ELSE f.cnt + 1 END"
+    else:
+        cur, d, me = "coalesce(h.val_accuracy, 0.0::DOUBLE)", "0.0005::DOUBLE", 1
+        best = f"CASE WHEN hit THEN f.best WHEN {cur} - f.best >= {d} OR {cur} > f.best THEN {cur} ELSE f.best END"
+        cnt = (f"CASE WHEN hit THEN f.cnt WHEN {cur} - f.best >= {d} THEN 0 WHEN {cur} > f.best THEN f.cnt "
+               f"ELSE f.cnt + 1 END")
+    hit = f"({cur} >= {TARGET!r}::DOUBLE)"
+    best, cnt = best.replace("hit", hit), cnt.replace("hit", hit)
+    plateau = f"(({cnt}) >= 3 AND h.epoch >= {me})"
+    return f"""WITH RECURSIVE {HIST_SQL},
+f(run, epoch, best, cnt, stop, reason) AS (
+  SELECT DISTINCT run, -1, 0.0::DOUBLE, 0, NULL::INTEGER, NULL::VARCHAR FROM hist
+  UNION ALL
+  SELECT f.run, h.epoch, {best}, {cnt},
+    CASE WHEN {hit} OR {plateau} THEN h.epoch END,
+    CASE WHEN {hit} THEN 'target' WHEN {plateau} THEN 'plateau' END
+  FROM f JOIN hist h ON h.run = f.run AND h.epoch = f.epoch + 1 WHERE f.stop IS NULL),
+fin AS (SELECT run, arg_max(stop, epoch) AS stop, arg_max(reason, epoch) AS reason, arg_max(best, epoch) AS best FROM f GROUP BY run),
+le AS (SELECT run, max(epoch) AS last_epoch FROM hist GROUP BY run)
+SELECT fin.run, CAST(coalesce(stop, last_epoch) AS BIGINT) AS stop_epoch, coalesce(reason, 'completed') AS reason,
+  round(best, 6) AS best_accuracy, CAST(coalesce(stop, last_epoch) + 1 AS BIGINT) AS epochs_run FROM fin JOIN le USING (run)"""
+
+
+@register("plateau_keras_rule", _fold_sql("keras"))
+def _plateau_keras_rule(spark, sf):
+    return canon(hi.plateau_stop_keras(history(spark, sf), target=TARGET))
+
+
+@register("plateau_torch_rule", _fold_sql("torch"))
+def _plateau_torch_rule(spark, sf):
+    return canon(hi.plateau_stop_torch(history(spark, sf), target=TARGET))
+
+
+@register("early_stop_loss", f"""WITH {HIST_SQL},
+a AS (SELECT run, epoch, val_loss, min(val_loss) OVER (PARTITION BY run ORDER BY epoch
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM hist),
+b AS (SELECT *, epoch - max(CASE WHEN prev IS NULL OR val_loss < prev THEN epoch END) OVER (PARTITION BY run ORDER BY epoch
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wait FROM a),
+s AS (SELECT run, min(CASE WHEN wait >= 5 THEN epoch END) AS stop_epoch, max(epoch) AS last_epoch FROM b GROUP BY run),
+bb AS (SELECT b.run, arg_min(b.epoch, (b.val_loss, b.epoch)) AS best_epoch, min(b.val_loss) AS best_val_loss
+  FROM b JOIN s USING (run) WHERE b.epoch <= coalesce(s.stop_epoch, s.last_epoch) GROUP BY b.run)
+SELECT run, CAST(stop_epoch AS BIGINT) AS stop_epoch, CAST(best_epoch AS BIGINT) AS best_epoch,
+  round(best_val_loss, 6) AS best_val_loss FROM s JOIN bb USING (run)""")
+def _early_stop_loss(spark, sf):
+    return canon(hi.early_stop_loss(history(spark, sf)))
+
+
+@register("lr_schedule", f"""WITH RECURSIVE {HIST_SQL},
+f(run, epoch, best, wait, lr, lr_used) AS (
+  SELECT DISTINCT run, -1, 'inf'::DOUBLE, 0, 0.001::DOUBLE, NULL::DOUBLE FROM hist
+  UNION ALL
+  SELECT f.run, h.epoch,
+    CASE WHEN h.val_loss < f.best - 0.0001::DOUBLE THEN h.val_loss ELSE f.best END,
+    CASE WHEN h.val_loss < f.best - 0.0001::DOUBLE THEN 0 WHEN f.wait + 1 >= 3 AND f.lr > 1e-7::DOUBLE THEN 0 ELSE f.wait + 1 END,
+    CASE WHEN NOT (h.val_loss < f.best - 0.0001::DOUBLE) AND f.wait + 1 >= 3 AND f.lr > 1e-7::DOUBLE
+      THEN greatest(f.lr * 0.5::DOUBLE, 1e-7::DOUBLE) ELSE f.lr END,
+    f.lr
+  FROM f JOIN hist h ON h.run = f.run AND h.epoch = f.epoch + 1)
+SELECT run, CAST(epoch AS BIGINT) AS epoch, round(lr_used * 1000000.0::DOUBLE, 6) AS lr_micro FROM f WHERE epoch >= 0""")
+def _lr_schedule(spark, sf):
+    s = hi.lr_schedule(history(spark, sf))
+    return canon(s.select("run", "epoch", (F.col("lr") * 1e6).alias("lr_micro")))
+
+
+@register("best_epoch", f"""WITH {HIST_SQL}
+SELECT run, CAST(arg_min(epoch, (val_loss, epoch)) AS BIGINT) AS best_loss_epoch, round(min(val_loss), 6) AS best_val_loss,
+  CAST(arg_max(epoch, (val_accuracy, -epoch)) AS BIGINT) AS best_acc_epoch, round(max(val_accuracy), 6) AS best_val_accuracy
+FROM hist GROUP BY run""")
+def _best_epoch(spark, sf):
+    return canon(hi.best_epoch(history(spark, sf)))
+
+
+@register("history_union", f"""WITH {HIST_SQL}
+SELECT CASE WHEN run % 2 = 0 THEN 'keras' ELSE 'torch' END AS model, run, CAST(epoch AS BIGINT) AS epoch,
+  round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(val_loss, 6) AS val_loss,
+  round(val_accuracy, 6) AS val_accuracy FROM hist""")
+def _history_union(spark, sf):
+    h = history(spark, sf)
+    keras = h.where(F.col("run") % 2 == 0)
+    torch = h.where(F.col("run") % 2 == 1).select(
+        "run", "epoch", F.col("loss").alias("train_loss"), F.col("accuracy").alias("train_accuracy"),
+        "val_loss", "val_accuracy")
+    u = hi.union_histories({"keras": keras, "torch": torch})
+    return canon(u.select("model", "run", "epoch", "loss", "accuracy", "val_loss", "val_accuracy"))
+
+
+@register("history_json_roundtrip", f"WITH {HIST_SQL} {HIST_SELECT} FROM hist")
+def _history_json_roundtrip(spark, sf):
+    import uuid
+    from simpairs.sources import artifacts as art
+    from simpairs.sources.shared import shared_dir
+    path = f"{shared_dir(spark).rstrip('/')}/simpairs-history-{uuid.uuid4().hex}"
+    art.save_history_json(history(spark, sf), path)
+    back = art.load_history(spark, json_path=path)
+    return canon(back.select(*hi.HISTORY_COLS))
