@@ -775,3 +775,62 @@ def _history_json_roundtrip(spark, sf):
     art.save_history_json(history(spark, sf), path)
     back = art.load_history(spark, json_path=path)
     return canon(back.select(*hi.HISTORY_COLS))
+
+
+# ---------------------------------------------------------------- reports
+
+from simpairs.operators import report as rp  # noqa: E402
+
+MODELS = ["cosine", "jaccard"]
+
+
+def _sizes_sql(pairs: str, name: str, model: str) -> str:
+    return (split_sql(pairs, "pair_id", "label", name) + ",\n" +
+            f"""{name}_sz AS (SELECT '{model}' AS model, sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS training_samples,
+  sum(CASE WHEN split = 'val' THEN 1 ELSE 0 END) AS validation_samples,
+  sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS test_samples FROM {name})""")
+
+
+@register("model_comparison", f"""WITH {EVAL_SQL},
+{q.clauses_cte('lang', 'cl')},\n{q.vocab_ctes('cl', CFG.min_freq)},
+{_sizes_sql('lp', 'spj', 'jaccard')},\n{_sizes_sql('ep', 'spc', 'cosine')},
+sizes AS (SELECT * FROM spj_sz UNION ALL SELECT * FROM spc_sz),
+m AS ({EVAL_SELECT})
+SELECT m.*, CAST({CFG.epochs} AS BIGINT) AS epochs, CAST({CFG.batch_size} AS BIGINT) AS batch_size,
+  round({CFG.learning_rate!r}::DOUBLE, 6) AS learning_rate, CAST(training_samples AS BIGINT) AS training_samples,
+  CAST(validation_samples AS BIGINT) AS validation_samples, CAST(test_samples AS BIGINT) AS test_samples,
+  (SELECT count(*) FROM vocab) AS vocabulary_size FROM m LEFT JOIN sizes USING (model)""")
+def _model_comparison(spark, sf):
+    scored = scored_all(spark, sf)
+    sizes = (rp.split_counts(spl.stratified_split(doc_pairs(spark, sf), "pair_id", "label", CFG), "jaccard")
+             .unionByName(rp.split_counts(spl.stratified_split(emb_pairs(spark, sf), "pair_id", "label", CFG), "cosine")))
+    vsize = doc_vocab(spark, sf).select(F.count(F.lit(1))).scalar()
+    return canon(rp.model_comparison(me.evaluate(scored), sizes, CFG, vsize, with_timestamp=False))
+
+
+def _mm_rows(metric: str) -> str:
+    return f"SELECT '{metric}' AS metric, model, {metric} AS value FROM m"
+
+
+@register("metric_matrix", f"""WITH {EVAL_SQL}, m AS ({EVAL_SELECT}),
+l AS ({' UNION ALL '.join(_mm_rows(x) for x in rp.METRIC_COLS)})
+SELECT metric, {', '.join(f"round(coalesce(max(CASE WHEN model = '{x}' THEN value END), 0.0), 6) AS {x}" for x in MODELS)}
+FROM l GROUP BY metric""")
+def _metric_matrix(spark, sf):
+    return canon(rp.metric_matrix(me.evaluate(scored_all(spark, sf)), MODELS))
+
+
+def _f4_sql(x: str) -> str:
+    return f"printf('%.4f', floor({x} * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE)"
+
+
+@register("summary_table", f"""WITH {EVAL_SQL}, m AS (SELECT bmx.model, accuracy, precision, recall, f1_score, roc_auc FROM bmx JOIN roc USING (model)),
+o AS (SELECT model, label = predicted AS correct, row_number() OVER (PARTITION BY model, label = predicted ORDER BY pair_id) AS r FROM sc),
+x AS (SELECT model, CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) AS BIGINT) AS nc,
+  CAST(sum(CASE WHEN correct THEN 0 ELSE 1 END) AS BIGINT) AS ni FROM o WHERE r <= {CFG.num_examples} GROUP BY model)
+SELECT m.model AS "Model", {_f4_sql('accuracy')} AS "Accuracy", {_f4_sql('precision')} AS "Precision",
+  {_f4_sql('recall')} AS "Recall", {_f4_sql('f1_score')} AS "F1-Score", {_f4_sql('roc_auc')} AS "ROC-AUC",
+  coalesce(nc, 0) AS "Correct (Sample)", coalesce(ni, 0) AS "Incorrect (Sample)" FROM m LEFT JOIN x USING (model)""")
+def _summary_table(spark, sf):
+    s = scored_all(spark, sf)
+    return canon(rp.summary_table(me.evaluate(s), s, CFG.num_examples))
