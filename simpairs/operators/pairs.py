@@ -88,14 +88,26 @@ def category_pairs(clauses: DataFrame) -> DataFrame:
     return later.join(names, "r2").select("cat1", "cat2")
 
 
-def negative_count(pos: DataFrame, cfg: PairConfig = PairConfig()) -> tuple[int, Column | None]:
+def positive_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> Column:
+    """Number of positive pairs without generating them: per category min(cap, m(m-1)/2)
+    with m the pairing sample size, summed over the (small) category-size table; then the
+    global `num_positive` cap."""
+    sizes = clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    m = F.when(F.col("n") > cfg.sample_threshold, F.least(F.col("n"), F.lit(cfg.sample_size))).otherwise(F.col("n"))
+    per = F.least(F.lit(cfg.max_pairs_per_category).cast("long"), (m * (m - 1) / 2).cast("long"))
+    total = F.sum(per)
+    if cfg.num_positive:
+        total = F.least(total, F.lit(cfg.num_positive).cast("long"))
+    return sizes.select(total).scalar()
+
+
+def negative_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> tuple[int, Column | None]:
     """(upper bound, exact count Column or None). `num_negative` wins when given; else the
     number of positives; then capped at `max_negative`."""
     if cfg.num_negative is not None:
         n = min(int(cfg.num_negative), cfg.max_negative)
         return n, None
-    cnt = pos.select(F.least(F.count(F.lit(1)), F.lit(cfg.max_negative))).scalar()
-    return cfg.max_negative, cnt
+    return cfg.max_negative, F.least(positive_count(clauses, cfg), F.lit(cfg.max_negative))
 
 
 def row_numbered(clauses: DataFrame, seed: int) -> DataFrame:
@@ -155,7 +167,7 @@ def labelled_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), materiali
     keyed-hash order (the joint shuffle). By default the (small) pair table is
     checkpointed into the shared folder: it is reused by encoding, scoring and examples."""
     pos = cap_positives(positive_pairs(clauses, cfg), cfg)
-    neg = negative_pairs(clauses, cfg, negative_count(pos, cfg))
+    neg = negative_pairs(clauses, cfg, negative_count(clauses, cfg))
     p = pos.select("id1", "id2", F.lit(1).alias("label"), F.concat_ws(":", F.lit("1"), "id1", "id2").alias("__k"))
     n = neg.select("id1", "id2", F.lit(0).alias("label"), F.concat_ws(":", F.lit("0"), "draw_id").alias("__k"))
     allp = p.unionByName(n).withColumn("__h", keyed_hash(cfg.seed, "shuffle", "__k"))

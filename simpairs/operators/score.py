@@ -12,6 +12,17 @@ from simpairs.functions.scoring import clip01, sigmoid, threshold
 SCORED_COLS = ["model", "pair_id", "label", "probability", "predicted"]
 
 
+def _ship_by_value() -> None:
+    """Serialise this package's functions (and a user scorer defined in it) by value into
+    the Python tasks, so executors need no installed copy of the package."""
+    try:
+        import simpairs
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(simpairs)
+    except (ImportError, ValueError):
+        pass
+
+
 def to_scored(df: DataFrame, model: str, t: float = 0.5, prob_col: str = "probability",
               input_kind: str = "probability") -> DataFrame:
     """(pair_id, label, score) -> scored(model, pair_id, label, probability, predicted).
@@ -31,6 +42,7 @@ def batch_score(pair_seq: DataFrame, scorer: Callable, model: str, cfg: PairConf
     runs on Arrow batches inside the executors (model loading belongs inside `scorer`).
     Result goes through the same clip/threshold as every other model."""
     import numpy as np
+    _ship_by_value()
 
     def run(batches):
         import pandas as pd

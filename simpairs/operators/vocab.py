@@ -17,30 +17,50 @@ def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
     return t if max_pos is None else t.where(F.col("pos") < max_pos)
 
 
-def word_counts(clauses: DataFrame) -> DataFrame:
-    """(word, cnt, first_category, first_clause_id, first_pos); first = earliest by
-    (category name, clause_id, position). Partial + final hash aggregation."""
-    agg = tokens(clauses).groupBy("word").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min(F.struct("category", "clause_id", "pos")).alias("first"),
-    )
-    return agg.select("word", "cnt", F.col("first.category").alias("first_category"),
-                      F.col("first.clause_id").alias("first_clause_id"), F.col("first.pos").alias("first_pos"))
+# first-appearance key: clause order (dense rank of (category, clause_id)) * 2^POS_BITS + pos
+POS_BITS = 23
 
 
-def _first_pos_bucket(words: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Attach a bucket monotone in (first_category, first_clause_id): the category, then an
-    id-range slice whose count is proportional to the category's size."""
+def clause_order(clauses: DataFrame) -> DataFrame:
+    """(category, clause_id, cord): 0-based dense rank of clauses in (category name,
+    clause_id) order - the corpus iteration order - computed bucket-wise: the category,
+    then an id-range slice whose count is proportional to the category's size."""
     cats = clauses.groupBy("category").agg(
         F.min("clause_id").alias("cmin"), F.max("clause_id").alias("cmax"), F.count(F.lit(1)).alias("n"))
     cats = cats.select(
-        F.col("category").alias("first_category"), "cmin", "cmax",
+        "category", "cmin", "cmax",
         (F.lit(1) + F.floor(F.lit(FIRST_POS_BUCKETS) * F.col("n") / F.sum("n").over(Window.partitionBy())))
         .cast("long").alias("slices"))
-    w = words.join(cats, "first_category")
-    sub = F.floor((F.col("first_clause_id") - F.col("cmin")) * F.col("slices")
-                  / (F.col("cmax") - F.col("cmin") + 1)).cast("long")
-    return w.withColumn("__fb", F.struct("first_category", sub.alias("s"))).drop("cmin", "cmax", "slices")
+    c = clauses.select("category", "clause_id").join(cats, "category")
+    sub = F.floor((F.col("clause_id") - F.col("cmin")) * F.col("slices") / (F.col("cmax") - F.col("cmin") + 1))
+    c = c.select("category", "clause_id", F.struct("category", sub.cast("long").alias("s")).alias("__slice"))
+    n = number_rows(c, [F.col("category"), F.col("clause_id")], F.col("__slice"), (), "rn")
+    return n.select("category", "clause_id", (F.col("rn") - 1).alias("cord"))
+
+
+def _first_key(cord, pos):
+    guard = F.when(pos >= F.lit(1 << POS_BITS), F.raise_error(F.lit("token position beyond 2^23 in one clause")))
+    return F.coalesce(guard.cast("long"), F.shiftleft(cord.cast("long"), POS_BITS) + pos)
+
+
+def _word_stats(clauses: DataFrame):
+    """(word, cnt, fkey) with a BIGINT first-appearance key, so both aggregates stay in the
+    hash aggregate (a struct minimum would force a sort-based aggregate)."""
+    order = clause_order(clauses)
+    t = tokens(clauses).join(order.select("clause_id", "category", "cord"), ["category", "clause_id"])
+    stats = t.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"),
+                                  F.min(_first_key(F.col("cord"), F.col("pos"))).alias("fkey"))
+    return stats, order
+
+
+def word_counts(clauses: DataFrame) -> DataFrame:
+    """(word, cnt, first_category, first_clause_id, first_pos); first = earliest by
+    (category name, clause_id, position)."""
+    stats, order = _word_stats(clauses)
+    s = stats.select("word", "cnt", F.shiftright("fkey", POS_BITS).alias("cord"),
+                     (F.col("fkey").bitwiseAND(F.lit((1 << POS_BITS) - 1))).alias("first_pos"))
+    o = order.select("cord", F.col("category").alias("first_category"), F.col("clause_id").alias("first_clause_id"))
+    return s.join(o, "cord").select("word", "cnt", "first_category", "first_clause_id", "first_pos")
 
 
 def reserved_vocab(spark: SparkSession) -> DataFrame:
@@ -50,10 +70,12 @@ def reserved_vocab(spark: SparkSession) -> DataFrame:
 def build_vocabulary(clauses: DataFrame, min_freq: int = 2) -> DataFrame:
     """vocab(word, idx): reserved ids 0..3, then words with cnt >= min_freq numbered
     4, 5, ... in order of first appearance."""
-    kept = word_counts(clauses).where(F.col("cnt") >= min_freq)
-    kept = _first_pos_bucket(kept, clauses)
-    numbered = number_rows(kept, [F.col("first_category"), F.col("first_clause_id"), F.col("first_pos")],
-                           F.col("__fb"), name="rn")
+    stats, order = _word_stats(clauses)
+    kept = stats.where(F.col("cnt") >= min_freq)
+    n_clauses = order.select(F.count(F.lit(1))).scalar()
+    width = F.greatest(F.lit(1), F.ceil(n_clauses / F.lit(FIRST_POS_BUCKETS)))
+    bucket = F.floor(F.shiftright("fkey", POS_BITS) / width).cast("long")
+    numbered = number_rows(kept, [F.col("fkey")], bucket, (), "rn")
     words = numbered.select("word", (F.col("rn") + len(RESERVED_TOKENS) - 1).cast("int").alias("idx"))
     return reserved_vocab(clauses.sparkSession).unionByName(words)
 

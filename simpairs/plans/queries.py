@@ -7,6 +7,8 @@ rendered as space-separated strings.
 """
 from __future__ import annotations
 
+import contextvars
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +27,7 @@ from simpairs.operators import sampling as smp
 from simpairs.operators import split as spl
 from simpairs.operators import vocab as voc
 from simpairs.plans import sqlfrag as q
-from simpairs.sources.shared import checkpointed
+from simpairs.sources.shared import checkpointed, written_table
 from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,9 +39,29 @@ SMALL_CATS = "lang || '-' || source"   # 80 categories of 2..38 clauses at sf0.0
 CLAMP_VOCAB = 1000                      # vocabulary size of a smaller, older model
 
 
+# intermediate tables shared by the branches of ONE query call (never across queries)
+_MEMO: contextvars.ContextVar[dict | None] = contextvars.ContextVar("simpairs_memo", default=None)
+
+
+def memo(key, build: Callable[[], DataFrame]) -> DataFrame:
+    m = _MEMO.get()
+    if m is None:
+        return build()
+    if key not in m:
+        m[key] = build()
+    return m[key]
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf):
+            token = _MEMO.set({})
+            try:
+                return fn(spark, sf)
+            finally:
+                _MEMO.reset(token)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = q.rewrite_round6(sql)
         return fn
@@ -73,11 +95,15 @@ def canon(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- shared inputs
 
 def doc_clauses(spark, sf, category=SMALL_CATS) -> DataFrame:
-    return document_clauses(spark, sf, category, CFG.null_policy)
+    """The cleaned clause table, written once per query (every branch reads it pruned)."""
+    return memo(("clauses", sf, category),
+                lambda: written_table(document_clauses(spark, sf, category, CFG.null_policy), "clauses"))
 
 
 def doc_vocab(spark, sf) -> DataFrame:
-    return voc.build_vocabulary(doc_clauses(spark, sf, "lang"), CFG.min_freq)
+    """The saved vocabulary (as the reference saves it); read back with real statistics."""
+    return memo(("vocab", sf), lambda: written_table(
+        voc.build_vocabulary(doc_clauses(spark, sf, "lang"), CFG.min_freq), "vocab"))
 
 
 def conv_texts(spark, sf) -> DataFrame:
@@ -87,11 +113,12 @@ def conv_texts(spark, sf) -> DataFrame:
 
 
 def doc_pairs(spark, sf) -> DataFrame:
-    return pr.labelled_pairs(doc_clauses(spark, sf), CFG)
+    return memo(("pairs", sf), lambda: pr.labelled_pairs(doc_clauses(spark, sf), CFG))
 
 
 def emb_pairs(spark, sf) -> DataFrame:
-    return pr.labelled_pairs(embedding_items(spark, sf).select("category", "clause_id"), CFG)
+    return memo(("emb_pairs", sf), lambda: pr.labelled_pairs(
+        embedding_items(spark, sf).select("category", "clause_id"), CFG))
 
 
 # SQL counterparts of the shared inputs
@@ -306,8 +333,7 @@ def _category_pairs(spark, sf):
 SELECT draw_id, cat1, cat2, id1, id2 FROM neg""")
 def _negative_pairs(spark, sf):
     c = doc_clauses(spark, sf)
-    pos = pr.positive_pairs(c, CFG)
-    return canon(pr.negative_pairs(c, CFG, pr.negative_count(pos, CFG)))
+    return canon(pr.negative_pairs(c, CFG, pr.negative_count(c, CFG)))
 
 
 @register("labelled_pairs", f"WITH {C_SMALL},\n{labelled_sql('c', 'lp')} SELECT pair_id, id1, id2, label FROM lp")
@@ -834,3 +860,42 @@ SELECT m.model AS "Model", {_f4_sql('accuracy')} AS "Accuracy", {_f4_sql('precis
 def _summary_table(spark, sf):
     s = scored_all(spark, sf)
     return canon(rp.summary_table(me.evaluate(s), s, CFG.num_examples))
+FLAGSHIP = "evaluate_models"
+
+
+# ---------------------------------------------------------------- learned models and the scorer surface
+# (no plain-SQL oracle: training is iterative; the driver checks rows only)
+
+def overlap_scorer(seq1, seq2):
+    """Example user scorer for the batch-scoring surface: share of distinct non-PAD ids
+    common to both padded sequences (numpy, one Arrow batch at a time)."""
+    import numpy as np
+    out = np.zeros(len(seq1), dtype="float64")
+    for i in range(len(seq1)):
+        a, b = np.unique(seq1[i][seq1[i] != 0]), np.unique(seq2[i][seq2[i] != 0])
+        u = np.union1d(a, b).size
+        out[i] = np.intersect1d(a, b, assume_unique=True).size / u if u else 0.0
+    return out
+
+
+@register("word_vectors")
+def _word_vectors(spark, sf):
+    return canon(fe.word_vectors(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf), CFG))
+
+
+@register("train_classifier")
+def _train_classifier(spark, sf):
+    from simpairs.functions.arrays import pair_features
+    items = emb_items(spark, sf)
+    feats = fe.attach_vectors(emb_pairs(spark, sf), items).select(
+        "pair_id", "label", pair_features("e1", "e2").alias("features"))
+    s = written_table(spl.stratified_split(feats, "pair_id", "label", CFG), "features")
+    model, _ = sc.train_classifier(s.where("split = 'train'"), s.where("split = 'val'"), 256, CFG,
+                                   epochs=3, iters_per_epoch=10)
+    return canon(sc.classifier_scores(model, s.where("split = 'test'"), "mlp", CFG))
+
+
+@register("batch_score")
+def _batch_score(spark, sf):
+    seqs = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), L)
+    return canon(sc.batch_score(seqs, overlap_scorer, "overlap", CFG))

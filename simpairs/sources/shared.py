@@ -23,3 +23,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     recomputation of the upstream stages after an executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as a Parquet table under the shared folder and read it back: a columnar,
+    prunable lineage cut whose size statistics the planner can use (e.g. for broadcast)."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/simpairs-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

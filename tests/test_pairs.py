@@ -26,7 +26,7 @@ def test_positive_counts_per_category_size(spark):
 def test_negatives_cross_categories_and_count(spark):
     c = _clauses(spark)
     cfg = PairConfig(num_negative=3000)
-    neg = pr.negative_pairs(c, cfg, pr.negative_count(None, cfg))
+    neg = pr.negative_pairs(c, cfg, pr.negative_count(c, cfg))
     assert neg.count() == 3000
     assert neg.where("cat1 >= cat2").count() == 0
     cat = c.select(F.col("clause_id").alias("id1"), F.col("category").alias("k1"))
@@ -38,3 +38,8 @@ def test_labelled_pairs_ids_dense(spark):
     n = lp.count()
     assert lp.agg(F.min("pair_id"), F.max("pair_id"), F.countDistinct("pair_id")).first() == (0, n - 1, n)
     assert {r.label: r.n for r in pr.pair_label_counts(lp).collect()} == {1: 2497, 0: 2497}
+
+
+def test_positive_count_closed_form(spark):
+    c = _clauses(spark)
+    assert c.select(pr.positive_count(c)).first()[0] == sum(EXPECTED.values())
