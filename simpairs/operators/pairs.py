@@ -173,7 +173,12 @@ def labelled_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), materiali
     allp = p.unionByName(n).withColumn("__h", keyed_hash(cfg.seed, "shuffle", "__k"))
     numbered = number_rows(allp, [F.col("__h"), F.col("__k")], hash_bucket_of(F.col("__h")), (), "rn")
     out = numbered.select((F.col("rn") - 1).alias("pair_id"), "id1", "id2", F.col("label").cast("int").alias("label"))
-    return checkpointed(out) if materialize else out
+    if not materialize:
+        return out
+    # few bytes per pair but heavy per-pair work downstream (encoding, scoring): keep the
+    # session's shuffle parallelism instead of the byte-coalesced partition count
+    parts = int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpointed(out.repartition(parts, "pair_id"))
 
 
 def attach_texts(pairs: DataFrame, clauses: DataFrame) -> DataFrame:
