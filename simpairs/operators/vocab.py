@@ -72,7 +72,7 @@ def build_vocabulary(clauses: DataFrame, min_freq: int = 2) -> DataFrame:
     4, 5, ... in order of first appearance."""
     stats, order = _word_stats(clauses)
     kept = stats.where(F.col("cnt") >= min_freq)
-    n_clauses = order.select(F.count(F.lit(1))).scalar()
+    n_clauses = clauses.select(F.count(F.lit(1))).scalar()
     width = F.greatest(F.lit(1), F.ceil(n_clauses / F.lit(FIRST_POS_BUCKETS)))
     bucket = F.floor(F.shiftright("fkey", POS_BITS) / width).cast("long")
     numbered = number_rows(kept, [F.col("fkey")], bucket, (), "rn")
