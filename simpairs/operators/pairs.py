@@ -28,23 +28,21 @@ def sample_for_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> Data
     0-based position `spos` in pairing order and the category's sample size `m`.
 
     Categories with more than `sample_threshold` clauses: `sample_size` clauses in hash
-    order. Smaller ones: all clauses in file (id) order. Both windows are filtered by
-    rank, which Spark runs as a WindowGroupLimit before the shuffle, so a hot category
+    order. Smaller ones: all clauses in file (id) order. One window serves both: its order
+    key switches on the category size, and its constant rank limit (every small category
+    fits under it) lets Spark run a WindowGroupLimit before the shuffle, so a hot category
     never sends more than `sample_size` rows per map task.
     """
+    if cfg.sample_threshold > cfg.sample_size:
+        raise ValueError("sample_threshold must not exceed sample_size")
     sizes = clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-    base = clauses.select("category", "clause_id")
-    h = keyed_hash(cfg.seed, "sample", "clause_id")
-    by_hash = (base.withColumn("__h", h)
-               .withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy("__h", "clause_id")))
-               .where(F.col("r") <= cfg.sample_size).drop("__h"))
-    by_pos = (base.withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy("clause_id")))
-              .where(F.col("r") <= cfg.sample_threshold))
-    large = by_hash.join(sizes, "category").where(F.col("n") > cfg.sample_threshold)
-    small = by_pos.join(sizes, "category").where(F.col("n") <= cfg.sample_threshold)
-    out = large.unionByName(small)
-    return out.select("category", "clause_id", (F.col("r") - 1).alias("spos"),
-                      F.least(F.col("n"), F.lit(cfg.sample_size)).alias("m"))
+    base = clauses.select("category", "clause_id").join(sizes, "category")
+    large = F.col("n") > cfg.sample_threshold
+    order = F.when(large, keyed_hash(cfg.seed, "sample", "clause_id")).otherwise(F.col("clause_id"))
+    ranked = (base.withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy(order, "clause_id")))
+              .where(F.col("r") <= cfg.sample_size))
+    return ranked.select("category", "clause_id", (F.col("r") - 1).alias("spos"),
+                         F.when(large, F.least(F.col("n"), F.lit(cfg.sample_size))).otherwise(F.col("n")).alias("m"))
 
 
 def _partner_positions(i: Column, m: Column, cap: int) -> Column:
