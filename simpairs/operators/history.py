@@ -14,21 +14,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simpairs.operators.numbering import number_rows
+from simpairs.operators.numbering import number_rows, running_totals
 
 HISTORY_COLS = ["run", "epoch", "loss", "accuracy", "val_loss", "val_accuracy"]
 
 
-def batch_log_from_events(events: DataFrame, batches_per_epoch: int = 10) -> DataFrame:
+def batch_log_from_events(events: DataFrame, epochs: int = 10) -> DataFrame:
     """Fixture mapping of an event stream onto a training log: run = user_id, steps in ts
-    order, `batches_per_epoch` steps per epoch, loss = value, correct = props.k of n = 100.
-    The per-run step numbering is bucketed by hour, so a very active user is not one task."""
+    order, each run's steps cut into `epochs` equal epochs (a run trains for a configured
+    number of epochs, however much data it has), loss = value, correct = props.k of n = 100.
+    Step numbers are bucketed by hour, so a very active user is not one task; epoch and
+    batch numbers are plain integer arithmetic on (step, run length)."""
     e = events.select(F.col("user_id").alias("run"), "ts", "event_id", F.col("value").alias("batch_loss"),
                       F.get_json_object("props", "$.k").cast("int").alias("correct"))
     hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)).cast("long")
     n = number_rows(e, [F.col("ts"), F.col("event_id")], hour, ["run"], "step")
-    return n.select("run", ((F.col("step") - 1) / batches_per_epoch).cast("long").cast("int").alias("epoch"),
-                    ((F.col("step") - 1) % batches_per_epoch + 1).cast("int").alias("batch"),
+    lengths = e.groupBy("run").agg(F.count(F.lit(1)).alias("__len"))
+    j = n.join(lengths, "run").withColumn("__s", F.col("step") - 1)
+    epoch = F.expr(f"(__s * {epochs}) div __len")
+    first = F.expr(f"(__e * __len + {epochs - 1}) div {epochs}")
+    j = j.withColumn("__e", epoch)
+    return j.select("run", F.col("__e").cast("int").alias("epoch"), (F.col("__s") - first + 1).cast("int").alias("batch"),
                     "batch_loss", "correct", F.lit(100).cast("long").alias("n"))
 
 
@@ -41,15 +47,14 @@ def epoch_summary(batch_log: DataFrame) -> DataFrame:
 
 def running_progress(batch_log: DataFrame, every: int = 200) -> DataFrame:
     """Running mean loss and accuracy inside each epoch, reported every `every` batches and
-    at the last batch."""
-    w = Window.partitionBy("run", "epoch").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    wa = Window.partitionBy("run", "epoch")
-    r = batch_log.select(
-        "run", "epoch", "batch",
-        (F.sum("batch_loss").over(w) / F.col("batch")).alias("avg_loss"),
-        (F.sum("correct").over(w) / F.greatest(F.sum("n").over(w), F.lit(1))).alias("accuracy"),
-        F.max("batch").over(wa).alias("n_batches"))
-    return r.where((F.col("batch") % every == 0) | (F.col("batch") == F.col("n_batches")))
+    at the last batch. Running sums are bucketed by batch range, so one huge epoch is
+    spread over many tasks."""
+    r = running_totals(batch_log, {"__sl": F.col("batch_loss"), "__sc": F.col("correct"), "__sn": F.col("n")},
+                       [F.col("batch")], F.floor(F.col("batch") / F.lit(4096)).cast("long"), ["run", "epoch"])
+    last = batch_log.groupBy("run", "epoch").agg(F.max("batch").alias("n_batches"))
+    r = r.join(last, ["run", "epoch"]).where((F.col("batch") % every == 0) | (F.col("batch") == F.col("n_batches")))
+    return r.select("run", "epoch", "batch", (F.col("__sl") / F.col("batch")).alias("avg_loss"),
+                    (F.col("__sc") / F.greatest(F.col("__sn"), F.lit(1))).alias("accuracy"), "n_batches")
 
 
 def history_from_batch_log(batch_log: DataFrame) -> DataFrame:

@@ -653,12 +653,13 @@ def _report_examples(spark, sf):
 from simpairs.operators import history as hi  # noqa: E402
 
 TARGET = 0.95          # stop target used on the synthetic log (k/100 reaches it now and then)
-EVERY = 4              # progress report interval for 10-batch epochs
+EVERY = 2              # progress report interval for the 5..9-batch epochs of the fixture
 
-BLOG_SQL = """ev AS (SELECT user_id AS run, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, value,
-  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
-bl AS (SELECT run, CAST((step - 1) // 10 AS INTEGER) AS epoch, CAST((step - 1) % 10 + 1 AS INTEGER) AS batch,
-  value AS batch_loss, k AS correct, 100 AS n FROM ev)"""
+BLOG_SQL = """ev AS (SELECT user_id AS run, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS s,
+  count(*) OVER (PARTITION BY user_id) AS len, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+ev2 AS (SELECT *, (s * 10) // len AS e FROM ev),
+bl AS (SELECT run, CAST(e AS INTEGER) AS epoch, CAST(s - (e * len + 9) // 10 + 1 AS INTEGER) AS batch,
+  value AS batch_loss, k AS correct, 100 AS n FROM ev2)"""
 HIST_SQL = BLOG_SQL + """,
 hist AS (SELECT run, epoch, avg(batch_loss) AS loss, CAST(sum(correct) AS DOUBLE) / sum(n) AS accuracy,
   arg_max(batch_loss, batch) AS val_loss, arg_max(correct, batch) / 100.0::DOUBLE AS val_accuracy FROM bl GROUP BY ALL)"""
