@@ -336,12 +336,12 @@ def _negative_pairs(spark, sf):
     return canon(pr.negative_pairs(c, CFG, pr.negative_count(c, CFG)))
 
 
-@register("labelled_pairs", f"WITH {C_SMALL},\n{labelled_sql('c', 'lp')} SELECT pair_id, id1, id2, label FROM lp")
+@register("labelled_pairs", f"WITH {C_SMALL},\n{labelled_sql('c', 'lp')} SELECT pair_id, id1, id2, CAST(label AS BIGINT) AS label FROM lp")
 def _labelled_pairs(spark, sf):
     return canon(doc_pairs(spark, sf))
 
 
-@register("pair_label_counts", f"WITH {C_SMALL},\n{labelled_sql('c', 'lp')} SELECT label, count(*) AS n FROM lp GROUP BY label")
+@register("pair_label_counts", f"WITH {C_SMALL},\n{labelled_sql('c', 'lp')} SELECT CAST(label AS BIGINT) AS label, count(*) AS n FROM lp GROUP BY label")
 def _pair_label_counts(spark, sf):
     return canon(pr.pair_label_counts(doc_pairs(spark, sf)))
 
@@ -376,7 +376,7 @@ def _split_sizes(spark, sf):
 
 
 @register("split_pairs", f"""WITH {C_SMALL},\n{labelled_sql('c', 'lp')},\n{split_sql('lp', 'pair_id', 'label', 'sp')}
-SELECT pair_id, label, split FROM sp""")
+SELECT pair_id, CAST(label AS BIGINT) AS label, split FROM sp""")
 def _split_pairs(spark, sf):
     return canon(spl.stratified_split(doc_pairs(spark, sf), "pair_id", "label", CFG).select("pair_id", "label", "split"))
 
