@@ -41,3 +41,16 @@ def correct_rows(examples: DataFrame) -> DataFrame:
 
 def incorrect_rows(examples: DataFrame) -> DataFrame:
     return examples.where(~F.col("correct"))
+
+
+def all_outcomes(scored: DataFrame, pairs_text: DataFrame, max_rows: int | None = 5_000,
+                 seed: int = 42) -> DataFrame:
+    """Every evaluated row with texts, labels and outcome (for writing complete correct /
+    incorrect files); at most `max_rows` rows per model, drawn by keyed hash (None = all)."""
+    from simpairs.operators.sampling import hash_sample
+    s = scored if max_rows is None else hash_sample(scored, "pair_id", max_rows, seed, "all_outcomes", ["model"])
+    j = s.join(pairs_text.select("pair_id", "clause1", "clause2"), "pair_id")
+    return j.select("model", "pair_id", "clause1", "clause2", decode_label("label").alias("true_label"),
+                    decode_label("predicted").alias("predicted_label"),
+                    F.col("probability").cast("double").alias("probability"),
+                    (F.col("label") == F.col("predicted")).alias("correct"))

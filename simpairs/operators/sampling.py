@@ -34,3 +34,22 @@ def fraction_sample(df: DataFrame, key: str, fraction: float, seed: int, tag: st
 def reshuffle_order(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
     """Per-epoch training order (only when a consumer needs an order)."""
     return df.orderBy(keyed_hash(seed, f"epoch{epoch}", key), key)
+
+
+def batch_numbers(df: DataFrame, order_key: str, batch_size: int, seed: int | None = None,
+                  buckets: int = 65_536) -> DataFrame:
+    """Add `batch` = floor((row_no - 1) / batch_size) (0-based) and `n_batches` =
+    ceil(n / batch_size). Rows are numbered by the numeric `order_key` (sequential loading)
+    or, with `seed`, in keyed-hash order (shuffled loading)."""
+    if seed is not None:
+        n = hash_rank(df, order_key, seed, "batch", (), "__rn")
+    else:
+        from simpairs.operators.numbering import number_rows
+        lo = df.select(F.min(order_key)).scalar()
+        hi = df.select(F.max(order_key)).scalar()
+        width = F.greatest(F.lit(1.0), (hi - lo + 1) / F.lit(float(buckets)))
+        bucket = F.floor((F.col(order_key) - lo) / width).cast("long")
+        n = number_rows(df, [F.col(order_key)], bucket, (), "__rn")
+    total = df.select(F.count(F.lit(1))).scalar()
+    return n.select(*df.columns, F.floor((F.col("__rn") - 1) / batch_size).cast("long").alias("batch"),
+                    F.ceil(total / F.lit(batch_size)).cast("long").alias("n_batches"))

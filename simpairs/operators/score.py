@@ -101,3 +101,13 @@ def classifier_scores(model, pairs: DataFrame, name: str, cfg: PairConfig = Pair
     d = pairs.select("pair_id", "label", array_to_vector(F.col(features_col).cast("array<double>")).alias("features"))
     p = model.transform(d).select("pair_id", "label", vector_to_array("probability")[1].alias("p"))
     return to_scored(p, name, cfg.threshold, "p")
+
+
+def check_vocab_compatible(model_vocab_size: int, vocab: DataFrame) -> int:
+    """Refuse a saved model whose vocabulary size differs from the current vocabulary's
+    (ids would point at other words). Returns the current size."""
+    current = vocab.count()
+    if int(model_vocab_size) != current:
+        raise ValueError(f"model vocabulary size {model_vocab_size} != current vocabulary size {current}; "
+                         "rebuild the vocabulary the model was trained with")
+    return current
