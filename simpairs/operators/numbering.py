@@ -4,10 +4,10 @@ A plain `row_number() OVER (ORDER BY k)` (or `PARTITION BY` a hot key) moves eve
 the partition into one task. Here the order is cut into buckets by a caller-supplied
 expression that is monotone in the order key:
 
-  1. count / sum per (partition, bucket)             -> small table, partial aggregation
-  2. exclusive running total over the bucket table    -> offsets (window over small table)
-  3. join offsets back on (partition, bucket)         -> same shuffle the step-4 window needs
-  4. window inside (partition, bucket) + offset       -> many parallel tasks
+  1. window inside (partition, bucket)                -> one shuffle, many parallel tasks
+  2. per-bucket size / sum from that windowed result  -> small table (shares the shuffle)
+  3. exclusive running total over the bucket table    -> offsets (window over small table)
+  4. join the offsets back on (partition, bucket)      -> small side; AQE broadcasts it
 
 The result equals the global window exactly, for any partitioning, as long as the order key
 is unique within the partition. Suitable buckets: `hash_bucket_of(h)` for hash order,
@@ -26,7 +26,9 @@ _B, _OFF = "__bucket", "__off_"
 def _join_offsets(df: DataFrame, offs: DataFrame, pcols: Sequence[str]) -> DataFrame:
     ren = {c: f"__p_{i}" for i, c in enumerate(pcols)}
     o = offs.select(*[F.col(c).alias(ren[c]) for c in pcols], *[c for c in offs.columns if c not in pcols])
-    cond = [F.col(_B) == F.col(f"{_B}_o")] + [df[c].eqNullSafe(F.col(ren[c])) for c in pcols]
+    # null-safe everywhere: no inferred IS NOT NULL filter, so both uses of the input keep
+    # an identical exchange and Spark reuses it (the input is computed once)
+    cond = [F.col(_B).eqNullSafe(F.col(f"{_B}_o"))] + [df[c].eqNullSafe(F.col(ren[c])) for c in pcols]
     o = o.withColumnRenamed(_B, f"{_B}_o")
     return df.join(o, cond).drop(*ren.values(), f"{_B}_o")
 
@@ -40,23 +42,32 @@ def running_totals(
     inclusive: bool = True,
 ) -> DataFrame:
     """Add one running-total column per entry of `values`, ordered by `order_cols` within
-    `partition_cols`. `bucket` must be non-decreasing along `order_cols`."""
+    `partition_cols`. `bucket` must be non-decreasing along `order_cols`.
+
+    The input is shuffled once, by (partition, bucket); the in-bucket running totals and the
+    per-bucket sums both come from that one exchange, and only the small offset table is
+    joined back."""
     pcols = list(partition_cols)
     names = list(values)
     b = df.withColumn(_B, bucket)
     for n in names:
         b = b.withColumn(f"__v_{n}", values[n])
-    per_bucket = b.groupBy(*pcols, _B).agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in names])
-    wb = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_bucket.select(
-        *pcols, _B, *[F.coalesce(F.sum(f"__s_{n}").over(wb), F.lit(0)).alias(f"{_OFF}{n}") for n in names]
-    )
-    j = _join_offsets(b, offs, pcols)
     frame_end = Window.currentRow if inclusive else -1
     wr = Window.partitionBy(*pcols, _B).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+    wa = Window.partitionBy(*pcols, _B)
+    w = b
+    for n in names:
+        w = w.withColumn(f"__in_{n}", F.coalesce(F.sum(f"__v_{n}").over(wr), F.lit(0)))
+        w = w.withColumn(f"__s_{n}", F.sum(f"__v_{n}").over(wa))
+    per_bucket = w.groupBy(*pcols, _B).agg(*[F.first(f"__s_{n}").alias(f"__s_{n}") for n in names])
+    wb = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_bucket.select(
+        *pcols, _B, *[F.coalesce(F.sum(f"__s_{n}").over(wb), F.lit(0)).alias(f"{_OFF}{n}") for n in names])
+    j = _join_offsets(w, offs, pcols)
     for n in names:
-        j = j.withColumn(n, F.col(f"{_OFF}{n}") + F.coalesce(F.sum(f"__v_{n}").over(wr), F.lit(0)))
-    return j.drop(_B, *[f"__v_{n}" for n in names], *[f"{_OFF}{n}" for n in names])
+        j = j.withColumn(n, F.col(f"{_OFF}{n}") + F.col(f"__in_{n}"))
+    drop = [_B] + [f"__{k}_{n}" for n in names for k in ("v", "in", "s")] + [f"{_OFF}{n}" for n in names]
+    return j.drop(*drop)
 
 
 def number_rows(
@@ -66,12 +77,15 @@ def number_rows(
     partition_cols: Sequence[str] = (),
     name: str = "rn",
 ) -> DataFrame:
-    """1-based `row_number()` over `order_cols` within `partition_cols`, computed bucket-wise."""
+    """1-based `row_number()` over `order_cols` within `partition_cols`, computed bucket-wise:
+    one shuffle of the input by (partition, bucket); bucket sizes come from the same
+    windowed result, and only the small offset table is joined back."""
     pcols = list(partition_cols)
     b = df.withColumn(_B, bucket)
-    counts = b.groupBy(*pcols, _B).agg(F.count(F.lit(1)).alias("__n"))
+    wr = Window.partitionBy(*pcols, _B).orderBy(*order_cols)
+    w = b.withColumn("__rib", F.row_number().over(wr))
+    counts = w.groupBy(*pcols, _B).agg(F.max("__rib").alias("__n"))
     wb = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*pcols, _B, F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias(_OFF))
-    j = _join_offsets(b, offs, pcols)
-    wr = Window.partitionBy(*pcols, _B).orderBy(*order_cols)
-    return j.withColumn(name, F.col(_OFF) + F.row_number().over(wr)).drop(_B, _OFF)
+    j = _join_offsets(w, offs, pcols)
+    return j.withColumn(name, F.col(_OFF) + F.col("__rib")).drop(_B, _OFF, "__rib")
