@@ -780,13 +780,14 @@ def _best_epoch(spark, sf):
 
 
 @register("history_union", f"""WITH {HIST_SQL}
-SELECT CASE WHEN run % 2 = 0 THEN 'keras' ELSE 'torch' END AS model, run, CAST(epoch AS BIGINT) AS epoch,
-  round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(val_loss, 6) AS val_loss,
-  round(val_accuracy, 6) AS val_accuracy FROM hist""")
+SELECT m.model, run, CAST(epoch AS BIGINT) AS epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy,
+  round(val_loss, 6) AS val_loss, round(val_accuracy, 6) AS val_accuracy
+FROM hist, (VALUES ('keras'), ('torch')) m(model)""")
 def _history_union(spark, sf):
     h = history(spark, sf)
-    keras = h.where(F.col("run") % 2 == 0)
-    torch = h.where(F.col("run") % 2 == 1).select(
+    # the same log saved in both history layouts (loss/accuracy and train_loss/train_accuracy)
+    keras = h
+    torch = h.select(
         "run", "epoch", F.col("loss").alias("train_loss"), F.col("accuracy").alias("train_accuracy"),
         "val_loss", "val_accuracy")
     u = hi.union_histories({"keras": keras, "torch": torch})
