@@ -20,7 +20,10 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan by `key` when it has fewer input files than the session's task
     slots (a single-row-group file is read by one task). A large input has many more files
     than slots and is left as it is, so this never adds a shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext in this client (e.g. Spark Connect): leave the plan as it is
+        return df
     if len(df.inputFiles()) >= slots:
         return df
     return df.repartition(slots, key)
