@@ -43,3 +43,19 @@ def test_labelled_pairs_ids_dense(spark):
 def test_positive_count_closed_form(spark):
     c = _clauses(spark)
     assert c.select(pr.positive_count(c)).first()[0] == sum(EXPECTED.values())
+
+
+def test_positive_count_property_all_sizes(spark):
+    """Per category: min(500, m(m-1)/2), m = min(100, n) above 50 clauses, else n."""
+    rows, i = [], 0
+    for n in range(0, 121):
+        for _ in range(n):
+            rows.append((f"k{n:03d}", i, "x"))
+            i += 1
+    c = spark.createDataFrame(rows, "category string, clause_id long, clause string")
+    got = {r.category: r.n for r in pr.positive_pairs(c).groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for n in range(0, 121):
+        m = min(100, n) if n > 50 else n
+        assert got.get(f"k{n:03d}", 0) == min(500, m * (m - 1) // 2), n
+    distinct = pr.positive_pairs(c).select("id1", "id2").distinct().count()
+    assert distinct == sum(got.values())
