@@ -28,7 +28,7 @@ from simpairs.operators import split as spl
 from simpairs.operators import vocab as voc
 from simpairs.plans import sqlfrag as q
 from simpairs.sources.shared import checkpointed, written_table
-from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, table
+from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, spread_small_input, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,10 +94,20 @@ def canon(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- shared inputs
 
+def doc_base(spark, sf) -> DataFrame:
+    """Cleaned documents (lang, source, doc_id, clause), written once per query; every
+    category view and every branch reads it pruned."""
+    def build():
+        docs = spread_small_input(table(spark, sf, "documents").select("lang", "source", "doc_id", "text"), "doc_id")
+        return written_table(clean_clauses(docs, "text", CFG.null_policy).select("lang", "source", "doc_id", "clause"),
+                             "clauses")
+    return memo(("docbase", sf), build)
+
+
 def doc_clauses(spark, sf, category=SMALL_CATS) -> DataFrame:
-    """The cleaned clause table, written once per query (every branch reads it pruned)."""
-    return memo(("clauses", sf, category),
-                lambda: written_table(document_clauses(spark, sf, category, CFG.null_policy), "clauses"))
+    """clauses(category, clause_id, clause) for a category expression over lang / source."""
+    return doc_base(spark, sf).select(F.expr(category).cast("string").alias("category"),
+                                      F.col("doc_id").alias("clause_id"), "clause")
 
 
 def doc_vocab(spark, sf) -> DataFrame:
