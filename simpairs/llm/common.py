@@ -35,3 +35,29 @@ def text_bytes(df: DataFrame, text_col: str = "text") -> int:
 def parts_for(n: float, per_part: float, least: int = 1) -> int:
     """Number of groups such that each holds about `per_part` units; grows with the data."""
     return max(least, math.ceil(n / per_part))
+
+
+class Scratch:
+    """Parquet tables of one operator call in the shared folder, removed when the call is over.
+
+    Written tables cut the lineage, keep columns prunable and survive a lost executor."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        import uuid
+        self.spark = spark
+        self.path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def remove(self) -> None:
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def bounded(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """`df` marked for broadcast if its known size is within the bound; else left to a shuffle join."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
