@@ -5,13 +5,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from simpairs.llm import exact_dedup, near_dedup, quality
+from simpairs.llm import exact_dedup, mixing, near_dedup, packing, quality
 from simpairs.llm.common import documents
 
+#: where the tokenizer files are; a parameter of the operators, never part of the repository
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
 def _query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
@@ -53,3 +61,13 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.classify(documents(spark, sf_dir).select("doc_id", "text"), labels.select("doc_id", "quality"))
+
+
+@_query("op5_source_mixing")
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.place(documents(spark, sf_dir).select("doc_id", "source"))
+
+
+@_query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
