@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from simpairs.llm import exact_dedup, mixing, near_dedup, packing, quality
+from simpairs.llm import exact_dedup, mixing, near_dedup, packing, quality, suffix_dedup
 from simpairs.llm.common import documents
 
 #: where the tokenizer files are; a parameter of the operators, never part of the repository
@@ -71,3 +72,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
+
+
+@_query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                        F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
