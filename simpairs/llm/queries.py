@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import exact_dedup, mixing, near_dedup, packing, quality, suffix_dedup
-from simpairs.llm.common import documents
+from simpairs.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, quality, suffix_dedup
+from simpairs.llm.common import documents, text_bytes
 
 #: where the tokenizer files are; a parameter of the operators, never part of the repository
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,3 +79,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
                         F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op4_document_fingerprints")
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return fingerprints.compare(docs, text_bytes(docs))
