@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, quality, suffix_dedup
+from simpairs.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, quality, sharding, suffix_dedup
 from simpairs.llm.common import documents, text_bytes
 
 #: where the tokenizer files are; a parameter of the operators, never part of the repository
@@ -85,3 +85,23 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return fingerprints.compare(docs, text_bytes(docs))
+
+
+@_query("op6_sharding", """
+WITH r AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS b,
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents),
+n AS (
+  SELECT d, h >> (60 - d) AS p, sum(b)::BIGINT AS shard_bytes, count(*) AS shard_rows
+  FROM r, (SELECT unnest(range(0, 61))::INTEGER AS d) GROUP BY ALL),
+f AS (
+  SELECT r.doc_id, n.*, row_number() OVER (PARTITION BY r.doc_id ORDER BY n.d) AS k
+  FROM r JOIN n ON r.h >> (60 - n.d) = n.p WHERE n.shard_bytes <= 1048576 OR n.d = 60)
+SELECT doc_id, CASE WHEN d = 0 THEN '' ELSE lpad(bin(p), d, '0') END AS shard, d::BIGINT AS depth, shard_bytes, shard_rows,
+       shard_bytes <= 1048576 AS fits FROM f WHERE k = 1""")
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.col("__shard").alias("shard"), F.col("__depth").cast("long").alias("depth"),
+                        F.col("__shard_bytes").alias("shard_bytes"), F.col("__shard_rows").alias("shard_rows"),
+                        F.col("__fits").alias("fits"))
