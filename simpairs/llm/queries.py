@@ -6,12 +6,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, quality, sharding, suffix_dedup
+from simpairs.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, pii, quality, sharding, suffix_dedup
 from simpairs.llm.common import documents, text_bytes
 
 #: where the tokenizer files are; a parameter of the operators, never part of the repository
 TOKENIZER = "byte_bpe_50k.json"
 
+#: the secret of the pseudonyms; a deployment passes its own
+PII_KEY = "corpus-pseudonyms"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -105,3 +108,9 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("__shard").alias("shard"), F.col("__depth").cast("long").alias("depth"),
                         F.col("__shard_bytes").alias("shard_bytes"), F.col("__shard_rows").alias("shard_rows"),
                         F.col("__fits").alias("fits"))
+
+
+@_query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY, found_col="kinds")
+    return found.withColumn("n_replaced", F.size("kinds").cast("long"))
