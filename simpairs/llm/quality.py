@@ -40,13 +40,14 @@ def _bucket(codes: np.ndarray, family: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def _word_shapes(b: np.ndarray) -> np.ndarray:
-    """One 6-bit shape per word of the bytes `b`; bit 5: the word equals the one before."""
+def _word_shapes(b: np.ndarray, before: np.uint64) -> tuple[np.ndarray, np.uint64]:
+    """One 6-bit shape per word of the bytes `b`, and the last word's fingerprint; bit 5: the word equals
+    the one before it, for the first one the one of fingerprint `before`."""
     space = _SPACE[b]
     inner = ~space
     starts = np.flatnonzero(inner & np.r_[True, space[:-1]])
     if not len(starts):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), before
     kind = np.where(space, np.uint8(0), _KIND[b])
     shape = np.bitwise_or.reduceat(kind, starts).astype(np.int64)
     # a word's fingerprint: its bytes weighted by their place in the word, spaces adding nothing
@@ -54,15 +55,15 @@ def _word_shapes(b: np.ndarray) -> np.ndarray:
         np.arange(len(b)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(b)]))
     weight = (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)) * _MULT
     name = np.add.reduceat(np.where(space, np.uint64(0), (b.astype(np.uint64) + np.uint64(1)) * (weight ^ (weight >> np.uint64(29)))), starts)
-    shape[1:] |= (name[1:] == name[:-1]).astype(np.int64) << 5
-    return shape
+    shape |= (name == np.r_[before, name[:-1]]).astype(np.int64) << 5
+    return shape, name[-1]
 
 
 def features(text: str, last: np.ndarray) -> np.ndarray:
     """Distinct buckets of a text. `last`: scratch of FEATURES int32, any contents."""
     b = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     found, at = [], 0
-    shapes = [np.zeros(0, np.int8)]
+    shapes, before = [np.zeros(0, np.int8)], np.uint64(0)
     while at < len(b):  # pieces of a long text end at white space where they can
         end = min(len(b), at + PIECE)
         if end < len(b):
@@ -70,7 +71,8 @@ def features(text: str, last: np.ndarray) -> np.ndarray:
             end = at + int(gaps[-1]) + 1 if len(gaps) else end
         padded = np.concatenate(([32, 32] if not at else b[at - 2:at], b[at:end], [32] if end == len(b) else [])).astype(np.uint32)
         found.append(_bucket(padded[:-2] << np.uint32(16) | padded[1:-1] << np.uint32(8) | padded[2:], 1))
-        shapes.append(_word_shapes(b[at:end]).astype(np.int8))
+        own, before = _word_shapes(b[at:end], before)
+        shapes.append(own.astype(np.int8))
         at = end
     shapes = np.concatenate(shapes).astype(np.int64)
     if len(shapes):
