@@ -21,11 +21,6 @@ def keyed_hash(seed: int, tag: str, key) -> Column:
     return F.conv(F.substring(_md5(seed, tag, key), 1, HASH_HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def hash_bucket_of(hash_col: Column, bits: int = 16) -> Column:
-    """Monotone bucket of a keyed hash: its top `bits` of 60 bits."""
-    return F.shiftright(hash_col, 4 * HASH_HEX_DIGITS - bits)
-
-
 def bounded_draw(seed: int, tag: str, key, n) -> Column:
     """Uniform integer in [0, n) (modulo bias < n / 2^60)."""
     nn = F.col(n) if isinstance(n, str) else (n if isinstance(n, Column) else F.lit(n))

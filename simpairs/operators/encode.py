@@ -16,15 +16,16 @@ def encode(texts: DataFrame, vocab: DataFrame, id_col: str = "clause_id", text_c
 
     Unknown words map to UNK (1). With `max_len` the sequence is truncated/right-padded
     to exactly `max_len` ids; tokens past `max_len` cannot appear in the result, so they
-    are dropped before the lookup join. Rows with no tokens keep an empty (or all-PAD) seq.
+    are cut off before the explode. Rows with no tokens keep an empty (or all-PAD) seq.
 
     Plan: explode -> join vocab (broadcast when the vocab's size statistics allow it,
     else a shuffle join with AQE skew handling) -> partial collect per clause on the
     map side -> one row per clause through the shuffle.
     """
-    t = texts.select(F.col(id_col).alias("__id"), F.posexplode_outer(tokenize(text_col)).alias("pos", "word"))
+    words = tokenize(text_col)
     if max_len is not None:
-        t = t.where(F.col("pos").isNull() | (F.col("pos") < max_len))
+        words = F.slice(words, 1, max_len)
+    t = texts.select(F.col(id_col).alias("__id"), F.posexplode_outer(words).alias("pos", "word"))
     v = vocab.select(F.col("word").alias("__w"), "idx")
     j = t.join(v, t["word"] == v["__w"], "left")
     ids = j.groupBy("__id").agg(

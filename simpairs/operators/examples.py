@@ -17,12 +17,19 @@ def first_by_outcome(scored: DataFrame, n: int) -> DataFrame:
     return s.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
 
 
-def qualitative_examples(scored: DataFrame, pairs_text: DataFrame, n: int = 10) -> DataFrame:
+def texts_of(chosen: DataFrame, pairs: DataFrame, clauses: DataFrame) -> DataFrame:
+    """`chosen`(pair_id, ...) with clause1 and clause2. The pair ids are joined first; then each text is
+    looked up for the chosen rows only."""
+    ids = chosen.join(pairs.select("pair_id", "id1", "id2"), "pair_id")
+    for k in ("1", "2"):
+        ids = ids.join(clauses.select(F.col("clause_id").alias(f"id{k}"), F.col("clause").alias(f"clause{k}")), f"id{k}")
+    return ids.drop("id1", "id2")
+
+
+def qualitative_examples(scored: DataFrame, pairs: DataFrame, clauses: DataFrame, n: int = 10) -> DataFrame:
     """examples(model, pair_id, clause1, clause2, true_label, predicted_label, probability,
-    correct); texts attached after the limit, by pair_id."""
-    top = first_by_outcome(scored, n)
-    t = pairs_text.select("pair_id", "clause1", "clause2")
-    j = top.join(t, "pair_id")
+    correct): the rows are limited, then their texts attached."""
+    j = texts_of(first_by_outcome(scored, n), pairs, clauses)
     return j.select("model", "pair_id", ellipsis("clause1").alias("clause1"), ellipsis("clause2").alias("clause2"),
                     decode_label("label").alias("true_label"), decode_label("predicted").alias("predicted_label"),
                     F.col("probability").cast("double").alias("probability"), "correct")
@@ -35,21 +42,13 @@ def report_examples(examples: DataFrame, n: int = 5) -> DataFrame:
             .select("model", "pair_id", "clause1", "clause2", "true_label", "predicted_label", "probability"))
 
 
-def correct_rows(examples: DataFrame) -> DataFrame:
-    return examples.where(F.col("correct"))
-
-
-def incorrect_rows(examples: DataFrame) -> DataFrame:
-    return examples.where(~F.col("correct"))
-
-
-def all_outcomes(scored: DataFrame, pairs_text: DataFrame, max_rows: int | None = 5_000,
+def all_outcomes(scored: DataFrame, pairs: DataFrame, clauses: DataFrame, max_rows: int | None = None,
                  seed: int = 42) -> DataFrame:
     """Every evaluated row with texts, labels and outcome (for writing complete correct /
-    incorrect files); at most `max_rows` rows per model, drawn by keyed hash (None = all)."""
+    incorrect files); all of them, or `max_rows` per model drawn by keyed hash."""
     from simpairs.operators.sampling import hash_sample
     s = scored if max_rows is None else hash_sample(scored, "pair_id", max_rows, seed, "all_outcomes", ["model"])
-    j = s.join(pairs_text.select("pair_id", "clause1", "clause2"), "pair_id")
+    j = texts_of(s, pairs, clauses)
     return j.select("model", "pair_id", "clause1", "clause2", decode_label("label").alias("true_label"),
                     decode_label("predicted").alias("predicted_label"),
                     F.col("probability").cast("double").alias("probability"),

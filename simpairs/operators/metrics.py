@@ -55,35 +55,35 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
 
 def score_curve(scored: DataFrame) -> DataFrame:
     """Per model and distinct probability, in descending order: tp, fp at that score and
-    the inclusive running totals ctp, cfp; plus the class totals pos, neg."""
+    the inclusive running totals ctp, cfp."""
     d = scored.groupBy("model", "probability").agg(
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long").alias("tp"),
         F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).cast("long").alias("fp"))
     # descending score order: the bucket must grow along it
-    r = running_totals(d, {"ctp": F.col("tp"), "cfp": F.col("fp")}, [F.col("probability").desc()],
+    return running_totals(d, {"ctp": F.col("tp"), "cfp": F.col("fp")}, [F.col("probability").desc()],
                        -score_bucket("probability"), ["model"])
-    tot = d.groupBy("model").agg(F.sum("tp").alias("pos"), F.sum("fp").alias("neg"))
-    return r.join(tot, "model")
 
 
-def roc_auc(scored: DataFrame) -> DataFrame:
-    """Exact ROC-AUC (Mann-Whitney with half credit for ties); 0.0 if a class is absent."""
+def curve_metrics(scored: DataFrame) -> DataFrame:
+    """(model, roc_auc, pr_auc) from one score curve.
+
+    roc_auc: exact (Mann-Whitney with half credit for ties); 0.0 if a class is absent. pr_auc: sum over
+    distinct scores of (recall step) x precision, no interpolation; 0.0 without positives."""
     c = score_curve(scored)
-    part = F.col("fp").cast("double") * (F.col("ctp").cast("double") - F.col("tp").cast("double") / 2.0)
-    g = c.groupBy("model").agg(F.sum(part).alias("s"), F.first("pos").alias("pos"), F.first("neg").alias("neg"))
-    return g.select("model", F.when((F.col("pos") > 0) & (F.col("neg") > 0),
-                                    F.col("s") / (F.col("pos").cast("double") * F.col("neg"))).otherwise(F.lit(0.0))
-                    .alias("roc_auc"))
+    area = F.col("fp").cast("double") * (F.col("ctp").cast("double") - F.col("tp").cast("double") / 2.0)
+    step = F.col("tp").cast("double") * F.col("ctp") / (F.col("ctp") + F.col("cfp"))
+    g = c.groupBy("model").agg(F.sum(area).alias("a"), F.sum(step).alias("p"), F.sum("tp").alias("pos"), F.sum("fp").alias("neg"))
+    pos, neg = F.col("pos"), F.col("neg")
+    return g.select("model", F.when((pos > 0) & (neg > 0), F.col("a") / (pos.cast("double") * neg)).otherwise(F.lit(0.0)).alias("roc_auc"),
+                    F.when(pos > 0, F.col("p") / pos).otherwise(F.lit(0.0)).alias("pr_auc"))
+
+
+def roc_auc(scored: DataFrame) -> DataFrame:
+    return curve_metrics(scored).select("model", "roc_auc")
 
 
 def average_precision(scored: DataFrame) -> DataFrame:
-    """Average precision: sum over distinct scores of (recall step) x precision, no
-    interpolation; 0.0 without positives."""
-    c = score_curve(scored)
-    part = F.col("tp").cast("double") * F.col("ctp") / (F.col("ctp") + F.col("cfp"))
-    g = c.groupBy("model").agg(F.sum(part).alias("s"), F.first("pos").alias("pos"))
-    return g.select("model", F.when(F.col("pos") > 0, F.col("s") / F.col("pos")).otherwise(F.lit(0.0))
-                    .alias("pr_auc"))
+    return curve_metrics(scored).select("model", "pr_auc")
 
 
 def log_loss(scored: DataFrame) -> DataFrame:
@@ -126,4 +126,4 @@ def class_report(scored: DataFrame) -> DataFrame:
 
 def evaluate(scored: DataFrame) -> DataFrame:
     """metrics(model, accuracy, precision, recall, f1_score, roc_auc, pr_auc)."""
-    return binary_metrics(scored).join(roc_auc(scored), "model").join(average_precision(scored), "model")
+    return binary_metrics(scored).join(curve_metrics(scored), "model")

@@ -4,14 +4,14 @@ A plain `row_number() OVER (ORDER BY k)` (or `PARTITION BY` a hot key) moves eve
 the partition into one task. Here the order is cut into buckets by a caller-supplied
 expression that is monotone in the order key:
 
-  1. window inside (partition, bucket)                -> one shuffle, many parallel tasks
-  2. per-bucket size / sum from that windowed result  -> small table (shares the shuffle)
-  3. exclusive running total over the bucket table    -> offsets (window over small table)
-  4. join the offsets back on (partition, bucket)      -> small side; AQE broadcasts it
+  1. sizes / sums per (partition, bucket): a partial aggregate of the pruned input
+  2. exclusive running totals over that small table -> offsets
+  3. window inside each (partition, bucket): the one exchange of the rows themselves
+  4. join of the offsets on the same, non-null key, so that the window's distribution is kept
 
 The result equals the global window exactly, for any partitioning, as long as the order key
-is unique within the partition. Suitable buckets: `hash_bucket_of(h)` for hash order,
-`score_bucket(p)` for probabilities, category/id-range buckets for file order.
+is unique within the partition. The bucket table has one row per bucket: `hash_bucket(h, n)`
+takes about one bucket per `ROWS_PER_BUCKET` rows.
 """
 from __future__ import annotations
 
@@ -20,17 +20,33 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_B, _OFF = "__bucket", "__off_"
+from simpairs.functions.hashing import HASH_HEX_DIGITS
 
+_KEY = "__key"
+ROWS_PER_BUCKET = 1_000_000
 
-def _join_offsets(df: DataFrame, offs: DataFrame, pcols: Sequence[str]) -> DataFrame:
-    ren = {c: f"__p_{i}" for i, c in enumerate(pcols)}
-    o = offs.select(*[F.col(c).alias(ren[c]) for c in pcols], *[c for c in offs.columns if c not in pcols])
-    # null-safe everywhere: no inferred IS NOT NULL filter, so both uses of the input keep
-    # an identical exchange and Spark reuses it (the input is computed once)
-    cond = [F.col(_B).eqNullSafe(F.col(f"{_B}_o"))] + [df[c].eqNullSafe(F.col(ren[c])) for c in pcols]
-    o = o.withColumnRenamed(_B, f"{_B}_o")
-    return df.join(o, cond).drop(*ren.values(), f"{_B}_o")
+
+def row_count(df: DataFrame) -> Column:
+    """Number of rows as a scalar subquery (a pruned count scan; no job while the plan is built)."""
+    return df.select(F.count(F.lit(1))).scalar()
+
+
+def hash_bucket(hash_col: Column, rows: Column) -> Column:
+    """Monotone bucket of a keyed hash: as many of its top bits as give about
+    ROWS_PER_BUCKET rows each."""
+    bits = F.least(F.lit(30), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(rows, F.lit(1)) / F.lit(float(ROWS_PER_BUCKET)))))).cast("int")
+    return F.call_function("shiftright", hash_col, F.lit(4 * HASH_HEX_DIGITS) - bits)
+
+
+def _keyed(df: DataFrame, bucket: Column, pcols: Sequence[str]) -> DataFrame:
+    # a struct is never null itself, whatever its fields: a plain equi-join key that matches nulls
+    fields = [F.col(c).alias(f"p{k}") for k, c in enumerate(pcols)]
+    return df.withColumn(_KEY, F.struct(*fields, bucket.alias("b")))
+
+
+def _before(pcols: Sequence[str]):
+    w = Window.partitionBy(*[F.col(f"{_KEY}.p{k}") for k in range(len(pcols))]).orderBy(F.col(f"{_KEY}.b"))
+    return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_totals(
@@ -42,32 +58,16 @@ def running_totals(
     inclusive: bool = True,
 ) -> DataFrame:
     """Add one running-total column per entry of `values`, ordered by `order_cols` within
-    `partition_cols`. `bucket` must be non-decreasing along `order_cols`.
-
-    The input is shuffled once, by (partition, bucket); the in-bucket running totals and the
-    per-bucket sums both come from that one exchange, and only the small offset table is
-    joined back."""
-    pcols = list(partition_cols)
-    names = list(values)
-    b = df.withColumn(_B, bucket)
-    for n in names:
-        b = b.withColumn(f"__v_{n}", values[n])
+    `partition_cols`. `bucket` must be non-decreasing along `order_cols`."""
+    pcols, names = list(partition_cols), list(values)
+    b = _keyed(df, bucket, pcols)
+    sums = b.groupBy(_KEY).agg(*[F.sum(values[n]).alias(f"__s_{n}") for n in names])
+    offs = sums.select(_KEY, *[F.coalesce(F.sum(f"__s_{n}").over(_before(pcols)), F.lit(0)).alias(f"__off_{n}") for n in names])
     frame_end = Window.currentRow if inclusive else -1
-    wr = Window.partitionBy(*pcols, _B).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
-    wa = Window.partitionBy(*pcols, _B)
-    w = b
-    for n in names:
-        w = w.withColumn(f"__in_{n}", F.coalesce(F.sum(f"__v_{n}").over(wr), F.lit(0)))
-        w = w.withColumn(f"__s_{n}", F.sum(f"__v_{n}").over(wa))
-    per_bucket = w.groupBy(*pcols, _B).agg(*[F.first(f"__s_{n}").alias(f"__s_{n}") for n in names])
-    wb = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_bucket.select(
-        *pcols, _B, *[F.coalesce(F.sum(f"__s_{n}").over(wb), F.lit(0)).alias(f"{_OFF}{n}") for n in names])
-    j = _join_offsets(w, offs, pcols)
-    for n in names:
-        j = j.withColumn(n, F.col(f"{_OFF}{n}") + F.col(f"__in_{n}"))
-    drop = [_B] + [f"__{k}_{n}" for n in names for k in ("v", "in", "s")] + [f"{_OFF}{n}" for n in names]
-    return j.drop(*drop)
+    inside = Window.partitionBy(_KEY).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+    w = b.select("*", *[F.coalesce(F.sum(values[n]).over(inside), F.lit(0)).alias(f"__in_{n}") for n in names])
+    j = w.join(offs, _KEY)
+    return j.select(*df.columns, *[(F.col(f"__off_{n}") + F.col(f"__in_{n}")).alias(n) for n in names])
 
 
 def number_rows(
@@ -77,15 +77,10 @@ def number_rows(
     partition_cols: Sequence[str] = (),
     name: str = "rn",
 ) -> DataFrame:
-    """1-based `row_number()` over `order_cols` within `partition_cols`, computed bucket-wise:
-    one shuffle of the input by (partition, bucket); bucket sizes come from the same
-    windowed result, and only the small offset table is joined back."""
+    """1-based `row_number()` over `order_cols` within `partition_cols`, computed bucket-wise."""
     pcols = list(partition_cols)
-    b = df.withColumn(_B, bucket)
-    wr = Window.partitionBy(*pcols, _B).orderBy(*order_cols)
-    w = b.withColumn("__rib", F.row_number().over(wr))
-    counts = w.groupBy(*pcols, _B).agg(F.max("__rib").alias("__n"))
-    wb = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*pcols, _B, F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias(_OFF))
-    j = _join_offsets(w, offs, pcols)
-    return j.withColumn(name, F.col(_OFF) + F.col("__rib")).drop(_B, _OFF, "__rib")
+    b = _keyed(df, bucket, pcols)
+    counts = b.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n"))
+    offs = counts.select(_KEY, F.coalesce(F.sum("__n").over(_before(pcols)), F.lit(0)).alias("__off"))
+    w = b.withColumn("__rib", F.row_number().over(Window.partitionBy(_KEY).orderBy(*order_cols)))
+    return w.join(offs, _KEY).select(*df.columns, (F.col("__off") + F.col("__rib")).alias(name))

@@ -1,9 +1,10 @@
 """Positive pairs within categories, uniform negative pairs across categories, labelling.
 
 Randomness is a keyed hash (simpairs.functions.hashing), so every pair set is reproducible
-and independent of partitioning. Nothing here enumerates all pairs of a category: positives
-are generated directly from the closed-form rank of the first `max_pairs_per_category`
-lexicographic pairs, and negatives are a bounded number of independent draws.
+and independent of partitioning. No operator enumerates all pairs of a category: positives
+are drawn as pair ranks over the whole category and unranked, one rank from each of as many
+equal strata as pairs are asked for; negatives are independent draws. The output is linear in the
+request. `sample_positive_pairs` is the sampler that looks at a bounded sample of each category.
 """
 from __future__ import annotations
 
@@ -11,10 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simpairs.config import PairConfig
-from simpairs.functions.hashing import bounded_draw, hash_bucket_of, keyed_hash
-from simpairs.operators.numbering import number_rows
+from simpairs.functions.hashing import bounded_draw, keyed_hash
+from simpairs.operators.numbering import hash_bucket, number_rows, row_count
 from simpairs.sources.shared import checkpointed
 
+# draws generated by one row of the intermediate table
+DRAW_CHUNK = 10_000
+
 
 def category_table(clauses: DataFrame) -> DataFrame:
     """Non-empty categories sorted by name: (category, n, cat_rank 0-based). One row per
@@ -53,17 +57,70 @@ def _partner_positions(i: Column, m: Column, cap: int) -> Column:
     return F.when(jmax >= i + 1, F.sequence(i + F.lit(1), jmax)).otherwise(F.array().cast("array<long>"))
 
 
-def positive_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
-    """(category, id1, id2): min(cap, m(m-1)/2) pairs per category, label 1 implied."""
+def sample_positive_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """(category, id1, id2): the first `sample_pairs` pairs of each category's sample, in
+    lexicographic order of positions. A sampler: see `positive_pairs` for whole categories."""
     s = sample_for_pairs(clauses, cfg).select(
         "category", "clause_id", F.col("spos").cast("long").alias("spos"), F.col("m").cast("long").alias("m"))
     anchors = s.select("category", F.col("clause_id").alias("id1"),
-                       F.explode(_partner_positions(F.col("spos"), F.col("m"), cfg.max_pairs_per_category))
-                       .alias("j"))
+                       F.explode(_partner_positions(F.col("spos"), F.col("m"), cfg.sample_pairs)).alias("j"))
     partner = s.select("category", F.col("spos").alias("j"), F.col("clause_id").alias("id2"))
     return anchors.join(partner, ["category", "j"]).select("category", "id1", "id2")
 
 
+def pair_budget(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """(category, n, total, q): clauses, possible pairs and pairs to draw: `pairs_per_category`, or
+    as many as there are clauses when that is None, never more than there are."""
+    sizes = clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    want = F.col("n") if cfg.pairs_per_category is None else F.lit(int(cfg.pairs_per_category)).cast("long")
+    total = F.expr("n * (n - 1) div 2")
+    return sizes.withColumn("total", total).withColumn("q", F.least(want, F.col("total"))).where("q > 0")
+
+
+def _unranked(r: Column) -> tuple[Column, Column]:
+    """(i, j), i < j, of the pair rank r = j * (j - 1) / 2 + i; the square root is corrected by one step."""
+    near = F.floor((F.sqrt(r.cast("double") * 8 + 1) + 1) / 2).cast("long")
+    below = lambda j: F.call_function("div", j * (j - 1), F.lit(2))
+    j = F.when(below(near) > r, near - 1).when(below(near + 1) <= r, near + 1).otherwise(near)
+    return r - below(j), j
+
+
+def positive_draws(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """(category, k, row1, row2): the ranks 0 .. total-1 of a category are cut into q equal strata and a keyed
+    hash draws one rank from each."""
+    chunks = pair_budget(clauses, cfg).select(
+        "category", "total", "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q") - 1, F.lit(DRAW_CHUNK).cast("long"))).alias("c"))
+    # a large category is many rows here, dealt over the tasks before they expand
+    k = chunks.repartition("category", "c").select(
+        "category", "total", "q", F.explode(F.sequence(F.col("c"), F.least(F.col("q"), F.col("c") + DRAW_CHUNK) - 1)).alias("k"))
+    step, rest = F.expr("total div q"), F.expr("total % q")
+    k = k.select("category", "k", (F.col("k") * step + F.least(F.col("k"), rest)).alias("lo"),
+                 (step + F.when(F.col("k") < rest, 1).otherwise(0)).alias("size"))
+    r = F.col("lo") + bounded_draw(cfg.seed, "pos", F.concat_ws(":", "category", "k"), "size")
+    i, j = _unranked(F.col("r"))
+    return k.withColumn("r", r).select("category", "k", i.alias("row1"), j.alias("row2"))
+
+
+def _looked_up(clauses: DataFrame, seed: int, draws: DataFrame, key: list[str]) -> DataFrame:
+    """draws(key.., cat1, row1, cat2, row2) -> the same with id1, id2: one pass over the numbered clauses for
+    both sides; the planner chooses the join by the sizes."""
+    sides = None
+    for k in (1, 2):
+        one = draws.select(*key, F.lit(k).alias("side"), F.col(f"cat{k}").alias("category"), F.col(f"row{k}").alias("row"))
+        sides = one if sides is None else sides.unionByName(one)
+    hit = row_numbered(clauses, seed).join(sides, ["category", "row"])
+    return hit.groupBy(*key).agg(*[F.max(F.when(F.col("side") == k, F.col("clause_id"))).alias(f"id{k}") for k in (1, 2)],
+                                 *[F.max(F.when(F.col("side") == k, F.col("category"))).alias(f"cat{k}") for k in (1, 2)])
+
+
+def positive_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """(category, id1, id2), label 1 implied: exactly `q` distinct pairs per category (see `pair_budget`),
+    spread over the whole category. Positions are those of `row_numbered`."""
+    d = positive_draws(clauses, cfg).select(F.col("category").alias("of"), "k", F.col("category").alias("cat1"), "row1",
+                                            F.col("category").alias("cat2"), "row2")
+    return _looked_up(clauses, cfg.seed, d, ["of", "k"]).select(F.col("of").alias("category"), "id1", "id2")
+
+
 def cap_positives(pos: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
     """Global cap `num_positive` (None or 0 = no cap): a uniform subset of that size."""
     if not cfg.num_positive:
@@ -86,26 +143,16 @@ def category_pairs(clauses: DataFrame) -> DataFrame:
     return later.join(names, "r2").select("cat1", "cat2")
 
 
-def positive_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> Column:
-    """Number of positive pairs without generating them: per category min(cap, m(m-1)/2)
-    with m the pairing sample size, summed over the (small) category-size table; then the
-    global `num_positive` cap."""
-    sizes = clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-    m = F.when(F.col("n") > cfg.sample_threshold, F.least(F.col("n"), F.lit(cfg.sample_size))).otherwise(F.col("n"))
-    per = F.least(F.lit(cfg.max_pairs_per_category).cast("long"), (m * (m - 1) / 2).cast("long"))
-    total = F.sum(per)
-    if cfg.num_positive:
-        total = F.least(total, F.lit(cfg.num_positive).cast("long"))
-    return sizes.select(total).scalar()
+def positive_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> int:
+    """Number of positive pairs without generating them: the budget summed over the categories; then the
+    global `num_positive`."""
+    n = int(pair_budget(clauses, cfg).agg(F.sum("q").alias("n")).first()["n"] or 0)
+    return min(n, cfg.num_positive) if cfg.num_positive else n
 
 
-def negative_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> tuple[int, Column | None]:
-    """(upper bound, exact count Column or None). `num_negative` wins when given; else the
-    number of positives; then capped at `max_negative`."""
-    if cfg.num_negative is not None:
-        n = min(int(cfg.num_negative), cfg.max_negative)
-        return n, None
-    return cfg.max_negative, F.least(positive_count(clauses, cfg), F.lit(cfg.max_negative))
+def negative_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> int:
+    """`num_negative` when given, else the number of positives."""
+    return int(cfg.num_negative) if cfg.num_negative is not None else positive_count(clauses, cfg)
 
 
 def row_numbered(clauses: DataFrame, seed: int) -> DataFrame:
@@ -113,26 +160,15 @@ def row_numbered(clauses: DataFrame, seed: int) -> DataFrame:
     bucket-wise so a hot category is spread over many tasks."""
     h = keyed_hash(seed, "row", "clause_id")
     d = clauses.select("category", "clause_id").withColumn("__h", h)
-    out = number_rows(d, [F.col("__h"), F.col("clause_id")], hash_bucket_of(F.col("__h")), ["category"], "rn")
+    out = number_rows(d, [F.col("__h"), F.col("clause_id")], hash_bucket(F.col("__h"), row_count(clauses)), ["category"], "rn")
     return out.select("category", "clause_id", (F.col("rn") - 1).alias("row"))
 
 
-def negative_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg=None) -> DataFrame:
-    """(draw_id, cat1, cat2, id1, id2): each draw picks an unordered category pair
-    uniformly (not weighted by size), the earlier category by name on side 1, then a
-    uniform clause in each, with replacement."""
-    spark = clauses.sparkSession
+def negative_draws(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg: int | None = None) -> DataFrame:
+    """(draw_id, cat1, row1, cat2, row2): see `negative_pairs`."""
     cats = category_table(clauses)
     n_cats = cats.select(F.count(F.lit(1))).scalar()
-    if n_neg is None:
-        upper, exact = cfg.max_negative, None
-    elif isinstance(n_neg, int):
-        upper, exact = n_neg, None
-    else:
-        upper, exact = n_neg
-    draws = spark.range(upper).withColumnRenamed("id", "draw_id")
-    if exact is not None:
-        draws = draws.where(F.col("draw_id") < exact)
+    draws = clauses.sparkSession.range(negative_count(clauses, cfg) if n_neg is None else n_neg).withColumnRenamed("id", "draw_id")
     s = cfg.seed
     ci = bounded_draw(s, "neg_c1", "draw_id", n_cats)
     cj0 = bounded_draw(s, "neg_c2", "draw_id", F.greatest(n_cats - 1, F.lit(1)))
@@ -144,32 +180,32 @@ def negative_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg=Non
     draws = draws.select("draw_id", F.least("ci", "cj").alias("r1"), F.greatest("ci", "cj").alias("r2"))
     c1 = cats.select(F.col("cat_rank").alias("r1"), F.col("category").alias("cat1"), F.col("n").alias("n1"))
     c2 = cats.select(F.col("cat_rank").alias("r2"), F.col("category").alias("cat2"), F.col("n").alias("n2"))
-    d = draws.join(c1, "r1").join(c2, "r2")
-    d = d.select("draw_id", "cat1", "cat2",
-                 bounded_draw(s, "neg_r1", "draw_id", "n1").alias("row1"),
-                 bounded_draw(s, "neg_r2", "draw_id", "n2").alias("row2"))
-    # one lookup pass for both sides: the draws (bounded by max_negative) are broadcast,
-    # the numbered clause table is streamed once
-    lookups = (d.select("draw_id", F.lit(1).alias("side"), F.col("cat1").alias("category"), F.col("row1").alias("row"))
-               .unionByName(d.select("draw_id", F.lit(2).alias("side"), F.col("cat2").alias("category"),
-                                     F.col("row2").alias("row"))))
-    hit = row_numbered(clauses, s).join(F.broadcast(lookups), ["category", "row"])
-    picked = hit.groupBy("draw_id").agg(
-        F.max(F.when(F.col("side") == 1, F.col("clause_id"))).alias("id1"),
-        F.max(F.when(F.col("side") == 2, F.col("clause_id"))).alias("id2"))
-    return d.select("draw_id", "cat1", "cat2").join(picked, "draw_id")
+    return draws.join(c1, "r1").join(c2, "r2").select(
+        "draw_id", "cat1", bounded_draw(s, "neg_r1", "draw_id", "n1").alias("row1"),
+        "cat2", bounded_draw(s, "neg_r2", "draw_id", "n2").alias("row2"))
+
+
+def negative_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg: int | None = None) -> DataFrame:
+    """(draw_id, cat1, cat2, id1, id2): each of `n_neg` draws picks an unordered category pair
+    uniformly (not weighted by size), the earlier category by name on side 1, then a
+    uniform clause in each, with replacement."""
+    return _looked_up(clauses, cfg.seed, negative_draws(clauses, cfg, n_neg), ["draw_id"]).select("draw_id", "cat1", "cat2", "id1", "id2")
 
 
 def labelled_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), materialize: bool = True) -> DataFrame:
-    """(pair_id, id1, id2, label): positives (capped) + negatives, numbered 0..n-1 in a
+    """(pair_id, id1, id2, label): positives + negatives, numbered 0..n-1 in a
     keyed-hash order (the joint shuffle). By default the (small) pair table is
     checkpointed into the shared folder: it is reused by encoding, scoring and examples."""
-    pos = cap_positives(positive_pairs(clauses, cfg), cfg)
-    neg = negative_pairs(clauses, cfg, negative_count(clauses, cfg))
-    p = pos.select("id1", "id2", F.lit(1).alias("label"), F.concat_ws(":", F.lit("1"), "id1", "id2").alias("__k"))
-    n = neg.select("id1", "id2", F.lit(0).alias("label"), F.concat_ws(":", F.lit("0"), "draw_id").alias("__k"))
-    allp = p.unionByName(n).withColumn("__h", keyed_hash(cfg.seed, "shuffle", "__k"))
-    numbered = number_rows(allp, [F.col("__h"), F.col("__k")], hash_bucket_of(F.col("__h")), (), "rn")
+    pos = positive_draws(clauses, cfg).select(
+        F.lit(1).alias("label"), F.col("category").alias("of"), "k", F.col("category").alias("cat1"), "row1", F.col("category").alias("cat2"), "row2")
+    neg = negative_draws(clauses, cfg).select(F.lit(0).alias("label"), F.lit("").alias("of"), F.col("draw_id").alias("k"), "cat1", "row1", "cat2", "row2")
+    # positives and negatives are looked up together
+    both = _looked_up(clauses, cfg.seed, pos.unionByName(neg), ["label", "of", "k"])
+    if cfg.num_positive:
+        both = cap_positives(both.where("label = 1"), cfg).unionByName(both.where("label = 0"))
+    key = F.when(F.col("label") == 1, F.concat_ws(":", F.lit("1"), "id1", "id2")).otherwise(F.concat_ws(":", F.lit("0"), "k"))
+    allp = both.select("id1", "id2", "label", key.alias("__k")).withColumn("__h", keyed_hash(cfg.seed, "shuffle", "__k"))
+    numbered = number_rows(allp, [F.col("__h"), F.col("__k")], hash_bucket(F.col("__h"), row_count(allp)), (), "rn")
     out = numbered.select((F.col("rn") - 1).alias("pair_id"), "id1", "id2", F.col("label").cast("int").alias("label"))
     if not materialize:
         return out

@@ -3,32 +3,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simpairs.functions.hashing import hash_bucket_of, keyed_hash
-from simpairs.operators.numbering import number_rows
+from simpairs.functions.hashing import keyed_hash
+from simpairs.operators.numbering import ROWS_PER_BUCKET, hash_bucket, number_rows, row_count
 
 
 def hash_rank(df: DataFrame, key: str, seed: int, tag: str, partition_cols: Sequence[str] = (),
               name: str = "rank") -> DataFrame:
     """1-based rank of each row in the order of h(seed, tag, key), ties by key."""
-    h = keyed_hash(seed, tag, key)
-    d = df.withColumn("__h", h)
-    out = number_rows(d, [F.col("__h"), F.col(key)], hash_bucket_of(F.col("__h")), partition_cols, name)
+    d = df.withColumn("__h", keyed_hash(seed, tag, key))
+    out = number_rows(d, [F.col("__h"), F.col(key)], hash_bucket(F.col("__h"), row_count(df)), partition_cols, name)
     return out.drop("__h")
 
 
-def hash_sample(df: DataFrame, key: str, k, seed: int, tag: str, partition_cols: Sequence[str] = ()) -> DataFrame:
-    """Exactly min(k, n) rows chosen uniformly without replacement (k: int or Column)."""
-    kk = k if isinstance(k, Column) else F.lit(k)
-    return hash_rank(df, key, seed, tag, partition_cols, "__rank").where(F.col("__rank") <= kk).drop("__rank")
+def hash_sample(df: DataFrame, key: str, k: int, seed: int, tag: str, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """Exactly min(k, n) rows chosen uniformly without replacement. Without partitions it is a
+    top-k by hash (each task keeps k rows, nothing is ranked); with them, a rank limit that runs
+    before the shuffle."""
+    d = df.withColumn("__h", keyed_hash(seed, tag, key))
+    if not partition_cols:
+        return d.orderBy("__h", key).limit(k).drop("__h")
+    w = Window.partitionBy(*partition_cols).orderBy("__h", key)
+    return d.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k).drop("__r", "__h")
 
 
 def fraction_sample(df: DataFrame, key: str, fraction: float, seed: int, tag: str) -> DataFrame:
-    """int(n * fraction) rows, exact; n from a scalar subquery."""
-    k = F.floor(df.select(F.count(F.lit(1))).scalar() * F.lit(fraction))
-    return hash_sample(df, key, k, seed, tag)
+    """int(n * fraction) rows, exact: whole hash buckets below the boundary pass as they are, and only the
+    rows of the bucket that holds the boundary are ranked."""
+    rows = row_count(df)
+    k = F.floor(rows * F.lit(fraction))
+    h = keyed_hash(seed, tag, key)
+    # the boundary bucket alone is ranked in one task, so buckets are kept small
+    d = df.withColumn("__h", h).withColumn("__b", hash_bucket(F.col("__h"), rows * F.lit(16)))
+    sizes = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    upto = sizes.withColumn("__upto", F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)))
+    edge = upto.where(F.col("__upto") >= k).agg(F.min(F.struct("__b", (F.col("__upto") - F.col("__n")).alias("before"))).alias("e"))
+    at, before = edge.select("e.__b").scalar(), edge.select("e.before").scalar()
+    inside = d.where(F.col("__b") < at)
+    last = d.where(F.col("__b") == at).withColumn("__r", F.row_number().over(Window.orderBy("__h", key)))
+    return inside.select(*df.columns).unionByName(last.where(F.col("__r") <= k - before).select(*df.columns))
 
 
 def reshuffle_order(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
@@ -36,20 +51,19 @@ def reshuffle_order(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame
     return df.orderBy(keyed_hash(seed, f"epoch{epoch}", key), key)
 
 
-def batch_numbers(df: DataFrame, order_key: str, batch_size: int, seed: int | None = None,
-                  buckets: int = 65_536) -> DataFrame:
+def batch_numbers(df: DataFrame, order_key: str, batch_size: int, seed: int | None = None) -> DataFrame:
     """Add `batch` = floor((row_no - 1) / batch_size) (0-based) and `n_batches` =
     ceil(n / batch_size). Rows are numbered by the numeric `order_key` (sequential loading)
     or, with `seed`, in keyed-hash order (shuffled loading)."""
+    total = row_count(df)
     if seed is not None:
         n = hash_rank(df, order_key, seed, "batch", (), "__rn")
     else:
-        from simpairs.operators.numbering import number_rows
         lo = df.select(F.min(order_key)).scalar()
         hi = df.select(F.max(order_key)).scalar()
-        width = F.greatest(F.lit(1.0), (hi - lo + 1) / F.lit(float(buckets)))
-        bucket = F.floor((F.col(order_key) - lo) / width).cast("long")
+        buckets = F.ceil(total / F.lit(float(ROWS_PER_BUCKET)))
+        width = F.greatest(F.lit(1.0), (hi.cast("double") - lo + 1) / buckets)
+        bucket = F.floor((F.col(order_key).cast("double") - lo) / width).cast("long")
         n = number_rows(df, [F.col(order_key)], bucket, (), "__rn")
-    total = df.select(F.count(F.lit(1))).scalar()
     return n.select(*df.columns, F.floor((F.col("__rn") - 1) / batch_size).cast("long").alias("batch"),
                     F.ceil(total / F.lit(batch_size)).cast("long").alias("n_batches"))

@@ -1,14 +1,16 @@
 """Word counts, frequency-filtered vocabulary with first-appearance ids, corpus statistics."""
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import RESERVED_TOKENS, tokenize
 from simpairs.operators.numbering import number_rows
 
-# number of buckets used to spread the first-appearance numbering (plus one per category)
-FIRST_POS_BUCKETS = 65_536
+# ranges of the first appearance over which words are numbered
+NUMBER_RANGES = 256
 
 
 def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
@@ -17,50 +19,34 @@ def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
     return t if max_pos is None else t.where(F.col("pos") < max_pos)
 
 
-# first-appearance key: clause order (dense rank of (category, clause_id)) * 2^POS_BITS + pos
-POS_BITS = 23
-
-
-def clause_order(clauses: DataFrame) -> DataFrame:
-    """(category, clause_id, cord): 0-based dense rank of clauses in (category name,
-    clause_id) order - the corpus iteration order - computed bucket-wise: the category,
-    then an id-range slice whose count is proportional to the category's size."""
-    cats = clauses.groupBy("category").agg(
-        F.min("clause_id").alias("cmin"), F.max("clause_id").alias("cmax"), F.count(F.lit(1)).alias("n"))
-    cats = cats.select(
-        "category", "cmin", "cmax",
-        (F.lit(1) + F.floor(F.lit(FIRST_POS_BUCKETS) * F.col("n") / F.sum("n").over(Window.partitionBy())))
-        .cast("long").alias("slices"))
-    c = clauses.select("category", "clause_id").join(cats, "category")
-    sub = F.floor((F.col("clause_id") - F.col("cmin")) * F.col("slices") / (F.col("cmax") - F.col("cmin") + 1))
-    c = c.select("category", "clause_id", F.struct("category", sub.cast("long").alias("s")).alias("__slice"))
-    n = number_rows(c, [F.col("category"), F.col("clause_id")], F.col("__slice"), (), "rn")
-    return n.select("category", "clause_id", (F.col("rn") - 1).alias("cord"))
-
+def _with_first_key(clauses: DataFrame) -> DataFrame:
+    """clauses with `cat_rank` and `__base`, a decimal that orders clauses by (category name, clause_id) and leaves
+    room for a position: rank * 2^95 + (clause_id + 2^63) * 2^31. Any BIGINT id and any array position fit."""
+    cats = clauses.select("category").distinct()
+    cats = cats.withColumn("cat_rank", F.row_number().over(Window.orderBy("category")))
+    shifted = (F.col("clause_id").cast("decimal(20,0)") + F.lit(Decimal(1 << 63)).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(10,0)")
+    base = F.col("cat_rank").cast("decimal(10,0)") * F.lit(Decimal(1 << 95)).cast("decimal(29,0)") + shifted
+    return clauses.join(cats, "category").withColumn("__base", base.cast("decimal(38,0)"))
 
-def _first_key(cord, pos):
-    guard = F.when(pos >= F.lit(1 << POS_BITS), F.raise_error(F.lit("token position beyond 2^23 in one clause")))
-    return F.coalesce(guard.cast("long"), F.shiftleft(cord.cast("long"), POS_BITS) + pos)
 
-
-def _word_stats(clauses: DataFrame):
-    """(word, cnt, fkey) with a BIGINT first-appearance key, so both aggregates stay in the
-    hash aggregate (a struct minimum would force a sort-based aggregate)."""
-    order = clause_order(clauses)
-    t = tokens(clauses).join(order.select("clause_id", "category", "cord"), ["category", "clause_id"])
-    stats = t.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"),
-                                  F.min(_first_key(F.col("cord"), F.col("pos"))).alias("fkey"))
-    return stats, order
+def _word_stats(clauses: DataFrame, *first: str) -> DataFrame:
+    """(word, cnt, fkey, first_*): counts and the least first-appearance key. The key is made once per clause, before
+    the explode, and every buffer has a fixed width, so tokens go straight into a partial hash aggregate and only
+    per-task word counts are shuffled."""
+    t = _with_first_key(clauses).select("cat_rank", "clause_id", "__base", F.posexplode(tokenize("clause")).alias("pos", "word"))
+    key = (F.col("__base") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
+    t = t.withColumn("__key", key)
+    return t.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"), F.min("__key").alias("fkey"),
+                                 *[F.min_by(c, "__key").alias(f"first_{c}") for c in first])
 
 
 def word_counts(clauses: DataFrame) -> DataFrame:
     """(word, cnt, first_category, first_clause_id, first_pos); first = earliest by
     (category name, clause_id, position)."""
-    stats, order = _word_stats(clauses)
-    s = stats.select("word", "cnt", F.shiftright("fkey", POS_BITS).alias("cord"),
-                     (F.col("fkey").bitwiseAND(F.lit((1 << POS_BITS) - 1))).alias("first_pos"))
-    o = order.select("cord", F.col("category").alias("first_category"), F.col("clause_id").alias("first_clause_id"))
-    return s.join(o, "cord").select("word", "cnt", "first_category", "first_clause_id", "first_pos")
+    stats = _word_stats(clauses, "cat_rank", "clause_id", "pos")
+    cats = clauses.select(F.col("category").alias("first_category")).distinct()
+    cats = cats.withColumn("first_cat_rank", F.row_number().over(Window.orderBy("first_category")))
+    return stats.join(cats, "first_cat_rank").select("word", "cnt", "first_category", "first_clause_id", "first_pos")
 
 
 def reserved_vocab(spark: SparkSession) -> DataFrame:
@@ -70,11 +56,11 @@ def reserved_vocab(spark: SparkSession) -> DataFrame:
 def build_vocabulary(clauses: DataFrame, min_freq: int = 2) -> DataFrame:
     """vocab(word, idx): reserved ids 0..3, then words with cnt >= min_freq numbered
     4, 5, ... in order of first appearance."""
-    stats, order = _word_stats(clauses)
-    kept = stats.where(F.col("cnt") >= min_freq)
-    n_clauses = clauses.select(F.count(F.lit(1))).scalar()
-    width = F.greatest(F.lit(1), F.ceil(n_clauses / F.lit(FIRST_POS_BUCKETS)))
-    bucket = F.floor(F.shiftright("fkey", POS_BITS) / width).cast("long")
+    kept = _word_stats(clauses).where(F.col("cnt") >= min_freq).withColumn("__d", F.col("fkey").cast("double"))
+    # new words thin out along the corpus (a power law), so ranges widen; they only spread the numbering
+    low, high = kept.select(F.min("__d")).scalar(), kept.select(F.max("__d")).scalar()
+    part = (F.col("__d") - low) / F.greatest(high - low, F.lit(1.0))
+    bucket = F.floor(F.pow(part, F.lit(0.6)) * NUMBER_RANGES).cast("long")
     numbered = number_rows(kept, [F.col("fkey")], bucket, (), "rn")
     words = numbered.select("word", (F.col("rn") + len(RESERVED_TOKENS) - 1).cast("int").alias("idx"))
     return reserved_vocab(clauses.sparkSession).unionByName(words)
@@ -100,8 +86,3 @@ def corpus_stats(clauses: DataFrame) -> DataFrame:
 
 def category_sizes(clauses: DataFrame) -> DataFrame:
     return clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-
-
-def id_to_word(vocab: DataFrame) -> DataFrame:
-    """Inverse map: same table keyed by idx."""
-    return vocab.select("idx", "word")

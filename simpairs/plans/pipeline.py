@@ -50,7 +50,7 @@ def run(spark: SparkSession, clauses: DataFrame, out_dir: str, cfg: PairConfig =
     split = spl.stratified_split(pairs, "pair_id", "label", cfg)
     split = written_table(split, "split")
     test = split.where(F.col("split") == "test")
-    evaluated = smp.hash_sample(test, "pair_id", cfg.max_eval_samples, cfg.seed, "eval")
+    evaluated = test if cfg.max_eval_samples is None else smp.hash_sample(test, "pair_id", cfg.max_eval_samples, cfg.seed, "eval")
     if scorer is not None:
         seqs = enc.prepare_pairs(evaluated, clauses, vocab, cfg.max_seq_length)
         art.save_pairs(seqs, out, cfg)
@@ -59,8 +59,7 @@ def run(spark: SparkSession, clauses: DataFrame, out_dir: str, cfg: PairConfig =
         scored = sc.to_scored(fe.jaccard_scores(evaluated, clauses), model_name, cfg.threshold)
     scored = written_table(scored, "scored")
     metrics = me.evaluate(scored)
-    texts = pr.attach_texts(evaluated, clauses)
-    examples = ex.qualitative_examples(scored, texts, cfg.num_examples)
+    examples = ex.qualitative_examples(scored, evaluated, clauses, cfg.num_examples)
     art.write_examples_csv(examples, f"{out}/examples")
     sizes = rp.split_counts(split, model_name)
     results = rp.model_comparison(metrics, sizes, cfg, vocab.select(F.count(F.lit(1))).scalar())

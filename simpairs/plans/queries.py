@@ -27,8 +27,8 @@ from simpairs.operators import sampling as smp
 from simpairs.operators import split as spl
 from simpairs.operators import vocab as voc
 from simpairs.plans import sqlfrag as q
-from simpairs.sources.shared import checkpointed, written_table
-from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, spread_small_input, table
+from simpairs.sources.shared import checkpointed
+from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,26 +94,14 @@ def canon(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- shared inputs
 
-def doc_base(spark, sf) -> DataFrame:
-    """Cleaned documents (lang, source, doc_id, clause), written once per query; every
-    category view and every branch reads it pruned."""
-    def build():
-        docs = spread_small_input(table(spark, sf, "documents").select("lang", "source", "doc_id", "text"), "doc_id")
-        return written_table(clean_clauses(docs, "text", CFG.null_policy).select("lang", "source", "doc_id", "clause"),
-                             "clauses")
-    return memo(("docbase", sf), build)
-
-
 def doc_clauses(spark, sf, category=SMALL_CATS) -> DataFrame:
-    """clauses(category, clause_id, clause) for a category expression over lang / source."""
-    return doc_base(spark, sf).select(F.expr(category).cast("string").alias("category"),
-                                      F.col("doc_id").alias("clause_id"), "clause")
+    """clauses(category, clause_id, clause) for a category expression over lang / source. Lazy: a query that
+    needs no text does not read it."""
+    return document_clauses(spark, sf, category, CFG.null_policy)
 
 
 def doc_vocab(spark, sf) -> DataFrame:
-    """The saved vocabulary (as the reference saves it); read back with real statistics."""
-    return memo(("vocab", sf), lambda: written_table(
-        voc.build_vocabulary(doc_clauses(spark, sf, "lang"), CFG.min_freq), "vocab"))
+    return memo(("vocab", sf), lambda: voc.build_vocabulary(doc_clauses(spark, sf, "lang"), CFG.min_freq))
 
 
 def conv_texts(spark, sf) -> DataFrame:
@@ -139,7 +127,7 @@ C_CONV = ("cv AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR
 VOCAB_LANG = C_LANG + ",\n" + q.vocab_ctes("c", CFG.min_freq)
 
 
-def positives_sql(src: str = "c", name: str = "pos") -> str:
+def sample_positives_sql(src: str = "c", name: str = "pos") -> str:
     return f"""{name}_sz AS (SELECT category, count(*) AS n FROM {src} GROUP BY category),
 {name}_s AS (SELECT category, clause_id, r - 1 AS spos, least(n, {CFG.sample_size}) AS m FROM (
   SELECT x.category, x.clause_id, z.n, row_number() OVER (PARTITION BY x.category ORDER BY
@@ -148,14 +136,33 @@ def positives_sql(src: str = "c", name: str = "pos") -> str:
   WHERE r <= CASE WHEN n > {CFG.sample_threshold} THEN {CFG.sample_size} ELSE n END),
 {name} AS (SELECT a.category, a.clause_id AS id1, b.clause_id AS id2 FROM {name}_s a JOIN {name}_s b
   ON a.category = b.category AND a.spos < b.spos
-  WHERE a.spos * (2 * a.m - a.spos - 1) // 2 + (b.spos - a.spos - 1) < {CFG.max_pairs_per_category})"""
+  WHERE a.spos * (2 * a.m - a.spos - 1) // 2 + (b.spos - a.spos - 1) < {CFG.sample_pairs})"""
+
+
+def positives_sql(src: str = "c", name: str = "pos", per: int | None = CFG.pairs_per_category) -> str:
+    """Ranks drawn over all pairs of each category, unranked, looked up by position."""
+    want = "n" if per is None else str(per)
+    return f"""{name}_sz AS (SELECT category, n, total, least({want}, total) AS q FROM
+  (SELECT category, count(*) AS n, (count(*) * (count(*) - 1)) // 2 AS total FROM {src} GROUP BY category)),
+{name}_k AS (SELECT category, total, q, unnest(range(q)) AS k FROM {name}_sz WHERE q > 0),
+{name}_r AS (SELECT category, k * (total // q) + least(k, total % q) + {q.h('pos', "(category || ':' || k)")}
+  % (total // q + CASE WHEN k < total % q THEN 1 ELSE 0 END) AS r FROM {name}_k),
+{name}_g AS (SELECT category, r, CAST(floor((sqrt(CAST(r AS DOUBLE) * 8 + 1) + 1) / 2) AS BIGINT) AS g FROM {name}_r),
+{name}_j AS (SELECT category, r, CASE WHEN g * (g - 1) // 2 > r THEN g - 1 WHEN (g + 1) * g // 2 <= r THEN g + 1 ELSE g END AS j
+  FROM {name}_g),
+{name}_rn AS (SELECT category, clause_id, row_number() OVER (PARTITION BY category
+  ORDER BY {q.h('row', 'clause_id')}, clause_id) - 1 AS rw FROM {src}),
+{name} AS (SELECT p.category, x.clause_id AS id1, y.clause_id AS id2 FROM {name}_j p
+  JOIN {name}_rn x ON x.category = p.category AND x.rw = p.r - p.j * (p.j - 1) // 2
+  JOIN {name}_rn y ON y.category = p.category AND y.rw = p.j)"""
 
 
-def negatives_sql(src: str = "c", pos: str = "pos", name: str = "neg") -> str:
+def negatives_sql(src: str = "c", pos: str = "pos", name: str = "neg", draws: int | None = None) -> str:
+    n = f"(SELECT count(*) FROM {pos})" if draws is None else str(draws)
     return f"""{name}_cats AS (SELECT category, count(*) AS n, row_number() OVER (ORDER BY category) - 1 AS cat_rank
   FROM {src} GROUP BY category),
 {name}_d1 AS (SELECT range AS draw_id, {q.h('neg_c1', 'range')} % k.nc AS ci, {q.h('neg_c2', 'range')} % (k.nc - 1) AS cj0
-  FROM range((SELECT least(count(*), {CFG.max_negative}) FROM {pos})),
+  FROM range({n}),
        (SELECT count(*) AS nc FROM {name}_cats) k),
 {name}_d2 AS (SELECT draw_id, least(ci, cj) AS r1, greatest(ci, cj) AS r2 FROM
   (SELECT *, cj0 + CASE WHEN cj0 >= ci THEN 1 ELSE 0 END AS cj FROM {name}_d1)),
@@ -302,34 +309,34 @@ def _oov_guard(spark, sf):
 
 # ---------------------------------------------------------------- pairs
 
-@register("positive_pairs_small", f"WITH {C_SMALL},\n{positives_sql('c', 'pos')} SELECT category, id1, id2 FROM pos")
+@register("positive_pairs_small", f"WITH {C_SMALL},\n{sample_positives_sql('c', 'pos')} SELECT category, id1, id2 FROM pos")
 def _positive_pairs_small(spark, sf):
-    return canon(pr.positive_pairs(doc_clauses(spark, sf), CFG))
+    return canon(pr.sample_positive_pairs(doc_clauses(spark, sf), CFG))
 
 
-@register("positive_pairs_boundary", f"WITH {q.clauses_cte('source', 'c')},\n{positives_sql('c', 'pos')} "
+@register("positive_pairs_boundary", f"WITH {q.clauses_cte('source', 'c')},\n{sample_positives_sql('c', 'pos')} "
           "SELECT category, id1, id2 FROM pos")
 def _positive_pairs_boundary(spark, sf):
-    return canon(pr.positive_pairs(doc_clauses(spark, sf, "source"), CFG))
+    return canon(pr.sample_positive_pairs(doc_clauses(spark, sf, "source"), CFG))
 
 
-@register("positive_pairs_large", f"WITH {C_LANG},\n{positives_sql('c', 'pos')} SELECT category, id1, id2 FROM pos")
+@register("positive_pairs_large", f"WITH {C_LANG},\n{sample_positives_sql('c', 'pos')} SELECT category, id1, id2 FROM pos")
 def _positive_pairs_large(spark, sf):
-    return canon(pr.positive_pairs(doc_clauses(spark, sf, "lang"), CFG))
+    return canon(pr.sample_positive_pairs(doc_clauses(spark, sf, "lang"), CFG))
 
 
 E_ITEMS = "e AS (SELECT CAST(label AS VARCHAR) AS category, vec_id AS clause_id FROM embeddings)"
 
 
-@register("positive_pairs_embeddings", f"WITH {E_ITEMS},\n{positives_sql('e', 'pos')} SELECT category, id1, id2 FROM pos")
+@register("positive_pairs_embeddings", f"WITH {E_ITEMS},\n{sample_positives_sql('e', 'pos')} SELECT category, id1, id2 FROM pos")
 def _positive_pairs_embeddings(spark, sf):
-    return canon(pr.positive_pairs(embedding_items(spark, sf).select("category", "clause_id"), CFG))
+    return canon(pr.sample_positive_pairs(embedding_items(spark, sf).select("category", "clause_id"), CFG))
 
 
-@register("positive_counts", f"""WITH {C_SMALL},\n{positives_sql('c', 'pos')}
+@register("positive_counts", f"""WITH {C_SMALL},\n{sample_positives_sql('c', 'pos')}
 SELECT category, count(*) AS n FROM pos GROUP BY category""")
 def _positive_counts(spark, sf):
-    return canon(pr.positive_pairs(doc_clauses(spark, sf), CFG).groupBy("category")
+    return canon(pr.sample_positive_pairs(doc_clauses(spark, sf), CFG).groupBy("category")
                  .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -343,7 +350,18 @@ def _category_pairs(spark, sf):
 SELECT draw_id, cat1, cat2, id1, id2 FROM neg""")
 def _negative_pairs(spark, sf):
     c = doc_clauses(spark, sf)
-    return canon(pr.negative_pairs(c, CFG, pr.negative_count(c, CFG)))
+    return canon(pr.negative_pairs(c, CFG))
+
+
+@register("positive_pairs_hash", f"WITH {C_LANG},\n{positives_sql('c', 'pos', 5000)} SELECT category, id1, id2 FROM pos")
+def _positive_pairs_hash(spark, sf):
+    return canon(pr.positive_pairs(doc_clauses(spark, sf, "lang"), PairConfig(pairs_per_category=5000)))
+
+
+@register("negative_pairs_many", f"""WITH {C_LANG},\n{negatives_sql('c', 'none', 'neg', 250_000)}
+SELECT draw_id, cat1, cat2, id1, id2 FROM neg""")
+def _negative_pairs_many(spark, sf):
+    return canon(pr.negative_pairs(doc_clauses(spark, sf, "lang"), CFG, 250_000))
 
 
 @register("labelled_pairs", f"WITH {C_SMALL},\n{labelled_sql('c', 'lp')} SELECT pair_id, id1, id2, CAST(label AS BIGINT) AS label FROM lp")
@@ -356,11 +374,11 @@ def _pair_label_counts(spark, sf):
     return canon(pr.pair_label_counts(doc_pairs(spark, sf)))
 
 
-@register("positive_cap", f"""WITH {C_LANG},\n{positives_sql('c', 'pos')},
+@register("positive_cap", f"""WITH {C_LANG},\n{positives_sql('c', 'pos', 2000)},
 k AS (SELECT id1, id2, row_number() OVER (ORDER BY {q.h('cap', "'1:' || id1 || ':' || id2")}, '1:' || id1 || ':' || id2) AS r FROM pos)
 SELECT id1, id2 FROM k WHERE r <= 1000""")
 def _positive_cap(spark, sf):
-    cfg = PairConfig(num_positive=1000)
+    cfg = PairConfig(num_positive=1000, pairs_per_category=2000)
     return canon(pr.cap_positives(pr.positive_pairs(doc_clauses(spark, sf, "lang"), cfg), cfg).select("id1", "id2"))
 
 
@@ -399,7 +417,8 @@ tr AS (SELECT o_orderkey, row_number() OVER (ORDER BY {q.h('subset', 'o_orderkey
 SELECT o_orderkey FROM tr WHERE r <= (SELECT floor(count(*) * {CFG.train_fraction!r}) FROM tr)""")
 def _train_subset(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    tr = spl.stratified_split(o, "o_orderkey", "o_orderstatus", CFG).where("split = 'train'")
+    # read several times below (count, bucket sizes, rows): the split is made once
+    tr = checkpointed(spl.stratified_split(o, "o_orderkey", "o_orderstatus", CFG).where("split = 'train'").select("o_orderkey"))
     return canon(smp.fraction_sample(tr, "o_orderkey", CFG.train_fraction, CFG.seed, "subset").select("o_orderkey"))
 
 
@@ -409,18 +428,21 @@ te AS (SELECT o_orderkey, row_number() OVER (ORDER BY {q.h(tag, 'o_orderkey')},
 SELECT o_orderkey FROM te WHERE r <= {k}"""
 
 
-@register("eval_subset", _subset_sql("eval", CFG.max_eval_samples))
+EVAL_ROWS, QUALITATIVE_ROWS = 1_000, 2_000   # the subset operators' argument; both bind at sf0.01
+
+
+@register("eval_subset", _subset_sql("eval", EVAL_ROWS))
 def _eval_subset(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     te = spl.stratified_split(o, "o_orderkey", "o_orderstatus", CFG).where("split = 'test'")
-    return canon(smp.hash_sample(te, "o_orderkey", CFG.max_eval_samples, CFG.seed, "eval").select("o_orderkey"))
+    return canon(smp.hash_sample(te, "o_orderkey", EVAL_ROWS, CFG.seed, "eval").select("o_orderkey"))
 
 
-@register("qualitative_subset", _subset_sql("qual", CFG.max_qualitative_samples))
+@register("qualitative_subset", _subset_sql("qual", QUALITATIVE_ROWS))
 def _qualitative_subset(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     te = spl.stratified_split(o, "o_orderkey", "o_orderstatus", CFG).where("split = 'test'")
-    return canon(smp.hash_sample(te, "o_orderkey", CFG.max_qualitative_samples, CFG.seed, "qual").select("o_orderkey"))
+    return canon(smp.hash_sample(te, "o_orderkey", QUALITATIVE_ROWS, CFG.seed, "qual").select("o_orderkey"))
 
 
 # ---------------------------------------------------------------- prepared model inputs
@@ -627,10 +649,6 @@ def _class_report(spark, sf):
     return canon(me.class_report(scored_all(spark, sf)))
 
 
-def doc_pairs_text(spark, sf):
-    return pr.attach_texts(doc_pairs(spark, sf), doc_clauses(spark, sf))
-
-
 def _ell(x: str) -> str:
     return f"CASE WHEN length({x}) > 150 THEN substr({x}, 1, 150) || '...' ELSE {x} END"
 
@@ -648,13 +666,13 @@ exs AS (SELECT top.model, top.pair_id, {_ell('a.clause')} AS clause1, {_ell('b.c
 
 @register("qualitative_examples", f"WITH {_examples_sql(CFG.num_examples)} SELECT * FROM exs")
 def _qualitative_examples(spark, sf):
-    return canon(ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs_text(spark, sf), CFG.num_examples))
+    return canon(ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs(spark, sf), doc_clauses(spark, sf), CFG.num_examples))
 
 
 @register("report_examples", f"WITH {_examples_sql(5)} SELECT model, pair_id, clause1, clause2, true_label, "
           "predicted_label, probability FROM exs")
 def _report_examples(spark, sf):
-    e = ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs_text(spark, sf), CFG.num_examples)
+    e = ex.qualitative_examples(scored_jaccard(spark, sf), doc_pairs(spark, sf), doc_clauses(spark, sf), CFG.num_examples)
     return canon(ex.report_examples(e, 5))
 
 
@@ -901,7 +919,7 @@ def _train_classifier(spark, sf):
     items = emb_items(spark, sf)
     feats = fe.attach_vectors(emb_pairs(spark, sf), items).select(
         "pair_id", "label", pair_features("e1", "e2").alias("features"))
-    s = written_table(spl.stratified_split(feats, "pair_id", "label", CFG), "features")
+    s = checkpointed(spl.stratified_split(feats, "pair_id", "label", CFG))
     model, _ = sc.train_classifier(s.where("split = 'train'"), s.where("split = 'val'"), 256, CFG,
                                    epochs=3, iters_per_epoch=10)
     return canon(sc.classifier_scores(model, s.where("split = 'test'"), "mlp", CFG))

@@ -16,19 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan by `key` when it has fewer input files than the session's task
-    slots (a single-row-group file is read by one task). A large input has many more files
-    than slots and is left as it is, so this never adds a shuffle at scale."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext in this client (e.g. Spark Connect): leave the plan as it is
-        return df
-    if len(df.inputFiles()) >= slots:
-        return df
-    return df.repartition(slots, key)
-
-
 def clean_clauses(df: DataFrame, text_col: str, null_policy: str = "literal_nan") -> DataFrame:
     """Apply the null policy and the cleaning chain to `text_col` -> `clause`."""
     if null_policy == "drop":
@@ -46,7 +33,6 @@ def document_clauses(
 ) -> DataFrame:
     """documents -> clauses(category, clause_id, clause); category is any SQL expression."""
     docs = table(spark, sf_dir, "documents")
-    docs = spread_small_input(docs.select("lang", "source", "doc_id", "text"), "doc_id")
     df = docs.select(F.expr(category_expr).cast("string").alias("category"),
                      F.col("doc_id").alias("clause_id"), "text")
     return clean_clauses(df, "text", null_policy).select("category", "clause_id", "clause")
