@@ -61,25 +61,36 @@ def max_pool(df: DataFrame, group_cols: list[str], vec_col: str, out: str = "poo
     return g.select(*group_cols, vector_to_array("__m").alias(out))
 
 
+def init_vectors(vocab: DataFrame, dim: int = 8, seed: int = 42) -> DataFrame:
+    """(idx, vector): an untrained embedding table with one vector for every vocabulary id, each entry uniform in
+    [-0.05, 0.05) by keyed hash of (id, dimension)."""
+    from simpairs.functions.hashing import keyed_hash
+    entry = lambda d: (keyed_hash(seed, "emb", F.concat_ws(":", "idx", F.lit(str(d)))) % 100_000 / 100_000.0 - 0.5) / 10.0
+    return vocab.select("idx", F.array(*[entry(d) for d in range(dim)]).alias("vector"))
+
+
 def clause_encoding(encoded: DataFrame, token_vectors: DataFrame, include_padding: bool = False,
                     id_col: str = "clause_id") -> DataFrame:
-    """Token ids -> token vectors (equi lookup) -> max pool per clause.
-    token_vectors(idx, vector DOUBLE[]). Ids without a vector are skipped."""
-    e = encoded.select(id_col, F.explode("seq").alias("idx"))
+    """Token ids -> token vectors (equi lookup) -> max pool per clause, one row per clause; the encoding is null
+    for a clause none of whose ids has a vector. token_vectors(idx, vector DOUBLE[]). The maximum does not
+    change with repetition, so each clause looks up its distinct ids only."""
+    e = encoded.select(id_col, F.explode(F.array_distinct("seq")).alias("idx"))
     if not include_padding:
         e = e.where(F.col("idx") != 0)
-    j = e.join(token_vectors, "idx")
-    return max_pool(j, [id_col], "vector", "encoding")
+    pooled = max_pool(e.join(token_vectors, "idx"), [id_col], "vector", "encoding")
+    return encoded.select(id_col).join(pooled, id_col, "left")
 
 
 def word_vectors(clauses: DataFrame, vocab: DataFrame, cfg: PairConfig = PairConfig(), vector_size: int = 32,
-                 num_partitions: int = 1, max_iter: int = 1) -> DataFrame:
-    """From-scratch word vectors (MLlib Word2Vec) keyed by vocabulary id: (idx, word, vector)."""
+                 num_partitions: int | None = None, max_iter: int = 1) -> DataFrame:
+    """From-scratch word vectors (MLlib Word2Vec) keyed by vocabulary id: (idx, word, vector). Trained in
+    `num_partitions` tasks, by default the session's shuffle partitions (the setting that follows the data)."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
+    parts = num_partitions or max(2, int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     docs = clauses.select(tokenize("clause").alias("tokens"))
     w2v = Word2Vec(vectorSize=vector_size, minCount=cfg.min_freq, seed=cfg.seed, inputCol="tokens",
-                   numPartitions=num_partitions, maxIter=max_iter)
+                   numPartitions=parts, maxIter=max_iter)
     model = w2v.fit(docs)
     vecs = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
     return vocab.join(vecs, "word").select("idx", "word", "vector")

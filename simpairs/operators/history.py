@@ -70,7 +70,7 @@ def history_from_batch_log(batch_log: DataFrame) -> DataFrame:
 def normalise_history(df: DataFrame) -> DataFrame:
     """Accept either key set (loss/accuracy or train_loss/train_accuracy); missing -> null."""
     def col(name):
-        return F.col(name) if name in df.columns else F.lit(None).cast("double")
+        return F.col(name).cast("double") if name in df.columns else F.lit(None).cast("double")
     extra = [c for c in ("model",) if c in df.columns]
     return df.select(*extra, "run", "epoch", F.coalesce(col("loss"), col("train_loss")).alias("loss"),
                      F.coalesce(col("accuracy"), col("train_accuracy")).alias("accuracy"),
@@ -174,7 +174,7 @@ def lr_schedule(history: DataFrame, lr0: float = 0.001, factor: float = 0.5, pat
     is multiplied by `factor` (not below `min_lr`) and the counter restarts."""
     g = _epochs(history, "val_loss")
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("wait"), F.lit(float(lr0)).alias("lr"),
-                    F.array().cast("array<double>").alias("lrs"))
+                    F.array().cast("array<struct<epoch:int,lr:double>>").alias("lrs"))
 
     def step(acc, x):
         cur = x["val_loss"]
@@ -184,10 +184,10 @@ def lr_schedule(history: DataFrame, lr0: float = 0.001, factor: float = 0.5, pat
         return F.struct(F.when(better, cur).otherwise(acc["best"]).alias("best"),
                         F.when(cut, F.lit(0)).otherwise(wait1).alias("wait"),
                         F.when(cut, F.greatest(acc["lr"] * F.lit(factor), F.lit(min_lr))).otherwise(acc["lr"]).alias("lr"),
-                        F.concat(acc["lrs"], F.array(acc["lr"])).alias("lrs"))
+                        F.concat(acc["lrs"], F.array(F.struct(x["epoch"].cast("int").alias("epoch"), acc["lr"].alias("lr")))).alias("lrs"))
 
     s = g.select("run", F.aggregate("eps", init, step)["lrs"].alias("lrs"))
-    return s.select("run", F.posexplode("lrs").alias("epoch", "lr"))
+    return s.select("run", F.explode("lrs").alias("x")).select("run", "x.epoch", "x.lr")
 
 
 def best_epoch(history: DataFrame) -> DataFrame:
@@ -200,13 +200,17 @@ def best_epoch(history: DataFrame) -> DataFrame:
 
 
 def history_columnar(history: DataFrame) -> DataFrame:
-    """One row per run with one epoch-ordered list per metric (the JSON history layout)."""
+    """One row per run with one epoch-ordered list per metric (the JSON history layout), and the epoch numbers.
+    A run's epochs, as many as training was configured for, are gathered in one row."""
     g = history.groupBy("run").agg(F.array_sort(F.collect_list(F.struct(*HISTORY_COLS[1:]))).alias("h"))
-    return g.select("run", *[F.col("h")[c].alias(c) for c in HISTORY_COLS[2:]])
+    return g.select("run", *[F.col("h")[c].alias(c) for c in HISTORY_COLS[1:]])
 
 
 def history_from_columnar(df: DataFrame) -> DataFrame:
-    """Inverse of history_columnar: zip the metric lists, one row per epoch."""
-    metrics = [c for c in HISTORY_COLS[2:] if c in df.columns]
-    z = df.select("run", F.posexplode(F.arrays_zip(*[F.col(c) for c in metrics])).alias("epoch", "m"))
-    return z.select("run", "epoch", *[F.col("m")[c].alias(c) for c in metrics])
+    """Inverse of history_columnar: zip the metric lists, one row per epoch. Either key set is accepted; without
+    an `epoch` list epochs are numbered by position from 0."""
+    names = [c for c in [*HISTORY_COLS[2:], "train_loss", "train_accuracy"] if c in df.columns]
+    lists = (["epoch"] if "epoch" in df.columns else []) + names
+    z = df.select("run", F.posexplode(F.arrays_zip(*[F.col(c) for c in lists])).alias("__at", "m"))
+    epoch = F.col("m")["epoch"] if "epoch" in df.columns else F.col("__at")
+    return normalise_history(z.select("run", epoch.cast("int").alias("epoch"), *[F.col("m")[c].cast("double").alias(c) for c in names]))

@@ -73,9 +73,13 @@ def throughput(timing: DataFrame) -> DataFrame:
     return timing.withColumn("samples_per_s", F.when(F.col("eval_s") > 0, F.col("n") / F.col("eval_s")))
 
 
+def _f2(c: F.Column) -> F.Column:
+    # format_string prints a null as text, so nulls are kept out of it
+    return F.when(c.isNotNull(), F.format_string("%.2f", F.floor(c * 100 + 0.5) / 100))
+
+
 def accuracy_time_table(metrics: DataFrame, timing: DataFrame) -> DataFrame:
-    """Accuracy next to evaluation time and throughput; models without timing keep nulls."""
-    t = F.format_string("%.2f", F.floor(F.col("eval_s") * 100 + 0.5) / 100)
+    """Accuracy, F1, ROC-AUC and PR-AUC next to evaluation time and throughput; models without timing keep nulls."""
     return metrics.join(timing, "model", "left").select(
-        "model", _f4(F.col("accuracy")).alias("accuracy"), t.alias("eval_seconds"),
-        F.format_string("%.2f", F.col("samples_per_s")).alias("samples_per_second"))
+        "model", *[_f4(F.col(c)).alias(c) for c in ("accuracy", "f1_score", "roc_auc", "pr_auc")],
+        _f2(F.col("eval_s")).alias("eval_seconds"), _f2(F.col("samples_per_s")).alias("samples_per_second"))

@@ -36,63 +36,74 @@ def to_scored(df: DataFrame, model: str, t: float = 0.5, prob_col: str = "probab
                      clip01(p).alias("probability")).withColumn("predicted", threshold("probability", t))
 
 
-def batch_score(pair_seq: DataFrame, scorer: Callable, model: str, cfg: PairConfig = PairConfig(),
+def batch_score(pair_seq: DataFrame, factory: Callable[[], Callable], model: str, cfg: PairConfig = PairConfig(),
                 input_kind: str = "probability", batch_size: int | None = None) -> DataFrame:
-    """Pluggable scorer: `scorer(seq1: np.ndarray[n, L], seq2: np.ndarray[n, L]) -> np.ndarray[n]`
-    runs on Arrow batches inside the executors (model loading belongs inside `scorer`).
-    Result goes through the same clip/threshold as every other model."""
+    """Pluggable scorer. `factory()` runs once per task (load the model there) and returns
+    `scorer(seq1: np.ndarray[n, L], seq2: np.ndarray[n, L]) -> np.ndarray[n]`, which is called with at most
+    `batch_size` rows (default: the Arrow batch). A result of another length raises. It
+    goes through the same clip/threshold as every other model."""
     import numpy as np
     _ship_by_value()
 
     def run(batches):
         import pandas as pd
+        scorer = None
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            s1 = np.stack(pdf["seq1"].to_numpy()) if len(pdf) else np.zeros((0, 0))
-            s2 = np.stack(pdf["seq2"].to_numpy()) if len(pdf) else np.zeros((0, 0))
-            out = np.asarray(scorer(s1, s2), dtype="float64").reshape(-1)
-            yield pd.DataFrame({"pair_id": pdf["pair_id"].to_numpy(), "label": pdf["label"].to_numpy(),
-                                "raw": out})
-
-    if batch_size:
-        pair_seq.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
+            for at in range(0, len(pdf), batch_size or max(1, len(pdf))):
+                part = pdf.iloc[at:at + (batch_size or len(pdf))]
+                scorer = scorer or factory()
+                out = np.asarray(scorer(np.stack(part["seq1"].to_numpy()), np.stack(part["seq2"].to_numpy())), dtype="float64")
+                if out.shape not in ((len(part),), (len(part), 1)):
+                    raise ValueError(f"scorer returned shape {out.shape} for {len(part)} pairs")
+                yield pd.DataFrame({"pair_id": part["pair_id"].to_numpy(), "label": part["label"].to_numpy(), "raw": out.reshape(-1)})
+
     raw = pair_seq.select("pair_id", "seq1", "seq2", "label").mapInPandas(
         run, "pair_id long, label int, raw double")
     return to_scored(raw, model, cfg.threshold, "raw", input_kind)
 
 
 def train_classifier(train: DataFrame, val: DataFrame, n_features: int, cfg: PairConfig = PairConfig(),
-                     epochs: int = 5, iters_per_epoch: int = 20, hidden=(64, 32), features_col: str = "features"):
-    """MLlib MLP on pair features (dense 64 -> 32 -> 2), warm-started epoch by epoch.
-    Returns (best_model, history rows as a list of dicts, one per epoch)."""
+                     epochs: int | None = None, iters_per_epoch: int = 20, hidden=(64, 32), features_col: str = "features",
+                     target: float = 0.995, patience: int = 5):
+    """MLlib MLP on pair features (dense 64 -> 32 -> 2; L-BFGS, so the learning rate is not used), warm-started
+    epoch by epoch. After each epoch the plateau and early-stop rules of `history` are applied to
+    the log; training ends when one fires or after `epochs`.
+    Returns (best model by validation accuracy, history(run, epoch, loss, accuracy, val_loss, val_accuracy))."""
     from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from simpairs.functions.scoring import bce
+    from simpairs.operators import history as hi
 
     def prep(d):
         return d.select(array_to_vector(F.col(features_col).cast("array<double>")).alias("features"),
                         F.col("label").cast("double").alias("label"))
 
+    spark = train.sparkSession
     tr, va = prep(train).cache(), prep(val).cache()
-    layers = [n_features, *hidden, 2]
-    history, weights, best, best_acc = [], None, None, -1.0
-    for epoch in range(epochs):
-        mlp = MultilayerPerceptronClassifier(layers=layers, seed=cfg.seed, maxIter=iters_per_epoch,
-                                             stepSize=cfg.learning_rate, blockSize=128)
+    rows, weights, best, best_acc = [], None, None, -1.0
+    log = None
+    for epoch in range(cfg.epochs if epochs is None else epochs):
+        mlp = MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], seed=cfg.seed, maxIter=iters_per_epoch, blockSize=128)
         if weights is not None:
             mlp.setInitialWeights(weights)
         model = mlp.fit(tr)
         weights = model.weights
-        accs = []
+        seen = []
         for d in (tr, va):
-            pr = model.transform(d).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a"))
-            accs.append(pr.first()["a"] or 0.0)
-        history.append({"epoch": epoch, "accuracy": accs[0], "val_accuracy": accs[1]})
-        if accs[1] > best_acc:
-            best, best_acc = model, accs[1]
+            p = model.transform(d).select("label", "prediction", vector_to_array("probability")[1].alias("p"))
+            m = p.agg(F.avg(bce("label", "p")).alias("loss"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")).first()
+            seen += [m["loss"], m["acc"] or 0.0]
+        rows.append((0, epoch, *seen))
+        if seen[3] > best_acc:
+            best, best_acc = model, seen[3]
+        log = spark.createDataFrame(rows, "run long, epoch int, loss double, accuracy double, val_loss double, val_accuracy double")
+        if (hi.plateau_stop_torch(log, target=target).first()["reason"] != "completed"
+                or hi.early_stop_loss(log, patience).first()["stop_epoch"] is not None):
+            break
     tr.unpersist()
     va.unpersist()
-    return best, history
+    return best, log
 
 
 def classifier_scores(model, pairs: DataFrame, name: str, cfg: PairConfig = PairConfig(),

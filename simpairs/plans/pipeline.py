@@ -6,6 +6,7 @@ keeps (vocabulary, prepared pairs, scored rows, reports), each once.
 """
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +23,6 @@ from simpairs.operators import report as rp
 from simpairs.operators import sampling as smp
 from simpairs.operators import score as sc
 from simpairs.operators import split as spl
-from simpairs.operators import vocab as voc
 from simpairs.sources import artifacts as art
 from simpairs.sources.shared import written_table
 
@@ -41,24 +41,28 @@ class RunResult:
 
 def run(spark: SparkSession, clauses: DataFrame, out_dir: str, cfg: PairConfig = PairConfig(),
         scorer: Callable | None = None, model_name: str = "model") -> RunResult:
-    """`scorer(seq1, seq2) -> probabilities` (numpy, per Arrow batch) scores the encoded
-    pairs; without one the token-Jaccard test scorer is used."""
+    """`scorer` is a factory for `batch_score` (called once per task); without one the token-Jaccard test
+    scorer is used. The whole test split is evaluated unless `cfg.max_eval_samples` says otherwise."""
     out = out_dir.rstrip("/")
     clauses = written_table(clauses, "clauses")
-    vocab = art.load_or_build(spark, f"{out}/vocab", lambda: voc.build_vocabulary(clauses, cfg.min_freq))
+    source = art.input_fingerprint(clauses)
+    vocab = art.load_or_build_vocab(spark, out, clauses, cfg.min_freq, source)
     pairs = pr.labelled_pairs(clauses, cfg)
-    split = spl.stratified_split(pairs, "pair_id", "label", cfg)
-    split = written_table(split, "split")
+    split = written_table(spl.stratified_split(pairs, "pair_id", "label", cfg), "split")
     test = split.where(F.col("split") == "test")
     evaluated = test if cfg.max_eval_samples is None else smp.hash_sample(test, "pair_id", cfg.max_eval_samples, cfg.seed, "eval")
     if scorer is not None:
-        seqs = enc.prepare_pairs(evaluated, clauses, vocab, cfg.max_seq_length)
-        art.save_pairs(seqs, out, cfg)
+        seqs = art.load_or_build_pairs(spark, out, cfg, lambda: enc.prepare_pairs(evaluated, clauses, vocab, cfg.max_seq_length),
+                                       vocab.count(), source)
         scored = sc.batch_score(seqs, scorer, model_name, cfg)
     else:
         scored = sc.to_scored(fe.jaccard_scores(evaluated, clauses), model_name, cfg.threshold)
+    start = time.time()
     scored = written_table(scored, "scored")
+    seconds = time.time() - start
     metrics = me.evaluate(scored)
+    timing = rp.throughput(spark.createDataFrame([(model_name, seconds, scored.count())], "model string, eval_s double, n long"))
+    art.write_report_csv(rp.accuracy_time_table(metrics, timing), f"{out}/accuracy_time")
     examples = ex.qualitative_examples(scored, evaluated, clauses, cfg.num_examples)
     art.write_examples_csv(examples, f"{out}/examples")
     sizes = rp.split_counts(split, model_name)

@@ -508,18 +508,13 @@ def scored_all(spark, sf):
 
 
 @register("pair_features", f"""WITH {EMB_PAIRS},
-f AS (SELECT ep.pair_id, list_concat(a.v, b.v, {_zip('a.v', 'b.v', 'abs(X - Y)')}, {_zip('a.v', 'b.v', 'X * Y')}) AS feat,
-  {_zip('a.v', 'b.v', 'abs(X - Y)')} AS ad, {_zip('a.v', 'b.v', 'X * Y')} AS pr
-  FROM ep JOIN ev a ON a.clause_id = ep.id1 JOIN ev b ON b.clause_id = ep.id2)
-SELECT pair_id, CAST(len(feat) AS BIGINT) AS n_features, round({_seqsum('feat')}, 6) AS feature_sum,
-  round({_seqsum('ad')}, 6) AS absdiff_sum, round({_seqsum('pr')}, 6) AS product_sum FROM f""")
+f AS (SELECT ep.pair_id, list_concat(a.v, b.v, {_zip('a.v', 'b.v', 'abs(X - Y)')}, {_zip('a.v', 'b.v', 'X * Y')}) AS feat
+  FROM ep JOIN ev a ON a.clause_id = ep.id1 JOIN ev b ON b.clause_id = ep.id2),
+x AS (SELECT pair_id, unnest(feat) AS v, generate_subscripts(feat, 1) - 1 AS pos FROM f)
+SELECT pair_id, CAST(pos AS BIGINT) AS pos, round(v, 6) AS value FROM x""")
 def _pair_features(spark, sf):
-    from simpairs.functions.arrays import abs_diff, array_sum, elementwise_product
     j = fe.with_pair_features(fe.attach_vectors(emb_pairs(spark, sf), emb_items(spark, sf)))
-    return canon(j.select("pair_id", F.size("features").alias("n_features"),
-                          array_sum("features").alias("feature_sum"),
-                          array_sum(abs_diff("e1", "e2")).alias("absdiff_sum"),
-                          array_sum(elementwise_product("e1", "e2")).alias("product_sum")))
+    return canon(j.select("pair_id", F.posexplode("features").alias("pos", "value")))
 
 
 @register("max_pool", f"""WITH {E_VEC}, x AS (SELECT e.label, unnest(v.v) AS val, generate_subscripts(v.v, 1) - 1 AS dim
@@ -531,17 +526,20 @@ def _max_pool(spark, sf):
     return canon(p.select("label", F.posexplode("pooled").alias("dim", "value")))
 
 
+EMB_DIM = 8
+
+
 @register("clause_encoding", f"""WITH {VOCAB_LANG},
-{q.encode_cte('c', 'vocab', 'enc', L)}, {E_VEC},
-tok AS (SELECT clause_id, unnest(seq) AS idx FROM enc),
-x AS (SELECT t.clause_id, unnest(v.v) AS val, generate_subscripts(v.v, 1) - 1 AS dim FROM tok t
-  JOIN ev v ON v.clause_id = t.idx WHERE t.idx <> 0)
-SELECT clause_id, CAST(dim AS BIGINT) AS dim, round(max(val), 6) AS value FROM x GROUP BY ALL""")
+{q.encode_cte('c', 'vocab', 'enc', None)},
+tok AS (SELECT DISTINCT clause_id, unnest(seq) AS idx FROM enc),
+vec AS (SELECT idx, dim, ({q.h('emb', "(idx || ':' || dim)")} % 100000 / 100000.0::DOUBLE - 0.5::DOUBLE) / 10.0::DOUBLE AS val
+  FROM vocab, (SELECT unnest(range({EMB_DIM})) AS dim)),
+x AS (SELECT clause_id, dim, max(val) AS val FROM tok JOIN vec USING (idx) WHERE idx <> 0 GROUP BY ALL)
+SELECT c.clause_id, CAST(x.dim AS BIGINT) AS dim, round(x.val, 6) AS value FROM c LEFT JOIN x USING (clause_id)""")
 def _clause_encoding(spark, sf):
-    e = enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf), max_len=L)
-    tv = emb_items(spark, sf).select(F.col("clause_id").cast("int").alias("idx"), F.col("embedding").alias("vector"))
-    p = fe.clause_encoding(e, tv)
-    return canon(p.select("clause_id", F.posexplode("encoding").alias("dim", "value")))
+    e = enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf))
+    p = fe.clause_encoding(e, fe.init_vectors(doc_vocab(spark, sf), EMB_DIM, CFG.seed))
+    return canon(p.select("clause_id", F.posexplode_outer("encoding").alias("dim", "value")))
 
 
 @register("cosine_score", f"WITH {EMB_PAIRS},\n{COS_SQL} SELECT pair_id, CAST(label AS BIGINT) AS label, "
@@ -896,16 +894,21 @@ FLAGSHIP = "evaluate_models"
 # ---------------------------------------------------------------- learned models and the scorer surface
 # (no plain-SQL oracle: training is iterative; the driver checks rows only)
 
-def overlap_scorer(seq1, seq2):
-    """Example user scorer for the batch-scoring surface: share of distinct non-PAD ids
-    common to both padded sequences (numpy, one Arrow batch at a time)."""
+def overlap_scorer():
+    """Example factory for the batch-scoring surface: share of distinct non-PAD ids common to both padded
+    sequences, for all rows of a batch at a time."""
     import numpy as np
-    out = np.zeros(len(seq1), dtype="float64")
-    for i in range(len(seq1)):
-        a, b = np.unique(seq1[i][seq1[i] != 0]), np.unique(seq2[i][seq2[i] != 0])
-        u = np.union1d(a, b).size
-        out[i] = np.intersect1d(a, b, assume_unique=True).size / u if u else 0.0
-    return out
+
+    def distinct(x):
+        x = np.sort(x, axis=1)
+        return np.where((x != 0) & np.c_[np.ones(len(x), bool), x[:, 1:] != x[:, :-1]], x, -1)
+
+    def score(seq1, seq2):
+        a, b = distinct(seq1), distinct(seq2)
+        both = ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0)).sum(axis=(1, 2))
+        union = (a > 0).sum(axis=1) + (b > 0).sum(axis=1) - both
+        return np.where(union > 0, both / np.maximum(union, 1), 0.0)
+    return score
 
 
 @register("word_vectors")
@@ -920,12 +923,88 @@ def _train_classifier(spark, sf):
     feats = fe.attach_vectors(emb_pairs(spark, sf), items).select(
         "pair_id", "label", pair_features("e1", "e2").alias("features"))
     s = checkpointed(spl.stratified_split(feats, "pair_id", "label", CFG))
-    model, _ = sc.train_classifier(s.where("split = 'train'"), s.where("split = 'val'"), 256, CFG,
-                                   epochs=3, iters_per_epoch=10)
+    model, _ = sc.train_classifier(s.where("split = 'train'"), s.where("split = 'val'"), 256, CFG)
     return canon(sc.classifier_scores(model, s.where("split = 'test'"), "mlp", CFG))
 
 
-@register("batch_score")
+@register("batch_score", f"""WITH {C_SMALL},\n{labelled_sql('c', 'lp')},
+{q.clauses_cte('lang', 'cl')},\n{q.vocab_ctes('cl', CFG.min_freq)},
+{q.encode_cte('c', 'vocab', 'enc', L)},
+ids AS (SELECT clause_id, list_distinct(list_filter(seq, lambda x: x <> 0)) AS t FROM enc),
+o AS (SELECT lp.pair_id, lp.label, CASE WHEN len(list_distinct(list_concat(a.t, b.t))) > 0
+  THEN len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) ELSE 0.0 END AS p
+  FROM lp JOIN ids a ON a.clause_id = lp.id1 JOIN ids b ON b.clause_id = lp.id2)
+SELECT 'overlap' AS model, pair_id, CAST(label AS BIGINT) AS label, round(p, 6) AS probability,
+  CAST(CASE WHEN p >= {CFG.threshold} THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM o""")
 def _batch_score(spark, sf):
     seqs = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), L)
-    return canon(sc.batch_score(seqs, overlap_scorer, "overlap", CFG))
+    return canon(sc.batch_score(seqs, overlap_scorer, "overlap", CFG, batch_size=256))
+
+
+@register("logit_score", f"""WITH {EMB_PAIRS},
+lg AS (SELECT ep.pair_id, ep.label, {_seqsum(_zip('a.v', 'b.v', 'X * Y'))} AS z
+  FROM ep JOIN ev a ON a.clause_id = ep.id1 JOIN ev b ON b.clause_id = ep.id2),
+s AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-z)) AS p FROM lg)
+SELECT 'dot' AS model, pair_id, CAST(label AS BIGINT) AS label, round(p, 6) AS probability,
+  CAST(CASE WHEN p >= {CFG.threshold} THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM s""")
+def _logit_score(spark, sf):
+    from simpairs.functions.arrays import dot
+    j = fe.attach_vectors(emb_pairs(spark, sf), emb_items(spark, sf))
+    return canon(sc.to_scored(j.select("pair_id", "label", dot("e1", "e2").alias("z")), "dot", CFG.threshold, "z", "logit"))
+
+
+@register("batch_numbers", f"""WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, (rn - 1) // {CFG.batch_size} AS batch, CAST(ceil(n / {CFG.batch_size}) AS BIGINT) AS n_batches FROM r""")
+def _batch_numbers(spark, sf):
+    return canon(smp.batch_numbers(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", CFG.batch_size))
+
+
+@register("epoch_order", f"SELECT o_orderkey, row_number() OVER (ORDER BY {q.h('epoch3', 'o_orderkey')}, o_orderkey) AS place FROM orders")
+def _epoch_order(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey")
+    return canon(smp.hash_rank(o, "o_orderkey", CFG.seed, "epoch3", (), "place"))
+
+
+@register("accuracy_time", f"""WITH {EVAL_SQL}, m AS ({EVAL_SELECT.replace('round(', '(').replace(', 6) AS', ') AS')}),
+tm AS (SELECT CASE source WHEN 'src0' THEN 'cosine' ELSE 'other' END AS model, sum(n_chars) / 1000.0::DOUBLE AS eval_s, count(*) AS n
+  FROM documents WHERE source IN ('src0', 'src1') GROUP BY 1)
+SELECT m.model, {', '.join(f"{_f4_sql('m.' + c)} AS {c}" for c in ('accuracy', 'f1_score', 'roc_auc', 'pr_auc'))},
+  printf('%.2f', floor(tm.eval_s * 100 + 0.5) / 100) AS eval_seconds,
+  printf('%.2f', floor(tm.n / tm.eval_s * 100 + 0.5) / 100) AS samples_per_second FROM m LEFT JOIN tm USING (model)""")
+def _accuracy_time(spark, sf):
+    # a fixed timing table derived from the data: one model has a time, the other none
+    d = table(spark, sf, "documents").where("source IN ('src0', 'src1')")
+    name = F.when(F.col("source") == "src0", "cosine").otherwise("other")
+    timing = d.groupBy(name.alias("model")).agg((F.sum("n_chars") / 1000.0).alias("eval_s"), F.count(F.lit(1)).alias("n"))
+    return canon(rp.accuracy_time_table(me.evaluate(scored_all(spark, sf)), rp.throughput(timing)))
+
+
+# ---------------------------------------------------------------- category CSV sets
+
+def _csv_folder(spark, name: str) -> str:
+    import uuid
+    from simpairs.sources.shared import shared_dir
+    return f"{shared_dir(spark).rstrip('/')}/simpairs-{name}-{uuid.uuid4().hex}"
+
+
+@register("csv_ingest", f"""WITH {C_SMALL}
+SELECT category, (dense_rank() OVER (ORDER BY category) - 1) * 4294967296
+  + row_number() OVER (PARTITION BY category ORDER BY clause_id) - 1 AS clause_id, clause FROM c""")
+def _csv_ingest(spark, sf):
+    from simpairs.sources.csv_corpus import read_category_csvs, write_category_csvs
+    d = table(spark, sf, "documents").select(F.expr(SMALL_CATS).alias("category"), F.col("doc_id").alias("ord"), F.col("text").alias("clause_text"))
+    folder = _csv_folder(spark, "csv")
+    write_category_csvs(d, folder)
+    return canon(read_category_csvs(spark, folder))
+
+
+@register("csv_rejects", """SELECT DISTINCT 'more fields ' || lang || '.csv' AS file_name, 'malformed rows' AS reason FROM documents""")
+def _csv_rejects(spark, sf):
+    from simpairs.sources.csv_corpus import read_category_csvs, write_category_csvs
+    # a sound file per source, and per language one whose rows have a field too many
+    d = table(spark, sf, "documents")
+    folder = _csv_folder(spark, "csv")
+    write_category_csvs(d.select(F.col("source").alias("category"), F.col("doc_id").alias("ord"), F.col("text").alias("clause_text")), folder)
+    write_category_csvs(d.select(F.concat(F.lit("more fields "), "lang").alias("category"), F.col("doc_id").alias("ord"),
+                                 F.lit("a,b,c").alias("clause_text")), folder, quote=False)
+    return canon(read_category_csvs(spark, folder, with_rejects=True)[1])

@@ -1,7 +1,6 @@
 """Category CSV sets: one CSV file per category, category = file name without '.csv'.
 
-Files are grouped by header, one typed scan per header group (binding columns by
-position across different headers would put the wrong column into the text), then the
+Files are grouped by their number of columns and the place of the text column, one scan per group, then the
 groups are unioned. Only file names and header lines are touched on the driver.
 """
 from __future__ import annotations
@@ -9,12 +8,13 @@ from __future__ import annotations
 import csv
 import io
 from collections import OrderedDict
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import clean_text
-from simpairs.operators.numbering import number_rows
+from simpairs.operators.numbering import ROWS_PER_BUCKET, number_rows
 from simpairs.sources.shared import checkpointed
 
 # Cell strings that pandas' CSV reader turns into a missing value by default
@@ -43,7 +43,7 @@ def csv_files(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     sub-directory order) wins. A missing directory raises FileNotFoundError."""
     fs, p = _fs(spark, directory)
     if not fs.exists(p):
-        raise FileNotFoundError(f"Data directory not found: {directory}")
+        raise FileNotFoundError(f"no such folder of category files: {directory}")
     files = [(n, path) for n, path in _list(spark, directory) if n.endswith(".csv")]
     if files:
         return files
@@ -70,13 +70,18 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
     return tuple(row) if row else None
 
 
-def text_column(header: tuple[str, ...]) -> str:
-    """First column whose lower-cased name contains 'clause' and not 'type', else the first."""
-    for c in header:
+def text_column(header: tuple[str, ...]) -> int:
+    """Place of the first column whose lower-cased name contains 'clause' and not 'type', else 0."""
+    for k, c in enumerate(header):
         lc = c.lower()
         if "clause" in lc and "type" not in lc:
-            return c
-    return header[0]
+            return k
+    return 0
+
+
+def _file_name() -> F.Column:
+    """The plain file name: Spark gives it URL-encoded ('+' stands for itself)."""
+    return F.url_decode(F.regexp_replace("_metadata.file_name", r"\+", "%2B"))
 
 
 def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "literal_nan",
@@ -84,10 +89,12 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     """-> clauses(category, clause_id, clause) [, rejects(file_name, reason)].
 
     clause_id = category rank (by name) * 2^32 + row position in the file, so ids follow
-    (category, file order). Files with malformed rows or an unreadable header are skipped
-    and reported in `rejects`."""
+    (category, file order). Columns are bound by position, so repeated header names do no harm. A short row is
+    filled with nulls; a file with a row of too many fields, a quoted field that never ends, or no readable
+    header is skipped and reported in `rejects`. Quoted line feeds make a file one scan task; everything after the scan is
+    split by row ranges."""
     files = csv_files(spark, directory)
-    groups: OrderedDict[tuple[str, ...], list[str]] = OrderedDict()
+    groups: OrderedDict[tuple[int, int], list[str]] = OrderedDict()
     rejected = []
     for name, path in files:
         try:
@@ -98,28 +105,26 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
         if not h:
             rejected.append((name, "empty file"))
             continue
-        groups.setdefault(h, []).append(path)
-    parts = []
-    for header, paths in groups.items():
-        col = text_column(header)
-        schema = ", ".join(f"`{c}` string" for c in header) + ", `_corrupt_record` string"
+        groups.setdefault((len(h), text_column(h)), []).append(path)
+    rows = None
+    for (width, at), paths in groups.items():
+        # one more column than the header has: it is filled by rows with too many fields only
+        schema = ", ".join(f"`_c{k}` string" for k in range(width + 1))
         raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-               .option("enforceSchema", False).schema(schema).csv(paths))
-        parts.append(raw.select(F.col(f"`{col}`").alias("raw"), F.col("_corrupt_record").alias("bad"),
-                                F.col("_metadata.file_name").alias("file_name"),
-                                F.monotonically_increasing_id().alias("__scan_pos")))
-    if not parts:
+               .option("mode", "PERMISSIVE").schema(schema).csv(paths))
+        part = raw.select(F.col(f"_c{at}").alias("raw"), F.col(f"_c{width}").isNotNull().alias("bad"),
+                          _file_name().alias("file_name"), F.monotonically_increasing_id().alias("__scan_pos"))
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
         empty = spark.createDataFrame([], "category string, clause_id long, clause string")
         rej = spark.createDataFrame(rejected, "file_name string, reason string")
         return (empty, rej) if with_rejects else empty
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    # the parsed corpus is materialised once in the shared folder: it is reused by every
-    # later step, and raw CSV scans may not be queried for the corrupt-record column alone
+    # the parsed rows are materialised once in the shared folder: three later steps read them
     rows = checkpointed(rows)
-    bad = rows.where(F.col("bad").isNotNull()).select("file_name").distinct()
+    # an odd number of quote characters in a file: a quoted field that never ends
+    lines = spark.read.text([p for paths in groups.values() for p in paths]).select(_file_name().alias("file_name"), "value")
+    quotes = lines.groupBy("file_name").agg(F.sum(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("n"))
+    bad = rows.where("bad").select("file_name").union(quotes.where("n % 2 = 1").select("file_name")).distinct()
     good = rows.join(bad, "file_name", "left_anti")
     good = good.withColumn("category", F.regexp_replace("file_name", r"\.csv", ""))
     if null_policy == "literal_nan":
@@ -131,8 +136,9 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
         raise ValueError(null_policy)
     # row position inside the file: the scan id grows with file order inside a task
     # (monotonically_increasing_id is only an order key here, never an output)
-    pos = number_rows(good, [F.col("__scan_pos")], F.shiftright(F.col("__scan_pos"), 33), ["file_name"], "__row")
-    cats = pos.select("category").distinct().withColumn("__crank", F.row_number().over(Window.orderBy("category")) - 1)
+    ranges = F.expr(f"__scan_pos div {ROWS_PER_BUCKET}")
+    pos = number_rows(good, [F.col("__scan_pos")], ranges, ["file_name"], "__row")
+    cats = good.select("category").distinct().withColumn("__crank", F.row_number().over(Window.orderBy("category")) - 1)
     out = pos.join(cats, "category").select(
         "category", (F.shiftleft(F.col("__crank").cast("long"), 32) + F.col("__row") - 1).alias("clause_id"),
         clean_text("raw").alias("clause"))
@@ -141,3 +147,22 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     rej = spark.createDataFrame(rejected, "file_name string, reason string").unionByName(
         bad.select("file_name", F.lit("malformed rows").alias("reason")))
     return out, rej
+
+
+def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True) -> None:
+    """rows(category, ord, clause_text) -> one CSV file `<category>.csv` per category, rows in the order of `ord`;
+    columns clause_text and clause_type. `quote=False` writes texts as they are, whatever they hold."""
+    spark, tmp = rows.sparkSession, f"{directory.rstrip('/')}/_parts"
+    kind = F.col("category").alias("clause_type")
+    d = rows.repartition("category").sortWithinPartitions("category", "ord")
+    out = d.select("category", "clause_text", kind) if quote else d.select("category", F.concat_ws(",", "clause_text", "category").alias("clause_text,clause_type"))
+    w = out.write.mode("overwrite").partitionBy("category").option("header", True).option("escape", '"')
+    w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (w if quote else w.option("quote", "\u0000")).csv(tmp)
+    fs, p = _fs(spark, tmp)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name, folder in _list(spark, tmp, dirs=True):
+        for part, file in _list(spark, folder):
+            if part.startswith("part-"):
+                fs.rename(path(file), path(f"{directory.rstrip('/')}/{unquote(name.split('=', 1)[1])}.csv"))
+    fs.delete(p, True)

@@ -29,3 +29,24 @@ def test_missing_directory(spark):
     import pytest
     with pytest.raises(FileNotFoundError):
         read_category_csvs(spark, "/nonexistent/simpairs/dir")
+
+
+def test_short_rows_repeated_headers_and_odd_names(spark):
+    d = tempfile.mkdtemp(prefix="simpairs-csv-")
+    _write(d, "non compete.csv", "clause,clause_type\nonly text\nsecond,x\n")
+    _write(d, "a%b+c.csv", "clause,clause,kind\none,two,k\n")
+    _write(d, "fields.csv", "clause,kind\na,b\nc,d,e\n")
+    out, rej = read_category_csvs(spark, d, with_rejects=True)
+    assert sorted((r.category, r.clause) for r in out.collect()) == [
+        ("a%b+c", "one"), ("non compete", "only text"), ("non compete", "second")]
+    assert [(r.file_name, r.reason) for r in rej.collect()] == [("fields.csv", "malformed rows")]
+
+
+def test_files_one_level_down(spark):
+    d = tempfile.mkdtemp(prefix="simpairs-csv-")
+    for sub, text in (("x", "first copy"), ("y", "second copy")):
+        os.makedirs(os.path.join(d, sub))
+        _write(os.path.join(d, sub), "same.csv", f"clause\n{text}\n")
+    _write(os.path.join(d, "x"), "other.csv", "clause\nalone\n")
+    got = sorted((r.category, r.clause) for r in read_category_csvs(spark, d).collect())
+    assert got == [("other", "alone"), ("same", "second copy")]

@@ -1,9 +1,10 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from simpairs.functions.hashing import hash_bucket_of, keyed_hash
+from simpairs.functions.hashing import keyed_hash
 from simpairs.functions.scoring import score_bucket
-from simpairs.operators.numbering import number_rows, running_totals
+from simpairs.operators import numbering
+from simpairs.operators.numbering import hash_bucket, number_rows, row_count, running_totals
 from tests.conftest import SF_ORACLE
 
 
@@ -13,18 +14,35 @@ def test_hash_value_matches_sql(spark):
     assert v == duckdb.sql("SELECT ('0x' || substr(md5('42:x:7'), 1, 15))::BIGINT").fetchall()[0][0]
 
 
-def test_number_rows_equals_global_window(spark):
-    o = spark.read.parquet(f"{SF_ORACLE}/orders.parquet").select("o_orderkey", "o_orderstatus")
-    h = keyed_hash(42, "t", "o_orderkey")
-    d = o.withColumn("h", h)
-    ref = d.withColumn("r", F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("h", "o_orderkey")))
+def test_number_rows_equals_global_window(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS_PER_BUCKET", 1000)
+    o = spark.read.parquet(f"{SF_ORACLE}/orders.parquet").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("status"), "o_totalprice")
+    d = o.withColumn("h", keyed_hash(42, "t", "o_orderkey"))
+    ref = d.select("o_orderkey", F.row_number().over(Window.partitionBy("status").orderBy("h", "o_orderkey")).alias("r"))
     for parts in ("3", "7"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        got = number_rows(d, [F.col("h"), F.col("o_orderkey")], hash_bucket_of(F.col("h")), ["o_orderstatus"], "r")
-        assert got.join(ref, ["o_orderkey", "r"]).count() == o.count()
+        got = number_rows(d, [F.col("h"), F.col("o_orderkey")], hash_bucket(F.col("h"), row_count(o)), ["status"], "r")
+        assert got.columns == [*d.columns, "r"] and got.join(ref, ["o_orderkey", "r"]).count() == o.count()
     spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_one_exchange_of_the_rows_and_a_bounded_bucket_table(spark):
+    o = spark.read.parquet(f"{SF_ORACLE}/orders.parquet").withColumn("h", keyed_hash(42, "t", "o_orderkey"))
+    n = number_rows(o, [F.col("h"), F.col("o_orderkey")], hash_bucket(F.col("h"), row_count(o)), ["o_orderstatus"], "r")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plan = n._jdf.queryExecution().executedPlan().toString().splitlines()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # below each exchange: either a partial aggregate, or the rows themselves (once)
+    moved = [k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    rows = [k for k in moved if "o_totalprice" in plan[k + 1]]
+    assert len(rows) == 1, "\n".join(plan)
+    assert o.select(hash_bucket(F.col("h"), row_count(o)).alias("b")).distinct().count() == 1
+
+
 def test_running_totals_on_scores(spark):
     rows = [(float(i % 17) / 16.0, i % 3) for i in range(500)]
     df = spark.createDataFrame(rows, "p double, v int").groupBy("p").agg(F.sum("v").alias("v"))

@@ -17,7 +17,7 @@ def _clauses(spark):
 
 
 def test_positive_counts_per_category_size(spark):
-    pos = pr.positive_pairs(_clauses(spark), PairConfig())
+    pos = pr.sample_positive_pairs(_clauses(spark), PairConfig())
     got = {r.category: r.n for r in pos.groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert {c: got.get(c, 0) for c in EXPECTED} == EXPECTED
     assert pos.where("id1 = id2").count() == 0
@@ -25,9 +25,9 @@ def test_positive_counts_per_category_size(spark):
 
 def test_negatives_cross_categories_and_count(spark):
     c = _clauses(spark)
-    cfg = PairConfig(num_negative=3000)
-    neg = pr.negative_pairs(c, cfg, pr.negative_count(c, cfg))
-    assert neg.count() == 3000
+    cfg = PairConfig(num_negative=203_000)
+    neg = pr.negative_pairs(c, cfg)
+    assert neg.count() == 203_000
     assert neg.where("cat1 >= cat2").count() == 0
     cat = c.select(F.col("clause_id").alias("id1"), F.col("category").alias("k1"))
     assert neg.join(cat, "id1").where("k1 <> cat1").count() == 0
@@ -37,12 +37,31 @@ def test_labelled_pairs_ids_dense(spark):
     lp = pr.labelled_pairs(_clauses(spark), PairConfig())
     n = lp.count()
     assert lp.agg(F.min("pair_id"), F.max("pair_id"), F.countDistinct("pair_id")).first() == (0, n - 1, n)
-    assert {r.label: r.n for r in pr.pair_label_counts(lp).collect()} == {1: 2497, 0: 2497}
+    want = sum(min(k, k * (k - 1) // 2) for k in SIZES.values())
+    assert {r.label: r.n for r in pr.pair_label_counts(lp).collect()} == {1: want, 0: want}
 
 
 def test_positive_count_closed_form(spark):
     c = _clauses(spark)
-    assert c.select(pr.positive_count(c)).first()[0] == sum(EXPECTED.values())
+    for per in (None, 7, 10 ** 6):
+        cfg = PairConfig(pairs_per_category=per)
+        assert pr.positive_count(c, cfg) == pr.positive_pairs(c, cfg).count()
+
+
+def test_pairs_cover_the_whole_category(spark):
+    """Distinct pairs, each of two clauses; all pairs when all are asked for; spread over all clauses otherwise."""
+    c = _clauses(spark)
+    every = pr.positive_pairs(c, PairConfig(pairs_per_category=10 ** 6))
+    got = {(r.category, frozenset((r.id1, r.id2))) for r in every.collect()}
+    assert len(got) == every.count() == sum(n * (n - 1) // 2 for n in SIZES.values())
+    some = pr.positive_pairs(c, PairConfig(pairs_per_category=300)).where("category = 'c101'").collect()
+    assert len({frozenset((r.id1, r.id2)) for r in some}) == 300
+    assert len({x for r in some for x in (r.id1, r.id2)}) > 95
+
+
+def test_draws_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(pr, "DRAW_CHUNK", 7)
+    assert pr.positive_pairs(_clauses(spark), PairConfig(pairs_per_category=50)).distinct().count() == 0 + 1 + 4 * 50 + 50
 
 
 def test_positive_count_property_all_sizes(spark):
@@ -53,9 +72,9 @@ def test_positive_count_property_all_sizes(spark):
             rows.append((f"k{n:03d}", i, "x"))
             i += 1
     c = spark.createDataFrame(rows, "category string, clause_id long, clause string")
-    got = {r.category: r.n for r in pr.positive_pairs(c).groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
+    got = {r.category: r.n for r in pr.sample_positive_pairs(c).groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
     for n in range(0, 121):
         m = min(100, n) if n > 50 else n
         assert got.get(f"k{n:03d}", 0) == min(500, m * (m - 1) // 2), n
-    distinct = pr.positive_pairs(c).select("id1", "id2").distinct().count()
+    distinct = pr.sample_positive_pairs(c).select("id1", "id2").distinct().count()
     assert distinct == sum(got.values())

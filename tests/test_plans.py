@@ -26,10 +26,45 @@ def test_pair_sampling_prunes_text_and_limits_before_shuffle(spark):
     assert reads and all("text" not in line for line in reads)
 
 
-def test_negative_lookup_broadcasts_the_bounded_side(spark):
+def test_no_forced_broadcast_of_draws(spark):
     c = document_clauses(spark, SF_SMALL, "lang")
-    n = pr.negative_pairs(c, PairConfig(), 500)
-    assert "BroadcastHashJoin" in _plan(n)
+    assert "isBroadcast" not in pr.negative_pairs(c, PairConfig(), 500)._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" not in pr.negative_pairs(c, PairConfig(), 500)._jdf.queryExecution().analyzed().toString()
+
+
+def test_registered_queries_without_text_do_not_read_it(spark):
+    from simpairs.plans.queries import QUERIES
+    for name in ("category_sizes", "category_pairs", "positive_pairs_small", "positive_pairs_large", "positive_counts", "positive_cap",
+                 "positive_pairs_hash", "negative_pairs"):
+        reads = [line for line in _formatted(QUERIES[name](spark, SF_SMALL)).splitlines() if line.startswith("ReadSchema")]
+        assert reads and all("text" not in line for line in reads), name
+
+
+def test_tokens_are_counted_before_the_shuffle(spark):
+    from simpairs.operators.vocab import word_counts
+    plan = _plan(word_counts(document_clauses(spark, SF_SMALL, "lang"))).splitlines()
+    explode = next(k for k, line in enumerate(plan) if "Generate posexplode" in line)
+    above = [line for line in plan[:explode] if "Exchange" in line or "HashAggregate" in line]
+    assert "partial_count" in above[-1] and not any("SortAggregate" in line for line in plan)
+    below = [line for line in plan[explode:] if "Exchange hashpartitioning(word" in line]
+    assert not below
+
+
+def test_texts_are_attached_after_the_limit(spark):
+    from simpairs.operators import examples as ex
+    c = document_clauses(spark, SF_SMALL, "lang")
+    pairs = spark.range(100).selectExpr("id AS pair_id", "id AS id1", "id + 1 AS id2", "cast(id % 2 AS int) AS label")
+    scored = pairs.selectExpr("'m' AS model", "pair_id", "label", "0.5D AS probability", "1 AS predicted")
+    plan = ex.qualitative_examples(scored, pairs, c)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    limit = next(k for k, line in enumerate(plan) if "__r" in line and "Filter" in line)
+    joins = [k for k, line in enumerate(plan) if "Join" in line]
+    assert len(joins) == 3 and all(k < limit for k in joins)
+
+
+def test_one_score_curve(spark):
+    scored = spark.range(100).selectExpr("'m' AS model", "id AS pair_id", "cast(id % 2 AS int) AS label", "id / 100.0D AS probability", "1 AS predicted")
+    plan = me.evaluate(scored)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 2  # the totals inside and over the buckets of one curve
 
 
 def test_no_python_outside_the_scorer_surface(spark):

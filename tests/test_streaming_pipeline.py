@@ -4,6 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from simpairs.config import PairConfig
+from simpairs.operators.encode import encode
 from simpairs.operators.vocab import build_vocabulary
 from simpairs.plans import pipeline
 from simpairs.sources.tables import document_clauses
@@ -20,9 +21,9 @@ def test_encode_stream_matches_batch(spark):
     out = tempfile.mkdtemp(prefix="simpairs-stream-")
     q = encode_stream(stream, vocab, f"{out}/enc", f"{out}/ckpt", max_len=16)
     q.awaitTermination(120)
-    got = spark.read.parquet(f"{out}/enc")
-    assert got.count() == docs.count()
-    assert got.where(F.size("seq") != 16).count() == 0
+    got = {r.clause_id: r.seq for r in spark.read.parquet(f"{out}/enc").collect()}
+    want = {r.clause_id: r.seq for r in encode(clauses, vocab, max_len=16).collect()}
+    assert got == want and len(got) == docs.count()
 
 
 def test_clean_stream_is_stateless(spark):
@@ -38,7 +39,14 @@ def test_pipeline_end_to_end(spark):
     m = r.metrics.first()
     assert 0.0 <= m.accuracy <= 1.0 and 0.0 <= m.roc_auc <= 1.0
     assert r.results.count() == 1 and r.summary.count() == 1
-    assert os.path.isdir(f"{out}/vocab") and os.path.isdir(f"{out}/examples")
+    assert os.path.isdir(f"{out}/examples") and os.path.isdir(f"{out}/accuracy_time")
+    assert r.scored.count() == r.split.where("split = 'test'").count()
+    folders = lambda: {x for x in os.listdir(out) if x.startswith("vocab-")}
+    first = folders()
+    pipeline.run(spark, clauses, out, PairConfig(num_examples=3))
+    assert folders() == first and len(first) == 1
+    pipeline.run(spark, clauses, out, PairConfig(num_examples=3, min_freq=3))
+    assert len(folders()) == 2
     sizes = {x.split: x.n for x in r.split.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sum(sizes.values()) == r.pairs.count()
 

@@ -30,3 +30,13 @@ def test_ellipsis(spark):
     df = spark.createDataFrame([("x" * 149,), ("y" * 150,), ("z" * 151,)], "s string")
     got = [len(r.e) for r in df.select(ellipsis("s").alias("e")).collect()]
     assert got == [149, 150, 153]
+
+
+def test_vocabulary_with_wide_ids(spark):
+    from simpairs.operators.vocab import build_vocabulary, word_counts
+    big = 2 ** 62
+    rows = [("b", big, "x y x"), ("a", -big, "z y"), ("a", big + 2 ** 50, "w z"), ("a", 2 ** 50, "y q w q")]
+    c = spark.createDataFrame(rows, "category string, clause_id long, clause string")
+    assert [r.word for r in build_vocabulary(c, 1).where("idx > 3").orderBy("idx").collect()] == ["z", "y", "q", "w", "x"]
+    got = {r.word: (r.cnt, r.first_category, r.first_clause_id, r.first_pos) for r in word_counts(c).collect()}
+    assert got["w"] == (2, "a", 2 ** 50, 2) and got["x"] == (2, "b", big, 0) and got["z"] == (2, "a", -big, 0)
