@@ -1,9 +1,7 @@
 """Per-model report tables: results, metric matrix, formatted summary, timing."""
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.config import PairConfig
@@ -60,16 +58,8 @@ def summary_table(metrics: DataFrame, scored: DataFrame, n: int = 10) -> DataFra
                     F.coalesce("Incorrect (Sample)", F.lit(0)).alias("Incorrect (Sample)"))
 
 
-def timed(spark: SparkSession, model: str, df: DataFrame, n_rows: int) -> DataFrame:
-    """Run `df` to completion (noop sink) and return timing(model, eval_s, n, samples_per_s)
-    with the number of rows actually scored as numerator."""
-    t0 = time.time()
-    df.write.format("noop").mode("overwrite").save()
-    secs = time.time() - t0
-    return throughput(spark.createDataFrame([(model, float(secs), int(n_rows))], "model string, eval_s double, n long"))
-
-
 def throughput(timing: DataFrame) -> DataFrame:
+    """timing(model, eval_s, n: rows scored) + samples_per_s, null for a time of 0."""
     return timing.withColumn("samples_per_s", F.when(F.col("eval_s") > 0, F.col("n") / F.col("eval_s")))
 
 

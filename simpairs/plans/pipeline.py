@@ -40,13 +40,15 @@ class RunResult:
 
 
 def run(spark: SparkSession, clauses: DataFrame, out_dir: str, cfg: PairConfig = PairConfig(),
-        scorer: Callable | None = None, model_name: str = "model") -> RunResult:
+        scorer: Callable | None = None, model_name: str = "model", model_vocab_size: int | None = None) -> RunResult:
     """`scorer` is a factory for `batch_score` (called once per task); without one the token-Jaccard test
-    scorer is used. The whole test split is evaluated unless `cfg.max_eval_samples` says otherwise."""
+    scorer is used. `model_vocab_size` is the vocabulary the scorer was trained with; another size is refused. The whole test split is evaluated unless `cfg.max_eval_samples` says otherwise."""
     out = out_dir.rstrip("/")
     clauses = written_table(clauses, "clauses")
     source = art.input_fingerprint(clauses)
     vocab = art.load_or_build_vocab(spark, out, clauses, cfg.min_freq, source)
+    if model_vocab_size is not None:
+        sc.check_vocab_compatible(model_vocab_size, vocab)
     pairs = pr.labelled_pairs(clauses, cfg)
     split = written_table(spl.stratified_split(pairs, "pair_id", "label", cfg), "split")
     test = split.where(F.col("split") == "test")

@@ -298,12 +298,12 @@ def _clamp_ids(spark, sf):
 
 
 @register("oov_guard", f"""WITH {VOCAB_LANG}, {C_CONV},
-{q.encode_cte('cv', 'vocab', 'enc', L)}
+{q.encode_cte('cv', 'vocab', 'enc', None)}
 SELECT CAST(max(list_max(seq)) AS BIGINT) AS max_id, CAST({CLAMP_VOCAB} AS BIGINT) AS vocab_size,
 CAST(sum(len(list_filter(seq, lambda x: x >= {CLAMP_VOCAB} OR x < 0))) AS BIGINT) AS n_out_of_range,
 max(list_max(seq)) >= {CLAMP_VOCAB} AS needs_clamp FROM enc""")
 def _oov_guard(spark, sf):
-    e = enc.encode(conv_texts(spark, sf), doc_vocab(spark, sf), max_len=L)
+    e = enc.encode(conv_texts(spark, sf), doc_vocab(spark, sf))
     return canon(enc.oov_guard(e, CLAMP_VOCAB))
 
 

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from simpairs.config import PairConfig
@@ -58,3 +59,5 @@ def test_pipeline_with_batch_scorer(spark):
     r = pipeline.run(spark, clauses, out, PairConfig(max_seq_length=32), scorer=overlap_scorer, model_name="overlap")
     assert r.scored.count() > 0
     assert r.scored.where("probability < 0 OR probability > 1").count() == 0
+    with pytest.raises(ValueError, match="vocabulary size"):
+        pipeline.run(spark, clauses, out, PairConfig(max_seq_length=32), scorer=overlap_scorer, model_vocab_size=3)
