@@ -22,6 +22,7 @@ from simpairs.llm.tokens import byte_bpe
 CAPACITY = 1024
 END_ID = 2
 BLOCK_PIECES = 8192
+TRIES, NEAR = 16, 16  # breadth of the local search: bins worked on, partners of a piece looked at in its bin
 FAN_IN = 256  # blocks whose underfull bins are packed again together
 
 
@@ -57,93 +58,82 @@ def _gain(d, high, low):
     return 2 * d * (high - low + d)
 
 
+def _pairs(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces that share a bin, as pairs of indices (with up to NEAR others of the bin each)."""
+    order = np.argsort(bins, kind="stable")
+    left, right = [], []
+    for d in range(1, NEAR + 1):
+        same = bins[order[:-d]] == bins[order[d:]] if d < len(order) else np.zeros(0, bool)
+        if not same.any():
+            break
+        left.append(order[:-d][same])
+        right.append(order[d:][same])
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
-    """Swap-based local search; returns the bins."""
+    """Swap-based local search; returns the bins. The emptiest bins are worked on, TRIES of them at a time."""
     bins = bins.copy()
     fill = np.bincount(bins, weights=lengths).astype(np.int64)
     least = -(-int(lengths.sum()) // capacity)
     stuck: set[int] = set()
+
+    def best(ok: np.ndarray, d: np.ndarray, own: np.ndarray, b: int) -> int:
+        at = np.flatnonzero(ok)
+        return int(at[np.argmax(_gain(d[at], own[at], fill[b]))]) if at.size else -1
+
+    def put(pieces, to: int) -> None:
+        for k in pieces:
+            size = lengths[k]
+            fill[bins[k]] -= size
+            fill[to] += size
+            bins[k] = to
+
+    def step(b: int, k: int) -> bool:
+        """Move piece k of bin b, alone or with another one of b, or take one or two shorter ones back."""
+        p = int(lengths[k])
+        to = np.flatnonzero((fill > 0) & (fill + p <= capacity) & (fill >= fill[b]))
+        to = to[to != b]
+        if to.size:
+            put([k], int(to[np.argmax(fill[to])]))
+            return True
+        own = fill[bins]
+        other = (bins != b) & (own >= fill[b])
+        mates = [m for m in np.flatnonzero(bins == b).tolist() if m != k]
+        mates = sorted(mates, key=lambda m: -lengths[m])[:NEAR]
+        for group in [[k], *([k, m] for m in mates)]:  # one for one, then two for one
+            d = int(lengths[group].sum()) - lengths
+            q = best(other & (d > 0) & (own + d <= capacity), d, own, b)
+            if q >= 0:
+                c = int(bins[q])
+                put([q], b)
+                put(group, c)
+                return True
+        x, y = _pairs(bins)  # one for two
+        d = p - lengths[x] - lengths[y]
+        own = fill[bins[x]]
+        q = best((bins[x] != b) & (own >= fill[b]) & (d > 0) & (own + d <= capacity), d, own, b)
+        if q >= 0:
+            c = int(bins[x[q]])
+            put([x[q], y[q]], b)
+            put([k], c)
+            return True
+        return False
+
     while (used := np.flatnonzero(fill)).size > least:
-        open_bins = [b for b in used[np.argsort(fill[used], kind="stable")].tolist() if b not in stuck and fill[b] < capacity]
-        if not open_bins:
+        emptiest = used[np.argsort(fill[used], kind="stable")][:TRIES].tolist()
+        b = next((x for x in emptiest if x not in stuck), None)
+        if b is None:
             break
-        b = open_bins[0]
+        own = np.flatnonzero(bins == b)
         moved = False
-        for k in np.flatnonzero(bins == b)[np.argsort(-lengths[bins == b], kind="stable")].tolist():
-            if bins[k] != b:
-                continue
-            p = int(lengths[k])
-            # move: the fullest bin with room
-            to = np.flatnonzero((fill > 0) & (fill + p <= capacity) & (fill >= fill[b]))
-            to = to[to != b]
-            if to.size:
-                c = int(to[np.argmax(fill[to])])
-                bins[k] = c
-                fill[c] += p
-                fill[b] -= p
-                moved = True
-                continue
-            # one for one: a shorter piece of another bin comes back
-            own = fill[bins]
-            d = p - lengths
-            ok = (bins != b) & (d > 0) & (own + d <= capacity) & (own >= fill[b])
-            if ok.any():
-                at = np.flatnonzero(ok)
-                q = int(at[np.argmax(_gain(d[at], own[at], fill[b]))])
-                c, diff = int(bins[q]), int(d[q])
-                bins[k], bins[q] = c, b
-                fill[c] += diff
-                fill[b] -= diff
-                moved = True
-                continue
-            # two for one: this piece and another one of the bin go, one piece comes back
-            mates = np.flatnonzero((bins == b) & (np.arange(len(bins)) != k))
-            for m in mates.tolist():
-                pair = p + int(lengths[m])
-                d = pair - lengths
-                ok = (bins != b) & (d > 0) & (own + d <= capacity) & (own >= fill[b])
-                if ok.any():
-                    at = np.flatnonzero(ok)
-                    q = int(at[np.argmax(_gain(d[at], own[at], fill[b]))])
-                    c, diff = int(bins[q]), int(d[q])
-                    bins[k], bins[m], bins[q] = c, c, b
-                    fill[c] += diff
-                    fill[b] -= diff
-                    moved = True
-                    break
-        if not moved:
-            # two for one the other way: one piece of this bin for two shorter ones of another bin
-            moved = _two_back(lengths, bins, fill, b, capacity)
-        if not moved:
-            stuck.add(b)
-        else:
-            stuck.clear()
+        for k in own[np.argsort(-lengths[own], kind="stable")].tolist():
+            if bins[k] == b:
+                moved |= step(b, k)
+        stuck = set() if moved else stuck | {b}
     return bins
 
 
-def _two_back(lengths, bins, fill, b: int, capacity: int) -> bool:
-    order = np.argsort(bins, kind="stable")
-    starts = np.searchsorted(bins[order], np.arange(len(fill) + 1))
-    for k in np.flatnonzero(bins == b).tolist():
-        p = int(lengths[k])
-        for c in np.flatnonzero((fill >= fill[b]) & (fill < capacity)).tolist():
-            if c == b:
-                continue
-            own = order[starts[c]:starts[c + 1]]
-            room, sizes = capacity - int(fill[c]), lengths[own]
-            for i in range(len(own) - 1):
-                d = p - int(sizes[i]) - sizes[i + 1:]
-                fit = np.flatnonzero((d > 0) & (d <= room))
-                if fit.size:
-                    j = int(fit[np.argmax(d[fit])])
-                    diff = int(d[j])
-                    bins[k], bins[own[i]], bins[own[i + 1 + j]] = c, b, b
-                    fill[c] += diff
-                    fill[b] -= diff
-                    return True
-    return False
-
-
 def pack_lengths(lengths: np.ndarray, capacity: int) -> np.ndarray:
     """Bin of each piece, numbered from 0 without gaps."""
     bins = improve(lengths, best_fit(lengths, capacity), capacity)
