@@ -29,13 +29,14 @@ from simpairs.llm.common import parts_for, text_bytes, whole_text
 from simpairs.llm.words import mix
 
 DEPTH = 200
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 4 << 20
-SEGMENT = 1 << 20  # bytes handled at a time inside a block
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 2 << 20
+SEGMENT = 1 << 19  # bytes handled at a time inside a block
 MANY_RUNS = 16
 _PLACE = 24  # low bits of a key that hold the place in a segment
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
 _BASE, _BACK = np.uint64(0xDA942042E4DD58B5), np.uint64(pow(0xDA942042E4DD58B5, -1, 1 << 64))
+_ANCHOR = np.uint64(0xA0761D6478BD642F)
 _powers: list[np.ndarray] = []
 
 
@@ -84,7 +85,7 @@ class Segment:
         heads = np.flatnonzero(new)
         self.first, self.last = at[heads], at[np.r_[heads[1:], len(at)] - 1]
         place = anchor[heads]
-        self.anchor = names[place]
+        self.anchor = mix(names[place] + _ANCHOR)  # the least of many names is small; named anew, its leading bits are even
         count = (self.last - self.first).astype(np.uint64)
         whole = (prefix[self.last + depth] - prefix[self.first]) * down[self.first]
         self.run = mix(mix(whole + count) + (place - self.first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + count)

@@ -70,6 +70,17 @@ def test_segments_and_marks(monkeypatch):
             assert (r.n_bytes, bytes(r.kept)) == (want[r.id][0], want[r.id][3])
 
 
+def test_query_on_the_small_table(spark):
+    import hashlib
+
+    from simpairs.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    rows = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    want = {i: (n, gone, spans, hashlib.sha256(kept).hexdigest()) for i, (n, gone, spans, kept) in zip(rows, brute(list(rows.values()), 200))}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op1_suffix_dedup"](spark, sf).collect()}
+    assert got == want and sum(w[1] for w in want.values()) > 0
+
+
 def test_empty_table(spark):
     assert sd.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert [bytes(r.kept) for r in sd.remove_repeats(spark.createDataFrame([(1, "é"), (1, None)], "doc_id long, text string")).orderBy("n_bytes").collect()] == [b"", "é".encode()]
