@@ -8,8 +8,9 @@ by digest (an exact check on the full digest), all others pass straight through
 
 Scale: a map task sends a digest at most twice however often it occurs there, so a text that is
 a third of all rows costs two entries per task. The filter has two bytes per row; it is
-broadcast up to `BROADCAST_BYTES` and joined by block beyond that. Groups are counted with
-partial aggregation and joined back by digest (split by AQE where one is hot).
+broadcast up to `BROADCAST_BYTES` and joined by block beyond that. Groups are counted with partial
+aggregation, so that a hot one is a row per task; the table of groups goes back to the rows by the same rule: up
+to that size as a broadcast, beyond it by a join that AQE splits where a digest is hot.
 """
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.llm.common import BROADCAST_BYTES, cut, parts_for, whole_text
+from simpairs.llm.common import BROADCAST_BYTES, bounded, cut, parts_for, whole_text
 
 BLOCK_COUNTERS = 1 << 16
 PROBES = 4
@@ -110,8 +111,8 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sure = probed.where(~F.col("__may_repeat")).select(
         F.col("__id"), F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "__sha")
     may = probed.where("__may_repeat").select("__id", "__sha")
-    groups = may.groupBy("__sha").agg(F.min("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    found = may.join(groups, "__sha").select("__id", "keep_id", "group_size", "__sha")
+    groups = cut(may.groupBy("__sha").agg(F.min("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    found = may.join(bounded(groups, groups.count(), 96), "__sha").select("__id", "keep_id", "group_size", "__sha")
     return sure.unionByName(found).select(
         F.col("__id").alias(id_col), "keep_id", "group_size", F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("__sha")).alias("text_sha256"))
@@ -125,7 +126,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     probed = _probe(docs.withColumn("__sha", digest(text_col)), "__sha", filt, blocks)
     sure = probed.where(~F.col("__may_repeat")).select(*docs.columns)
     may = probed.where("__may_repeat").drop("__may_repeat")
-    keep = may.groupBy("__sha").agg(F.min(id_col).alias("__keep"))
-    stay = (may.join(keep, "__sha").where(F.col(id_col).eqNullSafe(F.col("__keep")))
+    keep = cut(may.groupBy("__sha").agg(F.min(id_col).alias("__keep")))
+    stay = (may.join(bounded(keep, keep.count(), 80), "__sha").where(F.col(id_col).eqNullSafe(F.col("__keep")))
             .dropDuplicates(["__sha"]).select(*docs.columns))
     return sure.unionByName(stay)
