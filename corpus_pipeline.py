@@ -33,8 +33,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and place in it."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """The pieces of all documents with their sequence and place in it; the sequences follow the mixed order of the rows."""
+    return packing.pack_documents(docs, tokenizer_path(), written_order=True)
 
 
 STAGES = [("quality_classifier", quality_stage), ("exact_dedup", exact_stage), ("near_dedup", near_stage),

@@ -6,6 +6,10 @@ and then improved: pieces of the emptiest bin are moved, exchanged one for one o
 two for one with other underfull bins wherever that raises the sum of squared fills, until the bin is empty, the block has
 as few bins as its tokens need, or nothing improves. The sum of squares grows with each step, so the search
 ends. The worse-filled bins of many blocks are then packed again together, level by level.
+
+With `written_order` the rows keep the order in which their files hold them, so that a mix made before packing is still one
+after it: pieces are numbered in that order, a block is a contiguous run of them, and so are the blocks packed again together. A sequence
+takes the number of its longest piece.
 """
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simpairs.llm.common import cut, parts_for, whole_text
@@ -23,6 +27,7 @@ CAPACITY = 1024
 END_ID = 2
 BLOCK_PIECES = 8192
 TRIES, NEAR = 16, 16  # breadth of the local search: bins worked on, partners of a piece looked at in its bin
+RUN_ROWS = 8192  # rows of a file whose pieces are numbered in one window
 FAN_IN = 256  # blocks whose underfull bins are packed again together
 
 
@@ -168,27 +173,43 @@ def _pieces(tokenizer: str, capacity: int, end_id: int, with_ids: bool, columns:
     return run
 
 
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """`pieces` with __row, their number from 0 in the order of files, rows and pieces."""
+    pieces = pieces.withColumn("__run", F.floor(F.col("__at") / RUN_ROWS))
+    # file names carry the number of the task that wrote them; one row per run
+    part = F.try_to_number(F.regexp_extract("__file", r"part-(\d+)", 1), F.lit("9" * 18)).cast("long")
+    starts = (pieces.groupBy("__file", "__run").agg(F.count(F.lit(1)).alias("n"))
+              .select("__file", "__run", (F.sum("n").over(Window.orderBy(part, "__file", "__run")) - F.col("n")).alias("__start")))
+    in_run = Window.partitionBy("__file", "__run").orderBy("__at", "piece")
+    return (pieces.join(starts, ["__file", "__run"]).withColumn("__row", F.col("__start") + F.row_number().over(in_run) - 1)
+            .drop("__file", "__at", "__run", "__start"))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-                   end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+                   end_id: int = END_ID, with_ids: bool = False, written_order: bool = False) -> DataFrame:
     """-> per piece: `id_col`, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     Null texts count as empty: one piece that holds the end token. Every input row is packed, repeated rows and null ids too;
-    other columns are not read. An empty table gives no rows. Sequence ids are distinct but not gapless."""
-    base = docs.select(F.col(id_col), whole_text(text_col).alias("__text"))
+    other columns are not read. An empty table gives no rows. Sequence ids are distinct but not gapless; with `written_order`,
+    for which `docs` must be read from files, they follow the order of the rows in these."""
+    at = [F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at")] if written_order else []
+    base = docs.select(F.col(id_col), whole_text(text_col).alias("__text"), *at)
     schema = docs.select(id_col).schema
-    fields = ", ".join([f"`{id_col}` {schema[id_col].dataType.simpleString()}", "piece int, start long, length long, ids_crc32 long"]
-                       + ["ids array<int>"] * with_ids)
-    pieces = cut(base.mapInPandas(_pieces(tokenizer, capacity, end_id, with_ids, [id_col]), fields)
-                 .withColumn("__row", F.monotonically_increasing_id()))
-    # the checkpoint fixes __row; it is only a key that differs for every piece
+    columns = [id_col, *["__file", "__at"] * written_order]
+    fields = ", ".join([f"`{id_col}` {schema[id_col].dataType.simpleString()}"] + ["__file string, __at long"] * written_order
+                       + ["piece int, start long, length long, ids_crc32 long"] + ["ids array<int>"] * with_ids)
+    pieces = base.mapInPandas(_pieces(tokenizer, capacity, end_id, with_ids, columns), fields)
+    # the checkpoint fixes __row; without written_order it is only a key that differs for every piece
+    pieces = _numbered(cut(pieces)) if written_order else cut(pieces.withColumn("__row", F.monotonically_increasing_id()))
     blocks = parts_for(pieces.count(), BLOCK_PIECES)
     light = pieces.select("__row", "length") if with_ids else pieces
-    at = light.withColumn("__block", F.pmod(F.xxhash64("__row"), F.lit(blocks)).cast("long"))
+    at = light.withColumn("__block", (F.floor(F.col("__row") / BLOCK_PIECES) if written_order else
+                                      F.pmod(F.xxhash64("__row"), F.lit(blocks))).cast("long"))
     packed = None
     level = 0
     while True:
         schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in at.schema)}, sequence_id long, offset long, __fill long"
-        done = cut(at.groupBy("__block").applyInPandas(_pack_block(capacity, level), schema))
+        done = cut(at.groupBy("__block").applyInPandas(_pack_block(capacity), schema))
         if blocks == 1:
             packed = done if packed is None else packed.unionByName(done)
             break
@@ -197,13 +218,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         blocks = parts_for(blocks, FAN_IN)
         level += 1
         at = (done.where(~closed).drop("sequence_id", "offset", "__fill")
-              .withColumn("__block", F.pmod(F.xxhash64("__row", F.lit(level)), F.lit(blocks)).cast("long")))
+              .withColumn("__block", (F.floor(F.col("__block") / FAN_IN) if written_order else
+                                      F.pmod(F.xxhash64("__row", F.lit(level)), F.lit(blocks))).cast("long")))
     if with_ids:
         packed = pieces.join(packed.select("__row", "sequence_id", "offset"), "__row")
     return packed.select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * with_ids)
 
 
-def _pack_block(capacity: int, level: int):
+def _pack_block(capacity: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__row").reset_index(drop=True)
         lengths = pdf["length"].to_numpy()
@@ -213,8 +235,9 @@ def _pack_block(capacity: int, level: int):
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         offset = np.empty(len(pdf), np.int64)
         offset[order] = ends - lengths[order] - np.repeat(np.cumsum(fill) - fill, np.bincount(bins))
-        base = ((level << 36) + int(pdf["__block"].iloc[0])) << 20
-        return pdf.assign(sequence_id=base + bins, offset=offset, __fill=fill[bins])
+        by_length = np.lexsort((-lengths, bins))  # the first of a bin is its longest piece
+        lead = pdf["__row"].to_numpy()[by_length[np.searchsorted(bins[by_length], np.arange(len(fill)))]]
+        return pdf.assign(sequence_id=lead[bins], offset=offset, __fill=fill[bins])
     return run
 
 

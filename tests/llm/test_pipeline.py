@@ -65,3 +65,32 @@ def test_run_gives_the_last_stage(spark, folder):
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
     assert [name for name, _ in cp.STAGES] == ["quality_classifier", "exact_dedup", "near_dedup", "source_mixing", "best_fit_packing"]
     assert cp.ORACLE_SQL is None
+
+
+def test_sequences_follow_the_written_mix(spark, tmp_path, monkeypatch):
+    """Whole-pipeline order: any stretch of sequences holds the sources near their shares, which the stage before packing gave."""
+    monkeypatch.setattr(cp.packing, "BLOCK_PIECES", 200)
+    monkeypatch.setattr(cp.packing, "RUN_ROWS", 64)
+    rng = random.Random(4)
+    sizes = {"a": 1500, "b": 700, "c": 200}
+    rows = [(f"{s}{k}", " ".join("tok" for _ in range(rng.randint(1, 400))), "en", s, k) for s, n in sizes.items() for k in range(n)]
+    spark.createDataFrame(rows, "doc_id string, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+
+    def shares(mixed, name):
+        mixed.write.parquet(f"{tmp_path}/{name}")
+        first = {}
+        for r in cp.packing_stage(spark, spark.read.parquet(f"{tmp_path}/{name}"), "").collect():
+            first.setdefault(r.sequence_id, []).extend(r.doc_id[0] * (r.piece == 0))
+        order = [s for q in sorted(first) for s in first[q]]
+        assert len(order) == len(rows)
+        return [[order[k:k + 480].count(s) / 480 for s in sizes] for k in range(0, len(order) - 479, 160)]
+    total = sum(n ** 0.7 for n in sizes.values())
+    want = [n ** 0.7 / total for n in sizes.values()]
+    # until the smallest source ends (at 200 / its share) the shares of all three hold
+    until = int(200 / want[2])
+    near = [s for k, s in enumerate(shares(cp.mixing_stage(spark, docs, ""), "mixed")) if 160 * k + 480 <= until]
+    assert len(near) >= 3 and all(abs(x - y) < 0.1 for s in near for x, y in zip(s, want)), (near, want)
+    # and without the stage they do not
+    plain = shares(docs.repartitionByRange(4, "source"), "plain")
+    assert any(abs(x - y) > 0.3 for x, y in zip(plain[0], want))
