@@ -5,7 +5,8 @@ remainder first. Pieces are dealt into blocks of bounded size; each block is fil
 and then improved: pieces of the emptiest bin are moved, exchanged one for one or
 two for one with other underfull bins wherever that raises the sum of squared fills, until the bin is empty, the block has
 as few bins as its tokens need, or nothing improves. The sum of squares grows with each step, so the search
-ends. The worse-filled bins of many blocks are then packed again together, level by level.
+ends. The worse-filled bins of all blocks are then packed again together, level by level, in as many blocks of bounded size
+as their pieces need, until one block holds them or a level gives no fewer bins.
 
 With `written_order` the rows keep the order in which their files hold them, so that a mix made before packing is still one
 after it: pieces are numbered in that order, a block is a contiguous run of them, and so are the blocks packed again together. A sequence
@@ -28,7 +29,6 @@ END_ID = 2
 BLOCK_PIECES = 8192
 TRIES, NEAR = 16, 16  # breadth of the local search: bins worked on, partners of a piece looked at in its bin
 RUN_ROWS = 8192  # rows of a file whose pieces are numbered in one window
-FAN_IN = 256  # blocks whose underfull bins are packed again together
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -205,21 +205,26 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     light = pieces.select("__row", "length") if with_ids else pieces
     at = light.withColumn("__block", (F.floor(F.col("__row") / BLOCK_PIECES) if written_order else
                                       F.pmod(F.xxhash64("__row"), F.lit(blocks))).cast("long"))
-    packed = None
-    level = 0
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in at.schema)}, sequence_id long, offset long, __nth long"
+    packed = before = None
     while True:
-        schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in at.schema)}, sequence_id long, offset long, __fill long"
         done = cut(at.groupBy("__block").applyInPandas(_pack_block(capacity), schema))
-        if blocks == 1:
+        # __nth numbers the pieces of the underfull bins of a block
+        left, lead = F.col("__nth").isNotNull(), F.col("sequence_id") == F.col("__row")
+        sizes = cut(done.groupBy("__block").agg(F.count("__nth").alias("n"), F.count_if(lead).alias("bins"), F.count_if(left & lead).alias("open")))
+        total = sizes.agg(F.count(F.lit(1)).alias("blocks"), *[F.sum(c).alias(c) for c in ("n", "bins", "open")]).first()
+        if before is not None and total["bins"] >= open_bins:  # no fewer than the last level left
+            packed = packed.unionByName(before)
+            break
+        if total["blocks"] <= 1 or not total["n"]:
             packed = done if packed is None else packed.unionByName(done)
             break
-        closed = F.col("__fill") > capacity * 9 // 10
-        packed = done.where(closed) if packed is None else packed.unionByName(done.where(closed))
-        blocks = parts_for(blocks, FAN_IN)
-        level += 1
-        at = (done.where(~closed).drop("sequence_id", "offset", "__fill")
-              .withColumn("__block", (F.floor(F.col("__block") / FAN_IN) if written_order else
-                                      F.pmod(F.xxhash64("__row", F.lit(level)), F.lit(blocks))).cast("long")))
+        packed = done.where(~left) if packed is None else packed.unionByName(done.where(~left))
+        before, open_bins = done.where(left), total["open"]
+        # contiguous runs of the open pieces; one row per block
+        starts = sizes.select("__block", (F.sum("n").over(Window.orderBy("__block")) - F.col("n")).alias("__start"))
+        at = (before.drop("sequence_id", "offset").join(starts, "__block")
+              .withColumn("__block", F.floor((F.col("__start") + F.col("__nth")) / BLOCK_PIECES)).select(*at.columns))
     if with_ids:
         packed = pieces.join(packed.select("__row", "sequence_id", "offset"), "__row")
     return packed.select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * with_ids)
@@ -237,7 +242,11 @@ def _pack_block(capacity: int):
         offset[order] = ends - lengths[order] - np.repeat(np.cumsum(fill) - fill, np.bincount(bins))
         by_length = np.lexsort((-lengths, bins))  # the first of a bin is its longest piece
         lead = pdf["__row"].to_numpy()[by_length[np.searchsorted(bins[by_length], np.arange(len(fill)))]]
-        return pdf.assign(sequence_id=lead[bins], offset=offset, __fill=fill[bins])
+        nth = pd.array(np.arange(len(pdf)), "Int64")
+        left = fill[bins] <= capacity * 9 // 10
+        nth[left] = np.arange(left.sum())
+        nth[~left] = pd.NA
+        return pdf.assign(sequence_id=lead[bins], offset=offset, __nth=nth)
     return run
 
 

@@ -78,3 +78,30 @@ def test_many_blocks(spark):
     for r in got:
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert max(fill.values()) <= 128 and len(fill) <= 1.02 * -(-sum(fill.values()) // 128) + 1
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_no_task_gets_more_than_a_block(spark, tmp_path, monkeypatch, written):
+    """Pieces of 513 to 921 of 1024 tokens never share a bin, so all stay open; no group may hold more than a block of them."""
+    import simpairs.llm.packing as p
+
+    real, log = p._pack_block, str(tmp_path / "groups")
+    monkeypatch.setattr(p, "BLOCK_PIECES", 50)
+
+    def logged(*args):
+        run = real(*args)
+
+        def seen(pdf):
+            with open(log, "a") as out:
+                out.write(f"{len(pdf)}\n")
+            return run(pdf)
+        return seen
+    monkeypatch.setattr(p, "_pack_block", logged)
+    spark.range(700).selectExpr("id AS doc_id", "repeat(' the', cast(60 + id % 40 AS int)) AS text").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    got = pack_documents(docs, PATH, capacity=115, written_order=written).collect()
+    assert len(got) == 700 and len({r.doc_id for r in got}) == 700 and len({r.sequence_id for r in got}) == 700
+    assert min(r.length for r in got) * 2 > 115
+    groups = [int(x) for x in open(log)]
+    # a hash deals a block a few more pieces than the mean, a run never
+    assert max(groups) <= (50 if written else 100), max(groups)
