@@ -7,8 +7,9 @@ values outside the domain are walked on until they are inside. So the same value
 values get different ones, separators stay, and the result is valid again (check digits are computed anew).
 
     card     all digits but the last, which becomes the Luhn digit
-    iban     the digits after the two letters and check digits; check digits modulo 97
-    phone    the digits after the country code, or all of a national number
+    iban     what follows the two letters and check digits, digits among digits and capitals among capitals; check digits
+             modulo 97. Of the length of its country, or of any from 11 to 31 where that is not known
+    phone    the digits after the country code, or all of a national number (blanks, points or dashes between its groups)
     ssn      all nine digits
     ip       the address as a 32-bit number
     date     the day within 1900 to 2099 (others stay)
@@ -27,14 +28,23 @@ from simpairs.llm.fingerprints import let
 
 ROUNDS = 10
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+#: characters after the check digits, and the countries with as many
+_IBAN_LENGTHS = {
+    11: "NO", 12: "BE", 14: "DK|FI|FK|FO|GL|NL|SD", 15: "MK|SI", 16: "AT|BA|EE|KZ|LT|LU|MN|XK", 17: "CH|HR|LI|LV",
+    18: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 19: "AE|GI|IL|IQ|OM|SO|TL", 20: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 21: "LY|PT|ST",
+    22: "IS|TR", 23: "BI|DJ|FR|GR|IT|MC|MR|SM", 24: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 25: "BR|EG|PS|QA|UA", 26: "JO|KW|MU|YE",
+    27: "MT|SC", 28: "LC", 29: "RU"}
+_IBAN = "|".join([*(rf"(?:{c})\d{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, c in _IBAN_LENGTHS.items()),
+                  r"[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?",
+                  r"[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3})"])
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-@])[\p{L}\p{N}._%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\p{L}\p{N}\-@])",
     "secret": r"(?<![\p{L}\p{N}])(?=[0-9A-Fa-f]*\d)(?=[0-9A-Fa-f]*[A-Fa-f])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?(?![\p{L}\p{N}])",
+    "iban": rf"(?<![\p{{L}}\p{{N}}])(?:{_IBAN})(?![\p{{L}}\p{{N}}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
     "date": r"(?<![\p{L}\p{N}\-/.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\p{L}\p{N}]|[\-/.]\d)",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}|\+\d{8,14}"
-             r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\p{L}\p{N}]|-\d)",
+             r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[ .\-]\d{3}[ .\-]\d{4})(?![\p{L}\p{N}]|-\d)",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "card": r"(?<![\p{L}\p{N}\-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}]|-\d)",
 }
@@ -93,12 +103,27 @@ def _digits(m: Column) -> Column:
     return F.regexp_replace(m, r"[^0-9]", "")
 
 
-def _refilled(m: Column, digits: Column) -> Column:
-    """The digits of `m` replaced in turn by `digits`; all else stays."""
-    return let(digits, lambda d: F.array_join(F.transform(
+def _letters_permuted(a: Column, key: str) -> Column:
+    """Capitals in runs of up to 10, each permuted; the place of a run is part of the tweak. Empty stays empty."""
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.length(a) - 1) / 10).cast("int")), lambda k: F.substring(a, k * 10 + 1, F.lit(10)))
+
+    def one(r: Column, k: Column) -> Column:
+        n = F.length(r)
+        half = F.floor(n / 2).cast("int")
+        value = F.aggregate(F.sequence(F.lit(1), n), F.lit(0).cast("long"), lambda v, i: v * 26 + F.ascii(F.substring(r, i, F.lit(1))) - 65)
+        number = feistel(value, _power(n - half, 26), _power(half, 26), key, F.concat_ws(".", F.lit("letters"), n.cast("string"), k.cast("string")))
+        return let(number, lambda x: F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.char(
+            F.pmod(F.call_function("div", x, _power(n - i, 26)), F.lit(26)) + 65)), ""))
+    return F.when(F.length(a) > 0, F.array_join(F.transform(runs, one), "")).otherwise(F.lit(""))
+
+
+def _refilled(m: Column, chars: Column, which: str = "0-9") -> Column:
+    """The characters of `m` among `which` (digits) replaced in turn by `chars`; all else stays."""
+    return let(chars, lambda d: F.array_join(F.transform(
         F.sequence(F.lit(1), F.length(m)),
-        lambda i: F.when(F.substring(m, i, F.lit(1)).rlike("[0-9]"),
-                         F.substring(d, F.length(_digits(F.substring(m, F.lit(1), i))), F.lit(1))).otherwise(F.substring(m, i, F.lit(1)))), ""))
+        lambda i: F.when(F.substring(m, i, F.lit(1)).rlike(f"[{which}]"),
+                         F.substring(d, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), f"[^{which}]", "")), F.lit(1)))
+        .otherwise(F.substring(m, i, F.lit(1)))), ""))
 
 
 def luhn_digit(payload: Column) -> Column:
@@ -121,10 +146,10 @@ def _card(m: Column, key: str) -> Column:
     return let(_digits(m), change)
 
 
-def _iban_rest(letters: Column, body: Column) -> Column:
-    """body, the letters as 10 to 35, and the check digits 00: modulo 97, digit by digit."""
-    code = F.concat(body, (F.ascii(letters) - 55).cast("string"), (F.ascii(F.substring(letters, 2, 1)) - 55).cast("string"))
-    return code
+def _as_number(s: Column) -> Column:
+    """Digits as they are, capitals as 10 to 35."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: let(F.substring(s, i, F.lit(1)), lambda c: F.when(
+        c.rlike("[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c))), "")
 
 
 def _mod97(number: Column) -> Column:
@@ -134,16 +159,22 @@ def _mod97(number: Column) -> Column:
 def _iban(m: Column, key: str) -> Column:
     letters = F.substring(m, 1, 2)
 
-    def change(d: Column) -> Column:  # check digits and body
-        check, body = F.substring(d, 1, 2), F.substring(d, F.lit(3), F.length(d) - 2)
-        # bodies of up to 18 digits in one network, longer ones in two parts
-        cut_at = F.least(F.lit(12), F.length(body) - 2)
-        new = F.when(F.length(body) <= 18, _digits_permuted(body, key, "iban")).otherwise(F.concat(
-            _digits_permuted(F.substring(body, F.lit(1), cut_at), key, "iban-a"),
-            _digits_permuted(F.substring(body, cut_at + 1, F.length(body) - cut_at), key, "iban-b")))
-        fresh = let(new, lambda b: F.concat(F.lpad((F.lit(98) - _mod97(F.concat(_iban_rest(letters, b), F.lit("00")))).cast("string"), F.lit(2), F.lit("0")), b))
-        return F.when(_mod97(F.concat(_iban_rest(letters, body), check)) == 1, _refilled(m, fresh))
-    return let(_digits(m), change)
+    def permuted(d: Column) -> Column:
+        # up to 18 digits in one network, more in two parts; none stay none
+        cut_at = F.least(F.lit(12), F.length(d) - 2)
+        safe = F.when(d == "", F.lit("0")).otherwise(d)
+        return F.when(d == "", d).when(F.length(d) <= 18, _digits_permuted(safe, key, "iban")).otherwise(F.concat(
+            _digits_permuted(F.substring(d, F.lit(1), cut_at), key, "iban-a"),
+            _digits_permuted(F.substring(d, cut_at + 1, F.length(d) - cut_at), key, "iban-b")))
+
+    def change(c: Column) -> Column:  # without blanks: letters, check digits, body
+        check, body = F.substring(c, 3, 2), F.substring(c, F.lit(5), F.length(c) - 4)
+        new = let(body, lambda b: _refilled(_refilled(b, let(_digits(b), permuted)),
+                                            let(F.regexp_replace(b, "[^A-Z]", ""), lambda a: _letters_permuted(a, key)), "A-Z"))
+        fresh = let(new, lambda b: F.concat(letters, F.lpad((F.lit(98) - _mod97(_as_number(F.concat(b, letters, F.lit("00"))))).cast("string"),
+                                                            F.lit(2), F.lit("0")), b))
+        return F.when(_mod97(_as_number(F.concat(body, letters, check))) == 1, _refilled(m, fresh, "A-Z0-9"))
+    return let(F.replace(m, F.lit(" "), F.lit("")), change)
 
 
 def _phone(m: Column, key: str) -> Column:

@@ -117,3 +117,21 @@ def test_found_values_of_the_table_are_gone(spark):
 def test_matches_at_the_edges(spark, text):
     out = pii.pseudonymise(spark.createDataFrame([(text,)], "text string"), "k").first().text
     assert out != text and len(out.strip()) >= 7 and (out[0] == " ") == (text[0] == " ") and (out[-1] == " ") == (text[-1] == " ")
+
+
+def test_ibans_with_letters_and_phones_with_blanks(spark):
+    ibans = ["GB82 WEST 1234 5698 7654 32", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606", "IT60X0542811101000000123456",
+             "IE29 AIBK 9311 5212 3456 78", "NO93 8601 1117 947", "NO9386011117947", "MT84MALT011000012345MTLCAST001S"]
+    assert all(map(iban_ok, ibans))
+    phones = ["212 555 0100", "(212) 555 0100"]
+    texts = [(v, f"to {v} NOW 12") for v in ibans + phones] + [(None, "GB83 WEST 1234 5698 7654 32")]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    form = lambda s: re.sub("[A-Z]", "A", re.sub("[0-9]", "9", s))
+    for k, (v, t) in enumerate(texts[:-1]):
+        m = re.fullmatch("to (.*) NOW 12", got[k].text)
+        assert m and m[1] != v and form(m[1]) == form(v), (v, got[k].text)
+        assert got[k]["__found"] == ["iban" if v in ibans else "phone"]
+        assert v in phones or m[1][:2] == v[:2] and iban_ok(m[1])
+    assert got[len(texts) - 1].text == texts[-1][1]
+    assert got[5].text.replace(" ", "") == got[6].text.replace(" ", "")
