@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, pii, quality, sharding, suffix_dedup
+from simpairs.llm import exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, pii, quality, sharding, simhash, suffix_dedup
 from simpairs.llm.common import documents, text_bytes
 
 #: where the tokenizer files are; a parameter of the operators, never part of the repository
@@ -122,3 +122,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_links").alias("n_links"),
                       F.size("__removed").cast("long").alias("n_removed"), F.col("__removed").alias("removed"),
                       F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query("op11_simhash_dedup")
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
