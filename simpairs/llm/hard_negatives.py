@@ -59,18 +59,20 @@ def _matrix(lists: pa.Array) -> np.ndarray:
 _PACKED = "n int, ids binary, labels binary, matrix binary"
 
 
-def _pack(batches):
+def _pack(block: int):
     """Rows -> blocks in ascending id: one row per block."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, BLOCK):
-            part = batch.slice(at, BLOCK)
-            ids = part.column("id").to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
-            m = _matrix(part.column("q"))[order]
-            labels = part.column("label").to_numpy(zero_copy_only=False)[order]
-            yield pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()),
-                                              pa.array([labels.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary())],
-                                             ["n", "ids", "labels", "matrix"])
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
+                m = _matrix(part.column("q"))[order]
+                labels = part.column("label").to_numpy(zero_copy_only=False)[order]
+                yield pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()),
+                                                  pa.array([labels.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary())],
+                                                 ["n", "ids", "labels", "matrix"])
+    return run
 
 
 def _unpacked(batch):
@@ -114,7 +116,7 @@ def _out(anchor, ids, values):
     return pa.RecordBatch.from_arrays([pa.array(join(c)) for c in (anchor, ids, values)], ["anchor", "id", "score"])
 
 
-def _best_of_label(sent, k: int):
+def _best_of_label(sent, k: int, tile: int):
     """Each block's best k rows of every anchor's label, the anchor itself left out."""
     def run(batches):
         a_ids, a_labels, a_m = sent.value
@@ -123,8 +125,8 @@ def _best_of_label(sent, k: int):
                 out = ([], [], [])
                 for label in np.intersect1d(labels, a_labels):
                     own, cols = np.flatnonzero(a_labels == label), np.flatnonzero(labels == label)
-                    for at in range(0, len(own), TILE):
-                        rows = own[at:at + TILE]
+                    for at in range(0, len(own), tile):
+                        rows = own[at:at + tile]
                         s = scores(a_m[rows], m[cols])
                         for r, c in _firsts(s, a_ids[rows][:, None] != ids[cols][None, :], k):
                             for x, y in zip(out, (a_ids[rows[r]], ids[cols[c]], s[r, c])):
@@ -133,7 +135,7 @@ def _best_of_label(sent, k: int):
     return run
 
 
-def _windows_of_others(sent, k: int, low: int, high: int):
+def _windows_of_others(sent, k: int, low: int, high: int, tile: int):
     """Each block's first k rows of other labels in every positive's window. sent: ids, labels, vectors and, per anchor, its
     positives' scores with how many there are."""
     def run(batches):
@@ -144,8 +146,8 @@ def _windows_of_others(sent, k: int, low: int, high: int):
         for batch in batches:
             for ids, labels, m in _unpacked(batch):
                 out = ([], [], [])
-                for at in range(0, len(a_ids), TILE):
-                    t = slice(at, at + TILE)
+                for at in range(0, len(a_ids), tile):
+                    t = slice(at, at + tile)
                     s = scores(a_m[t], m)
                     other = a_labels[t][:, None] != labels[None, :]
                     for p in range(pos.shape[1]):
@@ -205,7 +207,7 @@ def mine(rows: DataFrame, anchor: Column, id_col: str = "vec_id", vec_col: str =
     try:
         ready = scratch.table(quantised(rows, id_col, label_col, vec_col, anchor, scale), "rows")
         parts = max(2 * spark.sparkContext.defaultParallelism, parts_for(ready.count(), 64 * BLOCK))
-        packed = scratch.table(ready.select("id", "label", "q").repartition(parts).mapInArrow(_pack, _PACKED), "blocks")
+        packed = scratch.table(ready.select("id", "label", "q").repartition(parts).mapInArrow(_pack(BLOCK), _PACKED), "blocks")
         anchors = ready.where("anchor").select("id", "label", "q")
         size = anchors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("q")).alias("d")).first()
         waves = parts_for(size["n"] * (8 * (size["d"] or 0) + 8 * positives + 64), WAVE_BYTES, 1)
@@ -216,7 +218,7 @@ def mine(rows: DataFrame, anchor: Column, id_col: str = "vec_id", vec_col: str =
             got = anchors.where(wave == w).orderBy("id").toArrow()
             held = [got.column("id").to_numpy(), got.column("label").to_numpy(), _matrix(got.column("q"))]
             sent = spark.sparkContext.broadcast(tuple(held))
-            found = packed.mapInArrow(_best_of_label(sent, positives), "anchor long, id long, score long")
+            found = packed.mapInArrow(_best_of_label(sent, positives, TILE), "anchor long, id long, score long")
             first = Window.partitionBy("anchor").orderBy(F.desc("score"), "id")
             top = scratch.table(found.withColumn("k", F.row_number().over(first)).where(F.col("k") <= positives), f"positives-{w}")
             own = top.orderBy("anchor", "k").toArrow()  # at most `positives` rows for each anchor of the wave
@@ -224,7 +226,7 @@ def mine(rows: DataFrame, anchor: Column, id_col: str = "vec_id", vec_col: str =
             pos, n_pos = np.zeros((len(held[0]), positives), np.int64), np.bincount(at, minlength=len(held[0]))
             pos[at, k] = own.column("score").to_numpy()
             more = spark.sparkContext.broadcast((*held, pos, n_pos))
-            others = scratch.table(packed.mapInArrow(_windows_of_others(more, negatives, low, high), "anchor long, id long, score long"), f"negatives-{w}")
+            others = scratch.table(packed.mapInArrow(_windows_of_others(more, negatives, low, high, TILE), "anchor long, id long, score long"), f"negatives-{w}")
             sent.destroy()
             more.destroy()
             both = [d.select("anchor", "score", F.lit(kind).alias("kind"), "id") for kind, d in enumerate((top, others))]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import exact_dedup, fingerprints, hard_negatives, line_dedup, mixing, near_dedup, packing, pii, quality, sharding, simhash, suffix_dedup
+from simpairs.llm import exact_dedup, fingerprints, hard_negatives, lexical_search, line_dedup, mixing, near_dedup, packing, pii, quality, sharding, simhash, suffix_dedup
 from simpairs.llm.common import documents, text_bytes
 
 #: where the tokenizer files are; a parameter of the operators, never part of the repository
@@ -151,3 +151,28 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 50 == 0)
+
+
+@_query("op13_lexical_search", r"""
+WITH x AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+d AS (SELECT r, doc_id, len(ws) AS n, ws FROM x WHERE len(ws) > 0),
+s AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nl FROM d),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(ws) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+sc AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nd) // nl)))) AS BIGINT) AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term), s GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM sc WHERE score > 0) WHERE k <= 10""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return lexical_search.search(documents(spark, sf_dir).select("doc_id", "text"), items.select("item_id", "text"))
