@@ -31,13 +31,3 @@ def bce(y, p) -> Column:
     yy, pp = _col(y).cast("double"), _col(p).cast("double")
     return -(yy * _clamped_log(pp) + (F.lit(1.0) - yy) * _clamped_log(F.lit(1.0) - pp))
 
-
-def score_bucket(p) -> Column:
-    """Monotone, bounded bucket of a probability on the logit scale.
-
-    Uniform buckets in p would pile a saturated model's scores (all within 1e-5 of 1.0)
-    into one bucket; the logit scale spreads both ends. 64,001 buckets at most.
-    """
-    pp = _col(p).cast("double")
-    logit = F.when(pp <= 0, F.lit(-40.0)).when(pp >= 1, F.lit(40.0)).otherwise(F.log(pp / (F.lit(1.0) - pp)))
-    return F.floor((F.greatest(F.lit(-40.0), F.least(F.lit(40.0), logit)) + F.lit(40.0)) * F.lit(800.0)).cast("int")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from simpairs.functions.arrays import clamp_ids, pad_truncate
 from simpairs.functions.text import tokenize
+from simpairs.operators.dictionary import dictionary, regroup
+from simpairs.operators.lookup import lookup
 
 UNK_ID, PAD_ID = 1, 0
 
@@ -16,36 +18,34 @@ def encode(texts: DataFrame, vocab: DataFrame, id_col: str = "clause_id", text_c
 
     Unknown words map to UNK (1). With `max_len` the sequence is truncated/right-padded
     to exactly `max_len` ids; tokens past `max_len` cannot appear in the result, so they
-    are cut off before the explode. Rows with no tokens keep an empty (or all-PAD) seq.
+    are cut off before the lookup. Rows with no tokens keep an empty (or all-PAD) seq.
 
-    Plan: explode -> join vocab (broadcast when the vocab's size statistics allow it,
-    else a shuffle join with AQE skew handling) -> partial collect per clause on the
-    map side -> one row per clause through the shuffle.
+    Each clause is put into dictionary form first, so one row per distinct word of a clause leaves it, with the word's
+    positions. The vocabulary lookup broadcasts a small vocabulary; a large one is joined by shuffle, with
+    its frequent words dealt evenly (`lookup`). Ids come back to their positions, one row per clause through the shuffle.
     """
     words = tokenize(text_col)
     if max_len is not None:
         words = F.slice(words, 1, max_len)
-    t = texts.select(F.col(id_col).alias("__id"), F.posexplode_outer(words).alias("pos", "word"))
-    v = vocab.select(F.col("word").alias("__w"), "idx")
-    j = t.join(v, t["word"] == v["__w"], "left")
-    ids = j.groupBy("__id").agg(
-        F.collect_list(F.when(F.col("pos").isNotNull(),
-                              F.struct("pos", F.coalesce("idx", F.lit(UNK_ID)).alias("idx")))).alias("__ps"))
-    seq = F.transform(F.array_sort("__ps"), lambda s: s["idx"])
+    rows = dictionary(texts.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).withColumnRenamed("__text", text_col),
+                      words, ["__id"], "word")
+    ids = regroup(lookup(rows, "word", vocab.select("word", "idx")), "__id", F.coalesce("idx", F.lit(UNK_ID)),
+                  F.col("word").isNotNull(), "__seq")
+    seq = F.col("__seq")
     if max_len is not None:
         seq = pad_truncate(seq, max_len, PAD_ID)
     return ids.select(F.col("__id").alias(id_col), seq.alias("seq"))
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "clause_id", skip_pad: bool = True) -> DataFrame:
-    """(id, seq) -> (id, text): ids back to words, space-joined, PAD dropped."""
-    e = encoded.select(id_col, F.posexplode_outer("seq").alias("pos", "idx"))
+    """(id, seq) -> (id, text): ids back to words, space-joined, PAD dropped; ids that the vocabulary lacks are left out.
+    One lookup per distinct id of a sequence."""
+    rows = dictionary(encoded, F.col("seq"), [id_col], "__i")
+    known = F.col("word").isNotNull()
     if skip_pad:
-        e = e.where(F.col("idx").isNull() | (F.col("idx") != PAD_ID))
-    v = vocab.select(F.col("idx").alias("__i"), "word")
-    j = e.join(v, e["idx"] == v["__i"], "left")
-    g = j.groupBy(id_col).agg(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word"))).alias("__ps"))
-    return g.select(id_col, F.array_join(F.transform(F.array_sort("__ps"), lambda s: s["word"]), " ").alias("text"))
+        known = known & (F.col("__i") != PAD_ID)
+    found = lookup(rows, "__i", vocab.select(F.col("idx").alias("__idx"), "word"), "__idx")
+    return regroup(found, id_col, F.col("word"), known, "__w").select(id_col, F.array_join("__w", " ").alias("text"))
 
 
 def clamp(encoded: DataFrame, vocab_size: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from simpairs.config import PairConfig
 from simpairs.functions.arrays import dot, norm, pair_features
 from simpairs.functions.text import tokenize
+from simpairs.operators.lookup import lookup
 
 
 def attach_vectors(pairs: DataFrame, items: DataFrame, vec_col: str = "embedding") -> DataFrame:
@@ -73,11 +74,13 @@ def clause_encoding(encoded: DataFrame, token_vectors: DataFrame, include_paddin
                     id_col: str = "clause_id") -> DataFrame:
     """Token ids -> token vectors (equi lookup) -> max pool per clause, one row per clause; the encoding is null
     for a clause none of whose ids has a vector. token_vectors(idx, vector DOUBLE[]). The maximum does not
-    change with repetition, so each clause looks up its distinct ids only."""
+    change with repetition, so each clause looks up its distinct ids only; frequent ids are dealt evenly (`lookup`)."""
     e = encoded.select(id_col, F.explode(F.array_distinct("seq")).alias("idx"))
     if not include_padding:
         e = e.where(F.col("idx") != 0)
-    pooled = max_pool(e.join(token_vectors, "idx"), [id_col], "vector", "encoding")
+    width = token_vectors.agg(F.max(F.size("vector")).alias("w")).first()["w"] or 0
+    found = lookup(e, "idx", token_vectors.select("idx", "vector"), entry_bytes=64 + 8 * width).where(F.col("vector").isNotNull())
+    pooled = max_pool(found, [id_col], "vector", "encoding")
     return encoded.select(id_col).join(pooled, id_col, "left")
 
 

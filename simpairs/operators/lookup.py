@@ -29,9 +29,9 @@ TRACKED = 32768
 SPREAD = 1 << 16
 
 
-def table_bytes(table: DataFrame, key: str) -> int:
-    """Upper estimate of a table's size in memory: keys as text and `ENTRY_BYTES` for all else."""
-    size = F.octet_length(F.col(key).cast("string")).cast("long") + ENTRY_BYTES
+def table_bytes(table: DataFrame, key: str, entry_bytes: int = ENTRY_BYTES) -> int:
+    """Upper estimate of a table's size in memory: keys as text and `entry_bytes` for all else."""
+    size = F.octet_length(F.col(key).cast("string")).cast("long") + entry_bytes
     return int(table.agg(F.sum(size).alias("b")).first()["b"] or 0)
 
 
@@ -43,16 +43,17 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
             .select(F.col("__t.item").alias(key)))
 
 
-def lookup(rows: DataFrame, key: str, table: DataFrame, table_key: str | None = None) -> DataFrame:
+def lookup(rows: DataFrame, key: str, table: DataFrame, table_key: str | None = None,
+           entry_bytes: int = ENTRY_BYTES) -> DataFrame:
     """All rows with the table's other columns, null where the key is missing from the table or null.
 
     `table` has one row per `table_key` (default: the name of `key`), and its other column names do not occur
-    in `rows`. Rows that are equal in every column are dealt to one place."""
+    in `rows`. `entry_bytes`: what an entry takes beside its key. Rows that are equal in every column are dealt to one place."""
     table_key = table_key or key
     values = [c for c in table.columns if c != table_key]
     entries = table.select(F.col(table_key).alias("__k"), F.struct(*values).alias("__v"))
     out = [F.col(c) for c in rows.columns]
-    if table_bytes(table, table_key) <= BROADCAST_BYTES:
+    if table_bytes(table, table_key, entry_bytes) <= BROADCAST_BYTES:
         found = rows.join(F.broadcast(entries), F.col(key) == F.col("__k"), "left")
         return found.select(*out, *[F.col(f"__v.{c}").alias(c) for c in values])
     hot = checkpointed(hot_keys(rows, key).withColumnRenamed(key, "__k"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.functions.scoring import bce, score_bucket
-from simpairs.operators.numbering import running_totals
+from simpairs.functions.scoring import bce
+from simpairs.operators.numbering import RANGE, running_totals, with_ranges
+from simpairs.sources.shared import checkpointed
 
 
 def _div0(a: Column, b: Column) -> Column:
@@ -43,12 +44,12 @@ def binary_metrics(scored: DataFrame) -> DataFrame:
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:
     """(model, label, predicted, n) for every pair of labels present (in y or in the
-    prediction) for that model, zeros included."""
-    labels = (scored.select("model", F.col("label").alias("c"))
-              .union(scored.select("model", F.col("predicted").alias("c"))).distinct())
+    prediction) for that model, zeros included. The scored rows are read once, into a few counts that
+    everything else is made of."""
+    n = checkpointed(scored.groupBy("model", "label", "predicted").agg(F.count(F.lit(1)).alias("n")))
+    labels = n.select("model", F.col("label").alias("c")).union(n.select("model", F.col("predicted").alias("c"))).distinct()
     grid = (labels.withColumnRenamed("c", "label")
             .join(labels.withColumnRenamed("c", "predicted"), "model"))
-    n = scored.groupBy("model", "label", "predicted").agg(F.count(F.lit(1)).alias("n"))
     return grid.join(n, ["model", "label", "predicted"], "left").select(
         "model", "label", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
@@ -60,8 +61,8 @@ def score_curve(scored: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long").alias("tp"),
         F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).cast("long").alias("fp"))
     # descending score order: the bucket must grow along it
-    return running_totals(d, {"ctp": F.col("tp"), "cfp": F.col("fp")}, [F.col("probability").desc()],
-                       -score_bucket("probability"), ["model"])
+    return running_totals(with_ranges(d, F.col("probability")), {"ctp": F.col("tp"), "cfp": F.col("fp")}, [F.col("probability").desc()],
+                       -F.col(RANGE), ["model"]).drop(RANGE)
 
 
 def curve_metrics(scored: DataFrame) -> DataFrame:

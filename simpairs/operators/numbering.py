@@ -24,6 +24,12 @@ from simpairs.functions.hashing import HASH_HEX_DIGITS
 
 _KEY = "__key"
 ROWS_PER_BUCKET = 1_000_000
+#: quantile ranges of `with_ranges`: at most RANGES (a square number), each of about ROWS_PER_RANGE rows at least
+RANGE = "__range"
+RANGES = 1024
+ROWS_PER_RANGE = 4096
+#: size of the quantile sketch: its rank error is below 0.1 %
+SKETCH_K = 4096
 
 
 def row_count(df: DataFrame) -> Column:
@@ -38,6 +44,27 @@ def hash_bucket(hash_col: Column, rows: Column) -> Column:
     return F.call_function("shiftright", hash_col, F.lit(4 * HASH_HEX_DIGITS) - bits)
 
 
+def with_ranges(df: DataFrame, value: Column) -> DataFrame:
+    """`df` and `RANGE`: a monotone bucket of a numeric value, ranges between its quantiles however its values are spread.
+
+    The quantiles come from a mergeable KLL sketch (a partial aggregate of the pruned input, a fixed size); a small table gets
+    fewer ranges. Values that are equal as doubles share a bucket; a null is in the first one, NaN in the last."""
+    step = int(RANGES ** 0.5)
+    sketch = df.select(value.cast("double").alias("v")).agg(F.kll_sketch_agg_double("v", F.lit(SKETCH_K)).alias("s"), F.count("v").alias("n"),
+                                         F.least(F.lit(float(RANGES)), F.ceil(F.count(F.lit(1)) / ROWS_PER_RANGE)).alias("used"))
+    ranks = F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)])
+    q = sketch.select(F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", ranks)).alias("q"), "used")
+    # two levels: every step-th edge, and the edges between two of them
+    edges = q.select(F.struct(F.array(*[F.get("q", F.lit(step * j - 1)) for j in range(1, step)]).alias("coarse"),
+                              F.array(*[F.slice("q", step * j + 1, step - 1) for j in range(step)]).alias("fine"), "used").alias("e"))
+    d = df.withColumns({"__edges": edges.scalar(), "__v": value.cast("double")})
+    reached = lambda x: F.size(F.filter(x, lambda e: e <= F.col("__v")))
+    d = d.withColumn("__coarse", F.coalesce(reached(F.col("__edges.coarse")), F.lit(0)))
+    fine = reached(F.get("__edges.fine", F.col("__coarse")))
+    place = F.col("__coarse") * step + F.when(fine > 0, fine).otherwise(0)
+    return d.select(*df.columns, F.coalesce(F.floor(place * F.col("__edges.used") / float(RANGES)), F.lit(0)).cast("long").alias(RANGE))
+
+
 def _keyed(df: DataFrame, bucket: Column, pcols: Sequence[str]) -> DataFrame:
     # a struct is never null itself, whatever its fields: a plain equi-join key that matches nulls
     fields = [F.col(c).alias(f"p{k}") for k, c in enumerate(pcols)]

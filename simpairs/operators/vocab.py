@@ -1,16 +1,13 @@
 """Word counts, frequency-filtered vocabulary with first-appearance ids, corpus statistics."""
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import RESERVED_TOKENS, tokenize
-from simpairs.operators.numbering import number_rows
-
-# ranges of the first appearance over which words are numbered
-NUMBER_RANGES = 256
+from simpairs.operators.dictionary import dictionary
+from simpairs.operators.numbering import RANGE, number_rows, with_ranges
+from simpairs.sources.shared import checkpointed
 
 
 def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
@@ -19,34 +16,30 @@ def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
     return t if max_pos is None else t.where(F.col("pos") < max_pos)
 
 
-def _with_first_key(clauses: DataFrame) -> DataFrame:
-    """clauses with `cat_rank` and `__base`, a decimal that orders clauses by (category name, clause_id) and leaves
-    room for a position: rank * 2^95 + (clause_id + 2^63) * 2^31. Any BIGINT id and any array position fit."""
-    cats = clauses.select("category").distinct()
-    cats = cats.withColumn("cat_rank", F.row_number().over(Window.orderBy("category")))
-    shifted = (F.col("clause_id").cast("decimal(20,0)") + F.lit(Decimal(1 << 63)).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(10,0)")
-    base = F.col("cat_rank").cast("decimal(10,0)") * F.lit(Decimal(1 << 95)).cast("decimal(29,0)") + shifted
-    return clauses.join(cats, "category").withColumn("__base", base.cast("decimal(38,0)"))
+def _word_stats(clauses: DataFrame) -> DataFrame:
+    """(word, cnt, cat_rank, clause_id, pos): counts, and the first appearance by (category name, clause_id, position).
+
+    A clause hands on each distinct word once. Counts and first appearances are aggregated per (word, category) and then per
+    word; all buffers are fixed-width numbers, so both are hash aggregates that start before the shuffle. Category
+    ranks are joined to the aggregated words, never to texts."""
+    own = dictionary(clauses, tokenize("clause"), ["category", "clause_id"], "word").where(F.col("word").isNotNull())
+    per = own.groupBy("word", "category").agg(
+        F.sum(F.size("at")).alias("cnt"), F.min("clause_id").alias("clause_id"), F.min_by(F.get("at", F.lit(0)), "clause_id").alias("pos"))
+    return per.join(_ranked(clauses), "category").groupBy("word").agg(
+        F.sum("cnt").alias("cnt"), F.min_by("clause_id", "cat_rank").alias("clause_id"),
+        F.min_by("pos", "cat_rank").alias("pos"), F.min("cat_rank").alias("cat_rank"))
 
 
-def _word_stats(clauses: DataFrame, *first: str) -> DataFrame:
-    """(word, cnt, fkey, first_*): counts and the least first-appearance key. The key is made once per clause, before
-    the explode, and every buffer has a fixed width, so tokens go straight into a partial hash aggregate and only
-    per-task word counts are shuffled."""
-    t = _with_first_key(clauses).select("cat_rank", "clause_id", "__base", F.posexplode(tokenize("clause")).alias("pos", "word"))
-    key = (F.col("__base") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
-    t = t.withColumn("__key", key)
-    return t.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"), F.min("__key").alias("fkey"),
-                                 *[F.min_by(c, "__key").alias(f"first_{c}") for c in first])
+def _ranked(clauses: DataFrame) -> DataFrame:
+    """(category, cat_rank): categories in the order of their names."""
+    return clauses.select("category").distinct().withColumn("cat_rank", F.row_number().over(Window.orderBy("category")))
 
 
 def word_counts(clauses: DataFrame) -> DataFrame:
     """(word, cnt, first_category, first_clause_id, first_pos); first = earliest by
     (category name, clause_id, position)."""
-    stats = _word_stats(clauses, "cat_rank", "clause_id", "pos")
-    cats = clauses.select(F.col("category").alias("first_category")).distinct()
-    cats = cats.withColumn("first_cat_rank", F.row_number().over(Window.orderBy("first_category")))
-    return stats.join(cats, "first_cat_rank").select("word", "cnt", "first_category", "first_clause_id", "first_pos")
+    return _word_stats(clauses).join(_ranked(clauses), "cat_rank").select(
+        "word", "cnt", F.col("category").alias("first_category"), F.col("clause_id").alias("first_clause_id"), F.col("pos").alias("first_pos"))
 
 
 def reserved_vocab(spark: SparkSession) -> DataFrame:
@@ -55,15 +48,16 @@ def reserved_vocab(spark: SparkSession) -> DataFrame:
 
 def build_vocabulary(clauses: DataFrame, min_freq: int = 2) -> DataFrame:
     """vocab(word, idx): reserved ids 0..3, then words with cnt >= min_freq numbered
-    4, 5, ... in order of first appearance."""
-    kept = _word_stats(clauses).where(F.col("cnt") >= min_freq).withColumn("__d", F.col("fkey").cast("double"))
-    # new words thin out along the corpus (a power law), so ranges widen; they only spread the numbering
-    low, high = kept.select(F.min("__d")).scalar(), kept.select(F.max("__d")).scalar()
-    part = (F.col("__d") - low) / F.greatest(high - low, F.lit(1.0))
-    bucket = F.floor(F.pow(part, F.lit(0.6)) * NUMBER_RANGES).cast("long")
-    numbered = number_rows(kept, [F.col("fkey")], bucket, (), "rn")
+    4, 5, ... in order of first appearance.
+
+    The word table (one row per word) and the vocabulary are made once, in the shared folder; words are numbered over quantile ranges of
+    the first appearance, wherever in the corpus new words gather."""
+    kept = checkpointed(_word_stats(clauses).where(F.col("cnt") >= min_freq))
+    low, high = (kept.select(f("clause_id").cast("double")).scalar() for f in (F.min, F.max))
+    place = F.col("cat_rank") + (F.col("clause_id").cast("double") - low) / (high - low + 1.0)
+    numbered = number_rows(with_ranges(kept, place), [F.col("cat_rank"), F.col("clause_id"), F.col("pos")], F.col(RANGE), (), "rn")
     words = numbered.select("word", (F.col("rn") + len(RESERVED_TOKENS) - 1).cast("int").alias("idx"))
-    return reserved_vocab(clauses.sparkSession).unionByName(words)
+    return reserved_vocab(clauses.sparkSession).unionByName(checkpointed(words))
 
 
 def vocab_stats(vocab: DataFrame) -> DataFrame:

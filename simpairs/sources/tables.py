@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan of fewer partitions than the cluster has cores is dealt out by `key` before the costly text work above it,
+    about a MB of its (compressed) size a task at least. Partitions and size are read from the plan; no job runs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df._jdf.queryExecution().toRdd().getNumPartitions()
+    if parts >= cores:
+        return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = min(cores, size >> 20)
+    return df.repartition(wanted, key) if wanted > parts else df
+
+
 def clean_clauses(df: DataFrame, text_col: str, null_policy: str = "literal_nan") -> DataFrame:
     """Apply the null policy and the cleaning chain to `text_col` -> `clause`."""
     if null_policy == "drop":
@@ -33,8 +45,8 @@ def document_clauses(
 ) -> DataFrame:
     """documents -> clauses(category, clause_id, clause); category is any SQL expression."""
     docs = table(spark, sf_dir, "documents")
-    df = docs.select(F.expr(category_expr).cast("string").alias("category"),
-                     F.col("doc_id").alias("clause_id"), "text")
+    df = spread(docs.select(F.expr(category_expr).cast("string").alias("category"),
+                            F.col("doc_id").alias("clause_id"), "text"), "clause_id")
     return clean_clauses(df, "text", null_policy).select("category", "clause_id", "clause")
 
 

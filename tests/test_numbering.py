@@ -2,9 +2,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.hashing import keyed_hash
-from simpairs.functions.scoring import score_bucket
 from simpairs.operators import numbering
-from simpairs.operators.numbering import hash_bucket, number_rows, row_count, running_totals
+from simpairs.operators.numbering import hash_bucket, number_rows, row_count, running_totals, with_ranges
 from tests.conftest import SF_ORACLE
 
 
@@ -46,6 +45,27 @@ def test_one_exchange_of_the_rows_and_a_bounded_bucket_table(spark):
 def test_running_totals_on_scores(spark):
     rows = [(float(i % 17) / 16.0, i % 3) for i in range(500)]
     df = spark.createDataFrame(rows, "p double, v int").groupBy("p").agg(F.sum("v").alias("v"))
-    got = running_totals(df, {"c": F.col("v")}, [F.col("p").desc()], -score_bucket("p"))
+    got = running_totals(with_ranges(df, F.col("p")), {"c": F.col("v")}, [F.col("p").desc()], -F.col(numbering.RANGE))
     ref = df.withColumn("c", F.sum("v").over(Window.orderBy(F.col("p").desc())))
     assert got.join(ref, ["p", "c"]).count() == df.count()
+
+
+def test_quantile_ranges_follow_any_spread(spark, monkeypatch):
+    """Two million scores within 1e-9 of each other, some of them equal, are dealt evenly; order and totals stay exact."""
+    d = spark.range(0, 2_000_000, 1, 8).select("id", (F.lit(0.5) + F.pow(F.col("id") / 2e6, 3) * 1e-9).alias("p"))
+    b = with_ranges(d, F.col("p")).select("p", F.col(numbering.RANGE).alias("b"))
+    per = [r.n for r in b.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(per) == 2_000_000 and len(per) > 400 and max(per) < 3 * 2_000_000 / len(per)
+    w = Window.orderBy("p", "b")
+    assert b.sample(0.005, 1).select((F.col("b") - F.lag("b").over(w)).alias("d")).where("d < 0").count() == 0
+
+
+def test_ranges_of_odd_values(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 2)
+    rows = [(k, v) for k, v in enumerate([None, float("nan"), 1.0, 1.0, -5.0, 1e300, float("inf"), 0.0, 2.0])]
+    d = spark.createDataFrame(rows, "k long, v double")
+    got = {r.k: r.b for r in with_ranges(d, F.col("v")).select("k", F.col(numbering.RANGE).alias("b")).collect()}
+    assert got[4] <= got[7] <= got[2] == got[3] <= got[8] <= got[5] <= got[6] <= got[1] and got[0] == 0 and got[1] > 0
+    assert with_ranges(d.where("false"), F.col("v")).collect() == []
+    same = spark.range(1000).select(F.lit(7.0).alias("v"))
+    assert with_ranges(same, F.col("v")).select(numbering.RANGE).distinct().count() == 1

@@ -40,16 +40,30 @@ def test_registered_queries_without_text_do_not_read_it(spark):
         assert reads and all("text" not in line for line in reads), name
 
 
-def test_tokens_are_counted_before_the_shuffle(spark):
+def test_words_are_counted_before_the_shuffle(spark):
     from simpairs.operators.vocab import word_counts
     plan = _plan(word_counts(document_clauses(spark, SF_SMALL, "lang"))).splitlines()
-    explode = next(k for k, line in enumerate(plan) if "Generate posexplode" in line)
+    explode = next(k for k, line in enumerate(plan) if "Generate explode" in line)
     above = [line for line in plan[:explode] if "Exchange" in line or "HashAggregate" in line]
-    assert "partial_count" in above[-1] and not any("SortAggregate" in line for line in plan)
+    assert "partial_sum" in above[-1] and not any("SortAggregate" in line for line in plan)
     below = [line for line in plan[explode:] if "Exchange hashpartitioning(word" in line]
     assert not below
 
 
+def test_one_row_per_distinct_word_leaves_a_text(spark):
+    from simpairs.operators.dictionary import dictionary
+    from simpairs.operators.encode import encode
+    from simpairs.functions.text import tokenize
+    c = spark.createDataFrame([(1, "b a b b c a"), (2, ""), (3, "a")], "clause_id long, clause string")
+    rows = {(r.clause_id, r.value): r["at"] for r in dictionary(c, tokenize("clause"), ["clause_id"]).collect()}
+    assert rows == {(1, "a"): [1, 5], (1, "b"): [0, 2, 3], (1, "c"): [4], (2, None): None, (3, "a"): [0]}
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "word string, idx int")
+    plan = _plan(encode(c, vocab)).splitlines()
+    # words leave their text through one explode of its distinct words; nothing explodes tokens
+    assert sum("Generate" in line for line in plan) == 1 and not any("posexplode" in line for line in plan)
+    assert {r.clause_id: r.seq for r in encode(c, vocab).collect()} == {1: [5, 4, 5, 5, 1, 4], 2: [], 3: [4]}
+
+
 def test_texts_are_attached_after_the_limit(spark):
     from simpairs.operators import examples as ex
     c = document_clauses(spark, SF_SMALL, "lang")
