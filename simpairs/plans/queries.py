@@ -998,6 +998,20 @@ def _csv_ingest(spark, sf):
     return canon(read_category_csvs(spark, folder))
 
 
+@register("csv_mixed_headers", """WITH c AS (
+  SELECT source AS category, doc_id, text FROM documents UNION ALL SELECT 'in ' || lang, doc_id, text FROM documents)
+SELECT category, (dense_rank() OVER (ORDER BY category) - 1) * 4294967296
+  + row_number() OVER (PARTITION BY category ORDER BY doc_id) - 1 AS clause_id, """ + q.clean("coalesce(text, 'nan')") + " AS clause FROM c")
+def _csv_mixed_headers(spark, sf):
+    from simpairs.sources.csv_corpus import read_category_csvs, write_category_csvs
+    # two sub-folders whose files have different headers, the text in another place of each
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("text").alias("clause_text"), "source", "lang")
+    folder = _csv_folder(spark, "csv")
+    write_category_csvs(d.withColumn("category", F.col("source")), f"{folder}/first")
+    write_category_csvs(d.withColumn("category", F.concat(F.lit("in "), "lang")), f"{folder}/second", text_first=False)
+    return canon(read_category_csvs(spark, folder))
+
+
 @register("csv_rejects", """SELECT DISTINCT 'more fields ' || lang || '.csv' AS file_name, 'malformed rows' AS reason FROM documents""")
 def _csv_rejects(spark, sf):
     from simpairs.sources.csv_corpus import read_category_csvs, write_category_csvs

@@ -1,7 +1,7 @@
 """Category CSV sets: one CSV file per category, category = file name without '.csv'.
 
-Files are grouped by their number of columns and the place of the text column, one scan per group, then the
-groups are unioned. Only file names and header lines are touched on the driver.
+All files are read in one scan, in byte ranges; a file's header says how many columns its rows have and which one holds the
+text. Only file names and header lines are touched on the driver.
 """
 from __future__ import annotations
 
@@ -10,11 +10,11 @@ import io
 from collections import OrderedDict
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import clean_text
-from simpairs.operators.numbering import ROWS_PER_BUCKET, number_rows
+from simpairs.operators.numbering import number_rows
 from simpairs.sources.shared import checkpointed
 
 # Cell strings that pandas' CSV reader turns into a missing value by default
@@ -84,18 +84,81 @@ def _file_name() -> F.Column:
     return F.url_decode(F.regexp_replace("_metadata.file_name", r"\+", "%2B"))
 
 
+def _opens(x: Column) -> Column:
+    """Whether a line (doubled quotes already taken out) that begins a field leaves a quoted field open: a quote at the
+    start of a field opens, the next one closes, all others are plain characters."""
+    return F.regexp_replace(x, r'(?<=^|,)"[^"]*+"', "").rlike(r'(^|,)"')
+
+
+def _state_before(start: Column, const: Column, after: Column, swap: Column, w) -> Column:
+    """Prefix composition of maps of one bit (0: between records' fields, 1: inside a quoted field). A row's map is
+    constant (`const`, to `after`), a swap or the identity; `start`: the bit before the window's first row."""
+    swaps = F.sum(swap).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.coalesce(swaps, F.lit(0)) % 2
+    # a constant row fixes the bit; seen through the swaps up to it, it acts like another start
+    fixed = F.last(F.when(const, after.bitwiseXOR(F.col("__p"))), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return F.coalesce(fixed, start).bitwiseXOR(before.cast("int"))
+
+
+def csv_records(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """-> records(file_name, block, line, n, record) and open_files(file_name): a quoted field of the file never ends.
+
+    Files are read in byte ranges by as many tasks, whatever line feeds their quoted fields hold. A line is a map of the
+    state before it (inside a quoted field or not) to the state after it; maps are composed inside each range,
+    then over the ranges of a file (a table of one row per range), which gives the state before every line and so the record
+    starts. A record is named by the range, and its number there, in which it begins; only records of several lines
+    are put together by a shuffle. `n` counts a range's records from 1; blank lines between records are none."""
+    raw = spark.read.option("lineSep", "\n").text(paths).select(
+        _file_name().alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+        F.regexp_replace("value", "\r$", "").alias("value"))
+    bare = F.replace(F.regexp_replace("value", "^\ufeff", ""), F.lit('""'), F.lit(""))
+    quote = F.instr(bare, '"')
+    f0 = _opens(bare).cast("int")
+    f1 = F.when(quote == 0, 1).otherwise(_opens(F.concat(F.lit("-"), F.substring(bare, quote + 1, F.length(bare)))).cast("int"))
+    d = raw.withColumns({"f0": f0, "f1": f1})
+    swap = ((F.col("f0") == 1) & (F.col("f1") == 0)).cast("int")
+    const = F.col("f0") == F.col("f1")
+    w = Window.partitionBy("file_name", "block").orderBy("line")
+    d = d.withColumn("__p", (F.sum(swap).over(w.rowsBetween(Window.unboundedPreceding, 0)) % 2).cast("int"))
+    # the state before a line if the range began outside and if it began inside a quoted field
+    d = checkpointed(d.select("file_name", "block", "line", "value", "f0", "f1",
+                              *[_state_before(F.lit(k), const, F.col("f0"), swap, w).alias(f"s{k}") for k in (0, 1)]))
+    ends = [F.max_by(F.when(F.col(f"s{k}") == 1, F.col("f1")).otherwise(F.col("f0")), "line").alias(f"f{k}") for k in (0, 1)]
+    begun = [F.sum(((F.col(f"s{k}") == 0) & (F.col("value") != "")).cast("long")).alias(f"n{k}") for k in (0, 1)]
+    blocks = d.groupBy("file_name", "block").agg(*ends, *begun)
+    wb = Window.partitionBy("file_name").orderBy("block")
+    blocks = blocks.withColumn("__p", (F.sum(swap).over(wb.rowsBetween(Window.unboundedPreceding, 0)) % 2).cast("int"))
+    blocks = blocks.withColumn("s", _state_before(F.lit(0), const, F.col("f0"), swap, wb))
+    blocks = blocks.withColumns({"begun": F.when(F.col("s") == 1, F.col("n1")).otherwise(F.col("n0")),
+                                 "end": F.when(F.col("s") == 1, F.col("f1")).otherwise(F.col("f0"))})
+    earlier = F.last(F.when(F.col("begun") > 0, F.struct(F.col("block").alias("block"), F.col("begun").alias("n"))), ignorenulls=True)
+    blocks = checkpointed(blocks.select("file_name", "block", "s", "end", earlier.over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("held")))
+    open_files = blocks.groupBy("file_name").agg(F.max_by("end", "block").alias("end")).where("end = 1").select("file_name")
+    d = d.join(blocks.drop("end"), ["file_name", "block"]).join(open_files, "file_name", "left_anti")
+    state = F.when(F.col("s") == 1, F.col("s1")).otherwise(F.col("s0"))
+    d = d.withColumn("state", state).withColumn("starts", ((F.col("state") == 0) & (F.col("value") != "")).cast("long"))
+    d = d.where((F.col("state") == 1) | (F.col("value") != ""))
+    d = d.withColumn("n", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    own = F.struct(F.col("block").alias("block"), F.col("n").alias("n"))
+    d = d.withColumn("record_key", F.when(F.col("n") > 0, own).otherwise(F.col("held")))
+    whole = (F.col("state") == 0) & (F.col("f0") == 0)
+    one = d.where(whole).select("file_name", "block", "line", "n", F.col("value").alias("record"))
+    parts = d.where(~whole).groupBy("file_name", "record_key").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("l"))
+    many = parts.select("file_name", F.col("record_key.block").alias("block"), F.get("l", F.lit(0))["line"].alias("line"),
+                        F.col("record_key.n").alias("n"), F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("record"))
+    return one.unionByName(many), open_files
+
+
 def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "literal_nan",
                        with_rejects: bool = False):
     """-> clauses(category, clause_id, clause) [, rejects(file_name, reason)].
 
     clause_id = category rank (by name) * 2^32 + row position in the file, so ids follow
-    (category, file order). Columns are bound by position, so repeated header names do no harm. A short row is
-    filled with nulls; a file with a row of too many fields, a quoted field that never ends, or no readable
-    header is skipped and reported in `rejects`. Quoted line feeds make a file one scan task; everything after the scan is
-    split by row ranges."""
+    (category, file order). Columns are bound by position, so repeated header names do no harm, and files of any headers are read in
+    one scan. A short row is filled with nulls; a file with a row of too many fields, a quoted field that never ends, or no
+    readable header is skipped and reported in `rejects`. A file is read in byte ranges by many tasks (`csv_records`)."""
     files = csv_files(spark, directory)
-    groups: OrderedDict[tuple[int, int], list[str]] = OrderedDict()
-    rejected = []
+    found, paths, rejected = [], [], []
     for name, path in files:
         try:
             h = _header(spark, path)
@@ -105,26 +168,26 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
         if not h:
             rejected.append((name, "empty file"))
             continue
-        groups.setdefault((len(h), text_column(h)), []).append(path)
-    rows = None
-    for (width, at), paths in groups.items():
-        # one more column than the header has: it is filled by rows with too many fields only
-        schema = ", ".join(f"`_c{k}` string" for k in range(width + 1))
-        raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-               .option("mode", "PERMISSIVE").schema(schema).csv(paths))
-        part = raw.select(F.col(f"_c{at}").alias("raw"), F.col(f"_c{width}").isNotNull().alias("bad"),
-                          _file_name().alias("file_name"), F.monotonically_increasing_id().alias("__scan_pos"))
-        rows = part if rows is None else rows.unionByName(part)
-    if rows is None:
+        found.append((name, len(h), text_column(h)))
+        paths.append(path)
+    if not found:
         empty = spark.createDataFrame([], "category string, clause_id long, clause string")
         rej = spark.createDataFrame(rejected, "file_name string, reason string")
         return (empty, rej) if with_rejects else empty
+    records, open_files = csv_records(spark, paths)
+    headers = spark.createDataFrame(found, "file_name string, width int, at int")
+    # one more column than the widest header has: a field beyond a file's own header makes the row, and the file, malformed
+    widest = max(w for _, w, _ in found)
+    schema = ", ".join(f"_c{k} string" for k in range(widest + 1))
+    fields = F.from_csv("record", F.lit(schema), {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
+    rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).join(headers, "file_name").withColumn("__f", fields)
+    cells = F.array(*[F.col(f"__f._c{k}") for k in range(widest + 1)])
+    rows = rows.select("file_name", "block", "line", cells.alias("cells"), "width", "at").select(
+        "file_name", "block", "line", F.get("cells", F.col("at")).alias("raw"),
+        F.exists(F.slice("cells", F.col("width") + 1, F.lit(widest + 1)), lambda c: c.isNotNull()).alias("bad"))
     # the parsed rows are materialised once in the shared folder: three later steps read them
     rows = checkpointed(rows)
-    # an odd number of quote characters in a file: a quoted field that never ends
-    lines = spark.read.text([p for paths in groups.values() for p in paths]).select(_file_name().alias("file_name"), "value")
-    quotes = lines.groupBy("file_name").agg(F.sum(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("n"))
-    bad = rows.where("bad").select("file_name").union(quotes.where("n % 2 = 1").select("file_name")).distinct()
+    bad = rows.where("bad").select("file_name").union(open_files).distinct()
     good = rows.join(bad, "file_name", "left_anti")
     good = good.withColumn("category", F.regexp_replace("file_name", r"\.csv", ""))
     if null_policy == "literal_nan":
@@ -134,10 +197,9 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
         good = good.where(F.col("raw").isNotNull() & ~F.col("raw").isin(PANDAS_NA_STRINGS))
     else:
         raise ValueError(null_policy)
-    # row position inside the file: the scan id grows with file order inside a task
+    # row position inside the file: ranges follow each other, lines follow each other inside a range
     # (monotonically_increasing_id is only an order key here, never an output)
-    ranges = F.expr(f"__scan_pos div {ROWS_PER_BUCKET}")
-    pos = number_rows(good, [F.col("__scan_pos")], ranges, ["file_name"], "__row")
+    pos = number_rows(good, [F.col("block"), F.col("line")], F.col("block"), ["file_name"], "__row")
     cats = good.select("category").distinct().withColumn("__crank", F.row_number().over(Window.orderBy("category")) - 1)
     out = pos.join(cats, "category").select(
         "category", (F.shiftleft(F.col("__crank").cast("long"), 32) + F.col("__row") - 1).alias("clause_id"),
@@ -149,13 +211,16 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     return out, rej
 
 
-def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True) -> None:
+def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True, text_first: bool = True) -> None:
     """rows(category, ord, clause_text) -> one CSV file `<category>.csv` per category, rows in the order of `ord`;
-    columns clause_text and clause_type. `quote=False` writes texts as they are, whatever they hold."""
+    columns clause_text and clause_type, or, with `text_first=False`, Clause Type, place and Clause Body. `quote=False` writes
+    texts as they are, whatever they hold."""
     spark, tmp = rows.sparkSession, f"{directory.rstrip('/')}/_parts"
     kind = F.col("category").alias("clause_type")
     d = rows.repartition("category").sortWithinPartitions("category", "ord")
     out = d.select("category", "clause_text", kind) if quote else d.select("category", F.concat_ws(",", "clause_text", "category").alias("clause_text,clause_type"))
+    if not text_first:
+        out = d.select("category", kind.alias("Clause Type"), F.col("ord").alias("place"), F.col("clause_text").alias("Clause Body"))
     w = out.write.mode("overwrite").partitionBy("category").option("header", True).option("escape", '"')
     w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     (w if quote else w.option("quote", "\u0000")).csv(tmp)
