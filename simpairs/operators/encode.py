@@ -61,8 +61,8 @@ def oov_guard(encoded: DataFrame, vocab_size: int) -> DataFrame:
     ).withColumn("needs_clamp", F.col("max_id") >= F.col("vocab_size"))
 
 
-def prepare_pairs(pairs: DataFrame, clauses: DataFrame, vocab: DataFrame, max_len: int) -> DataFrame:
-    """pairs(pair_id, id1, id2, label, ...) -> (pair_id, seq1, seq2, label).
+def prepare_pairs(pairs: DataFrame, clauses: DataFrame, vocab: DataFrame, max_len: int | None) -> DataFrame:
+    """pairs(pair_id, id1, id2, label, ...) -> (pair_id, seq1, seq2, label); whole ragged sequences without `max_len`.
 
     Each distinct clause used by a pair is encoded once (not once per pair), and only
     clauses that occur in some pair are tokenised at all.

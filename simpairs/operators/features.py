@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.config import PairConfig
 from simpairs.functions.arrays import dot, norm, pair_features
 from simpairs.functions.text import tokenize
 from simpairs.operators.lookup import lookup
@@ -82,18 +81,3 @@ def clause_encoding(encoded: DataFrame, token_vectors: DataFrame, include_paddin
     found = lookup(e, "idx", token_vectors.select("idx", "vector"), entry_bytes=64 + 8 * width).where(F.col("vector").isNotNull())
     pooled = max_pool(found, [id_col], "vector", "encoding")
     return encoded.select(id_col).join(pooled, id_col, "left")
-
-
-def word_vectors(clauses: DataFrame, vocab: DataFrame, cfg: PairConfig = PairConfig(), vector_size: int = 32,
-                 num_partitions: int | None = None, max_iter: int = 1) -> DataFrame:
-    """From-scratch word vectors (MLlib Word2Vec) keyed by vocabulary id: (idx, word, vector). Trained in
-    `num_partitions` tasks, by default the session's shuffle partitions (the setting that follows the data)."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-    parts = num_partitions or max(2, int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    docs = clauses.select(tokenize("clause").alias("tokens"))
-    w2v = Word2Vec(vectorSize=vector_size, minCount=cfg.min_freq, seed=cfg.seed, inputCol="tokens",
-                   numPartitions=parts, maxIter=max_iter)
-    model = w2v.fit(docs)
-    vecs = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
-    return vocab.join(vecs, "word").select("idx", "word", "vector")

@@ -130,17 +130,27 @@ def cap_positives(pos: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
     return hash_sample(keyed, "__k", cfg.num_positive, cfg.seed, "cap").drop("__k")
 
 
+def unranked_categories(rank: Column, n: Column) -> tuple[Column, Column]:
+    """(i, j), 0 <= i < j < n: the pair of that 0-based rank in lexicographic order, in closed form, without a table of pairs."""
+    r, n = rank.cast("long"), n.cast("long")
+    before = lambda i: F.shiftright(i * (2 * n - i - 1), 1)
+    b = (2 * n - 1).cast("double")
+    guess = F.floor((b - F.sqrt(b * b - 8.0 * r)) / 2).cast("long")
+    # the square root may be off by one either way
+    i = F.when(before(guess) > r, guess - 1).when(before(guess + 1) <= r, guess + 1).otherwise(guess)
+    return i, r - before(i) + i + 1
+
+
 def category_pairs(clauses: DataFrame) -> DataFrame:
-    """All unordered pairs of non-empty categories (cat1 < cat2), from ranks: for each
-    category, the list of later ranks, exploded, then an equi-join back to names."""
+    """All unordered pairs of non-empty categories (cat1 < cat2): ranks, unranked and joined to the names. A listing; the
+    negative draw unranks its own draws and needs no such table."""
     cats = category_table(clauses)
-    n_cats = cats.select(F.count(F.lit(1))).scalar()
-    later = cats.select(F.col("category").alias("cat1"),
-                        F.explode(F.when(F.col("cat_rank") + 1 <= n_cats - 1,
-                                         F.sequence(F.col("cat_rank") + 1, n_cats - 1))
-                                  .otherwise(F.array().cast("array<int>"))).alias("r2"))
-    names = cats.select(F.col("cat_rank").alias("r2"), F.col("category").alias("cat2"))
-    return later.join(names, "r2").select("cat1", "cat2")
+    n = cats.count()
+    i, j = unranked_categories(F.col("id"), F.lit(n))
+    ranks = clauses.sparkSession.range(n * (n - 1) // 2).select(i.alias("r1"), j.alias("r2"))
+    for k in (1, 2):
+        ranks = ranks.join(cats.select(F.col("cat_rank").alias(f"r{k}"), F.col("category").alias(f"cat{k}")), f"r{k}")
+    return ranks.select("cat1", "cat2")
 
 
 def positive_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> int:
@@ -164,11 +174,15 @@ def row_numbered(clauses: DataFrame, seed: int) -> DataFrame:
     return out.select("category", "clause_id", (F.col("rn") - 1).alias("row"))
 
 
-def negative_draws(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg: int | None = None) -> DataFrame:
-    """(draw_id, cat1, row1, cat2, row2): see `negative_pairs`."""
+def negative_draws(clauses: DataFrame, cfg: PairConfig = PairConfig(), n_neg: int | None = None, draws: DataFrame | None = None) -> DataFrame:
+    """(draw_id, cat1, row1, cat2, row2): see `negative_pairs`. `draws`: any rows with a `draw_id`, a stream too, in place of
+    the ids 0 .. n_neg - 1; a draw depends on its id alone."""
     cats = category_table(clauses)
-    n_cats = cats.select(F.count(F.lit(1))).scalar()
-    draws = clauses.sparkSession.range(negative_count(clauses, cfg) if n_neg is None else n_neg).withColumnRenamed("id", "draw_id")
+    if draws is None:
+        n_cats = cats.select(F.count(F.lit(1))).scalar()
+        draws = clauses.sparkSession.range(negative_count(clauses, cfg) if n_neg is None else n_neg).withColumnRenamed("id", "draw_id")
+    else:
+        n_cats = F.lit(cats.count())
     s = cfg.seed
     ci = bounded_draw(s, "neg_c1", "draw_id", n_cats)
     cj0 = bounded_draw(s, "neg_c2", "draw_id", F.greatest(n_cats - 1, F.lit(1)))

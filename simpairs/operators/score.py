@@ -36,28 +36,45 @@ def to_scored(df: DataFrame, model: str, t: float = 0.5, prob_col: str = "probab
                      clip01(p).alias("probability")).withColumn("predicted", threshold("probability", t))
 
 
+def padded(*columns) -> list:
+    """Arrow list columns of ids -> int32 matrices of one width, that of the longest list; null lists count as empty."""
+    import numpy as np
+    sizes = [np.diff(c.offsets.to_numpy()) for c in columns]
+    width = max(int(n.max()) if len(n) else 0 for n in sizes)
+    out = []
+    for c, n in zip(columns, sizes):
+        m = np.zeros((len(n), width), np.int32)
+        first = np.cumsum(n) - n
+        row = np.repeat(np.arange(len(n)), n)
+        m[row, np.arange(int(n.sum())) - np.repeat(first, n)] = c.values.to_numpy(zero_copy_only=False)[c.offsets[0].as_py():c.offsets[-1].as_py()]
+        out.append(m)
+    return out
+
+
 def batch_score(pair_seq: DataFrame, factory: Callable[[], Callable], model: str, cfg: PairConfig = PairConfig(),
                 input_kind: str = "probability", batch_size: int | None = None) -> DataFrame:
-    """Pluggable scorer. `factory()` runs once per task (load the model there) and returns
-    `scorer(seq1: np.ndarray[n, L], seq2: np.ndarray[n, L]) -> np.ndarray[n]`, which is called with at most
-    `batch_size` rows (default: the Arrow batch). A result of another length raises. It
-    goes through the same clip/threshold as every other model."""
-    import numpy as np
+    """Pluggable scorer, for tables and streams alike (it keeps no state). `factory()` runs once per task (load the model
+    there) and returns `scorer(seq1: np.ndarray[n, L], seq2: np.ndarray[n, L]) -> np.ndarray[n]`, which is called with at most
+    `batch_size` rows (default: the Arrow batch). Sequences may be ragged and whole: a call's rows are padded with PAD to
+    the longest of them, so L changes from call to call. Arrow's nested arrays become matrices by their offsets and
+    values, without an object per row. A result of another length raises. It goes through the same
+    clip/threshold as every other model."""
     _ship_by_value()
 
     def run(batches):
-        import pandas as pd
+        import numpy as np
+        import pyarrow as pa
         scorer = None
-        for pdf in batches:
-            for at in range(0, len(pdf), batch_size or max(1, len(pdf))):
-                part = pdf.iloc[at:at + (batch_size or len(pdf))]
+        for batch in batches:
+            for at in range(0, batch.num_rows, batch_size or max(1, batch.num_rows)):
+                part = batch.slice(at, batch_size or batch.num_rows)
                 scorer = scorer or factory()
-                out = np.asarray(scorer(np.stack(part["seq1"].to_numpy()), np.stack(part["seq2"].to_numpy())), dtype="float64")
-                if out.shape not in ((len(part),), (len(part), 1)):
-                    raise ValueError(f"scorer returned shape {out.shape} for {len(part)} pairs")
-                yield pd.DataFrame({"pair_id": part["pair_id"].to_numpy(), "label": part["label"].to_numpy(), "raw": out.reshape(-1)})
+                out = np.asarray(scorer(*padded(part.column("seq1"), part.column("seq2"))), dtype="float64")
+                if out.shape not in ((part.num_rows,), (part.num_rows, 1)):
+                    raise ValueError(f"scorer returned shape {out.shape} for {part.num_rows} pairs")
+                yield pa.RecordBatch.from_arrays([part.column("pair_id"), part.column("label"), pa.array(out.reshape(-1))], ["pair_id", "label", "raw"])
 
-    raw = pair_seq.select("pair_id", "seq1", "seq2", "label").mapInPandas(
+    raw = pair_seq.select(F.col("pair_id").cast("long"), "seq1", "seq2", F.col("label").cast("int")).mapInArrow(
         run, "pair_id long, label int, raw double")
     return to_scored(raw, model, cfg.threshold, "raw", input_kind)
 

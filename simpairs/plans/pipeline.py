@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from simpairs.config import PairConfig
@@ -59,11 +59,13 @@ def run(spark: SparkSession, clauses: DataFrame, out_dir: str, cfg: PairConfig =
         scored = sc.batch_score(seqs, scorer, model_name, cfg)
     else:
         scored = sc.to_scored(fe.jaccard_scores(evaluated, clauses), model_name, cfg.threshold)
+    # the rows are counted while they are written
+    seen = Observation("scored")
     start = time.time()
-    scored = written_table(scored, "scored")
+    scored = written_table(scored.observe(seen, F.count(F.lit(1)).alias("rows")), "scored")
     seconds = time.time() - start
     metrics = me.evaluate(scored)
-    timing = rp.throughput(spark.createDataFrame([(model_name, seconds, scored.count())], "model string, eval_s double, n long"))
+    timing = rp.throughput(spark.createDataFrame([(model_name, seconds, seen.get["rows"])], "model string, eval_s double, n long"))
     art.write_report_csv(rp.accuracy_time_table(metrics, timing), f"{out}/accuracy_time")
     examples = ex.qualitative_examples(scored, evaluated, clauses, cfg.num_examples)
     art.write_examples_csv(examples, f"{out}/examples")

@@ -25,6 +25,7 @@ from simpairs.operators import score as sc
 from simpairs.operators import pairs as pr
 from simpairs.operators import sampling as smp
 from simpairs.operators import split as spl
+from simpairs.operators import vectors as vec
 from simpairs.operators import vocab as voc
 from simpairs.plans import sqlfrag as q
 from simpairs.sources.shared import checkpointed
@@ -901,19 +902,34 @@ def overlap_scorer():
 
     def distinct(x):
         x = np.sort(x, axis=1)
-        return np.where((x != 0) & np.c_[np.ones(len(x), bool), x[:, 1:] != x[:, :-1]], x, -1)
+        return np.where((x != 0) & np.c_[np.ones((len(x), min(1, x.shape[1])), bool), x[:, 1:] != x[:, :-1]], x, 0)
 
     def score(seq1, seq2):
         a, b = distinct(seq1), distinct(seq2)
-        both = ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0)).sum(axis=(1, 2))
+        # an id of both stands twice in a row of the merged distinct ids
+        z = np.sort(np.concatenate([a, b], axis=1), axis=1)
+        both = ((z[:, 1:] == z[:, :-1]) & (z[:, 1:] > 0)).sum(axis=1)
         union = (a > 0).sum(axis=1) + (b > 0).sum(axis=1) - both
         return np.where(union > 0, both / np.maximum(union, 1), 0.0)
     return score
 
 
-@register("word_vectors")
+@register("word_vectors", f"""WITH {VOCAB_LANG},
+{q.encode_cte('c', 'vocab', 'enc', None)},
+u AS (SELECT a.idx AS i, b.idx AS j FROM enc_j a CROSS JOIN (SELECT unnest(range(1, {vec.WINDOW + 1})) AS d) o
+  JOIN enc_j b ON b.id = a.id AND b.pos = a.pos + o.d WHERE a.idx >= 4 AND b.idx >= 4),
+p AS (SELECT w, x, count(*) AS c FROM (SELECT i AS w, j AS x FROM u UNION ALL SELECT j, i FROM u) GROUP BY ALL),
+m AS (SELECT w, CAST(sum(c) AS BIGINT) AS n FROM p GROUP BY w), tot AS (SELECT CAST(sum(n) AS DOUBLE) AS n FROM m),
+v AS (SELECT p.w, p.x, CAST(floor({vec.UNITS}.0::DOUBLE * ln(CAST(p.c AS DOUBLE) * tot.n / (CAST(a.n AS DOUBLE) * CAST(b.n AS DOUBLE)))) AS BIGINT) AS v
+  FROM p JOIN m a ON a.w = p.w JOIN m b ON b.w = p.x CROSS JOIN tot),
+r AS (SELECT idx AS x, {q.h('ri_dim', "(idx || ':' || e)")} % 32 AS dim, 1 - 2 * ({q.h('ri_sign', "(idx || ':' || e)")} % 2) AS sgn
+  FROM vocab, (SELECT unnest(range({vec.NONZERO})) AS e)),
+s AS (SELECT v.w, r.dim, CAST(sum(v.v * r.sgn) AS BIGINT) AS s FROM v JOIN r ON r.x = v.x WHERE v.v > 0 GROUP BY ALL)
+SELECT CAST(idx AS BIGINT) AS idx, word, string_agg(CAST(coalesce(s.s, 0) AS VARCHAR), ' ' ORDER BY d.dim) AS vector
+FROM vocab CROSS JOIN (SELECT unnest(range(32)) AS dim) d LEFT JOIN s ON s.w = vocab.idx AND s.dim = d.dim
+WHERE idx >= 4 GROUP BY idx, word""")
 def _word_vectors(spark, sf):
-    return canon(fe.word_vectors(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf), CFG))
+    return canon(vec.word_vectors(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf), CFG))
 
 
 @register("train_classifier")
@@ -927,9 +943,28 @@ def _train_classifier(spark, sf):
     return canon(sc.classifier_scores(model, s.where("split = 'test'"), "mlp", CFG))
 
 
+@register("saved_model_scores")
+def _saved_model_scores(spark, sf):
+    """Pairs of clause encodings -> a classifier, saved, loaded for the same vocabulary, and applied to the test split."""
+    import uuid
+    from simpairs.functions.arrays import pair_features
+    from simpairs.sources import models
+    from simpairs.sources.shared import shared_dir
+    vocab = doc_vocab(spark, sf)
+    encoded = fe.clause_encoding(enc.encode(doc_clauses(spark, sf, "lang"), vocab), fe.init_vectors(vocab, EMB_DIM, CFG.seed))
+    items = checkpointed(encoded.select("clause_id", F.coalesce("encoding", F.array_repeat(F.lit(0.0), EMB_DIM)).alias("embedding")))
+    feats = fe.attach_vectors(doc_pairs(spark, sf), items).select("pair_id", "label", pair_features("e1", "e2").alias("features"))
+    s = checkpointed(spl.stratified_split(feats, "pair_id", "label", CFG))
+    model, _ = sc.train_classifier(s.where("split = 'train'"), s.where("split = 'val'"), 4 * EMB_DIM, CFG)
+    path = f"{shared_dir(spark).rstrip('/')}/simpairs-model-{uuid.uuid4().hex}"
+    models.save_model(model, path, vocab, {"threshold": CFG.threshold, "dimensions": EMB_DIM})
+    loaded, _ = models.load_model(spark, path, vocab)
+    return canon(sc.classifier_scores(loaded, s.where("split = 'test'"), "mlp", CFG))
+
+
 @register("batch_score", f"""WITH {C_SMALL},\n{labelled_sql('c', 'lp')},
 {q.clauses_cte('lang', 'cl')},\n{q.vocab_ctes('cl', CFG.min_freq)},
-{q.encode_cte('c', 'vocab', 'enc', L)},
+{q.encode_cte('c', 'vocab', 'enc', None)},
 ids AS (SELECT clause_id, list_distinct(list_filter(seq, lambda x: x <> 0)) AS t FROM enc),
 o AS (SELECT lp.pair_id, lp.label, CASE WHEN len(list_distinct(list_concat(a.t, b.t))) > 0
   THEN len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) ELSE 0.0 END AS p
@@ -937,7 +972,7 @@ o AS (SELECT lp.pair_id, lp.label, CASE WHEN len(list_distinct(list_concat(a.t,
 SELECT 'overlap' AS model, pair_id, CAST(label AS BIGINT) AS label, round(p, 6) AS probability,
   CAST(CASE WHEN p >= {CFG.threshold} THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM o""")
 def _batch_score(spark, sf):
-    seqs = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), L)
+    seqs = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), None)
     return canon(sc.batch_score(seqs, overlap_scorer, "overlap", CFG, batch_size=256))
 
 
