@@ -37,6 +37,21 @@ def parts_for(n: float, per_part: float, least: int = 1) -> int:
     return max(least, math.ceil(n / per_part))
 
 
+def tidy() -> None:
+    """At the end of a Python task: give memory that is free again back to the system, so that a worker which is kept for
+    later tasks does not hold on to its largest need."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 class Scratch:
     """Parquet tables of one operator call in the shared folder, removed when the call is over.
 

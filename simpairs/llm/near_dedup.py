@@ -23,10 +23,11 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.llm.common import Scratch, bounded, cut, whole_text
+from simpairs.llm.common import Scratch, bounded, cut, tidy, whole_text
 from simpairs.llm.components import components
 from simpairs.llm.words import mix, shingle_set, text_words
 
@@ -90,32 +91,34 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _describe(size: int):
+    """id and row key go through as they are."""
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             n, node, sig, keys = [], [], [], []
-            for t in pdf["text"]:
+            for t in batch.column("text").to_pylist():
                 s = shingle_set(text_words(t), size)
+                m = signature(s) if len(s) else None
                 n.append(len(s))
-                if len(s):
-                    m = signature(s)
-                    node.append(set_name(s))
-                    sig.append(m.tobytes())
-                    keys.append(band_keys(m))
-                else:
-                    node.append(None)
-                    sig.append(None)
-                    keys.append(None)
-            yield pd.DataFrame({"id": pdf["id"], "n": n, "node": pd.array(node, "Int64"), "sig": sig, "bands": keys})
+                node.append(set_name(s) if len(s) else None)
+                sig.append(m.tobytes() if len(s) else None)
+                keys.append(band_keys(m).tolist() if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("row"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["id", "row", "n", "node", "sig", "bands"])
+        tidy()
     return run
 
 
 def _sets(size: int):
     def run(batches):
-        for pdf in batches:
-            sets = [shingle_set(text_words(t), size) for t in pdf["text"]]
-            ok = [len(s) > 0 and set_name(s) == int(x) for s, x in zip(sets, pdf["node"])]
-            yield pd.DataFrame({"node": pdf["node"][ok], "n": [len(s) for s, o in zip(sets, ok) if o],
-                                "shingles": [s.view(np.int64) for s, o in zip(sets, ok) if o]})
+        for batch in batches:
+            sets = [shingle_set(text_words(t), size) for t in batch.column("text").to_pylist()]
+            ok = [k for k, (s, x) in enumerate(zip(sets, batch.column("node").to_pylist())) if len(s) and set_name(s) == x]
+            # typed, so that a batch without any set is as good as another
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(ok, pa.int64())), pa.array([len(sets[k]) for k in ok], pa.int64()),
+                 pa.array([sets[k].view(np.int64) for k in ok], pa.list_(pa.int64()))], ["node", "n", "shingles"])
+        tidy()
     return run
 
 
@@ -165,24 +168,39 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts with 100 * |intersection| >= percent * |union| of their shingle sets are linked; component_id is the
     least id reachable. Texts without words (null and empty ones too) have n_shingles 0, are linked with
-    nothing and stay. A row with a null id joins the component of rows with an equal set and takes no other
-    links; alone its component_id is null, and it stays. Rows repeating an id share one answer per text. An empty
-    table gives no rows; other columns are not read."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near-dedup")
-    base = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
+    nothing and stay. Rows are judged by their text: rows with null ids, and rows that repeat an id with another
+    text, have links of their own; a component of null ids alone has component_id null. An empty table gives no rows;
+    other columns are not read."""
+    return _judged(docs, id_col, text_col, words, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(id, row, n, component_id, stays): `row` is a hash of the whole text; of a component, the rows of the least (id, row), null ids
+    last, stay."""
+    scratch = Scratch(docs.sparkSession, "near-dedup")
+    try:
+        return _components(docs, id_col, text_col, words, percent, scratch)
+    finally:
+        scratch.remove()
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    base = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).select("id", F.xxhash64("text").alias("row"), "text")
     id_type = base.schema["id"].dataType.simpleString()
     steps = least_matches(percent / 100, MISS)
-    told = scratch.table(base.mapInPandas(_describe(words), f"id {id_type}, n long, node long, sig binary, bands array<long>"),
+    told = scratch.table(base.mapInArrow(_describe(words), f"id {id_type}, row long, n long, node long, sig binary, bands array<long>"),
                          "documents")
     rows = told.where("node IS NOT NULL").select("node", F.posexplode("bands").alias("band_no", "band"))
     shared = rows.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead != last")
     members = scratch.table(rows.join(shared.select("band", "lead"), "band").groupBy("band", "node")
                             .agg(F.min("lead").alias("lead"), F.min("band_no").alias("band_no")), "members")
     nodes = members.select("node").distinct()
-    picked = scratch.table(told.where("id IS NOT NULL").join(nodes, "node", "left_semi")
-                           .groupBy("node").agg(F.min("id").alias("id")), "picked")
-    sigs = scratch.table(told.select("id", "node", "sig", "bands").join(picked, ["node", "id"], "left_semi")
+    # one row stands for a node, named by id and text
+    picked = scratch.table(told.join(nodes, "node", "left_semi").groupBy(F.col("node").alias("of"))
+                           .agg(F.min(F.struct("id", "row")).alias("p")).select("of", F.col("p.id").alias("p_id"), F.col("p.row").alias("p_row")), "picked")
+    this = F.col("id").eqNullSafe(F.col("p_id")) & (F.col("row") == F.col("p_row"))
+    sigs = scratch.table(told.select("id", "row", "node", "sig", "bands").join(picked, (F.col("node") == F.col("of")) & this, "left_semi")
                          .dropDuplicates(["node"]).select("node", "sig", "bands"), "signatures")
     n_picked = picked.count()
 
@@ -192,8 +210,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = scratch.table(star.join(side[0], "a").join(side[1], "b").select("a", "b", "sig_a", "sig_b")
                          .mapInPandas(_prune(steps), "a long, b long"), "survivors")
     # the full sets of the nodes that remain in question
-    sets = scratch.table(base.join(bounded(picked, n_picked, 24), "id").select("node", "text")
-                         .mapInPandas(_sets(words), "node long, n long, shingles array<long>")
+    sets = scratch.table(base.join(bounded(picked, n_picked, 40), this).select(F.col("of").alias("node"), "text")
+                         .mapInArrow(_sets(words), "node long, n long, shingles array<long>")
                          .dropDuplicates(["node"]), "sets")
     full = [sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("shingles").alias(f"s_{c}")) for c in "ab"]
     both = F.size(F.array_intersect("s_a", "s_b"))
@@ -229,19 +247,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = scratch.table(fed.groupBy("band", "kind", "i", "j").applyInPandas(_forest(steps, percent), "a long, b long"), "more")
     roots = components(links.unionByName(more))
 
-    whole = told.select("id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    whole = cut(whole.select("id", "n", "root"))
-    least = whole.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id"))
-    found = whole.where("root IS NOT NULL").join(least, "root").select("id", "n", "component_id")
-    out = cut(found.unionByName(whole.where("root IS NULL").select("id", "n", F.col("id").alias("component_id"))).select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
-    scratch.remove()
-    return out
+    whole = told.select("id", "row", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = cut(whole.select("id", "row", "n", "root"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
+    least = whole.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id"), first)
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))
+    found = whole.where("root IS NOT NULL").join(least, "root").select("id", "row", "n", "component_id", stays.alias("stays"))
+    return cut(found.unionByName(whole.where("root IS NULL").select("id", "row", "n", F.col("id").alias("component_id"), F.lit(True).alias("stays"))))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that stay, with its columns: of each component the document of the least id."""
-    gone = near_groups(docs, id_col, text_col, words, percent).where("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
-    gone = cut(gone.where("__gone IS NOT NULL"))
-    return docs.join(bounded(gone, gone.count(), 16), F.col(id_col) == F.col("__gone"), "left_anti")
+    """The rows of `docs` that stay, with its columns, whatever their names: of each component the row of the least id (null ids
+    last, ties by a hash of the text). Rows equal in id and text stay or go together; all else as in `near_groups`."""
+    gone = cut(_judged(docs, id_col, text_col, words, percent).where("NOT stays").select(
+        F.col("id").alias("gone_id"), F.col("row").alias("gone_row")).distinct())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.col(id_col).alias("id"),
+                       F.xxhash64(whole_text(text_col)).alias("row"))
+    this = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("row") == F.col("gone_row"))
+    return rows.join(bounded(gone, gone.count(), 32), this, "left_anti").select("all.*")

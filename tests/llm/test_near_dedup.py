@@ -26,7 +26,7 @@ def brute(rows, size):
     for x in range(len(rows)):
         for y in range(x):
             a, b = sets[x], sets[y]
-            if a and b and 100 * len(a & b) >= 80 * len(a | b) and (None not in (rows[x][0], rows[y][0]) or a == b):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 root[find(x)] = find(y)
     out = []
     for x, (i, _) in enumerate(rows):
@@ -72,11 +72,26 @@ def test_equals_brute_force(spark, rows, chunk, monkeypatch):
 
 
 def test_rows_that_stay(spark, rows):
-    docs = spark.createDataFrame([(i, t, "c") for i, t in rows if i is not None], "doc_id long, text string, __gone string")
-    docs = docs.dropDuplicates()
-    out = nd.drop_near(docs.drop("__gone"))
+    names = "doc_id long, text string, __gone string, row long, gone_id int, all int, stays string"
+    docs = spark.createDataFrame([(i, t, "c", 1, 2, 3, "s") for i, t in rows if i is not None], names).dropDuplicates()
+    out = nd.drop_near(docs)
     want = {i for i, _, c in brute([r for r in rows if r[0] is not None], 5) if i == c}
-    assert {r.doc_id for r in out.collect()} == want
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == want
+
+
+def test_repeated_ids_and_null_ids(spark):
+    """Rows count by their text: an id may come with two texts, null ids have links."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    other = [f"v{rng.randrange(10**6)}" for _ in range(60)]
+    near, far = " ".join(edited(rng, base, 1)), " ".join(edited(rng, other, 1))
+    rows = [(1, " ".join(base)), (2, near), (2, "quite another text of this id"), (None, " ".join(other)), (None, far), (None, "alone"), (2**60 + 1, "big id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nd.near_groups(docs)
+    assert sorted(str(tuple(r)[:3]) for r in got.collect()) == sorted(map(str, brute(rows, 5)))
+    kept = sorted((str(r.doc_id), r.text) for r in nd.drop_near(docs).collect())
+    assert len(kept) == 5 and ("2", "quite another text of this id") in kept and ("1", rows[0][1]) in kept
+    assert sum(k in (("None", rows[3][1]), ("None", far)) for k in kept) == 1 and ("None", "alone") in kept
 
 
 def test_empty_table(spark):
