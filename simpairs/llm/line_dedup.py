@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,9 +118,13 @@ def entries(lines: list[str], tau: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _rows(batches):
-    for pdf in batches:
-        rows = [(i, k, line_hash(s)) for i, t in zip(pdf["__id"], pdf["__text"]) for k, s in own_lines(t)]
-        yield pd.DataFrame(rows, columns=["id", "line", "h"])
+    """id and row key go through as they are."""
+    for batch in batches:
+        found = [(at, k, line_hash(s)) for at, t in enumerate(batch.column("__text").to_pylist()) for k, s in own_lines(t)]
+        at = pa.array([x[0] for x in found], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("__id").take(at), batch.column("__row").take(at), pa.array([x[1] for x in found], pa.int32()),
+             pa.array([x[2] for x in found], pa.int64())], ["id", "row", "line", "h"])
 
 
 def _ask(tau: int, least: int, bits: int):
@@ -286,42 +291,45 @@ def line_links(base: DataFrame, lines: int, scratch: Scratch, tau: int, min_char
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
                  min_chars: int = MIN_CHARS) -> DataFrame:
-    """-> one row per line that is not blank: id, line (number from 0), class_id (the least line hash of the class), n_links (distinct other
-    lines within tau edits), first_id, first_line, kept.
+    """-> one row per line that is not blank: id, row (a hash of the whole text), line (number from 0), class_id (the least line hash of
+    the class), n_links (distinct other lines within tau edits), first_id, first_line, kept.
 
     Lines are what stands between line feeds, compared without white space at their ends. Null and empty texts have no
-    lines. The first line of a class by (id, number) stays; null ids come first. Rows repeating an id are one
-    document listed again: their lines get the same answers. Empty table: no rows. Other columns are not read."""
+    lines. The first line of a class by (id, text hash, number) stays; null ids come first. A document is an id with a
+    text: rows with null ids, or that repeat an id with another text, are documents of their own; rows equal in both are
+    one document listed again, and their lines get the same answers. Empty table: no rows. Other columns are not read."""
     if not 1 <= tau <= 3:
         raise ValueError("tau must be 1, 2 or 3")
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
     base = docs.select(F.col(id_col).alias("__id"), whole_text(text_col).alias("__text"))
+    base = base.select("__id", F.xxhash64("__text").alias("__row"), "__text")
     id_type = base.schema["__id"].dataType.simpleString()
-    told = scratch.table(base.mapInPandas(_rows, f"id {id_type}, line int, h long"), "lines")
+    told = scratch.table(base.mapInArrow(_rows, f"id {id_type}, row long, line int, h long"), "lines")
     links = line_links(base, told.count(), scratch, tau, min_chars)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     known = components(links).join(both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links")), "node")
     known = known.select(F.col("node").alias("h"), "root", "n_links")
     placed = (told.join(known, "h", "left")
-              .select("id", "line", F.coalesce("root", "h").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+              .select("id", "row", "line", F.coalesce("root", "h").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     # of the classes only those with several lines need a first one
-    first = placed.groupBy("class_id").agg(F.min(F.struct("id", "line")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = placed.groupBy("class_id").agg(F.min(F.struct("id", "row", "line")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
     out = cut(placed.join(first, "class_id", "left").select(
-        "id", "line", "class_id", "n_links", F.coalesce("f", F.struct("id", "line")).alias("f")))
+        "id", "row", "line", "class_id", "n_links", F.coalesce("f", F.struct("id", "row", "line")).alias("f")))
     scratch.remove()
-    return out.select("id", "line", "class_id", "n_links", F.col("f.id").alias("first_id"), F.col("f.line").alias("first_line"),
-                      (F.col("id").eqNullSafe(F.col("f.id")) & (F.col("line") == F.col("f.line"))).alias("kept"))
+    own = F.col("id").eqNullSafe(F.col("f.id")) & (F.col("row") == F.col("f.row")) & (F.col("line") == F.col("f.line"))
+    return out.select("id", "row", "line", "class_id", "n_links", F.col("f.id").alias("first_id"), F.col("f.line").alias("first_line"), own.alias("kept"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """`docs` with the removed lines (and their line feeds) taken out of `text_col`, plus __n_lines (all lines, blank ones
     too; 0 for null and empty texts), __n_links and __removed (line numbers, ascending). Null texts stay null."""
-    per = (line_classes(docs, id_col, text_col, tau, min_chars).distinct().groupBy(F.col("id").alias("__of"))
+    per = (line_classes(docs, id_col, text_col, tau, min_chars).distinct().groupBy(F.col("id").alias("__of"), F.col("row").alias("__of_row"))
            .agg(F.sum("n_links").alias("__links"), F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line")))).alias("__gone")))
     per = cut(per.where("__links > 0 OR size(__gone) > 0"))
     row = per.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("__gone")).alias("g")).first()
-    joined = docs.join(bounded(per, 1, 48 * row["n"] + 4 * (row["g"] or 0)), F.col(id_col).eqNullSafe(F.col("__of")), "left")
+    this = F.col(id_col).eqNullSafe(F.col("__of")) & (F.xxhash64(whole_text(text_col)) == F.col("__of_row"))
+    joined = docs.join(bounded(per, 1, 56 * row["n"] + 4 * (row["g"] or 0)), this, "left")
     gone = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda s, i: ~F.array_contains(gone, i)), "\n")

@@ -105,3 +105,14 @@ def test_texts(spark, rows):
         assert r.text == (t if t is None else "\n".join(s for k, s in enumerate(t.split("\n")) if k not in gone))
     assert out.count() == len(rows)
     assert ld.line_classes(docs.limit(0)).count() == 0
+
+
+def test_an_id_with_two_texts_keeps_unique_lines(spark):
+    dup = "this very line stands in both of the texts"
+    rows = [(5, dup + "\nonly here in the first text"), (5, "only there in the second text\n" + dup), (None, "a null id's own line, unique\nx"),
+            (None, dup + "\nanother line of a null id, unique"), (2**60 + 1, dup)]
+    got = {(r.doc_id, t): r for r, t in ((r, r.text) for r in ld.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())}
+    texts = sorted(t for _, t in got)
+    for line in ("only here in the first text", "only there in the second text", "a null id's own line, unique\nx", "another line of a null id, unique"):
+        assert sum(line in t for t in texts) == 1, texts
+    assert sum(dup in t for t in texts) == 1  # one copy stays, of the least (id, text)
