@@ -2,7 +2,7 @@
 
 Each five-word shingle is hashed once. The leading bits of a hash name its bin, and a bin keeps its least hash. An empty bin
 probes other bins in an order of its own, a pseudo-random one that is the same for every document, and takes the first
-that is filled (optimal densification); after `PROBES` misses it takes one of the filled bins by rank. What is stored is
+that is filled (optimal densification). What is stored is
 the low `BITS` bits of each bin, as hex. Likeness is the share m of equal bins, corrected for chance matches:
 (m - 2^-BITS) / (1 - 2^-BITS), not below 0.
 
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from simpairs.llm.common import bounded, cut, parts_for, whole_text
 
-BINS, BITS, WORDS, PROBES = 256, 8, 5, 32
+BINS, BITS, WORDS = 256, 8, 5
+PROBES = 5300  # 256 bins * ln(10^9), shared out by the filled bins
 RANGE_BYTES = 32 << 20
 TOP_RANGES = 256
 
@@ -64,17 +65,20 @@ def _bins(hashes: Column) -> Column:
 
 
 def _densified(bins: Column) -> Column:
+    """Optimal densification: an empty bin probes bins by a hash of (bin, probe) until it meets a filled one. The number of probes
+    offered follows the number of filled bins, so that one in 10^9 empty bins at most meets none; it takes the first filled
+    bin. What a bin takes depends on which bins are filled and on nothing else, so two texts agree with the
+    probability of their similarity, however few bins are filled."""
     def probe(of: Column):
         return lambda now, t: F.when(F.forall(now, lambda v: v.isNotNull()), now).otherwise(F.transform(
             now, lambda v, i: F.coalesce(v, F.get(of, F.pmod(F.xxhash64(i, t), F.lit(BINS)).cast("int")))))
 
-    def by_rank(now: Column, own: Column) -> Column:
-        return F.transform(now, lambda v, i: F.coalesce(v, F.get(own, F.pmod(F.xxhash64(i, F.lit(0)), F.size(own)).cast("int"))))
-
-    def rest(now: Column) -> Column:
-        filled = F.forall(now, lambda v: v.isNotNull())
-        return F.when(filled, now).otherwise(let(F.filter(now, lambda v: v.isNotNull()), lambda own: by_rank(now, own)))
-    return let(bins, lambda b: let(F.aggregate(F.sequence(F.lit(1), F.lit(PROBES)), b, probe(b)), rest))
+    def run(b: Column, own: Column) -> Column:
+        some = F.get(own, F.lit(0))
+        offered = F.ceil(F.lit(PROBES) / F.size(own)).cast("int")
+        probed = F.aggregate(F.sequence(F.lit(1), offered), b, probe(b))
+        return F.when(F.size(own) == 1, F.transform(b, lambda v: some)).otherwise(F.transform(probed, lambda v: F.coalesce(v, some)))
+    return let(bins, lambda b: let(F.filter(b, lambda v: v.isNotNull()), lambda own: run(b, own)))
 
 
 def bins_of(text: Column) -> Column:

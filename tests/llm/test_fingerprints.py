@@ -61,3 +61,54 @@ def test_native_plan(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id long, text string")
     plan = fp.compare(docs, 10)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_short_texts_are_not_biased(spark):
+    """The mean likeness of many pairs is their similarity, for each number of shingles."""
+    rng = random.Random(9)
+    rows, true = [], []
+    for n in [*range(2, 21, 2), 3, 5, 7]:
+        for _ in range(40):
+            w = [f"w{rng.randrange(10**9)}" for _ in range(n + 5)]
+            a, b = " ".join(w[:n + 4]), " ".join(w)  # n shingles, and one more
+            rows.append((n, a, b))
+            true.append(jaccard(a, b))
+    d = spark.createDataFrame(rows, "n int, a string, b string").repartition(8)
+    from pyspark.sql import functions as F
+    got = d.select("n", fp.likeness(fp.bins_of(F.col("a")), fp.bins_of(F.col("b"))).alias("l")).groupBy("n").agg(F.avg("l").alias("l")).collect()
+    assert len(got) == 13
+    for r in got:
+        assert abs(r.l - r.n / (r.n + 1)) < 0.03 + 0.6 / (r.n + 1) / 40 ** 0.5, r
+
+
+def plain_bins(hashes):
+    """The method restated: least hash per bin, then probes until a filled bin."""
+    import xxhash
+    size = 64 - (fp.BINS - 1).bit_length()
+    own = {}
+    for h in hashes:
+        k = (h >> size) + fp.BINS // 2
+        own[k] = min(own.get(k, h), h)
+    out = []
+    for i in range(fp.BINS):
+        k, t = i, 0
+        while k not in own:
+            t += 1
+            if len(own) == 1:
+                k = next(iter(own))
+                break
+            # xxHash64 of two ints, chained as Spark does: the first one's hash is the seed of the second
+            first = xxhash.xxh64(i.to_bytes(4, "little", signed=True), seed=42).intdigest()
+            h = xxhash.xxh64(t.to_bytes(4, "little", signed=True), seed=first).intdigest()
+            k = (h - (1 << 64) if h >> 63 else h) % fp.BINS
+        out.append(own[k] & ((1 << fp.BITS) - 1))
+    return out
+
+
+def test_bins_are_the_method_restated(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (1, 5, 6, 7, 9, 14, 40, 200, 2000)]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in d.select(fp.shingle_hashes(F.col("t")).alias("h"), fp.bins_of(F.col("t")).alias("b")).collect():
+        assert list(r.b) == plain_bins(r.h)
