@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from simpairs.llm.common import cut, parts_for, whole_text
+from simpairs.llm.common import cut, parts_for, tidy, whole_text
 from simpairs.llm.tokens import byte_bpe
 
 CAPACITY = 1024
@@ -170,6 +170,7 @@ def _pieces(tokenizer: str, capacity: int, end_id: int, with_ids: bool, columns:
             out = out.assign(piece=np.array(piece, np.int32), start=np.array(start, np.int64),
                              length=np.array(length, np.int64), ids_crc32=np.array(crc, np.int64))
             yield out.assign(ids=[np.frombuffer(x, "<u4").astype(np.int32) for x in ids]) if with_ids else out
+        tidy()
     return run
 
 

@@ -10,7 +10,9 @@ _ODD = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 _SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 #: the same fixed word pattern as in the file (its "ByteLevel" step)
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 400_000
+#: bytes of cached words and ids (with what the objects take) per cache; a worker has two
+CACHED_BYTES = 24 << 20
+ENTRY_BYTES = 200
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -23,11 +25,13 @@ def byte_alphabet() -> dict[str, int]:
 class _Cache(dict):
     def __init__(self, lead: str, encode):
         super().__init__()
-        self.lead, self.encode = lead, encode
+        self.lead, self.encode, self.left = lead, encode, CACHED_BYTES
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(self.lead + word)
-        if len(self) < CACHED_WORDS:
+        size = ENTRY_BYTES + len(word) + len(ids)
+        if size <= self.left:
+            self.left -= size
             self[word] = ids
         return ids
 
@@ -39,19 +43,26 @@ class ByteBpe:
     def __init__(self, path: str):
         import numpy as np
         import tiktoken
-        from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         back = byte_alphabet()
         ranks = {bytes(back[c] for c in word): n for word, n in spec["model"]["vocab"].items() if word not in self.special}
         fast = tiktoken.Encoding("file", pat_str=_WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Tokenizer.from_file(path)
+        self.path, self._whole = path, None
         self._pack = lambda ids: np.asarray(ids, "<u4").tobytes()
         self._encode = lambda text: self._pack(fast.encode_ordinary(text))
         self._first, self._next = _Cache("", self._encode), _Cache(" ", self._encode)
         self._feed = self._encode("\n")
 
+    @property
+    def whole(self):
+        """The library's own tokenizer, loaded only if a text needs it."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+            self._whole = Tokenizer.from_file(self.path)
+        return self._whole
+
     def _line(self, parts: list[str]) -> bytes:
         return self._first[parts[0]] + b"".join(map(self._next.__getitem__, parts[1:])) if parts[0] else b""
 
