@@ -21,6 +21,12 @@ def whole_text(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def boxed(df: DataFrame, **more: Column) -> DataFrame:
+    """The columns of `df` in one struct `all`, beside named expressions over them, so that no name of a user's column can
+    clash with a working column. `select("all.*")` gives the columns back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("all"), *[c.alias(n) for n, c in more.items()])
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the folder all executors share."""
     shared_dir(df.sparkSession)

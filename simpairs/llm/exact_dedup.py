@@ -8,9 +8,14 @@ by digest (an exact check on the full digest), all others pass straight through
 
 Scale: a map task sends a digest at most twice however often it occurs there, so a text that is
 a third of all rows costs two entries per task. The filter has two bytes per row; it is
-broadcast up to `BROADCAST_BYTES` and joined by block beyond that. Groups are counted with partial
+broadcast up to `BROADCAST_BYTES` and joined by block beyond that, to digests and ids alone. Groups are counted with partial
 aggregation, so that a hot one is a row per task; the table of groups goes back to the rows by the same rule: up
 to that size as a broadcast, beyond it by a join that AQE splits where a digest is hot.
+
+Texts (`drop_duplicates`): they meet the table of the digests that do repeat, not the filter. Up to the bound it is broadcast
+and no text is shuffled. Beyond it a second filter, over those digests, of `ROUTE_BYTES` at most at any size, is broadcast, and only rows
+that hit it are shuffled. That filter has 16 bits a repeated digest up to 33.5 million of them, then fewer: a text that occurs once
+hits it with probability 0.002 there, 0.16 at 134 million and 0.75 at 500 million.
 """
 from __future__ import annotations
 
@@ -19,11 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.llm.common import BROADCAST_BYTES, bounded, cut, parts_for, whole_text
+from simpairs.llm.common import BROADCAST_BYTES, bounded, boxed, cut, parts_for, whole_text
 
 BLOCK_COUNTERS = 1 << 16
 PROBES = 4
 COUNTERS_PER_ROW = 16
+ROUTE_BYTES = 64 << 20
 _FLUSH_ROWS = 1 << 18
 
 
@@ -58,9 +64,12 @@ def _hits(shas: list[bytes], blocks: int) -> pd.DataFrame:
                          "hits": [at[a:b].tobytes() for a, b in zip(starts, ends)]})
 
 
-def repeat_filter(digests: DataFrame, sha_col: str, rows: int) -> tuple[DataFrame, int]:
-    """Pass 1 -> (block, bits) and the number of blocks; `bits` marks counters hit twice."""
+def repeat_filter(digests: DataFrame, sha_col: str, rows: int, least: int = 2, most_bytes: int | None = None) -> tuple[DataFrame, int]:
+    """Pass 1 -> (block, bits) and the number of blocks; `bits` marks counters hit `least` times. The size follows `rows`, up to
+    `most_bytes` if given."""
     blocks = parts_for(rows * COUNTERS_PER_ROW, BLOCK_COUNTERS)
+    if most_bytes is not None:
+        blocks = min(blocks, max(1, most_bytes * 8 // BLOCK_COUNTERS))
 
     def emit(batches):
         held: list[bytes] = []
@@ -78,16 +87,16 @@ def repeat_filter(digests: DataFrame, sha_col: str, rows: int) -> tuple[DataFram
         at = np.sort(at, axis=1).astype(np.int32)
         fresh = np.c_[np.ones(len(at), bool), at[:, 1:] != at[:, :-1]]
         counts = np.bincount(at[fresh], minlength=BLOCK_COUNTERS)
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "bits": [np.packbits(counts >= 2).tobytes()]})
+        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "bits": [np.packbits(counts >= least).tobytes()]})
 
     hits = digests.select(sha_col).mapInPandas(emit, "block int, hits binary")
     return cut(hits.groupBy("block").applyInPandas(merge, "block int, bits binary")), blocks
 
 
-def _probe(df: DataFrame, sha_col: str, filt: DataFrame, blocks: int) -> DataFrame:
-    """Pass 2: adds `__may_repeat`."""
+def _probe(df: DataFrame, sha_col: str, filt: DataFrame, blocks: int, bound: int | None = None) -> DataFrame:
+    """Pass 2: adds `__may_repeat`. A filter of at most `bound` bytes (`BROADCAST_BYTES`) is broadcast."""
     f = filt.select(F.col("block").alias("__block"), F.col("bits").alias("__bits"))
-    if blocks * BLOCK_COUNTERS // 8 <= BROADCAST_BYTES:
+    if blocks * BLOCK_COUNTERS // 8 <= (BROADCAST_BYTES if bound is None else bound):
         f = F.broadcast(f)
     hit = F.lit(True)
     for k in range(PROBES):
@@ -118,15 +127,35 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.lower(F.hex("__sha")).alias("text_sha256"))
 
 
+def _repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(sha, keep, copies): the digests that several rows have, the id that stays (null only where there is no other) and the number
+    of rows that have both. Digests and ids are all that moves."""
+    keyed = cut(docs.select(F.col(id_col).alias("id"), digest(text_col).alias("sha")))
+    filt, blocks = repeat_filter(keyed, "sha", keyed.count())
+    may = _probe(keyed, "sha", filt, blocks).where("__may_repeat").groupBy("sha", "id").agg(F.count(F.lit(1)).alias("copies"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies")).alias("first")
+    return cut(may.groupBy("sha").agg(least, F.sum("copies").alias("n")).where("n > 1")
+               .select("sha", F.col("first.id").alias("keep"), F.col("first.copies").alias("copies")))
+
+
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with exactly its columns. Only rows whose digest may repeat are
-    shuffled. Of rows that repeat both id and text one stays. Nulls as in `mark_duplicates`."""
-    keyed = cut(docs.select(digest(text_col).alias("__sha")))
-    filt, blocks = repeat_filter(keyed, "__sha", keyed.count())
-    probed = _probe(docs.withColumn("__sha", digest(text_col)), "__sha", filt, blocks)
-    sure = probed.where(~F.col("__may_repeat")).select(*docs.columns)
-    may = probed.where("__may_repeat").drop("__may_repeat")
-    keep = cut(may.groupBy("__sha").agg(F.min(id_col).alias("__keep")))
-    stay = (may.join(bounded(keep, keep.count(), 80), "__sha").where(F.col(id_col).eqNullSafe(F.col("__keep")))
-            .dropDuplicates(["__sha"]).select(*docs.columns))
-    return sure.unionByName(stay)
+    """The rows of `docs` that stay, with exactly its columns, whatever their names. No row is shuffled while the table of repeated
+    digests can be broadcast; beyond that only rows whose digest may repeat. Of rows that repeat both id and text one stays.
+    Nulls as in `mark_duplicates`; an empty table gives no rows."""
+    groups = _repeated(docs, id_col, text_col)
+    told = groups.agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("copies"),
+                      F.max(F.octet_length(F.col("keep").cast("string"))).alias("id_bytes")).first()
+    rows = boxed(docs, id=F.col(id_col), sha=digest(text_col))
+    passed = None
+    if told["n"] * (96 + (told["id_bytes"] or 0)) <= BROADCAST_BYTES:
+        groups = F.broadcast(groups)
+    else:
+        filt, blocks = repeat_filter(groups, "sha", told["n"], least=1, most_bytes=ROUTE_BYTES)
+        probed = _probe(rows, "sha", filt, blocks, bound=ROUTE_BYTES)
+        passed, rows = probed.where("NOT __may_repeat").select("all.*"), probed.where("__may_repeat").drop("__may_repeat")
+    judged = rows.join(groups, "sha", "left")
+    stays = judged.where(F.col("copies").isNull() | (F.col("id").eqNullSafe(F.col("keep")) & (F.col("copies") == 1))).select("all.*")
+    if (told["copies"] or 0) > 1:  # rows equal in id and text: one of them, by a partial aggregate
+        same = judged.where(F.col("id").eqNullSafe(F.col("keep")) & (F.col("copies") > 1))
+        stays = stays.unionByName(same.groupBy("sha").agg(F.first("all").alias("all")).select("all.*"))
+    return stays if passed is None else passed.unionByName(stays)

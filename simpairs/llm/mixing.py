@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from simpairs.llm.common import bounded, cut, parts_for
+from simpairs.llm.common import bounded, boxed, cut, parts_for
 
 BLOCK_ROWS = 32
 FRAME = 4096
@@ -128,9 +128,12 @@ def place(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
-    """All rows of `docs`, with its columns, in mixed order: partitions are ranges of positions and rows are sorted in them.
-    Rows repeating an id stand together, at the first of their places; rows with null ids stand first."""
+    """All rows of `docs`, with its columns, whatever their names, in mixed order: partitions are ranges of positions and rows are sorted
+    in them. Rows repeating an id stand together, at the first of their places; rows with null ids stand first. Rows at one
+    position are ordered, and spread over partitions, by a hash of the row."""
     at = cut(place(docs, weights, id_col, source_col, **options).where(F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("__at_id")).agg(F.min("position").alias("__position")))
-    joined = docs.join(bounded(at, at.count(), 24), F.col(id_col) == F.col("__at_id"), "left")
-    return joined.repartitionByRange("__position").sortWithinPartitions("__position").select(*docs.columns)
+             .groupBy(F.col(id_col).alias("at_id")).agg(F.min("position").alias("position")))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    rows = boxed(docs, id=F.col(id_col), tie=F.xxhash64(*plain))
+    joined = rows.join(bounded(at, at.count(), 24), F.col("id") == F.col("at_id"), "left")
+    return joined.repartitionByRange("position", "tie").sortWithinPartitions("position", "tie").select("all.*")

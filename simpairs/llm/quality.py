@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.llm.common import whole_text
+from simpairs.llm.common import boxed, whole_text
 
 BITS = 18
 FEATURES = 1 << BITS
@@ -130,7 +130,8 @@ def _score(margin: float) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           sample_rows: int = SAMPLE_ROWS) -> tuple[bytes, bytes]:
-    """Fit on at most `sample_rows` rows of `labels` (id, 0/1; null labels and ids are no examples)."""
+    """Fit on at most `sample_rows` ids of `labels` (id, 0/1; null labels and ids are no examples) and one row of `docs` for each,
+    however many repeat an id (that of the least features)."""
     lab = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__id")).agg(F.min(F.col(label_col).cast("int")).alias("__y"))
            .orderBy(F.xxhash64(F.col("__id").cast("string"), F.lit(9)), "__id").limit(sample_rows))
@@ -149,7 +150,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         weights, ratio = fit([np.frombuffer(f, np.int32) for f in pdf["f"]], pdf["y"].to_numpy())
         return pd.DataFrame({"w": [weights.tobytes()], "r": [ratio.tobytes()]})
 
-    model = (picked.mapInPandas(extract, "id string, y int, f binary").groupBy(F.lit(1).alias("one"))
+    examples = picked.mapInPandas(extract, "id string, y int, f binary").groupBy("id").agg(F.min("y").alias("y"), F.min("f").alias("f"))
+    model = (examples.groupBy(F.lit(1).alias("one"))
              .applyInPandas(solve, "w binary, r binary").first())
     if model is None:  # no labelled rows at all: every text counts as good
         return tuple(x.tobytes() for x in fit([], np.zeros(0, int)))
@@ -189,6 +191,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` scored 0.5 or more, with its columns."""
+    """The rows of `docs` scored 0.5 or more, with its columns, whatever their names. Null texts and ids, repeated rows and empty
+    tables as in `classify`."""
     model = train(docs, labels.where(~held_out(id_col)), id_col, text_col)
-    return score(docs, model, text_col).where(F.col("__score") >= 0.5).select(*docs.columns)
+    rows = boxed(docs, text=F.col(text_col))
+    return score(rows, model, "text", ["all"]).where(F.col("__score") >= 0.5).select("all.*")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from simpairs.llm.mixing import frame_schedule, frame_shares, mix, phases, place
 
@@ -68,3 +69,17 @@ def test_mix_keeps_rows_and_columns(spark, docs):
     assert place(docs.limit(0)).count() == 0 and mix(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         frame_shares({"a": 0.0}, 8)
+
+
+def test_names_may_clash_and_rows_of_one_place_are_spread(spark):
+    data = [(None if k % 3 else k, f"s{k % 4}", {"k": k}, k, 0, 0, 0) for k in range(6000)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, m map<string,int>, position int, tie int, `all` int, at_id int")
+    out = mix(docs, {"s1": 2, "s2": 1})
+    assert out.columns == docs.columns
+    assert sorted(r.position for r in out.select("position").collect()) == list(range(6000))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows make one partition
+    try:
+        per = [r["count"] for r in mix(docs).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(per) < 3000  # the 4000 rows without an id are in several partitions

@@ -64,3 +64,20 @@ def test_features_in_pieces(text, monkeypatch):
     assert len(whole) == len(set(whole)) >= 2
     monkeypatch.setattr(q, "PIECE", 7)
     assert set(q.features(text, last).tolist()) == set(whole)
+
+
+def test_fit_takes_one_row_of_an_id(spark, monkeypatch):
+    # in place of the fit: how many examples it gets (a lambda, so that it travels by value)
+    monkeypatch.setattr(q, "fit", lambda f, y: (np.full(4, len(f), np.float32), np.ones(4, np.float32)))
+    hot = [(1, f"text number {k}") for k in range(500)] + [(2, "other words here")]
+    docs = spark.createDataFrame(hot, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    weights, ratio = q.train(docs, labels)
+    assert np.frombuffer(weights, np.float32)[0] == 2
+
+
+def test_good_rows_keep_their_columns(spark):
+    docs = spark.createDataFrame([(k, "a text", 1, 2, 3, 4) for k in range(3)], "doc_id long, text string, __score int, `all` int, `a.b` int, __id int")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    out = q.keep_good(docs, labels)
+    assert out.columns == docs.columns and {tuple(r)[2:] for r in out.collect()} == {(1, 2, 3, 4)}
