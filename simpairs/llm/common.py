@@ -27,6 +27,14 @@ def boxed(df: DataFrame, **more: Column) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("all"), *[c.alias(n) for n, c in more.items()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as it takes to be no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the folder all executors share."""
     shared_dir(df.sparkSession)

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from simpairs.llm.common import boxed, free_name
 from simpairs.llm.fingerprints import let
 
 ROUNDS = 10
@@ -244,14 +245,16 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     """`docs` with pseudonyms in `text_col`, plus `found_col`: the kinds replaced, in order of the text.
 
     Null texts stay null and empty ones empty, with nothing found; every row comes back, repeated rows alike; other columns
-    are not touched. Dates are read day first where that is possible. An empty table gives no rows."""
-    text = F.col(text_col)
+    are not touched, whatever their names (beside one named `found_col` the new one gets underscores before its name). Dates
+    are read day first where that is possible. An empty table gives no rows."""
+    text = F.col("text")
     matches = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(0)))
-    made = docs.withColumn("__matches", matches).withColumn("__new", F.when(F.size("__matches") > 0, F.transform(
-        "__matches", lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))))
-    parts = F.zip_with(F.split(text, ANY, -1), "__new", lambda gap, p: F.concat(
+    made = boxed(docs, text=F.col(f"`{text_col}`")).withColumn("matches", matches).withColumn("new", F.when(F.size("matches") > 0, F.transform(
+        "matches", lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))))
+    parts = F.zip_with(F.split(text, ANY, -1), "new", lambda gap, p: F.concat(
         gap, F.coalesce(p["new"]["value"], p["old"], F.lit(""))))
-    kinds = F.transform(F.filter("__new", lambda p: p["new"]["value"].isNotNull()), lambda p: p["new"]["kind"])
-    changed = F.when(F.col("__new").isNotNull(), F.array_join(parts, "")).otherwise(text)
-    return (made.withColumn("__text", changed).withColumn(found_col, F.coalesce(kinds, F.array().cast("array<string>")))
-            .select(*[F.col("__text").alias(text_col) if c == text_col else F.col(c) for c in docs.columns], found_col))
+    kinds = F.transform(F.filter("new", lambda p: p["new"]["value"].isNotNull()), lambda p: p["new"]["kind"])
+    changed = F.when(F.col("new").isNotNull(), F.array_join(parts, "")).otherwise(text)
+    return (made.withColumn("changed", changed).withColumn("found", F.coalesce(kinds, F.array().cast("array<string>")))
+            .select(*[F.col("changed").alias(c) if c == text_col else F.col("all").getField(c).alias(c) for c in docs.columns],
+                    F.col("found").alias(free_name(docs, found_col))))
