@@ -12,7 +12,7 @@ values get different ones, separators stay, and the result is valid again (check
     phone    the digits after the country code, or all of a national number (blanks, points or dashes between its groups)
     ssn      all nine digits
     ip       the address as a 32-bit number
-    date     the day within 1900 to 2099 (others stay)
+    date     the day within 1900 to 2099 (others stay); a time after it, from a T on, stays
     secret   hex strings of 32 to 64 digits, in runs of up to 16 digits
     email    the local part becomes u and 15 hex digits of a keyed hash (of the whole address, letters lower-cased)
 
@@ -35,6 +35,8 @@ _IBAN_LENGTHS = {
     18: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 19: "AE|GI|IL|IQ|OM|SO|TL", 20: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 21: "LY|PT|ST",
     22: "IS|TR", 23: "BI|DJ|FR|GR|IT|MC|MR|SM", 24: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 25: "BR|EG|PS|QA|UA", 26: "JO|KW|MU|YE",
     27: "MT|SC", 28: "LC", 29: "RU"}
+#: country codes of one and two digits; all others have three
+_COUNTRY = r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _IBAN = "|".join([*(rf"(?:{c})\d{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, c in _IBAN_LENGTHS.items()),
                   r"[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?",
                   r"[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3})"])
@@ -43,8 +45,10 @@ PATTERNS = {
     "secret": r"(?<![\p{L}\p{N}])(?=[0-9A-Fa-f]*\d)(?=[0-9A-Fa-f]*[A-Fa-f])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
     "iban": rf"(?<![\p{{L}}\p{{N}}])(?:{_IBAN})(?![\p{{L}}\p{{N}}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
-    "date": r"(?<![\p{L}\p{N}\-/.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\p{L}\p{N}]|[\-/.]\d)",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}|\+\d{8,14}"
+    "date": r"(?<![\p{L}\p{N}\-/.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})"
+            r"(?:(?=T\d{2}:?\d{2})|(?![\p{L}\p{N}]|[\-/.]\d))",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}"
+             r"|\+\d{1,3}[ .\-]\d{2,5}[ .\-]\d{5,8}|\+\d{8,14}"
              r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[ .\-]\d{3}[ .\-]\d{4})(?![\p{L}\p{N}]|-\d)",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "card": r"(?<![\p{L}\p{N}\-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}]|-\d)",
@@ -180,7 +184,7 @@ def _iban(m: Column, key: str) -> Column:
 
 def _phone(m: Column, key: str) -> Column:
     country = F.regexp_extract(m, r"^(\+\d{1,3})(?=[ .\-(])", 1)
-    country = F.when(country != "", country).when(m.startswith("+"), F.substring(m, 1, 2)).otherwise(F.lit(""))
+    country = F.when(country != "", country).otherwise(F.regexp_extract(m, _COUNTRY, 0))
 
     def change(c: Column) -> Column:
         rest = F.substring(m, F.length(c) + 1, F.length(m) - F.length(c))
@@ -204,7 +208,8 @@ DAYS = 73049  # 1900-01-01 to 2099-12-31
 
 def _date(m: Column, key: str) -> Column:
     out = F.lit(None).cast("string")
-    for pattern, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{4}/", "yyyy/MM/dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}\.", "dd.MM.yyyy")):
+    for pattern, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{4}/", "yyyy/MM/dd"), (r"^\d{2}/", "dd/MM/yyyy"),
+                          (r"^\d{1,2}\.", "d.M.yyyy"), (r"^\d{2}\.\d{2}\.", "dd.MM.yyyy")):
         def change(day: Column, form: str) -> Column:
             at = F.datediff(day, F.lit("1900-01-01").cast("date")).cast("long")
             new = walked(at, DAYS, 271, 270, key, F.lit("date"))

@@ -135,3 +135,34 @@ def test_ibans_with_letters_and_phones_with_blanks(spark):
         assert v in phones or m[1][:2] == v[:2] and iban_ok(m[1])
     assert got[len(texts) - 1].text == texts[-1][1]
     assert got[5].text.replace(" ", "") == got[6].text.replace(" ", "")
+
+
+def test_days_with_a_time_short_days_and_country_codes(spark):
+    texts = ["at 1980-03-05T10:20:00Z.", "at 1980-03-05 or", "on 5.3.2024,", "on 05.03.2024,", "to +49 30 123456 now", "to +493012345678 now",
+             "to +49 30 12345678 now", "to +35315550123 now", "no 1980-03-05Tx", "no 32.3.2024"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in sorted(pii.pseudonymise(docs, "k").collect())]
+    day = re.fullmatch(r"at (\d{4}-\d{2}-\d{2})T10:20:00Z\.", got[0])[1]
+    assert day != "1980-03-05" and got[1] == f"at {day} or"
+    short, full = re.fullmatch(r"on ([1-9]\d?\.[1-9]\d?\.\d{4}),", got[2])[1], re.fullmatch(r"on (\d\d\.\d\d\.\d{4}),", got[3])[1]
+    assert [int(x) for x in short.split(".")] == [int(x) for x in full.split(".")] != [5, 3, 2024]
+    assert re.fullmatch(r"to \+49 \d\d \d{6} now", got[4]) and got[4] != texts[4]
+    assert re.fullmatch(r"to \+49\d{10} now", got[5]) and got[5] != texts[5]
+    assert got[6].replace(" ", "") == got[5].replace(" ", "")  # the same number stays linked
+    assert re.fullmatch(r"to \+353\d{8} now", got[7]) and got[7] != texts[7]
+    assert got[8:] == texts[8:]
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "x@y.org", "a", "b", "c", "d", "e", "f", "g")],
+                                 "doc_id long, `a.text` string, __new string, __matches string, __found string, text string, new string, all string, `x.y` string")
+    out = pii.pseudonymise(docs, "k", text_col="a.text")
+    assert out.columns == [*docs.columns, "___found"]
+    row = tuple(out.first())
+    assert row[0] == 1 and row[1].endswith("@y.org") and row[1] != "x@y.org" and row[2:9] == tuple("abcdefg") and row[9] == ["email"]
+
+
+def test_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "word " * 200_000 + "8.8.8.8" + " word" * 200_000)], "doc_id long, text string")
+    row = pii.pseudonymise(docs, "k").first()
+    assert row["__found"] == ["ip"] and row.text.startswith("word ") and row.text.endswith(" word") and "8.8.8.8" not in row.text

@@ -48,3 +48,28 @@ def test_write_empty_and_native(spark, tmp_path):
     assert back.count() == 100 and back.groupBy("shard").count().where("count > 20").count() == 0
     assert sh.assign(docs.limit(0)).count() == 0
     assert "Python" not in sh.assign(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("big", [40_000, 3_000_000])
+def test_one_huge_text_among_small_ones(spark, big):
+    """The directory starts deep; the small rows' shards are found many depths higher up."""
+    rows = [(k, "w" * (k % 20)) for k in range(200)] + [(1000, "z" * big), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 300)
+    found = sh.assign(docs, 300).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert tuple(r)[2:] == want[key(r.doc_id, r.text)]
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    docs = spark.createDataFrame([(k, "w" * 50, 1, 2, 3, 4, "s", 5, 6) for k in range(50)],
+                                 "doc_id long, text string, __h int, __cell_1 int, h int, `__leaf.1` int, shard string, __shard int, `all` int")
+    out = sh.assign(docs, 1000)
+    assert out.columns == [*docs.columns, "___shard", "__depth", "__shard_bytes", "__shard_rows", "__fits"]
+    plain = sh.assign(docs.select("doc_id", "text"), 1000)
+    assert sorted(tuple(r)[:1] + tuple(r)[9:] for r in out.collect()) == sorted(tuple(r)[:1] + tuple(r)[2:] for r in plain.collect())
+    assert all(tuple(r)[2:9] == (1, 2, 3, 4, "s", 5, 6) for r in out.collect())
+    sh.write_shards(docs.drop("__leaf.1"), str(tmp_path / "out"), limit=1000)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 50 and "_shard" in back.columns and back.where("shard = 's'").count() == 50
