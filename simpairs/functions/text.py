@@ -31,13 +31,13 @@ def clean_text(c) -> Column:
     """lower -> collapse whitespace runs -> drop disallowed chars -> trim, in this order."""
     x = F.lower(_col(c))
     x = F.regexp_replace(x, WHITESPACE_RUN, " ")
-    x = F.regexp_replace(x, DISALLOWED_CHAR, "")
+    x = F.regexp_replace(x, DISALLOWED_CHAR + "+", "")
     return F.trim(x)
 
 
 def tokenize(c) -> Column:
     """Whitespace tokens, no empty tokens (empty text -> empty array)."""
-    return F.filter(F.split(_col(c), " +"), lambda t: t != "")
+    return F.array_remove(F.split(_col(c), " "), "")
 
 
 def ellipsis(c, limit: int = ELLIPSIS_LIMIT) -> Column:

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from simpairs.functions.arrays import clamp_ids, pad_truncate
 from simpairs.functions.text import tokenize
-from simpairs.operators.dictionary import dictionary, regroup
-from simpairs.operators.lookup import lookup
+from simpairs.operators.blocks import mapped
 
 UNK_ID, PAD_ID = 1, 0
 
@@ -20,32 +19,27 @@ def encode(texts: DataFrame, vocab: DataFrame, id_col: str = "clause_id", text_c
     to exactly `max_len` ids; tokens past `max_len` cannot appear in the result, so they
     are cut off before the lookup. Rows with no tokens keep an empty (or all-PAD) seq.
 
-    Each clause is put into dictionary form first, so one row per distinct word of a clause leaves it, with the word's
-    positions. The vocabulary lookup broadcasts a small vocabulary; a large one is joined by shuffle, with
-    its frequent words dealt evenly (`lookup`). Ids come back to their positions, one row per clause through the shuffle.
+    Clauses are coded in blocks first (`blocks.mapped`), so one row per distinct word of a block meets the vocabulary. The lookup
+    broadcasts a small vocabulary; a large one is joined by shuffle, with its frequent words dealt evenly
+    (`lookup`). The ids come back to the coded clauses, one row per block through the shuffle.
     """
     words = tokenize(text_col)
     if max_len is not None:
         words = F.slice(words, 1, max_len)
-    rows = dictionary(texts.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).withColumnRenamed("__text", text_col),
-                      words, ["__id"], "word")
-    ids = regroup(lookup(rows, "word", vocab.select("word", "idx")), "__id", F.coalesce("idx", F.lit(UNK_ID)),
-                  F.col("word").isNotNull(), "__seq")
+    ids = mapped(texts, id_col, words, vocab.select("word", "idx"), "word", "__seq", UNK_ID)
     seq = F.col("__seq")
     if max_len is not None:
         seq = pad_truncate(seq, max_len, PAD_ID)
-    return ids.select(F.col("__id").alias(id_col), seq.alias("seq"))
+    return ids.select(id_col, seq.alias("seq"))
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "clause_id", skip_pad: bool = True) -> DataFrame:
     """(id, seq) -> (id, text): ids back to words, space-joined, PAD dropped; ids that the vocabulary lacks are left out.
-    One lookup per distinct id of a sequence."""
-    rows = dictionary(encoded, F.col("seq"), [id_col], "__i")
-    known = F.col("word").isNotNull()
+    One lookup per distinct id of a block of sequences."""
+    known = vocab.select(F.col("idx").alias("__idx"), "word")
     if skip_pad:
-        known = known & (F.col("__i") != PAD_ID)
-    found = lookup(rows, "__i", vocab.select(F.col("idx").alias("__idx"), "word"), "__idx")
-    return regroup(found, id_col, F.col("word"), known, "__w").select(id_col, F.array_join("__w", " ").alias("text"))
+        known = known.where(F.col("__idx") != PAD_ID)
+    return mapped(encoded, id_col, F.col("seq"), known, "__idx", "__w").select(id_col, F.array_join("__w", " ").alias("text"))
 
 
 def clamp(encoded: DataFrame, vocab_size: int) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import RESERVED_TOKENS, tokenize
-from simpairs.operators.dictionary import dictionary
+from simpairs.operators.blocks import value_counts
 from simpairs.operators.numbering import RANGE, number_rows, with_ranges
 from simpairs.sources.shared import checkpointed
 
@@ -19,12 +19,12 @@ def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
 def _word_stats(clauses: DataFrame) -> DataFrame:
     """(word, cnt, cat_rank, clause_id, pos): counts, and the first appearance by (category name, clause_id, position).
 
-    A clause hands on each distinct word once. Counts and first appearances are aggregated per (word, category) and then per
-    word; all buffers are fixed-width numbers, so both are hash aggregates that start before the shuffle. Category
+    A block of clauses hands on each distinct word of a category once. Counts and first appearances are aggregated per (word, category)
+    and then per word; all buffers are fixed-width numbers, so both are hash aggregates that start before the shuffle. Category
     ranks are joined to the aggregated words, never to texts."""
-    own = dictionary(clauses, tokenize("clause"), ["category", "clause_id"], "word").where(F.col("word").isNotNull())
+    own = value_counts(clauses, tokenize("clause"), "category", "clause_id", "word")
     per = own.groupBy("word", "category").agg(
-        F.sum(F.size("at")).alias("cnt"), F.min("clause_id").alias("clause_id"), F.min_by(F.get("at", F.lit(0)), "clause_id").alias("pos"))
+        F.sum("cnt").alias("cnt"), F.min("clause_id").alias("clause_id"), F.min_by("pos", "clause_id").alias("pos"))
     return per.join(_ranked(clauses), "category").groupBy("word").agg(
         F.sum("cnt").alias("cnt"), F.min_by("clause_id", "cat_rank").alias("clause_id"),
         F.min_by("pos", "cat_rank").alias("pos"), F.min("cat_rank").alias("cat_rank"))

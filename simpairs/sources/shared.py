@@ -24,6 +24,17 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def by_value() -> None:
+    """Serialise this package's functions (and a user scorer defined in it) by value into
+    the Python tasks, so executors need no installed copy of the package."""
+    try:
+        import simpairs
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(simpairs)
+    except (ImportError, ValueError):
+        pass
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder: cuts the lineage (small plans, no
     recomputation of the upstream stages after an executor loss)."""
