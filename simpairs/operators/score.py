@@ -8,21 +8,13 @@ from pyspark.sql import functions as F
 
 from simpairs.config import PairConfig
 from simpairs.functions.scoring import clip01, sigmoid, threshold
+from simpairs.sources.shared import by_value
 
+#: ids of a padded matrix that a scorer is called with, unless one row is longer
+CALL_IDS = 1 << 22
 SCORED_COLS = ["model", "pair_id", "label", "probability", "predicted"]
 
 
-def _ship_by_value() -> None:
-    """Serialise this package's functions (and a user scorer defined in it) by value into
-    the Python tasks, so executors need no installed copy of the package."""
-    try:
-        import simpairs
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(simpairs)
-    except (ImportError, ValueError):
-        pass
-
-
 def to_scored(df: DataFrame, model: str, t: float = 0.5, prob_col: str = "probability",
               input_kind: str = "probability") -> DataFrame:
     """(pair_id, label, score) -> scored(model, pair_id, label, probability, predicted).
@@ -56,18 +48,25 @@ def batch_score(pair_seq: DataFrame, factory: Callable[[], Callable], model: str
     """Pluggable scorer, for tables and streams alike (it keeps no state). `factory()` runs once per task (load the model
     there) and returns `scorer(seq1: np.ndarray[n, L], seq2: np.ndarray[n, L]) -> np.ndarray[n]`, which is called with at most
     `batch_size` rows (default: the Arrow batch). Sequences may be ragged and whole: a call's rows are padded with PAD to
-    the longest of them, so L changes from call to call. Arrow's nested arrays become matrices by their offsets and
+    the longest of them, so L changes from call to call. Rows of an Arrow batch go to the calls by length, and a call of several
+    rows pads them to `CALL_IDS` ids a side at most, so that one long text does not widen short ones. Arrow's nested arrays become matrices by their offsets and
     values, without an object per row. A result of another length raises. It goes through the same
     clip/threshold as every other model."""
-    _ship_by_value()
+    by_value()
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
         scorer = None
         for batch in batches:
-            for at in range(0, batch.num_rows, batch_size or max(1, batch.num_rows)):
-                part = batch.slice(at, batch_size or batch.num_rows)
+            width = np.max([np.diff(batch.column(c).offsets.to_numpy()) for c in ("seq1", "seq2")], axis=0)
+            order, at = np.argsort(width, kind="stable"), 0
+            while at < batch.num_rows:
+                rows = min(batch_size or batch.num_rows, batch.num_rows - at)
+                # widths ascend: the widest row of a call is its last
+                while rows > 1 and int(width[order[at + rows - 1]]) * rows > CALL_IDS:
+                    rows = max(1, min(rows - 1, CALL_IDS // max(1, int(width[order[at + rows - 1]]))))
+                part, at = batch.take(pa.array(order[at:at + rows])), at + rows
                 scorer = scorer or factory()
                 out = np.asarray(scorer(*padded(part.column("seq1"), part.column("seq2"))), dtype="float64")
                 if out.shape not in ((part.num_rows,), (part.num_rows, 1)):

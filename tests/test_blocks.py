@@ -1,6 +1,10 @@
 """Arrays coded in blocks: one lookup row per distinct value of a block, the same arrays, rows that share a key, lost values."""
+from pyspark.sql import functions as F
+
+from simpairs.config import PairConfig
 from simpairs.functions.text import tokenize
 from simpairs.operators import blocks
+from simpairs.operators import score as sc
 from simpairs.operators.encode import decode, encode
 from simpairs.operators.vocab import word_counts
 
@@ -48,3 +52,19 @@ def test_first_appearance_by_id_and_position(spark, monkeypatch):
         monkeypatch.setattr(blocks, "BLOCK_VALUES", size)
         got = word_counts(texts).collect()
         assert {(r.word, r.cnt, r.first_clause_id, r.first_pos if r.first_clause_id is not None else None) for r in got} == want
+
+
+def test_one_long_text_does_not_widen_the_others(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def score(a, b):
+            seen.add(a.size + b.size)
+            return (a > 0).sum(axis=1) / 10_000.0
+        return score
+    ids = F.expr("sequence(1, case when id = 5 then 5000 else 1 + id % 7 end)")
+    pairs = spark.range(0, 256, 1, 1).select(F.col("id").alias("pair_id"), F.lit(1).alias("label"), ids.alias("seq1"), F.array(F.lit(1)).alias("seq2"))
+    got = {r.pair_id: r.probability for r in sc.batch_score(pairs, factory, "m", PairConfig(), batch_size=32).collect()}
+    assert got == {k: (5000 if k == 5 else 1 + k % 7) / 10_000.0 for k in range(256)}
+    # padded to the longest of the whole batch these were 32 rows of 5,000 ids a side
+    assert seen.value < 32 * 5000 * 2 + 256 * 2 * 7
