@@ -1,6 +1,7 @@
 """Scored tables: probability post-processing, a pluggable batch scorer, an MLlib classifier."""
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,8 @@ from simpairs.sources.shared import by_value
 
 #: ids of a padded matrix that a scorer is called with, unless one row is longer
 CALL_IDS = 1 << 22
+#: a partition of training rows holds about so many
+TRAIN_ROWS = 8192
 SCORED_COLS = ["model", "pair_id", "label", "probability", "predicted"]
 
 
@@ -78,6 +81,13 @@ def batch_score(pair_seq: DataFrame, factory: Callable[[], Callable], model: str
     return to_scored(raw, model, cfg.threshold, "raw", input_kind)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Training rows over as many partitions as their number asks for: a split leaves a label's rows in a few, and every
+    iteration of a fit reads them all."""
+    wanted = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows.count() / TRAIN_ROWS))
+    return rows.repartition(wanted) if wanted > rows.rdd.getNumPartitions() else rows
+
+
 def train_classifier(train: DataFrame, val: DataFrame, n_features: int, cfg: PairConfig = PairConfig(),
                      epochs: int | None = None, iters_per_epoch: int = 20, hidden=(64, 32), features_col: str = "features",
                      target: float = 0.995, patience: int = 5):
@@ -96,7 +106,7 @@ def train_classifier(train: DataFrame, val: DataFrame, n_features: int, cfg: Pai
                         F.col("label").cast("double").alias("label"))
 
     spark = train.sparkSession
-    tr, va = prep(train).cache(), prep(val).cache()
+    tr, va = dealt(prep(train)).cache(), dealt(prep(val)).cache()
     rows, weights, best, best_acc = [], None, None, -1.0
     log = None
     for epoch in range(cfg.epochs if epochs is None else epochs):

@@ -68,3 +68,12 @@ def test_one_long_text_does_not_widen_the_others(spark):
     assert got == {k: (5000 if k == 5 else 1 + k % 7) / 10_000.0 for k in range(256)}
     # padded to the longest of the whole batch these were 32 rows of 5,000 ids a side
     assert seen.value < 32 * 5000 * 2 + 256 * 2 * 7
+
+
+def test_training_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(sc, "TRAIN_ROWS", 50)
+    rows = spark.range(0, 400, 1, 1).select(F.array(F.col("id") % 2 * 1.0, F.lit(0.5)).alias("features"), (F.col("id") % 2).alias("label"))
+    assert sc.dealt(rows).rdd.getNumPartitions() == 8 and sc.dealt(rows).count() == 400
+    assert sc.dealt(rows.limit(20)).rdd.getNumPartitions() == 1
+    model, _ = sc.train_classifier(rows, rows.limit(40), 2, epochs=1, iters_per_epoch=5, hidden=(4,))
+    assert sc.classifier_scores(model, rows.selectExpr("row_number() over (order by label) as pair_id", "label", "features"), "m").count() == 400
