@@ -31,9 +31,10 @@ def cosine_probability(a, b) -> Column:
 
 
 def token_jaccard(t1, t2) -> Column:
-    """|set(t1) & set(t2)| / |set(t1) | set(t2)|; 0 when both are empty."""
-    u = F.size(F.array_union(t1, t2))
-    return F.when(u > 0, F.size(F.array_intersect(t1, t2)) / u).otherwise(F.lit(0.0))
+    """|t1 & t2| / |t1 | t2| of two sets, given as arrays of distinct tokens; 0 when both are empty. One intersection per pair:
+    the union's size follows from it."""
+    both = F.size(F.array_intersect(t1, t2))
+    return both / F.greatest(F.size(t1) + F.size(t2) - both, F.lit(1))
 
 
 def jaccard_scores(pairs: DataFrame, clauses: DataFrame) -> DataFrame:
