@@ -1,11 +1,13 @@
-"""Category CSV sets: one CSV file per category, category = file name without '.csv'.
+"""Category CSV sets: one CSV file per category, category = file name without '.csv'. A large category may be a folder of that
+name, whose files are its parts in the order of their names, each with a header.
 
-All files are read in one scan, in byte ranges; a file's header says how many columns its rows have and which one holds the
-text. Only file names and header lines are touched on the driver.
+Files are read in byte ranges, by one scan of the plain files and one of the parts; a file's header says how many columns its rows
+have and which one holds the text. Only file names and header lines are touched on the driver.
 """
 from __future__ import annotations
 
 import csv
+import functools
 import io
 from collections import OrderedDict
 from urllib.parse import unquote
@@ -20,6 +22,10 @@ from simpairs.sources.shared import checkpointed
 # Cell strings that pandas' CSV reader turns into a missing value by default
 PANDAS_NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                      "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+#: a part of a written category holds about so many bytes of text
+PART_BYTES = 32 << 20
+#: a file is shorter than this: places of parts and ranges follow each other in one number
+PART_SPAN = 1 << 40
 
 
 def _fs(spark: SparkSession, path: str):
@@ -37,22 +43,31 @@ def _list(spark: SparkSession, directory: str, dirs: bool = False) -> list[tuple
     return sorted(out)
 
 
-def csv_files(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
-    """(name, path) of every *.csv directly in `directory` (case-sensitive suffix). If there
-    is none, the *.csv files one level down are used; on equal names the last copy (in
+def _sets(spark: SparkSession, directory: str) -> list[tuple[str, list[str], bool]]:
+    """(name, paths, whether they are parts) of every *.csv, file or folder of parts, directly in `directory`."""
+    found = {n: (n, [path], False) for n, path in _list(spark, directory) if n.endswith(".csv")}
+    for n, folder in _list(spark, directory, dirs=True):
+        parts = [path for part, path in _list(spark, folder) if part.startswith("part-")] if n.endswith(".csv") else []
+        if parts:
+            found.setdefault(n, (n, parts, True))
+    return [found[n] for n in sorted(found)]
+
+
+def csv_files(spark: SparkSession, directory: str) -> list[tuple[str, list[str], bool]]:
+    """(name, paths, whether they are parts) of every *.csv directly in `directory` (case-sensitive suffix): a file, or a folder
+    that holds part-* files. If there is none, those one level down are used; on equal names the last copy (in
     sub-directory order) wins. A missing directory raises FileNotFoundError."""
     fs, p = _fs(spark, directory)
     if not fs.exists(p):
         raise FileNotFoundError(f"no such folder of category files: {directory}")
-    files = [(n, path) for n, path in _list(spark, directory) if n.endswith(".csv")]
+    files = _sets(spark, directory)
     if files:
         return files
-    chosen: OrderedDict[str, str] = OrderedDict()
+    chosen: OrderedDict[str, tuple[str, list[str], bool]] = OrderedDict()
     for _, sub in _list(spark, directory, dirs=True):
-        for n, path in _list(spark, sub):
-            if n.endswith(".csv"):
-                chosen[n] = path
-    return sorted(chosen.items())
+        for one in _sets(spark, sub):
+            chosen[one[0]] = one
+    return sorted(chosen.values())
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
@@ -79,9 +94,10 @@ def text_column(header: tuple[str, ...]) -> int:
     return 0
 
 
-def _file_name() -> F.Column:
-    """The plain file name: Spark gives it URL-encoded ('+' stands for itself)."""
-    return F.url_decode(F.regexp_replace("_metadata.file_name", r"\+", "%2B"))
+def _file_name(parts: bool) -> F.Column:
+    """The plain file name, that of a part with its folder's: Spark gives it URL-encoded ('+' stands for itself)."""
+    name = F.regexp_extract("_metadata.file_path", "[^/]+/[^/]+$", 0) if parts else F.col("_metadata.file_name")
+    return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 
 def _opens(x: Column) -> Column:
@@ -100,17 +116,19 @@ def _state_before(start: Column, const: Column, after: Column, swap: Column, w)
     return F.coalesce(fixed, start).bitwiseXOR(before.cast("int"))
 
 
-def csv_records(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
-    """-> records(file_name, block, line, n, record) and open_files(file_name): a quoted field of the file never ends.
+def csv_records(spark: SparkSession, paths: list[str], part_paths: list[str] = []) -> tuple[DataFrame, DataFrame]:
+    """-> records(file_name, block, line, n, record) and open_files(file_name): a quoted field of the file never ends. `part_paths` are
+    files too, but named with their folder.
 
     Files are read in byte ranges by as many tasks, whatever line feeds their quoted fields hold. A line is a map of the
     state before it (inside a quoted field or not) to the state after it; maps are composed inside each range,
     then over the ranges of a file (a table of one row per range), which gives the state before every line and so the record
     starts. A record is named by the range, and its number there, in which it begins; only records of several lines
     are put together by a shuffle. `n` counts a range's records from 1; blank lines between records are none."""
-    raw = spark.read.option("lineSep", "\n").text(paths).select(
-        _file_name().alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
-        F.regexp_replace("value", "\r$", "").alias("value"))
+    scans = [spark.read.option("lineSep", "\n").text(found).select(
+        _file_name(parts).alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+        F.regexp_replace("value", "\r$", "").alias("value")) for found, parts in ((paths, False), (part_paths, True)) if found]
+    raw = functools.reduce(DataFrame.unionByName, scans)
     bare = F.replace(F.regexp_replace("value", "^\ufeff", ""), F.lit('""'), F.lit(""))
     quote = F.instr(bare, '"')
     f0 = _opens(bare).cast("int")
@@ -158,36 +176,42 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     one scan. A short row is filled with nulls; a file with a row of too many fields, a quoted field that never ends, or no
     readable header is skipped and reported in `rejects`. A file is read in byte ranges by many tasks (`csv_records`)."""
     files = csv_files(spark, directory)
-    found, paths, rejected = [], [], []
-    for name, path in files:
+    found, paths, part_paths, rejected = [], [], [], []
+    for name, members, parted in files:
         try:
-            h = _header(spark, path)
+            heads = [(path, _header(spark, path)) for path in members]
         except Exception as e:  # unreadable file: skip, keep going
             rejected.append((name, f"unreadable: {type(e).__name__}"))
             continue
-        if not h:
+        heads = [(path, h) for path, h in heads if h]
+        if not heads:
             rejected.append((name, "empty file"))
             continue
-        found.append((name, len(h), text_column(h)))
-        paths.append(path)
+        for k, (path, h) in enumerate(heads):
+            file = f"{name}/{path.rsplit('/', 1)[1]}" if parted else name
+            found.append((file, name, k, len(h), text_column(h)))
+            (part_paths if parted else paths).append(path)
     if not found:
         empty = spark.createDataFrame([], "category string, clause_id long, clause string")
         rej = spark.createDataFrame(rejected, "file_name string, reason string")
         return (empty, rej) if with_rejects else empty
-    records, open_files = csv_records(spark, paths)
-    headers = spark.createDataFrame(found, "file_name string, width int, at int")
+    records, open_files = csv_records(spark, paths, part_paths)
+    headers = spark.createDataFrame(found, "file string, set_name string, part long, width int, at int")
     # one more column than the widest header has: a field beyond a file's own header makes the row, and the file, malformed
-    widest = max(w for _, w, _ in found)
+    widest = max(w for *_, w, _ in found)
     schema = ", ".join(f"_c{k} string" for k in range(widest + 1))
     fields = F.from_csv("record", F.lit(schema), {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
-    rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).join(headers, "file_name").withColumn("__f", fields)
+    rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).withColumnRenamed("file_name", "file").join(headers, "file").withColumn("__f", fields)
     cells = F.array(*[F.col(f"__f._c{k}") for k in range(widest + 1)])
-    rows = rows.select("file_name", "block", "line", cells.alias("cells"), "width", "at").select(
+    # from here on a file is the whole set, and the ranges of its parts follow each other
+    place = (F.col("part") * PART_SPAN + F.col("block")).alias("block")
+    rows = rows.select(F.col("set_name").alias("file_name"), place, "line", cells.alias("cells"), "width", "at").select(
         "file_name", "block", "line", F.get("cells", F.col("at")).alias("raw"),
         F.exists(F.slice("cells", F.col("width") + 1, F.lit(widest + 1)), lambda c: c.isNotNull()).alias("bad"))
     # the parsed rows are materialised once in the shared folder: three later steps read them
     rows = checkpointed(rows)
-    bad = rows.where("bad").select("file_name").union(open_files).distinct()
+    opened = open_files.withColumnRenamed("file_name", "file").join(headers, "file").select(F.col("set_name").alias("file_name"))
+    bad = rows.where("bad").select("file_name").union(opened).distinct()
     good = rows.join(bad, "file_name", "left_anti")
     good = good.withColumn("category", F.regexp_replace("file_name", r"\.csv", ""))
     if null_policy == "literal_nan":
@@ -214,10 +238,15 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
 def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True, text_first: bool = True) -> None:
     """rows(category, ord, clause_text) -> one CSV file `<category>.csv` per category, rows in the order of `ord`;
     columns clause_text and clause_type, or, with `text_first=False`, Clause Type, place and Clause Body. `quote=False` writes
-    texts as they are, whatever they hold."""
+    texts as they are, whatever they hold.
+
+    Tasks hold ranges of (category, ord) of about `PART_BYTES` of text, so no task grows with a category: one that spans several ranges
+    becomes a folder `<category>.csv` of part files in that order. Rows of one `ord` are told apart by their texts' hash."""
     spark, tmp = rows.sparkSession, f"{directory.rstrip('/')}/_parts"
     kind = F.col("category").alias("clause_type")
-    d = rows.repartition("category").sortWithinPartitions("category", "ord")
+    size = rows.agg(F.sum(F.octet_length("clause_text").cast("long") + 64).alias("b")).first()["b"] or 0
+    order = ["category", "ord", "__h"]
+    d = rows.withColumn("__h", F.xxhash64("clause_text")).repartitionByRange(max(1, -(-size // PART_BYTES)), *order).sortWithinPartitions(*order)
     out = d.select("category", "clause_text", kind) if quote else d.select("category", F.concat_ws(",", "clause_text", "category").alias("clause_text,clause_type"))
     if not text_first:
         out = d.select("category", kind.alias("Clause Type"), F.col("ord").alias("place"), F.col("clause_text").alias("Clause Body"))
@@ -227,7 +256,7 @@ def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True, tex
     fs, p = _fs(spark, tmp)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for name, folder in _list(spark, tmp, dirs=True):
-        for part, file in _list(spark, folder):
-            if part.startswith("part-"):
-                fs.rename(path(file), path(f"{directory.rstrip('/')}/{unquote(name.split('=', 1)[1])}.csv"))
+        target = f"{directory.rstrip('/')}/{unquote(name.split('=', 1)[1])}.csv"
+        parts = [file for part, file in _list(spark, folder) if part.startswith("part-")]
+        fs.rename(path(parts[0] if len(parts) == 1 else folder), path(target))
     fs.delete(p, True)

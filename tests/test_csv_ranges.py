@@ -88,3 +88,41 @@ def test_open_and_mixed_files(spark, tmp_path, ranges):
     assert got == {"wide": ["the body", "nan", "only"], "blank": ["first", "second half"]}
     assert {(r.file_name, r.reason) for r in rejects.collect()} == {
         ("open.csv", "malformed rows"), ("long.csv", "malformed rows"), ("empty.csv", "empty file")}
+
+
+def test_a_category_is_written_in_parts(spark, tmp_path, monkeypatch):
+    from simpairs.sources import csv_corpus
+    rng = random.Random(7)
+    # repeated and null places, texts with line feeds and quotes; one category holds nearly all rows
+    want = [("large +x%", None if k % 50 == 0 else k // 2, f'k{k:04d} "q", x\nline{"y" * rng.randint(0, 90)}') for k in range(1500)]
+    want += [("small", 1, "only one"), ("middle", 2, None), ("middle", 3, "third")]
+    rows = spark.createDataFrame(want, "category string, ord long, clause_text string").repartition(3)
+    monkeypatch.setattr(csv_corpus, "PART_BYTES", 20_000)
+    for text_first in (True, False):
+        folder = f"{tmp_path}/set{text_first}"
+        csv_corpus.write_category_csvs(rows, folder, text_first=text_first)
+        found = {n: (len(paths), parted) for n, paths, parted in csv_corpus.csv_files(spark, folder)}
+        assert set(found) == {"large +x%.csv", "small.csv", "middle.csv"}
+        # no task wrote more than a part of the large category
+        assert found["large +x%.csv"][0] >= 5 and found["large +x%.csv"][1] and found["small.csv"] == (1, False)
+        got = sorted(read_category_csvs(spark, folder).collect(), key=lambda r: r.clause_id)
+        rank = {c: k << 32 for k, c in enumerate(sorted({c for c, _, _ in want}))}
+        counts = {c: sum(x == c for x, _, _ in want) for c in rank}
+        assert sorted(r.clause_id for r in got) == sorted(rank[c] + k for c in rank for k in range(counts[c]))
+        places = {t[:5]: -1 if o is None else o for c, o, t in want if t and c.startswith("large")}
+        large = [places[r.clause[:5]] for r in got if r.category == "large +x%"]
+        assert large == sorted(large) and len(large) == 1500
+        assert [r.clause for r in got if r.category != "large +x%"] == ["nan", "third", "only one"]
+
+
+def test_parts_of_a_set_with_an_open_quote_or_a_wide_row(spark, tmp_path, ranges):
+    for name, texts in (("good.csv", ["clause\nfirst\n", "", "kind,clause\nk,second\n"]), ("open.csv", ["clause\na\n", 'clause\n"b\n', "clause\nc\n"]),
+                        ("wide.csv", ["clause\na\n", "clause\nb,c\n"]), ("none.csv", ["", ""])):
+        (tmp_path / name).mkdir()
+        for k, text in enumerate(texts):
+            (tmp_path / name / f"part-{k:05d}.csv").write_text(text)
+    ranges(10)
+    rows, rejects = read_category_csvs(spark, str(tmp_path), with_rejects=True)
+    assert [(r.category, r.clause) for r in sorted(rows.collect(), key=lambda r: r.clause_id)] == [("good", "first"), ("good", "second")]
+    assert {(r.file_name, r.reason) for r in rejects.collect()} == {
+        ("open.csv", "malformed rows"), ("wide.csv", "malformed rows"), ("none.csv", "empty file")}
