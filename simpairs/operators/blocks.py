@@ -10,19 +10,57 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from simpairs.functions.cut import char_tables, cut_words, head, word_names
+from simpairs.functions.text import DRAFT, tokenize
 from simpairs.operators.lookup import lookup
 from simpairs.sources.shared import by_value, checkpointed
 
 #: array elements of a block, unless one row alone holds more
 BLOCK_VALUES = 1 << 19
+#: bytes of a block of texts, unless one row alone holds more
+BLOCK_BYTES = 1 << 22
 
 
-def _blocks(batches, column: str) -> Iterator:
-    """(rows, their array sizes) of blocks of at most BLOCK_VALUES elements, one row at least. Null arrays count as empty."""
+def words_of(df: DataFrame, text_col: str = "clause") -> Column:
+    """What the functions here take as a row's words: its draft (see `draft_text`), whose words are cut in the tasks, where `df` has
+    one, else the tokens of its clean text."""
+    return F.col(DRAFT) if DRAFT in df.columns else tokenize(text_col)
+
+
+def _element(df: DataFrame, values: Column) -> str:
+    """Type of the elements of an array column; those of a draft are words."""
+    kind = df.select(values.alias("v")).schema["v"].dataType
+    return kind.elementType.simpleString() if isinstance(kind, T.ArrayType) else "string"
+
+
+def _text_blocks(batch, column: str, tables, first: int | None) -> Iterator:
+    """Blocks of at most BLOCK_BYTES of drafts, one row at least, with their words (the first ones) in place of them."""
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+        rows, at = batch.slice(at, to - at), to
+        words = cut_words(rows.column(column), tables)
+        words = words if first is None else head(words, first)
+        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([words if c == column else rows.column(c) for c in rows.schema.names], rows.schema.names), sizes
+
+
+def _blocks(batches, column: str, first: int | None = None) -> Iterator:
+    """(rows, their array sizes) of blocks of at most BLOCK_VALUES elements, one row at least. Null arrays count as empty. Drafts
+    become arrays of words, the `first` ones of each."""
+    import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
+    tables = char_tables()
     for batch in batches:
+        if pa.types.is_string(batch.column(column).type):
+            yield from _text_blocks(batch, column, tables, first)
+            continue
         sizes = pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(sizes), 0
         while at < batch.num_rows:
@@ -42,7 +80,7 @@ def value_counts(df: DataFrame, values: Column, group: str, order: str, value: s
     """(`value`, `group`, cnt, `order`, pos): per block, distinct value and group its number of occurrences, and the first one's
     `order` and 0-based position by (`order`, position), nulls last. To be aggregated further."""
     by_value()
-    kind = {f.name: f.dataType.simpleString() for f in df.select(group, order, F.get(values, F.lit(0)).alias("__v")).schema}
+    kind = {f.name: f.dataType.simpleString() for f in df.select(group, order).schema} | {"__v": _element(df, values)}
 
     def run(batches):
         import numpy as np
@@ -67,21 +105,44 @@ def value_counts(df: DataFrame, values: Column, group: str, order: str, value: s
     return e.select(F.col("e.v").alias(value), F.col("e.g").alias(group), F.col("e.n").alias("cnt"), F.col("e.o").alias(order), F.col("e.p").alias("pos"))
 
 
-def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key: str, out: str, default=None) -> DataFrame:
+def word_sets(df: DataFrame, key: str, values: Column, out: str) -> DataFrame:
+    """(`key`, `out` ARRAY<BIGINT>), one row per row: 64-bit names (`cut.word_names`) of a row's distinct words, in place of the words. Of n
+    distinct words of over eight bytes in all rows about n^2 / 2^65 pairs share a name."""
+    by_value()
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for rows, sizes in _blocks(batches, "v"):
+            lists = rows.column("v")
+            coded = lists.flatten().dictionary_encode()
+            names = word_names(coded.dictionary)
+            n = max(1, len(names))
+            own = np.sort(np.repeat(np.arange(len(sizes)), sizes) * n + coded.indices.to_numpy(zero_copy_only=False))
+            own = own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
+            ends = np.searchsorted(own, np.arange(len(sizes) + 1) * n).astype(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(names[own % n]), mask=lists.is_null() if lists.null_count else None)
+            yield pa.RecordBatch.from_arrays([rows.column("k"), sets], [key, out])
+
+    return df.select(F.col(key).alias("k"), values.alias("v")).mapInArrow(run, f"`{key}` {kind}, `{out}` array<bigint>")
+
+
+def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key: str, out: str, default=None, first: int | None = None) -> DataFrame:
     """(`key`, `out`), one row per key: the array with each element replaced by the value that `table`(table_key, one more column)
-    has for it, else by `default`; without a default it is left out.
+    has for it, else by `default`; without a default it is left out. `values` may be drafts, of whose words the `first` count.
 
     A block's distinct values are looked up once (`lookup`), and the answers are joined to the block's coded rows. The arrays of
     rows that share a key are merged by (position, value)."""
     by_value()
-    kinds = {f.name: f.dataType.simpleString() for f in df.select(F.col(key).alias("k"), F.get(values, F.lit(0)).alias("v")).schema}
+    kinds = {"k": df.schema[key].dataType.simpleString(), "v": _element(df, values)}
     answer = next(c for c in table.columns if c != table_key)
     kind = table.schema[answer].dataType.simpleString()
 
     def code(batches):
         import pyarrow as pa
         from pyspark import TaskContext
-        for n, (rows, sizes) in enumerate(_blocks(batches, "v")):
+        for n, (rows, sizes) in enumerate(_blocks(batches, "v", first)):
             coded = rows.column("v").flatten().dictionary_encode()
             entries = pa.StructArray.from_arrays([pa.array(range(len(coded.dictionary)), pa.int32()), coded.dictionary], ["at", "value"])
             yield pa.RecordBatch.from_arrays(

@@ -5,15 +5,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.functions.arrays import clamp_ids, pad_truncate
-from simpairs.functions.text import tokenize
-from simpairs.operators.blocks import mapped
+from simpairs.functions.text import DRAFT
+from simpairs.operators.blocks import mapped, words_of
 
 UNK_ID, PAD_ID = 1, 0
 
 
 def encode(texts: DataFrame, vocab: DataFrame, id_col: str = "clause_id", text_col: str = "clause",
            max_len: int | None = None) -> DataFrame:
-    """(id, text) -> (id, seq ARRAY<INT>).
+    """(id, text or draft) -> (id, seq ARRAY<INT>).
 
     Unknown words map to UNK (1). With `max_len` the sequence is truncated/right-padded
     to exactly `max_len` ids; tokens past `max_len` cannot appear in the result, so they
@@ -23,10 +23,10 @@ def encode(texts: DataFrame, vocab: DataFrame, id_col: str = "clause_id", text_c
     broadcasts a small vocabulary; a large one is joined by shuffle, with its frequent words dealt evenly
     (`lookup`). The ids come back to the coded clauses, one row per block through the shuffle.
     """
-    words = tokenize(text_col)
-    if max_len is not None:
+    words = words_of(texts, text_col)
+    if max_len is not None and DRAFT not in texts.columns:
         words = F.slice(words, 1, max_len)
-    ids = mapped(texts, id_col, words, vocab.select("word", "idx"), "word", "__seq", UNK_ID)
+    ids = mapped(texts, id_col, words, vocab.select("word", "idx"), "word", "__seq", UNK_ID, max_len)
     seq = F.col("__seq")
     if max_len is not None:
         seq = pad_truncate(seq, max_len, PAD_ID)
@@ -58,12 +58,9 @@ def oov_guard(encoded: DataFrame, vocab_size: int) -> DataFrame:
 def prepare_pairs(pairs: DataFrame, clauses: DataFrame, vocab: DataFrame, max_len: int | None) -> DataFrame:
     """pairs(pair_id, id1, id2, label, ...) -> (pair_id, seq1, seq2, label); whole ragged sequences without `max_len`.
 
-    Each distinct clause used by a pair is encoded once (not once per pair), and only
-    clauses that occur in some pair are tokenised at all.
+    Each clause is encoded once (not once per pair) where it is read; only ids are moved to the pairs, no text.
     """
-    used = pairs.select(F.col("id1").alias("clause_id")).union(pairs.select(F.col("id2").alias("clause_id"))).distinct()
-    needed = clauses.join(used, "clause_id", "left_semi")
-    enc = encode(needed, vocab, max_len=max_len)
+    enc = encode(clauses, vocab, max_len=max_len)
     e1 = enc.select(F.col("clause_id").alias("id1"), F.col("seq").alias("seq1"))
     e2 = enc.select(F.col("clause_id").alias("id2"), F.col("seq").alias("seq2"))
     out = pairs.join(e1, "id1").join(e2, "id2")

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.functions.arrays import dot, norm, pair_features
-from simpairs.functions.text import tokenize
+from simpairs.operators.blocks import word_sets, words_of
 from simpairs.operators.lookup import lookup
 
 
@@ -39,9 +39,8 @@ def token_jaccard(t1, t2) -> Column:
 
 def jaccard_scores(pairs: DataFrame, clauses: DataFrame) -> DataFrame:
     """pairs(pair_id, id1, id2, label) -> + probability (token-set Jaccard of whole texts).
-    Each clause is tokenised once and only if some pair uses it."""
-    used = pairs.select(F.col("id1").alias("clause_id")).union(pairs.select(F.col("id2").alias("clause_id"))).distinct()
-    toks = clauses.join(used, "clause_id", "left_semi").select("clause_id", F.array_distinct(tokenize("clause")).alias("t"))
+    Each clause is tokenised where it is read; its set travels as 64-bit names of the words (`blocks.word_sets`), no text is moved."""
+    toks = word_sets(clauses, "clause_id", words_of(clauses), "t")
     t1 = toks.select(F.col("clause_id").alias("id1"), F.col("t").alias("t1"))
     t2 = toks.select(F.col("clause_id").alias("id2"), F.col("t").alias("t2"))
     j = pairs.join(t1, "id1").join(t2, "id2")

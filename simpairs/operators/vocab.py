@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import RESERVED_TOKENS, tokenize
-from simpairs.operators.blocks import value_counts
+from simpairs.operators.blocks import value_counts, words_of
 from simpairs.operators.numbering import RANGE, number_rows, with_ranges
 from simpairs.sources.shared import checkpointed
 
@@ -22,7 +22,7 @@ def _word_stats(clauses: DataFrame) -> DataFrame:
     A block of clauses hands on each distinct word of a category once. Counts and first appearances are aggregated per (word, category)
     and then per word; all buffers are fixed-width numbers, so both are hash aggregates that start before the shuffle. Category
     ranks are joined to the aggregated words, never to texts."""
-    own = value_counts(clauses, tokenize("clause"), "category", "clause_id", "word")
+    own = value_counts(clauses, words_of(clauses), "category", "clause_id", "word")
     per = own.groupBy("word", "category").agg(
         F.sum("cnt").alias("cnt"), F.min("clause_id").alias("clause_id"), F.min_by("pos", "clause_id").alias("pos"))
     return per.join(_ranked(clauses), "category").groupBy("word").agg(

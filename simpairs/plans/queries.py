@@ -29,7 +29,7 @@ from simpairs.operators import vectors as vec
 from simpairs.operators import vocab as voc
 from simpairs.plans import sqlfrag as q
 from simpairs.sources.shared import checkpointed
-from simpairs.sources.tables import clean_clauses, document_clauses, embedding_items, table
+from simpairs.sources.tables import clean_clauses, document_clauses, document_drafts, embedding_items, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,8 +101,13 @@ def doc_clauses(spark, sf, category=SMALL_CATS) -> DataFrame:
     return document_clauses(spark, sf, category, CFG.null_policy)
 
 
+def doc_drafts(spark, sf, category=SMALL_CATS) -> DataFrame:
+    """The same for operators on words: drafts in place of clean clauses (the null policy is that of `doc_clauses`)."""
+    return document_drafts(spark, sf, category)
+
+
 def doc_vocab(spark, sf) -> DataFrame:
-    return memo(("vocab", sf), lambda: voc.build_vocabulary(doc_clauses(spark, sf, "lang"), CFG.min_freq))
+    return memo(("vocab", sf), lambda: voc.build_vocabulary(doc_drafts(spark, sf, "lang"), CFG.min_freq))
 
 
 def conv_texts(spark, sf) -> DataFrame:
@@ -220,7 +225,7 @@ def _tokenize(spark, sf):
 wc AS (SELECT word, count(*) AS cnt, min({{'category': category, 'clause_id': clause_id, 'pos': pos}}) AS f FROM t GROUP BY word)
 SELECT word, cnt, f.category AS first_category, f.clause_id AS first_clause_id, CAST(f.pos AS BIGINT) AS first_pos FROM wc""")
 def _word_counts(spark, sf):
-    return canon(voc.word_counts(doc_clauses(spark, sf, "lang")))
+    return canon(voc.word_counts(doc_drafts(spark, sf, "lang")))
 
 
 @register("vocabulary", f"WITH {VOCAB_LANG} SELECT word, CAST(idx AS BIGINT) AS idx FROM vocab")
@@ -231,7 +236,7 @@ def _vocabulary(spark, sf):
 @register("vocabulary_by_source", f"WITH {q.clauses_cte('source', 'c')},\n{q.vocab_ctes('c', 3)} "
           "SELECT word, CAST(idx AS BIGINT) AS idx FROM vocab")
 def _vocabulary_by_source(spark, sf):
-    return canon(voc.build_vocabulary(doc_clauses(spark, sf, "source"), 3))
+    return canon(voc.build_vocabulary(doc_drafts(spark, sf, "source"), 3))
 
 
 @register("vocab_stats", f"""WITH {VOCAB_LANG} SELECT count(*) AS total,
@@ -259,7 +264,7 @@ d AS (SELECT clause_id, unnest(seq) AS i, generate_subscripts(seq, 1) AS p FROM
 SELECT e.clause_id, coalesce((SELECT string_agg(v.word, ' ' ORDER BY d.p) FROM d JOIN vocab v ON v.idx = d.i
   WHERE d.clause_id = e.clause_id AND d.i <> 0), '') AS text FROM enc e""")
 def _decode_ids(spark, sf):
-    e = enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf))
+    e = enc.encode(doc_drafts(spark, sf, "lang"), doc_vocab(spark, sf))
     return canon(enc.decode(e, doc_vocab(spark, sf)))
 
 
@@ -269,7 +274,7 @@ def _decode_ids(spark, sf):
 {q.encode_cte('c', 'vocab', 'enc', L)}
 SELECT clause_id, {q.render('seq')} AS seq FROM enc""")
 def _encode_padded(spark, sf):
-    return canon(enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf), max_len=L))
+    return canon(enc.encode(doc_drafts(spark, sf, "lang"), doc_vocab(spark, sf), max_len=L))
 
 
 @register("encode_ragged", f"""WITH {VOCAB_LANG},
@@ -277,7 +282,7 @@ def _encode_padded(spark, sf):
 SELECT clause_id, CAST(len(seq) AS BIGINT) AS n_ids, CAST(len(list_filter(seq, lambda x: x = 1)) AS BIGINT) AS n_unk,
 md5({q.render('seq')}) AS seq_md5 FROM enc""")
 def _encode_ragged(spark, sf):
-    e = enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf))
+    e = enc.encode(doc_drafts(spark, sf, "lang"), doc_vocab(spark, sf))
     return canon(e.select("clause_id", F.size("seq").alias("n_ids"),
                           F.size(F.filter("seq", lambda x: x == 1)).alias("n_unk"),
                           F.md5(render_ids("seq")).alias("seq_md5")))
@@ -455,7 +460,7 @@ SELECT pair_id, {q.render('a.seq')} AS seq1, {q.render('b.seq')} AS seq2, CAST(l
 FROM lp JOIN enc a ON a.clause_id = lp.id1 JOIN enc b ON b.clause_id = lp.id2""".replace(
     "WITH " + C_SMALL, "WITH " + C_SMALL + ",\n" + q.clauses_cte("lang", "cl")))
 def _prepare_pairs(spark, sf):
-    p = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), L)
+    p = enc.prepare_pairs(doc_pairs(spark, sf), doc_drafts(spark, sf), doc_vocab(spark, sf), L)
     return canon(p)
 
 
@@ -496,7 +501,7 @@ def emb_items(spark, sf):
 
 
 def scored_jaccard(spark, sf):
-    return sc.to_scored(fe.jaccard_scores(doc_pairs(spark, sf), doc_clauses(spark, sf)), "jaccard", CFG.threshold)
+    return sc.to_scored(fe.jaccard_scores(doc_pairs(spark, sf), doc_drafts(spark, sf)), "jaccard", CFG.threshold)
 
 
 def scored_cosine(spark, sf):
@@ -538,7 +543,7 @@ vec AS (SELECT idx, dim, ({q.h('emb', "(idx || ':' || dim)")} % 100000 / 100000.
 x AS (SELECT clause_id, dim, max(val) AS val FROM tok JOIN vec USING (idx) WHERE idx <> 0 GROUP BY ALL)
 SELECT c.clause_id, CAST(x.dim AS BIGINT) AS dim, round(x.val, 6) AS value FROM c LEFT JOIN x USING (clause_id)""")
 def _clause_encoding(spark, sf):
-    e = enc.encode(doc_clauses(spark, sf, "lang"), doc_vocab(spark, sf))
+    e = enc.encode(doc_drafts(spark, sf, "lang"), doc_vocab(spark, sf))
     p = fe.clause_encoding(e, fe.init_vectors(doc_vocab(spark, sf), EMB_DIM, CFG.seed))
     return canon(p.select("clause_id", F.posexplode_outer("encoding").alias("dim", "value")))
 
@@ -552,7 +557,7 @@ def _cosine_score(spark, sf):
 @register("jaccard_score", f"WITH {DOC_PAIRS},\n{JAC_SQL} SELECT pair_id, CAST(label AS BIGINT) AS label, "
           "round(probability, 6) AS probability FROM js")
 def _jaccard_score(spark, sf):
-    return canon(fe.jaccard_scores(doc_pairs(spark, sf), doc_clauses(spark, sf)).select("pair_id", "label", "probability"))
+    return canon(fe.jaccard_scores(doc_pairs(spark, sf), doc_drafts(spark, sf)).select("pair_id", "label", "probability"))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -972,7 +977,7 @@ o AS (SELECT lp.pair_id, lp.label, CASE WHEN len(list_distinct(list_concat(a.t,
 SELECT 'overlap' AS model, pair_id, CAST(label AS BIGINT) AS label, round(p, 6) AS probability,
   CAST(CASE WHEN p >= {CFG.threshold} THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM o""")
 def _batch_score(spark, sf):
-    seqs = enc.prepare_pairs(doc_pairs(spark, sf), doc_clauses(spark, sf), doc_vocab(spark, sf), None)
+    seqs = enc.prepare_pairs(doc_pairs(spark, sf), doc_drafts(spark, sf), doc_vocab(spark, sf), None)
     return canon(sc.batch_score(seqs, overlap_scorer, "overlap", CFG, batch_size=256))
 
 

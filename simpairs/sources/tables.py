@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.functions.text import clean_text, null_to_nan
+from simpairs.functions.text import DRAFT, clean_text, draft_text, null_to_nan
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -50,6 +50,13 @@ def document_clauses(
     return clean_clauses(df, "text", null_policy).select("category", "clause_id", "clause")
 
 
+def document_drafts(spark: SparkSession, sf_dir: str, category_expr: str = "lang") -> DataFrame:
+    """documents -> (category, clause_id, draft): `document_clauses` for operators on words, which clean and cut texts in their tasks."""
+    df = spread(table(spark, sf_dir, "documents").select(
+        F.expr(category_expr).cast("string").alias("category"), F.col("doc_id").alias("clause_id"), "text"), "clause_id")
+    return df.select("category", "clause_id", draft_text(null_to_nan("text")).alias(DRAFT))
+
+
 def embedding_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embeddings -> (category, clause_id, embedding DOUBLE[]); category = label."""
     emb = table(spark, sf_dir, "embeddings")
