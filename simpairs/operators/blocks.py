@@ -70,6 +70,20 @@ def _blocks(batches, column: str, first: int | None = None) -> Iterator:
             at = to
 
 
+def _firsts(key, bound: int):
+    """(distinct keys, ascending, place of the first one, count) of whole numbers from 0 to below `bound`."""
+    import numpy as np
+    if bound > 8 * len(key) + 1024:
+        return np.unique(key, return_index=True, return_counts=True)
+    # a table of all keys is small beside them: no sort
+    count = np.bincount(key, minlength=bound)
+    found = np.flatnonzero(count)
+    place = np.empty(bound, np.int64)
+    # assigned from the end, so that the first place stays
+    place[key[::-1]] = np.arange(len(key) - 1, -1, -1)
+    return found, place[found], count[found]
+
+
 def _one(values):
     """A list array of one row that holds `values`."""
     import pyarrow as pa
@@ -93,7 +107,7 @@ def value_counts(df: DataFrame, values: Column, group: str, order: str, value: s
             coded, groups = rows.column("v").flatten().dictionary_encode(), rows.column("g").dictionary_encode(null_encoding="encode")
             n = max(1, len(coded.dictionary))
             key = groups.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] * n + coded.indices.to_numpy(zero_copy_only=False)
-            key, first, count = np.unique(key, return_index=True, return_counts=True)
+            key, first, count = _firsts(key, n * max(1, len(groups.dictionary)))
             at = row[first]
             found = pa.StructArray.from_arrays(
                 [coded.dictionary.take(pa.array(key % n)), groups.dictionary.take(pa.array(key // n)), pa.array(count, pa.int64()),

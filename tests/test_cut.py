@@ -75,3 +75,13 @@ def test_names_of_different_words_differ():
     # a name depends on the word alone
     assert word_names(pa.array(["zz", *words]).slice(1)).tolist() == names.tolist() and word_names(pa.array(words[:3])).tolist() == names[:3].tolist()
     assert word_names(pa.array([], pa.string())).tolist() == []
+
+
+def test_first_places_and_counts_by_table_and_by_sort():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for bound in (1, 7, 500, 10**7):
+        key = rng.integers(0, bound, 300)
+        want = np.unique(key, return_index=True, return_counts=True)
+        assert all((a == b).all() for a, b in zip(blocks._firsts(key, bound), want))
+    assert [len(x) for x in blocks._firsts(np.zeros(0, np.int64), 1)] == [0, 0, 0]
