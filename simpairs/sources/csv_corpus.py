@@ -96,7 +96,7 @@ def text_column(header: tuple[str, ...]) -> int:
 
 def _file_name(parts: bool) -> F.Column:
     """The plain file name, that of a part with its folder's: Spark gives it URL-encoded ('+' stands for itself)."""
-    name = F.regexp_extract("_metadata.file_path", "[^/]+/[^/]+$", 0) if parts else F.col("_metadata.file_name")
+    name = F.substring_index("_metadata.file_path", "/", -2) if parts else F.col("_metadata.file_name")
     return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 
@@ -152,7 +152,8 @@ def csv_records(spark: SparkSession, paths: list[str], part_paths: list[str] = [
     earlier = F.last(F.when(F.col("begun") > 0, F.struct(F.col("block").alias("block"), F.col("begun").alias("n"))), ignorenulls=True)
     blocks = checkpointed(blocks.select("file_name", "block", "s", "end", earlier.over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("held")))
     open_files = blocks.groupBy("file_name").agg(F.max_by("end", "block").alias("end")).where("end = 1").select("file_name")
-    d = d.join(blocks.drop("end"), ["file_name", "block"]).join(open_files, "file_name", "left_anti")
+    # a table of one row per file at most is broadcast: a file, and a set, is too much for one task
+    d = d.join(blocks.drop("end"), ["file_name", "block"]).join(F.broadcast(open_files), "file_name", "left_anti")
     state = F.when(F.col("s") == 1, F.col("s1")).otherwise(F.col("s0"))
     d = d.withColumn("state", state).withColumn("starts", ((F.col("state") == 0) & (F.col("value") != "")).cast("long"))
     d = d.where((F.col("state") == 1) | (F.col("value") != ""))
@@ -201,7 +202,7 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     widest = max(w for *_, w, _ in found)
     schema = ", ".join(f"_c{k} string" for k in range(widest + 1))
     fields = F.from_csv("record", F.lit(schema), {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
-    rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).withColumnRenamed("file_name", "file").join(headers, "file").withColumn("__f", fields)
+    rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).withColumnRenamed("file_name", "file").join(F.broadcast(headers), "file").withColumn("__f", fields)
     cells = F.array(*[F.col(f"__f._c{k}") for k in range(widest + 1)])
     # from here on a file is the whole set, and the ranges of its parts follow each other
     place = (F.col("part") * PART_SPAN + F.col("block")).alias("block")
@@ -212,7 +213,7 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     rows = checkpointed(rows)
     opened = open_files.withColumnRenamed("file_name", "file").join(headers, "file").select(F.col("set_name").alias("file_name"))
     bad = rows.where("bad").select("file_name").union(opened).distinct()
-    good = rows.join(bad, "file_name", "left_anti")
+    good = rows.join(F.broadcast(bad), "file_name", "left_anti")
     good = good.withColumn("category", F.regexp_replace("file_name", r"\.csv", ""))
     if null_policy == "literal_nan":
         raw = F.when(F.col("raw").isNull() | F.col("raw").isin(PANDAS_NA_STRINGS), F.lit("nan")).otherwise(F.col("raw"))
@@ -225,7 +226,7 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
     # (monotonically_increasing_id is only an order key here, never an output)
     pos = number_rows(good, [F.col("block"), F.col("line")], F.col("block"), ["file_name"], "__row")
     cats = good.select("category").distinct().withColumn("__crank", F.row_number().over(Window.orderBy("category")) - 1)
-    out = pos.join(cats, "category").select(
+    out = pos.join(F.broadcast(cats), "category").select(
         "category", (F.shiftleft(F.col("__crank").cast("long"), 32) + F.col("__row") - 1).alias("clause_id"),
         clean_text("raw").alias("clause"))
     if not with_rejects:

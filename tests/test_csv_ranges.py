@@ -126,3 +126,15 @@ def test_parts_of_a_set_with_an_open_quote_or_a_wide_row(spark, tmp_path, ranges
     assert [(r.category, r.clause) for r in sorted(rows.collect(), key=lambda r: r.clause_id)] == [("good", "first"), ("good", "second")]
     assert {(r.file_name, r.reason) for r in rejects.collect()} == {
         ("open.csv", "malformed rows"), ("wide.csv", "malformed rows"), ("none.csv", "empty file")}
+
+
+def test_no_rows_are_dealt_by_file_or_category_alone(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('clause\na\n"b\nc"\n')
+    (tmp_path / "two.csv").write_text("clause\nd\n")
+    records, _ = csv_records(spark, [f"{tmp_path}/one.csv", f"{tmp_path}/two.csv"])
+    for d in (records, read_category_csvs(spark, str(tmp_path))):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        # a join with a table of a row per file or category moves that table, not the rows
+        for line in plan.splitlines():
+            if "SortMergeJoin" in line or "ShuffledHashJoin" in line:
+                assert "block" in line or "__key" in line, line
