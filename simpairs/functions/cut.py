@@ -37,21 +37,27 @@ def cut_words(texts, tables):
     held = texts.buffers()[2]
     data = np.frombuffer(held, np.uint8)[ends[0]:ends[-1]] if held is not None else np.zeros(0, np.uint8)
     out = one[data]
-    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC8))
+    lead = np.flatnonzero(data - np.uint8(0xC2) <= 6)
     if len(lead):
         changed = two[((data[lead].astype(np.int64) - 0xC2) << 6) | (data[lead + 1] & 0x3F)]
         out[lead], out[lead + 1] = changed[:, 0], changed[:, 1]
-    kept = out != GONE
-    ends = np.concatenate([[0], np.cumsum(kept)])[ends - ends[0]]
-    out = out[kept]
+    ends -= ends[0]
+    gone = np.flatnonzero(out == GONE)
+    if len(gone):
+        ends -= np.searchsorted(gone, ends)
+        out = np.delete(out, gone)
     ink = out != 32
-    first = ink.copy()
+    # a word begins after a blank or where a text does, and ends likewise
+    first, last = ink.copy(), ink.copy()
     first[1:] &= ~ink[:-1]
+    last[:-1] &= ~ink[1:]
     edge = ends[:-1][ends[:-1] < len(out)]
     first[edge] = ink[edge]
+    edge = ends[1:][ends[1:] > 0] - 1
+    last[edge] = ink[edge]
     starts = np.flatnonzero(first)
     letters = out[ink]
-    at = np.concatenate([(np.cumsum(ink) - 1)[starts], [len(letters)]]).astype(np.int32)
+    at = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)]).astype(np.int32)
     words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(letters))
     lists = pa.array(np.searchsorted(starts, ends).astype(np.int32))
     return pa.ListArray.from_arrays(lists, words, mask=texts.is_null() if texts.null_count else None)

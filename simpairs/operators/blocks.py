@@ -21,6 +21,8 @@ from simpairs.sources.shared import by_value, checkpointed
 BLOCK_VALUES = 1 << 19
 #: bytes of a block of texts, unless one row alone holds more
 BLOCK_BYTES = 1 << 22
+#: the same where a block's dictionary does not leave its task: small enough to stay in a core's cache
+SET_BYTES = 1 << 20
 
 
 def words_of(df: DataFrame, text_col: str = "clause") -> Column:
@@ -35,14 +37,14 @@ def _element(df: DataFrame, values: Column) -> str:
     return kind.elementType.simpleString() if isinstance(kind, T.ArrayType) else "string"
 
 
-def _text_blocks(batch, column: str, tables, first: int | None) -> Iterator:
-    """Blocks of at most BLOCK_BYTES of drafts, one row at least, with their words (the first ones) in place of them."""
+def _text_blocks(batch, column: str, tables, first: int | None, most: int) -> Iterator:
+    """Blocks of at most `most` bytes of drafts, one row at least, with their words (the first ones) in place of them."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
     ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
         rows, at = batch.slice(at, to - at), to
         words = cut_words(rows.column(column), tables)
         words = words if first is None else head(words, first)
@@ -50,16 +52,16 @@ def _text_blocks(batch, column: str, tables, first: int | None) -> Iterator:
         yield pa.RecordBatch.from_arrays([words if c == column else rows.column(c) for c in rows.schema.names], rows.schema.names), sizes
 
 
-def _blocks(batches, column: str, first: int | None = None) -> Iterator:
+def _blocks(batches, column: str, first: int | None = None, most: int | None = None) -> Iterator:
     """(rows, their array sizes) of blocks of at most BLOCK_VALUES elements, one row at least. Null arrays count as empty. Drafts
-    become arrays of words, the `first` ones of each."""
+    become arrays of words, the `first` ones of each, in blocks of at most `most` bytes (BLOCK_BYTES)."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
     tables = char_tables()
     for batch in batches:
         if pa.types.is_string(batch.column(column).type):
-            yield from _text_blocks(batch, column, tables, first)
+            yield from _text_blocks(batch, column, tables, first, most or BLOCK_BYTES)
             continue
         sizes = pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(sizes), 0
@@ -128,7 +130,7 @@ def word_sets(df: DataFrame, key: str, values: Column, out: str) -> DataFrame:
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        for rows, sizes in _blocks(batches, "v"):
+        for rows, sizes in _blocks(batches, "v", most=SET_BYTES):
             lists = rows.column("v")
             coded = lists.flatten().dictionary_encode()
             names = word_names(coded.dictionary)

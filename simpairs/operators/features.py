@@ -20,14 +20,15 @@ def with_pair_features(df: DataFrame, a: str = "e1", b: str = "e2", out: str = "
     return df.withColumn(out, pair_features(a, b))
 
 
-def cosine(a, b) -> Column:
-    d = norm(a) * norm(b)
+def cosine(a, b, norms: Column | None = None) -> Column:
+    """`norms`: the product of the two norms, where it is known."""
+    d = norm(a) * norm(b) if norms is None else norms
     return F.when(d > 0, dot(a, b) / d).otherwise(F.lit(0.0))
 
 
-def cosine_probability(a, b) -> Column:
+def cosine_probability(a, b, norms: Column | None = None) -> Column:
     """Cosine mapped to [0, 1]."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (cosine(a, b) + F.lit(1.0)) / F.lit(2.0)))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (cosine(a, b, norms) + F.lit(1.0)) / F.lit(2.0)))
 
 
 def token_jaccard(t1, t2) -> Column:
@@ -48,8 +49,11 @@ def jaccard_scores(pairs: DataFrame, clauses: DataFrame) -> DataFrame:
 
 
 def cosine_scores(pairs: DataFrame, items: DataFrame) -> DataFrame:
-    j = attach_vectors(pairs, items)
-    return j.withColumn("probability", cosine_probability("e1", "e2")).drop("e1", "e2")
+    """An item's norm is taken once, and travels with its vector."""
+    v = items.select("clause_id", F.struct(F.col("embedding").alias("e"), norm("embedding").alias("n")).alias("v"))
+    j = attach_vectors(pairs, v, "v")
+    p = cosine_probability(F.col("e1.e"), F.col("e2.e"), F.col("e1.n") * F.col("e2.n"))
+    return j.withColumn("probability", p).drop("e1", "e2")
 
 
 def max_pool(df: DataFrame, group_cols: list[str], vec_col: str, out: str = "pooled") -> DataFrame:

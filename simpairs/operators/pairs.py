@@ -14,16 +14,23 @@ from pyspark.sql import functions as F
 from simpairs.config import PairConfig
 from simpairs.functions.hashing import bounded_draw, keyed_hash
 from simpairs.operators.numbering import hash_bucket, number_rows, row_count
-from simpairs.sources.shared import checkpointed
+from simpairs.sources.shared import checkpointed, written_table
 
 # draws generated by one row of the intermediate table
 DRAW_CHUNK = 10_000
 
 
+def category_sizes(clauses: DataFrame) -> DataFrame:
+    """(category, n) of the non-empty categories. `clauses` may be such a table itself, made once for several steps."""
+    if clauses.columns == ["category", "n"]:
+        return clauses
+    return clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
 def category_table(clauses: DataFrame) -> DataFrame:
     """Non-empty categories sorted by name: (category, n, cat_rank 0-based). One row per
     category, so the rank window runs over a small table."""
-    sizes = clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    sizes = category_sizes(clauses)
     return sizes.withColumn("cat_rank", F.row_number().over(Window.orderBy("category")) - 1)
 
 
@@ -71,7 +78,7 @@ def sample_positive_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig()) ->
 def pair_budget(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
     """(category, n, total, q): clauses, possible pairs and pairs to draw: `pairs_per_category`, or
     as many as there are clauses when that is None, never more than there are."""
-    sizes = clauses.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    sizes = category_sizes(clauses)
     want = F.col("n") if cfg.pairs_per_category is None else F.lit(int(cfg.pairs_per_category)).cast("long")
     total = F.expr("n * (n - 1) div 2")
     return sizes.withColumn("total", total).withColumn("q", F.least(want, F.col("total"))).where("q > 0")
@@ -90,8 +97,10 @@ def positive_draws(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFr
     hash draws one rank from each."""
     chunks = pair_budget(clauses, cfg).select(
         "category", "total", "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q") - 1, F.lit(DRAW_CHUNK).cast("long"))).alias("c"))
-    # a large category is many rows here, dealt over the tasks before they expand
-    k = chunks.repartition("category", "c").select(
+    # a large category is many rows here, dealt over the tasks before they expand; their number is given, since adaptive execution
+    # would put them into one task, by the few bytes that they have before
+    parts = int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = chunks.repartition(parts, "category", "c").select(
         "category", "total", "q", F.explode(F.sequence(F.col("c"), F.least(F.col("q"), F.col("c") + DRAW_CHUNK) - 1)).alias("k"))
     step, rest = F.expr("total div q"), F.expr("total % q")
     k = k.select("category", "k", (F.col("k") * step + F.least(F.col("k"), rest)).alias("lo"),
@@ -102,12 +111,10 @@ def positive_draws(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> DataFr
 
 
 def _looked_up(clauses: DataFrame, seed: int, draws: DataFrame, key: list[str]) -> DataFrame:
-    """draws(key.., cat1, row1, cat2, row2) -> the same with id1, id2: one pass over the numbered clauses for
+    """draws(key.., cat1, row1, cat2, row2) -> the same with id1, id2: one pass over the draws and over the numbered clauses for
     both sides; the planner chooses the join by the sizes."""
-    sides = None
-    for k in (1, 2):
-        one = draws.select(*key, F.lit(k).alias("side"), F.col(f"cat{k}").alias("category"), F.col(f"row{k}").alias("row"))
-        sides = one if sides is None else sides.unionByName(one)
+    ends = F.array(*[F.struct(F.lit(k).alias("side"), F.col(f"cat{k}").alias("category"), F.col(f"row{k}").alias("row")) for k in (1, 2)])
+    sides = draws.select(*key, F.explode(ends).alias("e")).select(*key, "e.side", "e.category", "e.row")
     hit = row_numbered(clauses, seed).join(sides, ["category", "row"])
     return hit.groupBy(*key).agg(*[F.max(F.when(F.col("side") == k, F.col("clause_id"))).alias(f"id{k}") for k in (1, 2)],
                                  *[F.max(F.when(F.col("side") == k, F.col("category"))).alias(f"cat{k}") for k in (1, 2)])
@@ -155,7 +162,7 @@ def category_pairs(clauses: DataFrame) -> DataFrame:
 
 def positive_count(clauses: DataFrame, cfg: PairConfig = PairConfig()) -> int:
     """Number of positive pairs without generating them: the budget summed over the categories; then the
-    global `num_positive`."""
+    global `num_positive`. `clauses` may be `category_sizes`, here and in the draws."""
     n = int(pair_budget(clauses, cfg).agg(F.sum("q").alias("n")).first()["n"] or 0)
     return min(n, cfg.num_positive) if cfg.num_positive else n
 
@@ -210,15 +217,22 @@ def labelled_pairs(clauses: DataFrame, cfg: PairConfig = PairConfig(), materiali
     """(pair_id, id1, id2, label): positives + negatives, numbered 0..n-1 in a
     keyed-hash order (the joint shuffle). By default the (small) pair table is
     checkpointed into the shared folder: it is reused by encoding, scoring and examples."""
-    pos = positive_draws(clauses, cfg).select(
+    sizes = category_sizes(clauses)
+    if materialize:
+        # every step needs the sizes; as a table of known size they are broadcast to the draws if they are few
+        sizes = written_table(sizes, "category-sizes")
+    pos = positive_draws(sizes, cfg).select(
         F.lit(1).alias("label"), F.col("category").alias("of"), "k", F.col("category").alias("cat1"), "row1", F.col("category").alias("cat2"), "row2")
-    neg = negative_draws(clauses, cfg).select(F.lit(0).alias("label"), F.lit("").alias("of"), F.col("draw_id").alias("k"), "cat1", "row1", "cat2", "row2")
+    neg = negative_draws(sizes, cfg).select(F.lit(0).alias("label"), F.lit("").alias("of"), F.col("draw_id").alias("k"), "cat1", "row1", "cat2", "row2")
     # positives and negatives are looked up together
     both = _looked_up(clauses, cfg.seed, pos.unionByName(neg), ["label", "of", "k"])
     if cfg.num_positive:
         both = cap_positives(both.where("label = 1"), cfg).unionByName(both.where("label = 0"))
     key = F.when(F.col("label") == 1, F.concat_ws(":", F.lit("1"), "id1", "id2")).otherwise(F.concat_ws(":", F.lit("0"), "k"))
     allp = both.select("id1", "id2", "label", key.alias("__k")).withColumn("__h", keyed_hash(cfg.seed, "shuffle", "__k"))
+    if materialize:
+        # numbering reads its rows three times
+        allp = checkpointed(allp)
     numbered = number_rows(allp, [F.col("__h"), F.col("__k")], hash_bucket(F.col("__h"), row_count(allp)), (), "rn")
     out = numbered.select((F.col("rn") - 1).alias("pair_id"), "id1", "id2", F.col("label").cast("int").alias("label"))
     if not materialize:

@@ -100,3 +100,17 @@ def test_draws_from_a_stream_of_ids(spark, tmp_path):
     run.awaitTermination(120)
     got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("draw_id", "cat1", "row1", "cat2", "row2").collect()))
     assert got == sorted(map(tuple, pr.negative_draws(c, n_neg=500).select("draw_id", "cat1", "row1", "cat2", "row2").collect())) and len(got) == 500
+
+
+def test_norms_are_taken_once_per_item(spark):
+    """A vector's norm is taken where the item is read, not again for each of its pairs."""
+    from simpairs.operators.features import cosine_probability, cosine_scores
+    items = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, [-3.0, 4.5]), (4, None)], "clause_id long, embedding array<double>")
+    pairs = spark.createDataFrame([(0, 1, 3, 1), (1, 1, 2, 0), (2, 3, 3, 1), (3, 1, 4, 0)], "pair_id long, id1 long, id2 long, label int")
+    scored = cosine_scores(pairs, items)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 2
+    vectors = {r.clause_id: r.embedding for r in items.collect()}
+    for r in scored.collect():
+        two = spark.createDataFrame([(vectors[r.id1], vectors[r.id2])], "a array<double>, b array<double>")
+        assert r.probability == two.select(cosine_probability("a", "b")).first()[0]
+    assert set(scored.columns) == {"pair_id", "id1", "id2", "label", "probability"}

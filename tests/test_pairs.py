@@ -78,3 +78,18 @@ def test_positive_count_property_all_sizes(spark):
         assert got.get(f"k{n:03d}", 0) == min(500, m * (m - 1) // 2), n
     distinct = pr.sample_positive_pairs(c).select("id1", "id2").distinct().count()
     assert distinct == sum(got.values())
+
+
+def test_draws_are_dealt_and_made_once(spark):
+    """Few chunk rows become many draws: they stay dealt over the tasks, and both sides of a pair come from one draw."""
+    c = spark.range(3000).selectExpr("concat('k', id % 60) AS category", "id AS clause_id")
+    draws = pr.positive_draws(c)
+    assert draws.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert draws.count() == 3000
+    assert pr.positive_pairs(c)._jdf.queryExecution().optimizedPlan().toString().count("42:pos:") == 1
+
+
+def test_labelled_pairs_the_same_with_and_without_tables(spark):
+    c = _clauses(spark).unionByName(spark.createDataFrame([(None, 900, "a"), (None, 901, "b"), ("c2", 900, "c")], "category string, clause_id long, clause string"))
+    rows = [sorted(map(tuple, pr.labelled_pairs(c, PairConfig(), m).collect()), key=str) for m in (True, False)]
+    assert rows[0] == rows[1] and len(rows[0]) > 300
