@@ -56,10 +56,12 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
 
 def score_curve(scored: DataFrame) -> DataFrame:
     """Per model and distinct probability, in descending order: tp, fp at that score and
-    the inclusive running totals ctp, cfp."""
+    the inclusive running totals ctp, cfp. The scored rows are read once, into counts that the ranges, the
+    offsets and the windows are made of."""
     d = scored.groupBy("model", "probability").agg(
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long").alias("tp"),
         F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).cast("long").alias("fp"))
+    d = checkpointed(d)
     # descending score order: the bucket must grow along it
     return running_totals(with_ranges(d, F.col("probability")), {"ctp": F.col("tp"), "cfp": F.col("fp")}, [F.col("probability").desc()],
                        -F.col(RANGE), ["model"]).drop(RANGE)

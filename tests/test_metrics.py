@@ -32,3 +32,12 @@ def test_confusion_and_report(spark):
     rep = {r["class"]: r for r in me.class_report(s).collect()}
     assert rep["1"].precision == pytest.approx(0.5) and rep["1"].recall == pytest.approx(0.75)
     assert rep["accuracy"].f1 == pytest.approx(0.5) and rep["weighted avg"].support == 8
+
+
+def test_curve_reads_the_scored_rows_once(spark):
+    s = _scored(spark, TIED)
+    c = me.score_curve(s)
+    # ranges, offsets and windows are made of the counts, not of the scored rows again
+    assert "label" not in c._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.probability, r.tp, r.fp, r.ctp, r.cfp) for r in c.orderBy(c.probability.desc()).collect()] == [
+        (.9, 1, 0, 1, 0), (.8, 1, 1, 2, 1), (.6, 1, 0, 3, 1), (.5, 0, 2, 3, 3), (.4, 1, 0, 4, 3), (.1, 0, 1, 4, 4)]
