@@ -29,37 +29,32 @@ def char_tables():
 
 
 def cut_words(texts, tables):
-    """Arrow texts -> lists of their words; null stays null."""
+    """Arrow texts -> lists of their words; null stays null. A text's bytes are changed and dropped in one pass (`bytes.translate`), and
+    blanks between the texts let one pass over all of them find the words."""
     import numpy as np
     import pyarrow as pa
     one, two = tables
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     held = texts.buffers()[2]
     data = np.frombuffer(held, np.uint8)[ends[0]:ends[-1]] if held is not None else np.zeros(0, np.uint8)
-    out = one[data]
+    ends = (ends - ends[0]).tolist()
     lead = np.flatnonzero(data - np.uint8(0xC2) <= 6)
     if len(lead):
         changed = two[((data[lead].astype(np.int64) - 0xC2) << 6) | (data[lead + 1] & 0x3F)]
-        out[lead], out[lead + 1] = changed[:, 0], changed[:, 1]
-    ends -= ends[0]
-    gone = np.flatnonzero(out == GONE)
-    if len(gone):
-        ends -= np.searchsorted(gone, ends)
-        out = np.delete(out, gone)
+        data = data.copy()
+        data[lead], data[lead + 1] = changed[:, 0], changed[:, 1]
+    # what the characters of two bytes became is not changed again
+    raw, table, gone = data.tobytes(), one.tobytes(), np.flatnonzero(one == GONE).astype(np.uint8).tobytes()
+    clean = [raw[a:b].translate(table, gone) for a, b in zip(ends, ends[1:])]
+    out = np.frombuffer(b" ".join([b"", *clean, b""]), np.uint8)
     ink = out != 32
-    # a word begins after a blank or where a text does, and ends likewise
-    first, last = ink.copy(), ink.copy()
-    first[1:] &= ~ink[:-1]
-    last[:-1] &= ~ink[1:]
-    edge = ends[:-1][ends[:-1] < len(out)]
-    first[edge] = ink[edge]
-    edge = ends[1:][ends[1:] > 0] - 1
-    last[edge] = ink[edge]
-    starts = np.flatnonzero(first)
-    letters = out[ink]
-    at = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)]).astype(np.int32)
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(letters))
-    lists = pa.array(np.searchsorted(starts, ends).astype(np.int32))
+    # the first and the last byte are blanks: a word's edges follow each other
+    edges = np.flatnonzero(ink[1:] != ink[:-1]) + 1
+    starts = edges[::2]
+    at = np.concatenate([[0], np.cumsum(edges[1::2] - starts)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(out[ink]))
+    texts_at = np.cumsum([1, *(len(x) + 1 for x in clean)])
+    lists = pa.array(np.searchsorted(starts, texts_at).astype(np.int32))
     return pa.ListArray.from_arrays(lists, words, mask=texts.is_null() if texts.null_count else None)
 
 
@@ -85,15 +80,15 @@ def word_names(words):
         return x ^ (x >> np.uint64(31))
 
     at = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
-    left, at = np.diff(at), at[:-1].copy()
+    left, at = np.diff(at), at[:-1]
     held = np.frombuffer(words.buffers()[2], np.uint8) if len(words) and words.buffers()[2] is not None else np.zeros(0, np.uint8)
     eight = np.ndarray(len(held) + 1, "<u8", np.concatenate([held, np.zeros(8, np.uint8)]), strides=(1,))
-    names = mix(left.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    used = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    names = mix(np.arange(left.max(initial=0) + 1, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))[left]
     live = np.flatnonzero(left > 0)
+    left, at = left[live], at[live]
     while len(live):
-        unused = np.uint64(8) * np.uint64(8) - np.uint64(8) * np.minimum(left[live], 8).astype(np.uint64)
-        names[live] = mix(names[live] ^ (eight[at[live]] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> unused)))
-        at[live] += 8
-        left[live] -= 8
-        live = live[left[live] > 0]
+        names[live] = mix(names[live] ^ (eight[at] & used[np.minimum(left, 8)]))
+        more = np.flatnonzero(left > 8)
+        live, left, at = live[more], left[more] - 8, at[more] + 8
     return names.view(np.int64)

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 WHITESPACE_RUN = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 # everything that is not a word char (letter, number, underscore), a space, or . , ; : ( ) [ ] { }
 DISALLOWED_CHAR = r"[^\p{L}\p{N}_ .,;:()\[\]{}]"
-# characters that `functions.cut` cleans by table; texts with others are cleaned here
-BEYOND_TABLE = r"[^\x00-\u0239]"
+# a text of characters that `functions.cut` cleans by table; texts with others are cleaned here
+WITHIN_TABLE = r"\A[\x00-\u0239]*\z"
 #: column of texts whose words `functions.cut` cuts, see `draft_text`
 DRAFT = "draft"
 ELLIPSIS_LIMIT = 150
@@ -43,7 +43,7 @@ def draft_text(c) -> Column:
     """The text as it is if `functions.cut` has all its characters in its table, else cleaned: either way the words that `cut_words` cuts
     from it are those of `tokenize(clean_text(c))`."""
     x = _col(c)
-    return F.when(~x.rlike(BEYOND_TABLE), x).otherwise(clean_text(x))
+    return F.when(x.rlike(WITHIN_TABLE), x).otherwise(clean_text(x))
 
 
 def tokenize(c) -> Column:

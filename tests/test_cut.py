@@ -64,6 +64,26 @@ def test_no_text_is_moved_to_the_pairs(spark):
     assert dict(blocks.word_sets(draft, "clause_id", blocks.words_of(draft), "t").dtypes)["t"] == "array<bigint>"
 
 
+def test_words_at_the_edges_of_texts():
+    import pyarrow as pa
+
+    from simpairs.functions.cut import char_tables, cut_words
+    texts = ["left out", "a", "b!", None, "", "!", "\u00c9T\u00c9 d'un", " x\u00a0y ", "I\u0130", "z"]
+    want = [["a"], ["b"], None, [], [], ["\u00e9t\u00e9", "dun"], ["x", "y"], ["ii"], ["z"]]
+    got = cut_words(pa.array(texts).slice(1), char_tables())
+    got.validate(full=True)
+    # no word runs over the end of its text, and each text's words are its own
+    assert got.to_pylist() == want
+    assert cut_words(pa.array([], pa.string()), char_tables()).to_pylist() == []
+
+
+def test_drafts_of_texts_beyond_the_table_are_clean(spark):
+    d = spark.createDataFrame([(0, "A b!\n"), (1, "\u00c9\r\n"), (2, "\u4e2d!B"), (3, "x" * 100_000 + "\u4e2d!"), (4, None)], "k int, text string")
+    # bytes that are no UTF-8 count as characters beyond the table
+    d = d.unionByName(spark.sql("select 5 k, cast(X'4120ff42' as string) text")).select("k", draft_text("text").alias("d"))
+    assert {r.k: r.d for r in d.collect()} == {0: "A b!\n", 1: "\u00c9\r\n", 2: "\u4e2db", 3: "x" * 100_000 + "\u4e2d", 4: None, 5: "a b"}
+
+
 def test_names_of_different_words_differ():
     import pyarrow as pa
 
