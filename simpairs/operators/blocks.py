@@ -18,9 +18,9 @@ from simpairs.operators.lookup import lookup
 from simpairs.sources.shared import by_value, checkpointed
 
 #: array elements of a block, unless one row alone holds more
-BLOCK_VALUES = 1 << 19
+BLOCK_VALUES = 1 << 21
 #: bytes of a block of texts, unless one row alone holds more
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 24
 #: the same where a block's dictionary does not leave its task: small enough to stay in a core's cache
 SET_BYTES = 1 << 20
 
@@ -92,6 +92,40 @@ def _one(values):
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _packed(numbers) -> bytes:
+    """Whole numbers from 0 on: the bytes that the largest one needs, plane by plane, compressed."""
+    import numpy as np
+    import pyarrow as pa
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(np.ascontiguousarray(numbers, "<i8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes):
+    import numpy as np
+    import pyarrow as pa
+    width, n = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(pa.decompress(data[9:], n * width, codec="zstd", asbytes=True), np.uint8)
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = planes.reshape(width, n).T
+    return wide.view("<i8").reshape(n)
+
+
+def _stored(values) -> bytes:
+    """An Arrow array in a compressed stream of its own."""
+    import pyarrow as pa
+    sink, batch = pa.BufferOutputStream(), pa.RecordBatch.from_arrays([values], ["v"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _restored(data: bytes):
+    import pyarrow as pa
+    with pa.ipc.open_stream(data) as held:
+        return held.read_next_batch().column("v")
+
+
 def value_counts(df: DataFrame, values: Column, group: str, order: str, value: str = "value") -> DataFrame:
     """(`value`, `group`, cnt, `order`, pos): per block, distinct value and group its number of occurrences, and the first one's
     `order` and 0-based position by (`order`, position), nulls last. To be aggregated further."""
@@ -148,8 +182,8 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
     """(`key`, `out`), one row per key: the array with each element replaced by the value that `table`(table_key, one more column)
     has for it, else by `default`; without a default it is left out. `values` may be drafts, of whose words the `first` count.
 
-    A block's distinct values are looked up once (`lookup`), and the answers are joined to the block's coded rows. The arrays of
-    rows that share a key are merged by (position, value)."""
+    A block's distinct values are looked up once (`lookup`), and the answers are joined to the block's coded rows, which travel and are
+    kept as packed bytes. The arrays of rows that share a key are merged by (position, value)."""
     by_value()
     kinds = {"k": df.schema[key].dataType.simpleString(), "v": _element(df, values)}
     answer = next(c for c in table.columns if c != table_key)
@@ -160,10 +194,20 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
         from pyspark import TaskContext
         for n, (rows, sizes) in enumerate(_blocks(batches, "v", first)):
             coded = rows.column("v").flatten().dictionary_encode()
-            entries = pa.StructArray.from_arrays([pa.array(range(len(coded.dictionary)), pa.int32()), coded.dictionary], ["at", "value"])
+            # 0 is a missing element
+            codes = coded.indices.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()), _one(rows.column("k")), _one(pa.array(sizes, pa.int32())),
-                 _one(coded.indices), _one(entries)], ["block", "keys", "sizes", "codes", "entries"])
+                [pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()), _one(rows.column("k")),
+                 *[pa.array([x], pa.binary()) for x in (_packed(sizes), _packed(codes), _stored(coded.dictionary))]], ["block", "keys", "sizes", "codes", "entries"])
+
+    def listed(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for block, held in zip(batch.column("block").to_pylist(), batch.column("entries")):
+                values = _restored(held.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), block, np.int64)), pa.array(np.arange(len(values), dtype=np.int32)), values],
+                                                 ["block", "at", "value"])
 
     def decoder(whole: bool):
         def decode(batches):
@@ -175,10 +219,10 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
                     at, v = b.column("m").flatten().flatten()
                     place = np.empty(len(at), np.int64)
                     place[at.to_numpy()] = np.arange(len(at))
-                    codes = b.column("codes").flatten()
-                    missing = codes.is_null().to_numpy(zero_copy_only=False)
-                    v = v.take(pa.array(place[codes.fill_null(0).to_numpy()] if len(at) else np.zeros(len(codes), np.int64), mask=missing))
-                    ends = np.concatenate([[0], np.cumsum(b.column("sizes").flatten().to_numpy())])
+                    codes = _unpacked(b.column("codes")[0].as_py()) - 1
+                    missing = codes < 0
+                    v = v.take(pa.array(place[np.maximum(codes, 0)] if len(at) else np.zeros(len(codes), np.int64), mask=missing))
+                    ends = np.concatenate([[0], np.cumsum(_unpacked(b.column("sizes")[0].as_py()))])
                     if default is not None:
                         v = v.fill_null(default)
                     elif not whole:
@@ -188,8 +232,8 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
         return decode
 
     coded = checkpointed(df.select(F.col(key).alias("k"), values.alias("v")).mapInArrow(
-        code, f"block long, keys array<{kinds['k']}>, sizes array<int>, codes array<int>, entries array<struct<at:int,value:{kinds['v']}>>"))
-    rows = coded.select("block", F.explode("entries").alias("e")).select("block", "e.at", "e.value")
+        code, f"block long, keys array<{kinds['k']}>, sizes binary, codes binary, entries binary"))
+    rows = coded.select("block", "entries").mapInArrow(listed, f"block long, at int, value {kinds['v']}")
     found = lookup(rows, "value", table.select(F.col(table_key).alias("__key"), F.col(answer).alias("__answer")), "__key")
     found = found.groupBy("block").agg(F.collect_list(F.struct("at", F.col("__answer").alias("v"))).alias("m"))
     whole = coded.select("block", "keys", "sizes", "codes").join(found, "block", "left").select("keys", "sizes", "codes", "m")
@@ -203,3 +247,74 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
     placed = F.filter(F.transform("v", lambda x, p: F.struct(p.alias("p"), x.alias("v"))), lambda x: x["v"].isNotNull())
     merged = several.groupBy("k").agg(F.sort_array(F.flatten(F.collect_list(placed))).alias("s")).select("k", F.transform("s", lambda x: x["v"]).alias("v"))
     return once.unionByName(merged).select(F.col("k").alias(key), F.col("v").alias(out))
+
+
+def id_sets(df: DataFrame, key: str, ids: Column) -> DataFrame:
+    """Blocks of rows with the distinct ids of each, missing ones left out, made once: (keys, pairs, ids). `ids` holds the distinct ids of a block
+    in ascending order, `pairs` the places in it that a row uses, as row * number of ids + place, ascending (both as packed steps)."""
+    by_value()
+    kind = df.schema[key].dataType.simpleString()
+
+    def code(batches):
+        import numpy as np
+        import pyarrow as pa
+        for rows, sizes in _blocks(batches, "v"):
+            flat = rows.column("v").flatten()
+            known = flat.is_valid().to_numpy(zero_copy_only=False)
+            found, place = np.unique(flat.drop_null().to_numpy(zero_copy_only=False).astype(np.int64), return_inverse=True)
+            pairs = np.unique(np.repeat(np.arange(len(sizes)), sizes)[known] * max(1, len(found)) + place)
+            yield pa.RecordBatch.from_arrays(
+                [_one(rows.column("k")), pa.array([_packed(np.diff(pairs, prepend=0))], pa.binary()), pa.array([int(found[0]) if len(found) else 0], pa.int64()),
+                 pa.array([_packed(np.diff(found, prepend=found[:1]))], pa.binary())], ["keys", "pairs", "first", "ids"])
+
+    return checkpointed(df.select(F.col(key).alias("k"), ids.alias("v")).mapInArrow(code, f"keys array<{kind}>, pairs binary, first long, ids binary"))
+
+
+def _sets(batches) -> Iterator:
+    """(keys, rows, places, ids) of the blocks of `id_sets`: the place in `ids` of each (row, id)."""
+    import numpy as np
+    for batch in batches:
+        for i in range(batch.num_rows):
+            b = batch.slice(i, 1)
+            ids = np.cumsum(_unpacked(b.column("ids")[0].as_py())) + b.column("first")[0].as_py()
+            pairs = np.cumsum(_unpacked(b.column("pairs")[0].as_py()))
+            yield b.column("keys").flatten(), pairs // max(1, len(ids)), pairs % max(1, len(ids)), ids
+
+
+def id_counts(sets: DataFrame) -> DataFrame:
+    """(id, rows): the ids of `id_sets` and the number of rows that hold each."""
+    by_value()
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for _, _, places, ids in _sets(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(places, minlength=len(ids)).astype(np.int64))], ["id", "n"])
+
+    return sets.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("rows"))
+
+
+def pooled_sets(sets: DataFrame, key: str, kind: str, sent) -> DataFrame:
+    """(`key`, vector, rest): per row of `id_sets` the element-wise maximum over the vectors of its ids in `sent`, null without such an id, and its
+    other ids. `sent`: a broadcast (ids ascending, vectors as one row per dimension) without NaN."""
+    by_value()
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        known, vectors = sent.value
+        for keys, rows, places, ids in _sets(batches):
+            at = np.minimum(np.searchsorted(known, ids), max(0, len(known) - 1))
+            hit = (known[at] == ids if len(known) else np.zeros(len(ids), bool))[places]
+            row, at = rows[hit], at[places[hit]]
+            starts = np.flatnonzero(np.diff(row, prepend=-1))
+            best = np.empty((len(starts), len(vectors)))
+            for d in range(len(vectors)):
+                best[:, d] = np.maximum.reduceat(vectors[d][at], starts) if len(starts) else 0.0
+            filled = np.zeros(len(keys), np.int64)
+            filled[row[starts]] = len(vectors)
+            pooled = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(filled)]), pa.int32()), pa.array(best.ravel()), mask=pa.array(filled == 0))
+            rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[~hit], np.arange(len(keys) + 1)), pa.int32()), pa.array(ids[places[~hit]]))
+            yield pa.RecordBatch.from_arrays([keys, pooled, rest], [key, "vector", "rest"])
+
+    return sets.mapInArrow(run, f"`{key}` {kind}, vector array<double>, rest array<long>")

@@ -5,8 +5,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.functions.arrays import dot, norm, pair_features
-from simpairs.operators.blocks import word_sets, words_of
-from simpairs.operators.lookup import lookup
+from simpairs.operators.blocks import id_counts, id_sets, pooled_sets, word_sets, words_of
+from simpairs.sources.shared import checkpointed, released
+
+#: ids and vectors that the clause encoder broadcasts at most
+POOL_BYTES = 32 << 20
 
 
 def attach_vectors(pairs: DataFrame, items: DataFrame, vec_col: str = "embedding") -> DataFrame:
@@ -73,15 +76,50 @@ def init_vectors(vocab: DataFrame, dim: int = 8, seed: int = 42) -> DataFrame:
     return vocab.select("idx", F.array(*[entry(d) for d in range(dim)]).alias("vector"))
 
 
+def _hot_vectors(sets: DataFrame, token_vectors: DataFrame):
+    """(ids ascending, their vectors as one row per dimension, whether these are all): the ids that most clauses hold, as many as POOL_BYTES take.
+    The driver sees these and a table of one row per count."""
+    import numpy as np
+    known = token_vectors.where(F.col("idx").isNotNull() & F.col("vector").isNotNull()).select(F.col("idx").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
+    width = (known.select(F.size("vector").alias("w")).first() or [0])["w"] if not known.isEmpty() else 0
+    most, hot = POOL_BYTES // (8 * width + 8), known
+    whole = known.count() <= most
+    if not whole:
+        counts = checkpointed(id_counts(sets))
+        total, least = 0, 1 << 62
+        for r in counts.groupBy("rows").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("rows")).toLocalIterator():
+            total += r["n"]
+            if total > most:
+                break
+            least = r["rows"]
+        hot = known.join(counts.where(F.col("rows") >= least), "id", "left_semi")
+    t = hot.toArrow().combine_chunks()
+    vectors = t.column("vector").combine_chunks()
+    if t.num_rows and len(vectors.flatten()) != width * t.num_rows or vectors.flatten().null_count:
+        raise ValueError("token vectors of different sizes, or with missing entries")
+    ids = t.column("id").to_numpy().astype(np.int64)
+    order = np.argsort(ids, kind="stable")
+    # what `max_pool` takes for NaN
+    values = np.fmax(vectors.flatten().to_numpy().reshape(-1, width), np.finfo(np.float64).min) if width else np.zeros((len(ids), 0))
+    return ids[order], np.ascontiguousarray(values[order].T), whole
+
+
 def clause_encoding(encoded: DataFrame, token_vectors: DataFrame, include_padding: bool = False,
                     id_col: str = "clause_id") -> DataFrame:
     """Token ids -> token vectors (equi lookup) -> max pool per clause, one row per clause; the encoding is null
     for a clause none of whose ids has a vector. token_vectors(idx, vector DOUBLE[]). The maximum does not
-    change with repetition, so each clause looks up its distinct ids only; frequent ids are dealt evenly (`lookup`)."""
-    e = encoded.select(id_col, F.explode(F.array_distinct("seq")).alias("idx"))
-    if not include_padding:
-        e = e.where(F.col("idx") != 0)
-    width = token_vectors.agg(F.max(F.size("vector")).alias("w")).first()["w"] or 0
-    found = lookup(e, "idx", token_vectors.select("idx", "vector"), entry_bytes=64 + 8 * width).where(F.col("vector").isNotNull())
+    change with repetition, so each clause looks up its distinct ids only.
+
+    `encoded` is evaluated once, into blocks of clauses with their distinct ids. The vectors of the ids that most clauses hold are broadcast, up to
+    POOL_BYTES, and pooled where the blocks are; a row per clause and one per other id, of which few clauses hold each, are shuffled."""
+    spark, seq = encoded.sparkSession, F.col("seq")
+    sets = id_sets(encoded, id_col, seq if include_padding else F.filter(seq, lambda x: x != 0))
+    released(spark)
+    *hot, whole = _hot_vectors(sets, token_vectors)
+    part = checkpointed(pooled_sets(sets, id_col, encoded.schema[id_col].dataType.simpleString(), spark.sparkContext.broadcast(tuple(hot))))
+    found = part.select(id_col, "vector").where(F.col("vector").isNotNull())
+    if not whole:
+        rest = part.select(id_col, F.explode("rest").alias("__id")).join(token_vectors.select(F.col("idx").cast("long").alias("__id"), "vector"), "__id")
+        found = found.unionByName(rest.where(F.col("vector").isNotNull()).select(id_col, F.col("vector").cast("array<double>").alias("vector")))
     pooled = max_pool(found, [id_col], "vector", "encoding")
-    return encoded.select(id_col).join(pooled, id_col, "left")
+    return part.select(id_col).join(pooled, id_col, "left")

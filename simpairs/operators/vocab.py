@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from simpairs.functions.text import RESERVED_TOKENS, tokenize
 from simpairs.operators.blocks import value_counts, words_of
 from simpairs.operators.numbering import RANGE, number_rows, with_ranges
-from simpairs.sources.shared import checkpointed
+from simpairs.sources.shared import checkpointed, released
 
 
 def tokens(clauses: DataFrame, max_pos: int | None = None) -> DataFrame:
@@ -53,6 +53,7 @@ def build_vocabulary(clauses: DataFrame, min_freq: int = 2) -> DataFrame:
     The word table (one row per word) and the vocabulary are made once, in the shared folder; words are numbered over quantile ranges of
     the first appearance, wherever in the corpus new words gather."""
     kept = checkpointed(_word_stats(clauses).where(F.col("cnt") >= min_freq))
+    released(kept.sparkSession)
     low, high = (kept.select(f("clause_id").cast("double")).scalar() for f in (F.min, F.max))
     place = F.col("cat_rank") + (F.col("clause_id").cast("double") - low) / (high - low + 1.0)
     numbered = number_rows(with_ranges(kept, place), [F.col("cat_rank"), F.col("clause_id"), F.col("pos")], F.col(RANGE), (), "rn")

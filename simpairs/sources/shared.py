@@ -42,6 +42,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(spark: SparkSession) -> None:
+    """Shuffle files of plans that nobody holds any more are deleted now. Spark's cleaner finds them when the driver's JVM collects its
+    garbage, which by itself it may not do before the job ends."""
+    import gc
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written_table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a Parquet table under the shared folder and read it back: a columnar,
     prunable lineage cut whose size statistics the planner can use (e.g. for broadcast)."""
