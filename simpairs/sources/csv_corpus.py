@@ -10,6 +10,7 @@ import csv
 import functools
 import io
 from collections import OrderedDict
+from collections.abc import Iterator
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from simpairs.functions.text import clean_text
 from simpairs.operators.numbering import number_rows
-from simpairs.sources.shared import checkpointed
+from simpairs.sources.shared import by_value, checkpointed, released
 
 # Cell strings that pandas' CSV reader turns into a missing value by default
 PANDAS_NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -106,6 +107,168 @@ def _opens(x: Column) -> Column:
     return F.regexp_replace(x, r'(?<=^|,)"[^"]*+"', "").rlike(r'(^|,)"')
 
 
+def _states(f0, f1, start: int):
+    """The state before each line, and after the last (0: between records' fields, 1: inside a quoted field), if it is `start` before the first. Line i
+    maps state k to fk[i]: the last line before with one answer for both fixes the state, lines that swap it turn it."""
+    import numpy as np
+    turns = np.concatenate([[0], np.cumsum((f0 == 1) & (f1 == 0))])
+    fixed = np.concatenate([[-1], np.maximum.accumulate(np.where(f0 == f1, np.arange(len(f0)), -1))]) if len(f0) else np.array([-1])
+    since = np.where(fixed >= 0, np.append(f0, 0)[fixed], start)
+    return (since + turns - np.where(fixed >= 0, turns[fixed + 1], 0)) % 2
+
+
+def _pieces(batches) -> Iterator:
+    """(batch's rows of one range, whether the range goes on from the batch before), in the order of the lines."""
+    import numpy as np
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        file = batch.column("file_name").dictionary_encode().indices.to_numpy()
+        edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(file) != 0)) + 1
+        for at, to in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+            rows = batch.slice(at, to - at)
+            own = (rows.column("file_name")[0].as_py(), int(block[at]))
+            yield rows, own == last
+            last = own
+
+
+def _line_maps(rows):
+    import numpy as np
+    f0, f1 = (rows.column(c).to_numpy().astype(np.int64) for c in ("f0", "f1"))
+    return f0, f1, rows.column("blank").to_numpy(zero_copy_only=False)
+
+
+def _range_maps(batches):
+    """Per range of a file: the state after it (f0, f1) and the records that begin in it (n0, n1), by the state before it."""
+    import pyarrow as pa
+
+    def row(own):
+        return pa.RecordBatch.from_pydict({"file_name": pa.array([own[0]]), "block": pa.array([own[1]], pa.int64()), "length": pa.array([own[2]], pa.int64()),
+                                           **{f"{c}{k}": pa.array([v[k]], t) for c, v, t in (("f", own[3], pa.int32()), ("n", own[4], pa.int64())) for k in (0, 1)}})
+
+    own = None
+    for rows, more in _pieces(batches):
+        if own and not more:
+            yield row(own)
+        if not more:
+            own = [rows.column(c)[0].as_py() for c in ("file_name", "block", "length")] + [[0, 1], [0, 0]]
+        f0, f1, blank = _line_maps(rows)
+        for k in (0, 1):
+            state = _states(f0, f1, own[3][k])
+            own[3][k] = int(state[-1])
+            own[4][k] += int(((state[:-1] == 0) & ~blank).sum())
+    if own:
+        yield row(own)
+
+
+def _range_records(batches):
+    """The records of each range, whose lines are put together as they come. What lies on the edge of a range - lines that go on with a record of
+    an earlier one, a record that does not end here - comes as a piece, named by the range and number (key_block, key_n) of its record."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    names = ["file_name", "block", "line", "n", "record", "key_block", "key_n"]
+
+    def out(own, line, n, record, piece=False):
+        size = len(line)
+        key = own["held"] if piece and n[0] == 0 else (own["block"], int(n[0])) if piece else (None, None)
+        return pa.RecordBatch.from_arrays([pa.array([own["file_name"]] * size, pa.string()), pa.array(np.full(size, own["block"], np.int64)), pa.array(line, pa.int64()), pa.array(n, pa.int64()),
+                                           record, *[pa.array([k] * size, pa.int64()) for k in key]], names)
+
+    def last(own):
+        """The record that is still open to more lines."""
+        if own and own["texts"]:
+            yield out(own, [own["line"]], [own["last"]], pa.array(["\n".join(own["texts"])], pa.string()), own["last"] == 0 or own["state"] == 1)
+
+    own = None
+    for rows, more in _pieces(batches):
+        if not more:
+            yield from last(own)
+            first = {c: rows.column(c)[0].as_py() for c in ("file_name", "block", "s", "held_block", "held_n")}
+            if first["s"] is None:
+                raise RuntimeError(f"{first['file_name']}: its ranges changed while it was read")
+            own = first | {"held": (first["held_block"], first["held_n"]), "state": first["s"], "n": 0, "texts": [], "line": None, "last": None}
+        f0, f1, blank = _line_maps(rows)
+        state = _states(f0, f1, own["state"])
+        inside, own["state"] = state[:-1] == 1, int(state[-1])
+        n = own["n"] + np.cumsum(~inside & ~blank)
+        own["n"] = int(n[-1])
+        kept = inside | ~blank
+        if not kept.any():
+            continue
+        n, line, values = n[kept], rows.column("line").to_numpy()[kept], rows.column("value").filter(pa.array(kept))
+        at = np.flatnonzero(np.diff(n, prepend=-1))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(at, len(n)), pa.int32()), values), "\n")
+        n, line = n[at], line[at]
+        if own["texts"] and own["last"] == n[0]:
+            own["texts"].append(texts[0].as_py())
+            n, line, texts = n[1:], line[1:], texts[1:]
+        if len(n):
+            # no state is open where another record begins; lines before the first one are a piece
+            own_state, own["state"] = own["state"], 0
+            yield from last(own)
+            own["state"] = own_state
+            if len(n) > 1 and n[0] == 0:
+                yield out(own, line[:1], n[:1], texts[:1], True)
+                n, line, texts = n[1:], line[1:], texts[1:]
+            if len(n) > 1:
+                yield out(own, line[:-1], n[:-1], texts[:-1])
+            own |= {"texts": [texts[-1].as_py()], "line": int(line[-1]), "last": int(n[-1])}
+    yield from last(own)
+
+
+def _fixed(df: DataFrame) -> DataFrame:
+    """`df`, lazy as before, with the partitions that its scan has now: a scan that is planned again may cut its files otherwise when the cluster has
+    grown or shrunk."""
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(df._jdf.queryExecution().toRdd(), df._jdf.schema(), False), spark)
+
+
+def _ranges(spark: SparkSession, paths: list[str], part_paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """-> lines' records and pieces (see `_range_records`) of all files but those with a quoted field that never ends, and ranges(file_name, block, length,
+    s, end, begun, held): a row per range, made once.
+
+    A line is a map of the state before it (inside a quoted field or not) to the state after it. A first scan composes the maps inside each range;
+    those of a file's ranges, a small table, are composed in order, which gives the state before every range. With it a second scan finds the records.
+    Each range is read in order by one task, so no line is moved or kept for that."""
+    by_value()
+    scans = [spark.read.option("lineSep", "\n").text(found).select(
+        _file_name(parts).alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_block_length").alias("length"),
+        F.monotonically_increasing_id().alias("line"), F.regexp_replace("value", "\r$", "").alias("value")) for found, parts in ((paths, False), (part_paths, True)) if found]
+    raw = _fixed(functools.reduce(DataFrame.unionByName, scans))
+    bare = F.replace(F.regexp_replace("value", "^\ufeff", ""), F.lit('""'), F.lit(""))
+    quote = F.instr(bare, '"')
+    f0 = F.when(quote == 0, 0).otherwise(_opens(bare).cast("int"))
+    f1 = F.when(quote == 0, 1).otherwise(_opens(F.concat(F.lit("-"), F.substring(bare, quote + 1, F.length(bare)))).cast("int"))
+    raw = raw.withColumns({"f0": f0, "f1": f1, "blank": F.col("value") == ""})
+    maps = raw.select("file_name", "block", "length", "f0", "f1", "blank").mapInArrow(
+        _range_maps, "file_name string, block long, length long, f0 int, f1 int, n0 long, n1 long")
+    wb = Window.partitionBy("file_name").orderBy("block")
+    swap = ((F.col("f0") == 1) & (F.col("f1") == 0)).cast("int")
+    maps = maps.withColumn("__p", (F.sum(swap).over(wb.rowsBetween(Window.unboundedPreceding, 0)) % 2).cast("int"))
+    blocks = maps.withColumn("s", _state_before(F.lit(0), F.col("f0") == F.col("f1"), F.col("f0"), swap, wb))
+    blocks = blocks.withColumns({"begun": F.when(F.col("s") == 1, F.col("n1")).otherwise(F.col("n0")),
+                                 "end": F.when(F.col("s") == 1, F.col("f1")).otherwise(F.col("f0"))})
+    earlier = F.last(F.when(F.col("begun") > 0, F.struct(F.col("block").alias("block"), F.col("begun").alias("n"))), ignorenulls=True)
+    blocks = blocks.withColumn("open", F.last("end").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 1)
+    blocks = checkpointed(blocks.select("file_name", "block", "length", "s", "end", "begun", "open", earlier.over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("held")))
+    # a table of one row per range is broadcast: a file, and a set, is too much for one task
+    known = blocks.select("file_name", "block", "length", "s", "open", F.col("held.block").alias("held_block"), F.col("held.n").alias("held_n"))
+    d = raw.join(F.broadcast(known), ["file_name", "block", "length"], "left").where(~F.coalesce("open", F.lit(False)))
+    d = d.select("file_name", "block", "line", "value", "f0", "f1", "blank", "s", "held_block", "held_n").mapInArrow(
+        _range_records, "file_name string, block long, line long, n long, record string, key_block long, key_n long")
+    return d, blocks
+
+
+def _joined(pieces: DataFrame) -> DataFrame:
+    """Records (file_name, block, line, n, record) of which several ranges hold a piece."""
+    parts = pieces.groupBy("file_name", "key_block", "key_n").agg(F.array_sort(F.collect_list(F.struct("block", "line", "record"))).alias("l"))
+    return parts.select("file_name", F.col("key_block").alias("block"), F.get("l", F.lit(0))["line"].alias("line"),
+                        F.col("key_n").alias("n"), F.array_join(F.transform("l", lambda x: x["record"]), "\n").alias("record"))
+
+
 def _state_before(start: Column, const: Column, after: Column, swap: Column, w) -> Column:
     """Prefix composition of maps of one bit (0: between records' fields, 1: inside a quoted field). A row's map is
     constant (`const`, to `after`), a swap or the identity; `start`: the bit before the window's first row."""
@@ -120,52 +283,12 @@ def csv_records(spark: SparkSession, paths: list[str], part_paths: list[str] = [
     """-> records(file_name, block, line, n, record) and open_files(file_name): a quoted field of the file never ends. `part_paths` are
     files too, but named with their folder.
 
-    Files are read in byte ranges by as many tasks, whatever line feeds their quoted fields hold. A line is a map of the
-    state before it (inside a quoted field or not) to the state after it; maps are composed inside each range,
-    then over the ranges of a file (a table of one row per range), which gives the state before every line and so the record
-    starts. A record is named by the range, and its number there, in which it begins; only records of several lines
-    are put together by a shuffle. `n` counts a range's records from 1; blank lines between records are none."""
-    scans = [spark.read.option("lineSep", "\n").text(found).select(
-        _file_name(parts).alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
-        F.regexp_replace("value", "\r$", "").alias("value")) for found, parts in ((paths, False), (part_paths, True)) if found]
-    raw = functools.reduce(DataFrame.unionByName, scans)
-    bare = F.replace(F.regexp_replace("value", "^\ufeff", ""), F.lit('""'), F.lit(""))
-    quote = F.instr(bare, '"')
-    f0 = _opens(bare).cast("int")
-    f1 = F.when(quote == 0, 1).otherwise(_opens(F.concat(F.lit("-"), F.substring(bare, quote + 1, F.length(bare)))).cast("int"))
-    d = raw.withColumns({"f0": f0, "f1": f1})
-    swap = ((F.col("f0") == 1) & (F.col("f1") == 0)).cast("int")
-    const = F.col("f0") == F.col("f1")
-    w = Window.partitionBy("file_name", "block").orderBy("line")
-    d = d.withColumn("__p", (F.sum(swap).over(w.rowsBetween(Window.unboundedPreceding, 0)) % 2).cast("int"))
-    # the state before a line if the range began outside and if it began inside a quoted field
-    d = checkpointed(d.select("file_name", "block", "line", "value", "f0", "f1",
-                              *[_state_before(F.lit(k), const, F.col("f0"), swap, w).alias(f"s{k}") for k in (0, 1)]))
-    ends = [F.max_by(F.when(F.col(f"s{k}") == 1, F.col("f1")).otherwise(F.col("f0")), "line").alias(f"f{k}") for k in (0, 1)]
-    begun = [F.sum(((F.col(f"s{k}") == 0) & (F.col("value") != "")).cast("long")).alias(f"n{k}") for k in (0, 1)]
-    blocks = d.groupBy("file_name", "block").agg(*ends, *begun)
-    wb = Window.partitionBy("file_name").orderBy("block")
-    blocks = blocks.withColumn("__p", (F.sum(swap).over(wb.rowsBetween(Window.unboundedPreceding, 0)) % 2).cast("int"))
-    blocks = blocks.withColumn("s", _state_before(F.lit(0), const, F.col("f0"), swap, wb))
-    blocks = blocks.withColumns({"begun": F.when(F.col("s") == 1, F.col("n1")).otherwise(F.col("n0")),
-                                 "end": F.when(F.col("s") == 1, F.col("f1")).otherwise(F.col("f0"))})
-    earlier = F.last(F.when(F.col("begun") > 0, F.struct(F.col("block").alias("block"), F.col("begun").alias("n"))), ignorenulls=True)
-    blocks = checkpointed(blocks.select("file_name", "block", "s", "end", earlier.over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("held")))
-    open_files = blocks.groupBy("file_name").agg(F.max_by("end", "block").alias("end")).where("end = 1").select("file_name")
-    # a table of one row per file at most is broadcast: a file, and a set, is too much for one task
-    d = d.join(blocks.drop("end"), ["file_name", "block"]).join(F.broadcast(open_files), "file_name", "left_anti")
-    state = F.when(F.col("s") == 1, F.col("s1")).otherwise(F.col("s0"))
-    d = d.withColumn("state", state).withColumn("starts", ((F.col("state") == 0) & (F.col("value") != "")).cast("long"))
-    d = d.where((F.col("state") == 1) | (F.col("value") != ""))
-    d = d.withColumn("n", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    own = F.struct(F.col("block").alias("block"), F.col("n").alias("n"))
-    d = d.withColumn("record_key", F.when(F.col("n") > 0, own).otherwise(F.col("held")))
-    whole = (F.col("state") == 0) & (F.col("f0") == 0)
-    one = d.where(whole).select("file_name", "block", "line", "n", F.col("value").alias("record"))
-    parts = d.where(~whole).groupBy("file_name", "record_key").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("l"))
-    many = parts.select("file_name", F.col("record_key.block").alias("block"), F.get("l", F.lit(0))["line"].alias("line"),
-                        F.col("record_key.n").alias("n"), F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("record"))
-    return one.unionByName(many), open_files
+    Files are read in byte ranges by as many tasks, whatever line feeds their quoted fields hold (`_ranges`). A record is named by the range, and
+    its number there, in which it begins; only records that lie in several ranges are put together by a shuffle. `n` counts a range's records from
+    1; blank lines between records are none."""
+    d, blocks = _ranges(spark, paths, part_paths)
+    one = d.where(F.col("key_block").isNull()).select("file_name", "block", "line", "n", "record")
+    return one.unionByName(_joined(d.where(F.col("key_block").isNotNull()))), blocks.where("open").select("file_name").distinct()
 
 
 def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "literal_nan",
@@ -196,36 +319,54 @@ def read_category_csvs(spark: SparkSession, directory: str, null_policy: str = "
         empty = spark.createDataFrame([], "category string, clause_id long, clause string")
         rej = spark.createDataFrame(rejected, "file_name string, reason string")
         return (empty, rej) if with_rejects else empty
-    records, open_files = csv_records(spark, paths, part_paths)
+    d, blocks = _ranges(spark, paths, part_paths)
     headers = spark.createDataFrame(found, "file string, set_name string, part long, width int, at int")
     # one more column than the widest header has: a field beyond a file's own header makes the row, and the file, malformed
     widest = max(w for *_, w, _ in found)
     schema = ", ".join(f"_c{k} string" for k in range(widest + 1))
     fields = F.from_csv("record", F.lit(schema), {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
-    rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).withColumnRenamed("file_name", "file").join(F.broadcast(headers), "file").withColumn("__f", fields)
     cells = F.array(*[F.col(f"__f._c{k}") for k in range(widest + 1)])
-    # from here on a file is the whole set, and the ranges of its parts follow each other
-    place = (F.col("part") * PART_SPAN + F.col("block")).alias("block")
-    rows = rows.select(F.col("set_name").alias("file_name"), place, "line", cells.alias("cells"), "width", "at").select(
-        "file_name", "block", "line", F.get("cells", F.col("at")).alias("raw"),
-        F.exists(F.slice("cells", F.col("width") + 1, F.lit(widest + 1)), lambda c: c.isNotNull()).alias("bad"))
-    # the parsed rows are materialised once in the shared folder: three later steps read them
-    rows = checkpointed(rows)
-    opened = open_files.withColumnRenamed("file_name", "file").join(headers, "file").select(F.col("set_name").alias("file_name"))
-    bad = rows.where("bad").select("file_name").union(opened).distinct()
-    good = rows.join(F.broadcast(bad), "file_name", "left_anti")
-    good = good.withColumn("category", F.regexp_replace("file_name", r"\.csv", ""))
+
+    def parsed(records: DataFrame) -> DataFrame:
+        """(file_name, file, place, block, n, raw, bad) of the records that are no headers."""
+        rows = records.where((F.col("block") > 0) | (F.col("n") > 1)).withColumnRenamed("file_name", "file").join(F.broadcast(headers), "file").withColumn("__f", fields)
+        # a file is the whole set here, and the ranges of its parts follow each other
+        place = (F.col("part") * PART_SPAN + F.col("block")).alias("place")
+        return rows.select(F.col("set_name").alias("file_name"), "file", place, "block", "n", cells.alias("cells"), "width", "at").select(
+            "file_name", "file", "place", "block", "n", F.get("cells", F.col("at")).alias("raw"),
+            F.exists(F.slice("cells", F.col("width") + 1, F.lit(widest + 1)), lambda c: c.isNotNull()).alias("bad"))
+
+    piece = F.col("key_block").isNotNull()
+    whole = parsed(d.where(~piece).drop("line", "key_block", "key_n"))
+    # what has to be known before the rows are given out is made once, in one scan: pieces of records, and which files are malformed; no other text is kept
+    marked = d.withColumn("__piece", F.when(piece, F.col("record"))).withColumnRenamed("file_name", "file").join(F.broadcast(headers), "file").withColumn("__f", fields)
+    beyond = F.exists(F.slice(cells, F.col("width") + 1, F.lit(widest + 1)), lambda c: c.isNotNull()) & ~piece & ((F.col("block") > 0) | (F.col("n") > 1))
+    marked = checkpointed(marked.withColumn("bad", beyond).where(piece | F.col("bad")).select(F.col("file").alias("file_name"), "set_name", "block", "line", "key_block", "key_n", F.col("__piece").alias("record"), "bad"))
+    several = checkpointed(parsed(_joined(marked.where(~F.col("bad")))))
+    opened = blocks.where("open").withColumnRenamed("file_name", "file").join(F.broadcast(headers), "file").select(F.col("set_name").alias("file_name"))
+    bad = marked.where("bad").select(F.col("set_name").alias("file_name")).union(several.where("bad").select("file_name")).union(opened).distinct()
+    good = whole.unionByName(several).join(F.broadcast(bad), "file_name", "left_anti")
+    category = F.regexp_replace("file_name", r"\.csv", "").alias("category")
+    good = good.select("*", category)
     if null_policy == "literal_nan":
         raw = F.when(F.col("raw").isNull() | F.col("raw").isin(PANDAS_NA_STRINGS), F.lit("nan")).otherwise(F.col("raw"))
         good = good.withColumn("raw", raw)
+        # row position inside the set: the rows of the ranges before, and the record's number in its own, less the header
+        header = (F.col("block") == 0).cast("long")
+        sizes = blocks.withColumnRenamed("file_name", "file").join(F.broadcast(headers), "file").select(
+            F.col("set_name").alias("file_name"), "file", "part", "block", (F.col("begun") - F.least(header, "begun")).alias("rows"))
+        ws = Window.partitionBy("file_name").orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
+        before = sizes.select("file", "block", "rows", "file_name", (F.coalesce(F.sum("rows").over(ws), F.lit(0)) - header).alias("__before"))
+        pos = good.join(F.broadcast(before.select("file", "block", "__before")), ["file", "block"]).withColumn("__row", F.col("__before") + F.col("n"))
+        some = before.where("rows > 0").join(F.broadcast(bad), "file_name", "left_anti").select(category)
     elif null_policy == "drop":
         good = good.where(F.col("raw").isNotNull() & ~F.col("raw").isin(PANDAS_NA_STRINGS))
+        # which rows stay is only known from their texts
+        pos = number_rows(good, [F.col("place"), F.col("n")], F.col("place"), ["file_name"], "__row")
+        some = good.select("category")
     else:
         raise ValueError(null_policy)
-    # row position inside the file: ranges follow each other, lines follow each other inside a range
-    # (monotonically_increasing_id is only an order key here, never an output)
-    pos = number_rows(good, [F.col("block"), F.col("line")], F.col("block"), ["file_name"], "__row")
-    cats = good.select("category").distinct().withColumn("__crank", F.row_number().over(Window.orderBy("category")) - 1)
+    cats = some.distinct().withColumn("__crank", F.row_number().over(Window.orderBy("category")) - 1)
     out = pos.join(F.broadcast(cats), "category").select(
         "category", (F.shiftleft(F.col("__crank").cast("long"), 32) + F.col("__row") - 1).alias("clause_id"),
         clean_text("raw").alias("clause"))
@@ -261,3 +402,6 @@ def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True, tex
         parts = [file for part, file in _list(spark, folder) if part.startswith("part-")]
         fs.rename(path(parts[0] if len(parts) == 1 else folder), path(target))
     fs.delete(p, True)
+    # the texts that were dealt for this set leave the disk before another step needs it
+    del d, out, w
+    released(spark)
