@@ -25,6 +25,8 @@ PANDAS_NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN
                      "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 #: a part of a written category holds about so many bytes of text
 PART_BYTES = 32 << 20
+#: texts are dealt to their parts in so many rounds
+ROUNDS = 4
 #: a file is shorter than this: places of parts and ranges follow each other in one number
 PART_SPAN = 1 << 40
 
@@ -95,10 +97,14 @@ def text_column(header: tuple[str, ...]) -> int:
     return 0
 
 
-def _file_name(parts: bool) -> F.Column:
-    """The plain file name, that of a part with its folder's: Spark gives it URL-encoded ('+' stands for itself)."""
-    name = F.substring_index("_metadata.file_path", "/", -2) if parts else F.col("_metadata.file_name")
-    return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
+def _file_name(parts: bool) -> Column:
+    """The file name as Spark gives it, URL-encoded, that of a part with its folder's."""
+    return F.substring_index("_metadata.file_path", "/", -2) if parts else F.col("_metadata.file_name")
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """`df` with plain file names ('+' stands for itself in the encoded ones)."""
+    return df.withColumn("file_name", F.url_decode(F.regexp_replace("file_name", r"\+", "%2B")))
 
 
 def _opens(x: Column) -> Column:
@@ -240,8 +246,10 @@ def _ranges(spark: SparkSession, paths: list[str], part_paths: list[str]) -> tup
     raw = _fixed(functools.reduce(DataFrame.unionByName, scans))
     bare = F.replace(F.regexp_replace("value", "^\ufeff", ""), F.lit('""'), F.lit(""))
     quote = F.instr(bare, '"')
-    f0 = F.when(quote == 0, 0).otherwise(_opens(bare).cast("int"))
-    f1 = F.when(quote == 0, 1).otherwise(_opens(F.concat(F.lit("-"), F.substring(bare, quote + 1, F.length(bare)))).cast("int"))
+    # most lines have no quote at all
+    none = ~F.contains("value", F.lit('"'))
+    f0 = F.when(none, 0).otherwise(_opens(bare).cast("int"))
+    f1 = F.when(none | (quote == 0), 1).otherwise(_opens(F.concat(F.lit("-"), F.substring(bare, quote + 1, F.length(bare)))).cast("int"))
     raw = raw.withColumns({"f0": f0, "f1": f1, "blank": F.col("value") == ""})
     maps = raw.select("file_name", "block", "length", "f0", "f1", "blank").mapInArrow(
         _range_maps, "file_name string, block long, length long, f0 int, f1 int, n0 long, n1 long")
@@ -259,7 +267,7 @@ def _ranges(spark: SparkSession, paths: list[str], part_paths: list[str]) -> tup
     d = raw.join(F.broadcast(known), ["file_name", "block", "length"], "left").where(~F.coalesce("open", F.lit(False)))
     d = d.select("file_name", "block", "line", "value", "f0", "f1", "blank", "s", "held_block", "held_n").mapInArrow(
         _range_records, "file_name string, block long, line long, n long, record string, key_block long, key_n long")
-    return d, blocks
+    return _plain(d), _plain(blocks)
 
 
 def _joined(pieces: DataFrame) -> DataFrame:
@@ -382,26 +390,56 @@ def write_category_csvs(rows: DataFrame, directory: str, quote: bool = True, tex
     columns clause_text and clause_type, or, with `text_first=False`, Clause Type, place and Clause Body. `quote=False` writes
     texts as they are, whatever they hold.
 
-    Tasks hold ranges of (category, ord) of about `PART_BYTES` of text, so no task grows with a category: one that spans several ranges
+    Rounds (`_rounds`) and tasks hold ranges of (category, ord), a task about `PART_BYTES` of text, so no task grows with a category: one that spans several ranges
     becomes a folder `<category>.csv` of part files in that order. Rows of one `ord` are told apart by their texts' hash."""
     spark, tmp = rows.sparkSession, f"{directory.rstrip('/')}/_parts"
-    kind = F.col("category").alias("clause_type")
-    size = rows.agg(F.sum(F.octet_length("clause_text").cast("long") + 64).alias("b")).first()["b"] or 0
     order = ["category", "ord", "__h"]
-    d = rows.withColumn("__h", F.xxhash64("clause_text")).repartitionByRange(max(1, -(-size // PART_BYTES)), *order).sortWithinPartitions(*order)
+    d = rows.withColumn("__h", F.xxhash64("clause_text"))
+    size, starts = _rounds(d, order)
+    fs, p = _fs(spark, tmp)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    parts: dict[str, list[str]] = {}
+    key = F.struct(*order)
+    for k, (low, high) in enumerate(zip([None, *starts], [*starts, None])):
+        own = d if low is None else d.where(key >= low)
+        _write_parts(own if high is None else own.where(key < high), max(1, -(-size // PART_BYTES // (len(starts) + 1))), order, f"{tmp}/{k}", quote, text_first)
+        # the texts that were dealt for this round leave the disk before the next step needs it
+        released(spark)
+        for name, folder in _list(spark, f"{tmp}/{k}", dirs=True):
+            parts.setdefault(name, []).extend(file for part, file in _list(spark, folder) if part.startswith("part-"))
+    for name, files in parts.items():
+        target = f"{directory.rstrip('/')}/{unquote(name.split('=', 1)[1])}.csv"
+        if len(files) == 1:
+            fs.rename(path(files[0]), path(target))
+            continue
+        fs.mkdirs(path(target))
+        for k, file in enumerate(files):
+            fs.rename(path(file), path(f"{target}/part-{k:07d}-{file.rsplit('/part-', 1)[1]}"))
+    fs.delete(p, True)
+
+
+def _rounds(d: DataFrame, order: list[str]) -> tuple[int, list[Column]]:
+    """(bytes of text, the keys that rounds of about as many bytes begin with, the first one aside). Only keys and sizes are shuffled. Texts are
+    dealt in ROUNDS rounds, so that no more than a round's are on the disk besides the sets."""
+    sizes = d.select(*order, (F.coalesce(F.octet_length("clause_text").cast("long"), F.lit(0)) + 64).alias("b"))
+    size = sizes.agg(F.sum("b").alias("b")).first()["b"] or 0
+    n = -(-size // PART_BYTES)
+    if n < 2 * ROUNDS:
+        return size, []
+    cut = sizes.repartitionByRange(n, *order).groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*order)).alias("k"), F.sum("b").alias("b"))
+    cut = checkpointed(cut.withColumn("round", F.floor((F.sum("b").over(Window.orderBy("p")) - F.col("b")) * ROUNDS / size)))
+    # the keys stay in Spark's types: a round begins with the least key of its first range
+    starts = cut.groupBy("round").agg(F.min("k").alias("k")).where("round > 0")
+    found = sorted(r["round"] for r in starts.select("round").collect())
+    return size, [starts.where(F.col("round") == r).select("k").scalar() for r in found]
+
+
+def _write_parts(rows: DataFrame, parts: int, order: list[str], folder: str, quote: bool, text_first: bool) -> None:
+    kind = F.col("category").alias("clause_type")
+    d = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     out = d.select("category", "clause_text", kind) if quote else d.select("category", F.concat_ws(",", "clause_text", "category").alias("clause_text,clause_type"))
     if not text_first:
         out = d.select("category", kind.alias("Clause Type"), F.col("ord").alias("place"), F.col("clause_text").alias("Clause Body"))
     w = out.write.mode("overwrite").partitionBy("category").option("header", True).option("escape", '"')
     w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    (w if quote else w.option("quote", "\u0000")).csv(tmp)
-    fs, p = _fs(spark, tmp)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for name, folder in _list(spark, tmp, dirs=True):
-        target = f"{directory.rstrip('/')}/{unquote(name.split('=', 1)[1])}.csv"
-        parts = [file for part, file in _list(spark, folder) if part.startswith("part-")]
-        fs.rename(path(parts[0] if len(parts) == 1 else folder), path(target))
-    fs.delete(p, True)
-    # the texts that were dealt for this set leave the disk before another step needs it
-    del d, out, w
-    released(spark)
+    (w if quote else w.option("quote", "\u0000")).csv(folder)

@@ -71,3 +71,24 @@ def test_texts_are_neither_kept_nor_shuffled(spark, tmp_path, ranges, monkeypatc
     plan = out._jdf.queryExecution().executedPlan().toString()
     exchanges = [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x]
     assert not any(c in x for x in exchanges for c in ("raw", "record", "__key")), exchanges
+
+
+def test_texts_are_dealt_in_rounds(spark, tmp_path, monkeypatch):
+    dealt = []
+
+    def write(rows, *a):
+        dealt.append(rows.count())
+        return real(rows, *a)
+    real = csv_corpus._write_parts
+    monkeypatch.setattr(csv_corpus, "_write_parts", write)
+    monkeypatch.setattr(csv_corpus, "PART_BYTES", 10_000)
+    # one category holds most rows, some places are missing or shared
+    want = [("k" if k % 10 else "a b", None if k % 50 == 0 else k // 3, f"t{k:04d}" + "x" * 60) for k in range(1600)]
+    csv_corpus.write_category_csvs(spark.createDataFrame(want, "category string, ord long, clause_text string").repartition(3), f"{tmp_path}/set")
+    assert sum(dealt) == 1600 and len(dealt) == csv_corpus.ROUNDS and max(dealt) < 700
+    got = sorted(read_category_csvs(spark, f"{tmp_path}/set").collect(), key=lambda r: r.clause_id)
+    places = {t[:5]: -1 if o is None else o for _, o, t in want}
+    assert sorted(r.clause for r in got) == sorted(t for *_, t in want)
+    for c in ("k", "a b"):
+        own = [places[r.clause[:5]] for r in got if r.category == c]
+        assert own == sorted(own) and len(own) == sum(x == c for x, *_ in want)
