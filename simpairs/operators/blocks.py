@@ -206,8 +206,8 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
         for batch in batches:
             for block, held in zip(batch.column("block").to_pylist(), batch.column("entries")):
                 values = _restored(held.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), block, np.int64)), pa.array(np.arange(len(values), dtype=np.int32)), values],
-                                                 ["block", "at", "value"])
+                e = pa.StructArray.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), values], ["at", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), _one(e)], ["block", "e"])
 
     def decoder(whole: bool):
         def decode(batches):
@@ -233,7 +233,8 @@ def mapped(df: DataFrame, key: str, values: Column, table: DataFrame, table_key:
 
     coded = checkpointed(df.select(F.col(key).alias("k"), values.alias("v")).mapInArrow(
         code, f"block long, keys array<{kinds['k']}>, sizes binary, codes binary, entries binary"))
-    rows = coded.select("block", "entries").mapInArrow(listed, f"block long, at int, value {kinds['v']}")
+    rows = coded.select("block", "entries").mapInArrow(listed, f"block long, e array<struct<at:int,value:{kinds['v']}>>")
+    rows = rows.select("block", F.explode("e").alias("e")).select("block", "e.at", "e.value")
     found = lookup(rows, "value", table.select(F.col(table_key).alias("__key"), F.col(answer).alias("__answer")), "__key")
     found = found.groupBy("block").agg(F.collect_list(F.struct("at", F.col("__answer").alias("v"))).alias("m"))
     whole = coded.select("block", "keys", "sizes", "codes").join(found, "block", "left").select("keys", "sizes", "codes", "m")
